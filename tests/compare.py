@@ -1,0 +1,47 @@
+"""Row-for-row comparison of a Spark result with a DuckDB result."""
+
+from __future__ import annotations
+
+import glob
+import math
+import os
+
+import duckdb
+
+
+def connect(folder: str):
+    con = duckdb.connect()
+    for path in sorted(glob.glob(f"{folder}/*.parquet")):
+        name = os.path.basename(path)[:-len(".parquet")]
+        con.execute(f"CREATE VIEW {name} AS SELECT * FROM read_parquet('{path}')")
+    return con
+
+
+def _cell(value):
+    if value is None or (isinstance(value, float) and math.isnan(value)):
+        return (0, "")
+    if isinstance(value, bool):
+        return (1, str(value))
+    if isinstance(value, float):
+        return (2, value)
+    if isinstance(value, int):
+        return (2, value)
+    return (3, str(value))
+
+
+def rows_of(columns, rows):
+    order = sorted(range(len(columns)), key=lambda i: columns[i])
+    return sorted(columns), sorted(tuple(_cell(r[i]) for i in order) for r in rows)
+
+
+def differences(spark_df, con, sql, show: int = 3) -> list[str]:
+    """Empty when columns, types of numbers and all rows agree exactly."""
+    got_columns, got = rows_of(spark_df.columns, [tuple(r) for r in spark_df.collect()])
+    result = con.execute(sql)
+    names = [d[0] for d in result.description]
+    want_columns, want = rows_of(names, result.fetchall())
+    if got_columns != want_columns:
+        return [f"columns {got_columns} != {want_columns}"]
+    if len(got) != len(want):
+        return [f"rows {len(got)} != {len(want)}"]
+    return [f"{g} != {w}" for g, w in zip(got, want) if g != w][:show]
