@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from sparktally import schemas
 from sparktally.functions.parsing import AGE_BANDS_WIDE, epoch_year
 from sparktally.operators.ranking import global_rank
+from sparktally.operators.terms import words_of
 from sparktally.plans import commerce, frames, movies, reviews
 from sparktally.session import scratch_path
 from sparktally.sources import readers, sample_tables as t, sinks
@@ -93,24 +94,46 @@ def yearly_rating_summary(spark, folder):
     return movies.yearly_rating_summary(t.ratings(spark, folder))
 
 
-@query
-def ratings_text_round_trip(spark, folder):
-    """Two text files with some short and some bad lines, read back and summed per year."""
+def _rating_files(spark, folder) -> list[str]:
+    """The ratings as two text files, a fixed share of the lines short or bad."""
     lines = t.ratings(spark, folder, True).withColumn("_h", F.col("user_id") + F.col("movie_id"))
     rating = F.when(F.col("_h") % 97 == 0, "n/a").otherwise(F.col("rating").cast("string"))
     full = F.concat_ws(", ", F.col("user_id"), F.col("movie_id"), rating, F.col("ts"))
     line = F.when(F.col("_h") % 89 == 0, F.col("user_id").cast("string")).otherwise(full)
     base = scratch_path(spark, "ratings")
+    paths = [f"{base}/1", f"{base}/2"]
     shared = lines.select(line.alias("line"), (F.col("ts") % (2 * 86400) == 0).alias("even"))
     sinks.write_outputs(shared, [
-        lambda df: sinks.write_lines(sinks.render_lines(df.where("even"), F.col("line")), f"{base}/1"),
-        lambda df: sinks.write_lines(sinks.render_lines(df.where("not even"), F.col("line")), f"{base}/2"),
+        lambda df: sinks.write_lines(sinks.render_lines(df.where("even"), F.col("line")), paths[0]),
+        lambda df: sinks.write_lines(sinks.render_lines(df.where("not even"), F.col("line")), paths[1]),
     ])
-    read = readers.read_ratings(spark, [f"{base}/1", f"{base}/2"], min_fields=4)
+    return paths
+
+
+@query
+def ratings_text_round_trip(spark, folder):
+    """Two rating files read back as one bag and summed per year."""
+    read = readers.read_ratings(spark, _rating_files(spark, folder), min_fields=4)
     return (read.groupBy(epoch_year(F.col("ts")).alias("year"))
             .agg(F.count(F.lit(1)).alias("n_ratings"), F.sum("rating").alias("total")))
 
 
+@query
+def rating_rejects(spark, folder):
+    """What reading the two files leaves out."""
+    return readers.rating_rejects(spark, _rating_files(spark, folder), min_fields=4)
+
+
+@query
+def movies_text_round_trip(spark, folder):
+    """Movies as text lines, some titles with a comma, read back by the last comma."""
+    title = F.when(F.col("movie_id") % 5 == 0, F.concat("title", F.lit(", The"))).otherwise(F.col("title"))
+    line = F.concat_ws(", ", "movie_id", title, "genres")
+    path = scratch_path(spark, "movies")
+    sinks.write_lines(sinks.render_lines(t.movies(spark, folder), line), path)
+    return readers.read_movies(spark, path)
+
+
 # ---- reviews -------------------------------------------------------------
 
 @query
@@ -123,6 +146,13 @@ def frequent_words(spark, folder):
     return reviews.frequent_words(t.reviews_unlabelled(spark, folder), t.STOP_WORDS)
 
 
+@query
+def frequent_words_beyond_list(spark, folder):
+    """Stop-words from a table that grows with the data: every word of the benchmark texts."""
+    listed = words_of(t.table(spark, folder, "benchmark"), "text", [], []).distinct()
+    return reviews.frequent_words(t.reviews_unlabelled(spark, folder), listed, threshold=20)
+
+
 @query
 def reviews_by_category(spark, folder):
     return reviews.reviews_by_category(t.reviews_unlabelled(spark, folder))

@@ -11,6 +11,10 @@ from pyspark.sql import Column, functions as F
 TOKEN_DELIMITERS = ' \t\r\n",()*'
 
 
+_NAMED = {"\t": r"\t", "\r": r"\r", "\n": r"\n"}
+
+
 def token_array(text: Column, delimiters: str = TOKEN_DELIMITERS) -> Column:
     """Lower-cased words; may hold empty strings at the ends, null for null."""
-    return F.split(F.lower(text), "[" + re.escape(delimiters) + "]+")
+    members = "".join(_NAMED.get(c) or re.escape(c) for c in delimiters)
+    return F.split(F.lower(text), f"[{members}]+")

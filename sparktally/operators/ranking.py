@@ -60,15 +60,17 @@ def rank_values(df: DataFrame, value: str, rank_name: str, buckets: int = 256) -
     counts = df.groupBy(value).agg(F.count(F.lit(1)).alias("_rows"))
     # Several sampled values per range even out the range sizes.
     per_range = 8
-    sample = (counts.where(F.col(value).isNotNull() & (F.col("_rows") > 0))
-              .select(value).orderBy(F.xxhash64(value), value).limit(buckets * per_range))
+    sample = (counts.where(F.col("_rows") > 0).select(value)
+              .orderBy(F.xxhash64(value), value).limit(buckets * per_range))
     pivots = sample.agg(F.sort_array(F.collect_list(value)).alias("_p")).select(
         F.filter("_p", lambda v, i: i % per_range == per_range - 1).alias("_p"))
-    # Ranges are numbered from the highest values; null sorts last.
+    # Ranges are numbered from the highest values; null sorts last.  The
+    # coalesce tells Spark that a range is never null, so that no null check
+    # on it is pushed down to the rows.
+    higher_pivots = F.size(F.filter("_p", lambda p: p > F.col(value)))
     ranged = counts.withColumn("_p", pivots.scalar()).withColumn(
         "_range",
-        F.when(F.col(value).isNull(), F.lit(buckets + 1))
-        .otherwise(F.size(F.filter("_p", lambda p: p > F.col(value))))).drop("_p")
+        F.coalesce(F.when(F.col(value).isNotNull(), higher_pivots), F.lit(buckets + 1))).drop("_p")
     # At most buckets + 2 rows from here, whatever the size of the data.
     totals = ranged.groupBy("_range").agg(F.sum("_rows").alias("_range_rows"))
     above = W.orderBy("_range").rowsBetween(W.unboundedPreceding, -1)
@@ -81,6 +83,12 @@ def rank_values(df: DataFrame, value: str, rank_name: str, buckets: int = 256) -
             .select(value, (F.col("_offset") + F.col("_higher") + 1).alias(rank_name)))
 
 
+def attach_rank(df: DataFrame, ranks: DataFrame, value: str) -> DataFrame:
+    """`df` with the rank of its value from `rank_values`."""
+    ranks = ranks.withColumnRenamed(value, "_value")
+    return df.join(ranks, F.col(value).eqNullSafe(F.col("_value")), "left").drop("_value")
+
+
 def global_rank(df: DataFrame, value: str, rank_name: str, buckets: int = 256) -> DataFrame:
     """`df` with rank() over `value` descending, without a single-task window.
 
@@ -91,6 +99,4 @@ def global_rank(df: DataFrame, value: str, rank_name: str, buckets: int = 256) -
     if isinstance(df.schema[value].dataType, (T.DoubleType, T.FloatType)):
         ensure_checkpoint_dir(df.sparkSession)
         df = df.checkpoint()
-    ranks = rank_values(df, value, rank_name, buckets)
-    ranks = ranks.withColumnRenamed(value, "_value")
-    return df.join(ranks, F.col(value).eqNullSafe(F.col("_value")), "left").drop("_value")
+    return attach_rank(df, rank_values(df, value, rank_name, buckets), value)

@@ -226,10 +226,24 @@ FROM ratings GROUP BY 1""",
     "ratings_text_round_trip": _with(RATINGS) + """
 SELECT CAST(year(day) AS INTEGER) AS year, count(*) AS n_ratings, sum(rating) AS total
 FROM ratings WHERE (user_id + movie_id) % 97 <> 0 AND (user_id + movie_id) % 89 <> 0 GROUP BY 1""",
+    "rating_rejects": _with(RATINGS) + """
+SELECT count(*) AS n_rows, count(*) FILTER ((user_id + movie_id) % 89 = 0) AS n_short,
+       count(*) FILTER ((user_id + movie_id) % 89 <> 0 AND (user_id + movie_id) % 97 = 0) AS n_bad_rating
+FROM ratings""",
+    "movies_text_round_trip": _with(MOVIES) + """
+SELECT CAST(movie_id AS VARCHAR) AS movie_id,
+       CASE WHEN movie_id % 5 = 0 THEN title || ', The' ELSE title END AS title, genres FROM movies""",
     "clean_review_tokens": _with(REVIEWS, WORDS) + """
 SELECT id AS review_id, word FROM words""",
     "frequent_words": _with(REVIEWS, WORDS) + """
 SELECT word, count(*) AS freq FROM words GROUP BY word HAVING count(*) > 500""",
+    "frequent_words_beyond_list": """
+WITH listed AS (
+  SELECT DISTINCT unnest(regexp_split_to_array(lower(text), '[ \t\r\n",()*]+')) AS word FROM benchmark),
+words AS (
+  SELECT unnest(regexp_split_to_array(lower(text), '[ \t\r\n",()*]+')) AS word FROM documents)
+SELECT word, count(*) AS freq FROM words
+WHERE word <> '' AND word NOT IN (SELECT word FROM listed) GROUP BY word HAVING count(*) > 20""",
     "reviews_by_category": "SELECT source AS category, count(doc_id) AS n FROM documents GROUP BY source",
     "reviews_by_aspect": "SELECT lang AS aspect, count(DISTINCT doc_id) AS n FROM documents GROUP BY lang",
     "aspect_sentiment_ranking": _ASPECTS,

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 from sparktally.functions.parsing import in_year, safe_int, scaled, unscaled
 from sparktally.operators.aggregates import distinct_total
 from sparktally.operators.joins import lookup
-from sparktally.operators.ranking import global_rank, rank_values, top_k
+from sparktally.operators.ranking import attach_rank, rank_values, top_k
 
 # Up to this many sellers a report is ranked after the cut.
 REPORT_LIMIT = 10_000
@@ -145,18 +145,20 @@ def seller_ranking(items: DataFrame, k: int | None = 20, digits: int = 2) -> Dat
     """
     totals = seller_totals(items, digits)
     order = [F.col("revenue_units").desc_nulls_last(), F.asc("seller_id")]
+    # Always true, but it asks for every column of the totals: the ranks then
+    # need the same shuffles of the items as the totals and share them.
+    ranked_rows = totals.where((F.col("total_items_sold") > 0) | (F.col("total_orders") > 0)
+                               | F.col("revenue_units").isNotNull())
+    by_orders = rank_values(ranked_rows, "total_orders", "rank_by_orders")
     if k is not None and k <= REPORT_LIMIT:
         head = totals.orderBy(*order).limit(k)
         by_revenue = W.orderBy(F.col("revenue_units").desc_nulls_last())
         head = head.withColumn("rank_by_revenue", F.rank().over(by_revenue).cast("bigint"))
-        # Always true, but it asks for every column of the totals: both
-        # branches then need the same shuffles of the items and share them.
-        all_columns = (F.col("total_items_sold") > 0) | F.col("revenue_units").isNotNull()
-        ranks = rank_values(totals.where(all_columns), "total_orders", "rank_by_orders")
-        ranked = F.broadcast(head).join(ranks, "total_orders")
+        ranked = F.broadcast(head).join(by_orders, "total_orders")
     else:
-        ranked = global_rank(totals, "revenue_units", "rank_by_revenue")
-        ranked = global_rank(ranked, "total_orders", "rank_by_orders")
+        by_revenue = rank_values(ranked_rows, "revenue_units", "rank_by_revenue")
+        ranked = attach_rank(totals, by_revenue, "revenue_units")
+        ranked = attach_rank(ranked, by_orders, "total_orders")
     ranked = top_k(ranked, order, k) if k is not None else ranked.orderBy(*order)
     return ranked.select("seller_id", unscaled(F.col("revenue_units"), digits).alias("total_revenue"),
                          "total_orders", "total_items_sold", "rank_by_revenue", "rank_by_orders")
