@@ -6,8 +6,8 @@ from pyspark.sql import Column, functions as F
 
 
 def fixed(value: Column, digits: int = 2, missing: str = "NA") -> Column:
-    """Number with fixed decimals; null becomes `missing`."""
-    return F.coalesce(F.format_string(f"%.{digits}f", value), F.lit(missing))
+    """Number with fixed decimals, a half rounded up; null becomes `missing`."""
+    return F.when(value.isNull(), F.lit(missing)).otherwise(F.format_string(f"%.{digits}f", value))
 
 
 def iso_utc(ts: Column) -> Column:

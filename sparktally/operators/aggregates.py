@@ -37,9 +37,11 @@ def merge_partials(parts: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 def finish_mean(parts: DataFrame, mean: str = "avg_rating", n: str | None = "n_ratings",
                 precision: str = "double") -> DataFrame:
-    out = parts.withColumn(mean, _mean(F.col(TOTAL), F.col(COUNT), precision))
-    out = out.drop(TOTAL)
-    return out.drop(COUNT) if n is None else out.withColumnRenamed(COUNT, n)
+    keys = [c for c in parts.columns if c not in (TOTAL, COUNT)]
+    columns = [_mean(F.col(TOTAL), F.col(COUNT), precision).alias(mean)]
+    if n is not None:
+        columns.append(F.col(COUNT).alias(n))
+    return parts.select(*keys, *columns)
 
 
 def mean_count(df: DataFrame, keys: Sequence[str], value: str, mean: str = "avg_rating",

@@ -4,6 +4,11 @@ Equi-joins carry no broadcast hint: Spark broadcasts a side whose statistics
 or measured shuffle size are under its threshold, and otherwise sorts and
 merges, with AQE splitting the partitions of hot keys.  A hint is given only
 where a row and byte bound has been checked here.
+
+AQE splits a hot partition only where both inputs of the join come straight
+from a shuffle.  A side that was just aggregated by the join key comes from
+its aggregation instead, so joins whose other side can be hot pass such a
+side through `own_shuffle`.
 """
 
 from __future__ import annotations
@@ -32,14 +37,27 @@ def unique_dim(dim: DataFrame, key: str) -> DataFrame:
     return dim.groupBy(key).agg(F.min(F.struct(*others)).alias("_row")).select(key, "_row.*")
 
 
+def own_shuffle(df: DataFrame, key: str) -> DataFrame:
+    """`df` with its key recomputed, so that a join on it shuffles `df` again.
+
+    Costs one exchange of an aggregated side, nothing where the side is
+    broadcast or would be shuffled anyway.
+    """
+    return df.withColumn(key, F.element_at(F.array(key), 1))
+
+
 def lookup(facts: DataFrame, dim: DataFrame, key: str, how: str = "inner",
-           dedupe_dim: bool = False, fallback: dict[str, Column] | None = None) -> DataFrame:
+           dedupe_dim: bool = False, fallback: dict[str, Column] | None = None,
+           hot_keys: bool = False) -> DataFrame:
     """Equi-join of facts to a dimension that is unique on `key`.
 
     `dedupe_dim` makes it unique first.  With `how='left'`, `fallback` names
-    the value of a column where no dimension row matched.
+    the value of a column where no dimension row matched.  `hot_keys` is for
+    facts that are not reduced by the key: one key may hold any share of them.
     """
     side = unique_dim(dim, key) if dedupe_dim else dim
+    if hot_keys:
+        side = own_shuffle(side, key)
     joined = facts.join(side, key, how)
     for name, value in (fallback or {}).items():
         joined = joined.withColumn(name, F.coalesce(F.col(name), value))
@@ -68,7 +86,9 @@ def exclude_terms(words: DataFrame, column: str,
             return words.where(~F.col(column).isin(listed)) if listed else words
         terms = words.sparkSession.createDataFrame([(t,) for t in listed], f"{column} string")
     name = terms.columns[0]
-    listed = terms.select(F.col(name).alias(column)).where(F.col(column).isNotNull()).distinct()
+    listed = terms.select(F.col(name).alias(column)).where(F.col(column).isNotNull())
     if fits_broadcast(listed, column):
         listed = F.broadcast(listed)
+    else:
+        listed = own_shuffle(listed, column)
     return words.join(listed, column, "left_anti")

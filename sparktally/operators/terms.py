@@ -43,9 +43,11 @@ def tfidf(words: DataFrame, group: Sequence[str], word: str = "word") -> DataFra
               .groupBy(*group, word).agg(F.count(F.lit(1)).alias("_count")))
     totals = (counts.groupBy(*[F.col(g).alias(f"_{g}") for g in group])
               .agg(F.sum("_count").alias("_size")))
-    # Counting through _count keeps that column in this branch's shuffle too.
-    documents = (counts.groupBy(F.col(word).alias("_word"))
-                 .agg(F.count("_count").alias("_df"), F.sum("_count").alias("_all")))
+    # Summing _count keeps that column in this branch's shuffle too.  Grouped
+    # by a hash as well, the branch is shuffled once more for the join on the
+    # word, which lets AQE split the partition of a word that is everywhere.
+    documents = (counts.groupBy(F.col(word).alias("_word"), F.xxhash64(word).alias("_hash"))
+                 .agg(F.count("_count").alias("_df"), F.sum("_count").alias("_all")).drop("_hash"))
     n_groups = totals.agg(F.count("_size"))
     same_group = F.lit(True)
     for g in group:

@@ -37,7 +37,8 @@ def entity_totals(orders: DataFrame, customers: DataFrame, items: DataFrame,
 def orders_by_country(orders: DataFrame, customers: DataFrame) -> DataFrame:
     """country, total_orders, most orders first; orders of unknown customers under null."""
     placed = lookup(orders.select("order_id", "customer_id"),
-                    customers.select("customer_id", "country"), "customer_id", "left")
+                    customers.select("customer_id", "country"), "customer_id", "left",
+                    hot_keys=True)
     return (placed.groupBy("country").agg(F.countDistinct("order_id").alias("total_orders"))
             .orderBy(F.desc("total_orders"), F.asc("country")))
 
@@ -80,7 +81,7 @@ def category_revenue(items: DataFrame, orders: DataFrame, products: DataFrame,
     """category, total_revenue of one year, highest first; unknown category under null."""
     in_period = orders.where(in_year(F.col("purchase_ts"), year)).select("order_id")
     sold = lookup(items.select("order_id", "product_id", _revenue_units(digits).alias("_units")),
-                  in_period, "order_id")
+                  in_period, "order_id", hot_keys=True)
     per_product = sold.groupBy("product_id").agg(F.sum("_units").alias("_units"))
     named = lookup(per_product, products.select("product_id", "category"), "product_id", "left")
     return (named.groupBy("category")
@@ -106,13 +107,13 @@ def product_sales_and_rating(items: DataFrame, products: DataFrame, reviews: Dat
                  .agg(F.sum("_score").alias("_sum"), F.count("_score").alias("_scores")))
     sold = items.select("order_id", "product_id")
     if fan_out:
-        pairs = lookup(sold, per_order, "order_id")
+        pairs = lookup(sold, per_order, "order_id", hot_keys=True)
         stats = (pairs.groupBy("product_id")
                  .agg(F.sum("_scores").alias("total_sold"), F.sum("_sum").alias("_sum"))
                  .withColumn("avg_rating", F.col("_sum") / F.col("total_sold")))
     else:
         per_pair = sold.groupBy("order_id", "product_id").agg(F.count(F.lit(1)).alias("_items"))
-        pairs = lookup(per_pair, per_order, "order_id", "left")
+        pairs = lookup(per_pair, per_order, "order_id", "left", hot_keys=True)
         stats = (pairs.groupBy("product_id")
                  .agg(F.sum("_items").alias("total_sold"), F.sum("_sum").alias("_sum"),
                       F.sum("_scores").alias("_scores"))
@@ -167,7 +168,7 @@ def seller_ranking(items: DataFrame, k: int | None = 20, digits: int = 2) -> Dat
 def _delays(items: DataFrame, orders: DataFrame) -> DataFrame:
     """Items with the days from the shipping limit to the hand-over; null if not handed over."""
     joined = lookup(items.select("order_id", "seller_id", "shipping_limit"),
-                    orders.select("order_id", "carrier_ts"), "order_id", "left")
+                    orders.select("order_id", "carrier_ts"), "order_id", "left", hot_keys=True)
     return joined.withColumn("delay_days", F.datediff("carrier_ts", "shipping_limit"))
 
 

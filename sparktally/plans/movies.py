@@ -64,7 +64,7 @@ def genre_rating_summary(movies: DataFrame, ratings: DataFrame, precision: str =
 def _by_user_attribute(ratings: DataFrame, users: DataFrame, attribute: str) -> DataFrame:
     """(movie_id, attribute, sum, count); ratings of unknown users are dropped."""
     pairs = ratings.where(F.col("rating").isNotNull()).select("user_id", "movie_id", "rating")
-    joined = lookup(pairs, users.select("user_id", attribute), "user_id")
+    joined = lookup(pairs, users.select("user_id", attribute), "user_id", hot_keys=True)
     return partial_mean(joined, ["movie_id", attribute], "rating")
 
 

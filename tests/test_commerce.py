@@ -1,0 +1,124 @@
+import datetime as dt
+import random
+from collections import defaultdict
+
+import pytest
+from conftest import rows
+from pyspark.sql import Window as W, functions as F
+
+from sparktally.plans import commerce as c
+
+
+def ts(text):
+    return dt.datetime.fromisoformat(text) if text else None
+
+
+@pytest.fixture(scope="module")
+def data(spark):
+    orders = spark.createDataFrame(
+        [("o1", "c1", ts("2024-01-01 00:00:00"), ts("2024-01-05 10:00:00")),
+         ("o2", "c1", ts("2024-12-31 23:59:59"), ts("2025-01-02 00:00:00")),
+         ("o3", "c2", ts("2023-12-31 23:59:59"), None),
+         ("o4", "cX", ts("2025-01-01 00:00:00"), ts("2025-01-01 00:00:00"))],
+        "order_id string, customer_id string, purchase_ts timestamp, carrier_ts timestamp")
+    customers = spark.createDataFrame([("c1", "DE"), ("c2", "FR"), (None, "FR")], "customer_id string, country string")
+    items = spark.createDataFrame(
+        [("o1", "p1", "s1", 10.10, 0.90, ts("2024-01-05 23:00:00")), ("o1", "p1", "s2", 5.0, 1.0, ts("2024-01-06 00:00:00")),
+         ("o2", "p2", "s1", 7.0, None, ts("2025-01-01 00:00:00")), ("o3", "p1", "s3", 16.0, 1.0, ts("2024-01-01 00:00:00")),
+         ("oX", "p9", "s4", 6.0, 0.0, ts("2024-01-01 00:00:00")), ("o4", "pX", "s2", 1.0, 1.0, ts("2025-01-01 00:00:00"))],
+        "order_id string, product_id string, seller_id string, price double, freight double, shipping_limit timestamp")
+    reviews = spark.createDataFrame(
+        [("o1", "5"), ("o1", "4.7"), ("o1", "abc"), ("o2", "0"), ("o2", None), ("o3", ""), ("oX", "6"), ("o4", " 5 ")],
+        "order_id string, score string")
+    products = spark.createDataFrame([("p1", "toys"), ("p2", None), ("p9", "toys")], "product_id string, category string")
+    return orders, customers, items, reviews, products
+
+
+def test_totals_count_null_as_a_value(data):
+    orders, customers, items, *_ = data
+    assert rows(c.entity_totals(orders, customers, items)) == [(4, 3, 4)]
+    assert rows(c.entity_totals(orders, customers, items, approximate=True)) == [(4, 3, 4)]
+
+
+def test_countries_and_months(data):
+    orders, customers, *_ = data
+    assert [tuple(r) for r in c.orders_by_country(orders, customers).collect()] == [("DE", 2), (None, 1), ("FR", 1)]
+    assert [tuple(r) for r in c.orders_by_month(orders).collect()] == [
+        (2023, 12, 1), (2024, 12, 1), (2024, 1, 1), (2025, 1, 1)]
+
+
+def test_scores(data):
+    reviews = data[3]
+    assert [tuple(r) for r in c.review_score_distribution(reviews).collect()] == [(4, 1, 4.0), (5, 2, 5.0)]
+    assert rows(c.review_overall(reviews)) == [(8, 3, 1, 2, 2, 14 / 3)]
+
+
+def test_revenue_of_a_year(data):
+    orders, _, items, _, products = data
+    got = [tuple(r) for r in c.category_revenue(items, orders, products, year=2024).collect()]
+    assert got == [("toys", 17.0), (None, None)]
+    assert rows(c.category_revenue(items, orders, products, year=2025)) == [(None, 2.0)]
+
+
+def test_sales_with_fan_out(data):
+    _, _, items, reviews, products = data
+    got = rows(c.product_sales_and_rating(items, products, reviews))
+    # o1 has two items of p1 and two valid scores: four pairs
+    assert got == [("p1", "toys", 4, 4.5), ("p2", None, 1, 0.0), ("p9", "toys", 1, 6.0), ("pX", None, 1, 5.0)]
+    assert rows(c.best_selling_product(items, products, reviews)) == [("p1", "toys", 4, 4.5)]
+
+
+def test_sales_without_fan_out(data):
+    _, _, items, reviews, products = data
+    got = rows(c.product_sales_and_rating(items, products, reviews, fan_out=False))
+    assert got == [("p1", "toys", 3, 4.5), ("p2", None, 1, 0.0), ("p9", "toys", 1, 6.0), ("pX", None, 1, 5.0)]
+
+
+def test_fan_out_equals_the_plain_joins(spark):
+    rng = random.Random(3)
+    items = spark.createDataFrame(
+        [(rng.choice([0] * 10 + list(range(20))), rng.randrange(8)) for _ in range(400)], "order_id int, product_id int")
+    reviews = spark.createDataFrame(
+        [(rng.choice([0] * 10 + list(range(20))), rng.choice(["1", "5", "x", None, "9"])) for _ in range(300)],
+        "order_id int, score string")
+    products = spark.createDataFrame([(i, f"cat{i % 3}") for i in range(7)], "product_id int, category string")
+    plain = (items.join(products, "product_id", "left").join(reviews, "order_id", "left")
+             .withColumn("s", F.expr("try_cast(score as int)")).where("s is not null")
+             .groupBy("product_id", "category")
+             .agg(F.count("*").alias("total_sold"), F.avg("s").alias("avg_rating")))
+    assert rows(c.product_sales_and_rating(items, products, reviews)) == rows(plain)
+
+
+@pytest.mark.parametrize("k", [None, 3, 20])
+def test_seller_ranks_with_ties(spark, k):
+    rng = random.Random(11)
+    items = spark.createDataFrame(
+        [(rng.randrange(60), rng.randrange(30), float(rng.randrange(1, 4)), 0.5) for _ in range(200)] + [(1, 99, None, 1.0)],
+        "order_id int, seller_id int, price double, freight double")
+    stats = items.groupBy("seller_id").agg(
+        F.sum(F.col("price") + F.col("freight")).alias("total_revenue"),
+        F.countDistinct("order_id").alias("total_orders"), F.count("*").alias("total_items_sold"))
+    want = (stats.withColumn("rank_by_revenue", F.rank().over(W.orderBy(F.desc("total_revenue"))).cast("bigint"))
+            .withColumn("rank_by_orders", F.rank().over(W.orderBy(F.desc("total_orders"))).cast("bigint"))
+            .orderBy("rank_by_revenue", "seller_id"))
+    want = [tuple(r) for r in want.collect()][:k]
+    assert [tuple(r) for r in c.seller_ranking(items, k=k).collect()] == want
+
+
+def test_delivery(data):
+    orders, _, items, *_ = data
+    got = rows(c.delivery_delay(items, orders))
+    assert got == [("s1", 2, 0, 1, 1, 0, 0.5), ("s2", 2, 1, 1, 0, 0, -0.5), ("s3", 1, 0, 0, 0, 1, None),
+                   ("s4", 1, 0, 0, 0, 1, None)]
+    assert rows(c.delivery_performance(items, orders)) == [
+        ("early", 1, -1.0), ("late", 1, 1.0), ("on_time", 2, 0.0), ("open", 2, None)]
+
+
+def test_segments(data):
+    orders, _, items, *_ = data
+    profile = rows(c.customer_profile(orders, items))
+    # c1: orders in January and December 2024, one of them without an amount
+    assert profile == [("c1", 2, 8.5, 2 / 12), ("c2", 1, 17.0, 1.0), ("cX", 1, 2.0, 1.0)]
+    got = rows(c.customer_segments(orders, items, (1,), (8.5, 16.0), (0.5,)))
+    assert got == [(0, 0, 1, 1, 1.0), (0, 2, 1, 1, 1.0), (1, 0, 0, 1, 2.0)]
+    assert sum(r[3] for r in got) == 3

@@ -1,0 +1,169 @@
+import base64
+import datetime as dt
+import json
+
+import pytest
+import scorers
+from conftest import rows
+from pyspark.sql import functions as F
+
+from sparktally import schemas
+from sparktally.plans import frames as f
+from sparktally.sources import readers, sinks
+from sparktally.streaming import pipeline as p
+
+
+def payload(*boxes):
+    return base64.b64encode(json.dumps(boxes).encode()).decode()
+
+
+BOX = [120.125, 80.2049, 300.7, 420.1]
+MESSAGES = [
+    ("f1", "cam01", "2026-06-17T01:00:00+00:00", "jpg",
+     payload(["person", 0.91239, BOX], ["dog", 0.99, BOX], ["person", 0.39999, BOX], ["person", 0.4, BOX])),
+    ("f2", "cam01", "2026-06-17T01:00:02.5+00:00", "jpg", payload()),
+    ("f3", "cam02", "2026-06-17T01:00:04+00:00", "png", "%%%"),
+    ("f4", "cam02", "2026-06-17T01:00:06+00:00", "png", base64.b64encode(b"no image").decode()),
+    ("f5", None, "2026-06-17T01:09:59+00:00", "png", payload(["person", 0.41, [1, 2, 3, 4]])),
+    ("f6", "cam02", None, "png", None),
+]
+
+
+def messages(spark):
+    return spark.createDataFrame(MESSAGES, schemas.RAW_FRAME)
+
+
+def test_frames_become_messages(spark, tmp_path):
+    (tmp_path / "a.JPG").write_bytes(b"skipped: other case")
+    (tmp_path / "b.jpeg").write_bytes(b"\x00" * 100)
+    made = f.frames_to_messages(readers.read_frames(spark, str(tmp_path)), "cam07")
+    assert made.columns == schemas.RAW_FRAME.fieldNames()
+    got = made.collect()
+    assert [(r.camera_id, r.image_format, base64.b64decode(r.image_data, validate=True)) for r in got] == [
+        ("cam07", "jpeg", b"\x00" * 100)]
+    assert dt.datetime.fromisoformat(got[0].timestamp).utcoffset() == dt.timedelta(0)
+    assert len(got[0].frame_id) == 36 and got[0].frame_id == made.first().frame_id
+
+
+def test_detection_records(spark):
+    got = {r.frame_id: r for r in f.detect_people(messages(spark), scorers.scripted).collect()}
+    assert sorted(got) == ["f1", "f2", "f5"]
+    assert got["f1"].person_count == 2 and got["f2"].person_count == 0 and got["f2"].detections == []
+    first = got["f1"].detections[0]
+    # halves that are exact in binary go to the even digit
+    assert (first.bbox, first.confidence, first["class"]) == ([120.12, 80.2, 300.7, 420.1], 0.9124, "person")
+    assert got["f5"].camera_id is None
+    assert f.detect_people(messages(spark), scorers.scripted).schema.simpleString() == \
+        schemas.DETECTION_RECORD.simpleString()
+    strict = f.detect_people(messages(spark), scorers.scripted, threshold=0.9)
+    assert {r.frame_id: r.person_count for r in strict.collect()} == {"f1": 1, "f2": 0, "f5": 0}
+
+
+def test_model_is_loaded_once_per_worker(spark, tmp_path, monkeypatch):
+    log = tmp_path / "loads"
+    many = messages(spark).withColumn("i", F.explode(F.sequence(F.lit(1), F.lit(20)))).drop("i").repartition(16)
+
+    def factory(path=str(log)):
+        with open(path, "a") as out:
+            out.write("load\n")
+        return scorers.scripted()
+
+    f.detect_people(many, factory, model_key=str(log)).count()
+    f.detect_people(many, factory, model_key=str(log)).count()
+    assert 1 <= len(log.read_text().split()) <= 8  # two runs of 16 tasks on 8 workers
+
+
+def test_store_views(spark):
+    store = f.detect_people(messages(spark), scorers.scripted)
+    assert [r.frame_id for r in f.latest_detections(store).collect()] == ["f5", "f2", "f1"]
+    assert [r.frame_id for r in f.latest_detections(store, 1).collect()] == ["f5"]
+    boxes = rows(f.detection_boxes(store).select("frame_id", "person", "confidence"))
+    assert boxes == [("f1", 1, 0.9124), ("f1", 2, 0.4), ("f2", None, None), ("f5", 1, 0.41)]
+    assert f.detections_total(store).first()[0] == 3
+
+
+def test_keep_persons(spark):
+    df = spark.sql("""select array(
+        named_struct('bbox', array(1D), 'confidence', 0.4D, 'class', 'person'),
+        named_struct('bbox', array(1D), 'confidence', 0.39D, 'class', 'person'),
+        named_struct('bbox', array(1D), 'confidence', 0.9D, 'class', 'car')) as d""")
+    assert [x.confidence for x in df.select(f.keep_persons(F.col("d"))).first()[0]] == [0.4]
+
+
+def test_windows(spark):
+    store = f.detect_people(messages(spark), scorers.scripted)
+    timed = store.withColumn("ts", f.detection_time(F.col("timestamp")))
+    got = rows(f.people_per_window(timed).select("camera_id", F.date_format("window_start", "HH:mm"), "frames", "people",
+                                                "avg_people", "max_people"))
+    assert got == [("cam01", "01:00", 2, 2, 1.0, 2), (None, "01:00", 1, 1, 1.0, 1)]
+    assert f.people_per_window(timed, slide="5 minutes").count() == 4
+
+
+def put_messages(spark, df, path):
+    sinks.write_lines(p.to_messages(df), path, mode="append")
+
+
+def test_pipeline_restarts_without_repeats(spark, tmp_path):
+    raw, results, store, check = (str(tmp_path / n) for n in ("raw", "results", "store", "check"))
+    put_messages(spark, messages(spark), raw)
+    p.run_pipeline(spark, raw, results, store, check, scorers.scripted)
+    batch = f.detect_people(messages(spark), scorers.scripted)
+    assert rows(readers.read_detections(spark, store)) == rows(batch)
+    p.run_pipeline(spark, raw, results, store, check, scorers.scripted)
+    assert readers.read_detections(spark, store).count() == 3
+    put_messages(spark, messages(spark).where("frame_id = 'f1'"), raw)
+    (tmp_path / "raw" / "junk.txt").write_text("no json\n{\"frame_id\": \"only\"}\n")
+    p.run_pipeline(spark, raw, results, store, check, scorers.scripted, max_files=1)
+    assert readers.read_detections(spark, store).count() == 4
+
+
+def records(spark, n, camera="cam1", start="2026-01-01 00:00:00", prefix="r"):
+    return spark.range(n).select(
+        F.concat(F.lit(prefix), F.col("id").cast("string")).alias("frame_id"), F.lit(camera).alias("camera_id"),
+        (F.lit(start).cast("timestamp") + F.make_dt_interval(mins=F.col("id").cast("int"))).alias("ts"),
+        (F.col("id") % 3).cast("int").alias("person_count"))
+
+
+def test_streamed_windows_equal_the_batch(spark, tmp_path):
+    data = records(spark, 60)
+    data.union(data).coalesce(1).write.parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema(data.schema).parquet(str(tmp_path / "in"))
+    windows = f.people_per_window(p.without_repeats(stream, horizon="5 minutes"))
+    for _ in range(2):  # the second run finds nothing new
+        p.store_detections(windows, str(tmp_path / "out"), str(tmp_path / "check"), available_now=True).awaitTermination()
+    got = spark.read.schema(windows.schema).parquet(str(tmp_path / "out"))
+    closed = f.people_per_window(data).where("window_end <= timestamp'2026-01-01 00:54:00'")
+    assert rows(got) == rows(closed) and got.count() == 5
+
+
+def test_late_records_are_left_out_of_closed_windows(spark, tmp_path):
+    source, out, check = (str(tmp_path / n) for n in ("in", "out", "check"))
+    records(spark, 40).write.mode("append").parquet(source)
+    schema = records(spark, 1).schema
+    windows = f.people_per_window(spark.readStream.schema(schema).parquet(source), watermark="5 minutes")
+    run = lambda: p.store_detections(windows, out, check, available_now=True).awaitTermination()
+    run()
+    records(spark, 3, prefix="late").write.mode("append").parquet(source)  # 00:00 to 00:02, long closed
+    records(spark, 1, start="2026-01-01 02:00:00", prefix="new").write.mode("append").parquet(source)
+    run()
+    frames = rows(spark.read.schema(windows.schema).parquet(out).select(F.date_format("window_start", "HH:mm"), "frames"))
+    assert frames == [("00:00", 10), ("00:10", 10), ("00:20", 10), ("00:30", 10)]
+
+
+def test_batches_replace_what_they_left(spark, tmp_path):
+    data = records(spark, 10)
+    data.write.parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema(data.schema).parquet(str(tmp_path / "in"))
+    write = p.replace_batch(str(tmp_path / "out"))
+    p.store_batches(stream, write, str(tmp_path / "check"), available_now=True).awaitTermination()
+    write(data, 0)  # the same batch again, as after a failure before its commit
+    assert spark.read.parquet(str(tmp_path / "out")).count() == 10
+
+
+def test_sources_and_sinks_check_their_kind(spark, tmp_path):
+    with pytest.raises(ValueError):
+        p.read_message_stream(spark, schemas.RAW_FRAME, source="other")
+    stream = spark.readStream.format("rate").load()
+    with pytest.raises(ValueError):
+        p.write_message_stream(stream, str(tmp_path), sink="other")
+    assert p.to_messages(spark.range(1), key="id").columns == ["key", "value"]

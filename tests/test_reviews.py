@@ -1,0 +1,64 @@
+import pytest
+from conftest import rows
+
+from sparktally.plans import reviews as r
+
+STOP = ["the", "tại sao"]
+
+
+@pytest.fixture(scope="module")
+def data(spark):
+    return spark.createDataFrame([
+        (1, "The Room, the room (view)", "C1", "A1", "positive"),
+        (2, "room bad bad.", "C1", "A2", "negative"),
+        (3, "view bad", "C2", "A1", "neutral"),
+        (None, "review", "category", "aspect", "sentiment"),
+        (5, None, "C2", "A1", "positive"),
+        (6, "", None, "A2", None),
+        (7, "nice room", None, "A1", "positive"),
+        (8, "the THE the", "C3", "A3", "positive"),
+    ], "id int, review string, category string, aspect string, sentiment string")
+
+
+def test_tokens(data):
+    assert rows(r.clean_review_tokens(data, STOP)) == sorted([
+        (1, "room"), (1, "room"), (1, "view"), (2, "bad"), (2, "bad."), (2, "room"), (3, "bad"), (3, "view"),
+        (None, "review"), (7, "nice"), (7, "room")], key=repr)
+
+
+def test_frequent(data):
+    assert [tuple(x) for x in r.frequent_words(data, STOP, threshold=1).collect()] == [
+        ("room", 4), ("bad", 2), ("view", 2)]
+    assert r.frequent_words(data, STOP).count() == 0
+
+
+def test_counts_follow_the_first_column(data):
+    assert rows(r.reviews_by_category(data)) == [("C1", 2), ("C2", 2), ("C3", 1), ("category", 0), (None, 2)]
+    assert rows(r.reviews_by_aspect(data, distinct_by="id")) == [("A1", 4), ("A2", 2), ("A3", 1), ("aspect", 0)]
+
+
+def test_aspects(data):
+    assert [tuple(x) for x in r.aspect_sentiment_ranking(data).collect()] == [
+        ("A2", "negative", 1), ("A1", "positive", 3), ("A3", "positive", 1)]
+    assert rows(r.top_aspect_by_sentiment(data)) == [("A1", "positive", 3), ("A2", "negative", 1)]
+
+
+def test_top_words_nested(data):
+    got = {(x.category, x.sentiment): [tuple(w) for w in x.top_words]
+           for x in r.top_words_by_category_sentiment(data, STOP, k=2).collect()}
+    assert got == {("C1", "positive"): [("room", 2), ("view", 1)], ("C1", "negative"): [("bad", 1), ("bad.", 1)],
+                   # counts are of the category column, which is null here
+                   (None, "positive"): [("nice", 0), ("room", 0)]}
+    flat = {x.category: [tuple(w) for w in x.top_words] for x in r.top_words_by_category(data, STOP, k=1).collect()}
+    assert flat == {"C1": [("room", 3)], "C2": [("bad", 1)], None: [("nice", 0)], "category": [("review", 1)]}
+
+
+def test_top_words_flat_includes_every_sentiment(data):
+    got = rows(r.top_words_by_category_aspect_sentiment(data, STOP, k=1))
+    assert ("C2", "A1", "neutral", "bad", 1) in got and ("C1", "A1", "positive", "room", 2) in got
+
+
+def test_tfidf_top_is_part_of_all(data):
+    top = rows(r.tfidf_top_words(data, STOP, k=1))
+    everything = rows(r.tfidf_top_words(data, STOP, k=1000))
+    assert set(top) <= set(everything) and len(top) == 5
