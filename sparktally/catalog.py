@@ -126,31 +126,40 @@ def rating_rejects(spark, folder):
 
 @query
 def movies_text_round_trip(spark, folder):
-    """Movies as text lines, some titles with a comma, read back by the last comma."""
+    """Movies as text lines, some titles with a comma, read back in every dialect."""
     title = F.when(F.col("movie_id") % 5 == 0, F.concat("title", F.lit(", The"))).otherwise(F.col("title"))
-    line = F.concat_ws(", ", "movie_id", title, "genres")
-    path = scratch_path(spark, "movies")
-    sinks.write_lines(sinks.render_lines(t.movies(spark, folder), line), path)
-    return readers.read_movies(spark, path)
+    quoted = F.concat(F.lit('"'), title, F.lit('"'))
+    base = scratch_path(spark, "movies")
+    plain_line = F.concat_ws(", ", "movie_id", title, "genres")
+    quoted_line = F.concat_ws(",", "movie_id", quoted, "genres")
+    films = t.movies(spark, folder)
+    sinks.write_lines(sinks.render_lines(films, plain_line), f"{base}/plain")
+    sinks.write_lines(sinks.render_lines(films, quoted_line), f"{base}/quoted")
+    read = None
+    for dialect in ("first_comma", "three_way", "last_comma", "csv"):
+        path = f"{base}/quoted" if dialect == "csv" else f"{base}/plain"
+        rows = readers.read_movies(spark, path, dialect).withColumn("dialect", F.lit(dialect))
+        read = rows if read is None else read.unionByName(rows)
+    return read
 
 
 # ---- reviews -------------------------------------------------------------
 
 @query
 def clean_review_tokens(spark, folder):
-    return reviews.clean_review_tokens(t.reviews_unlabelled(spark, folder), t.STOP_WORDS)
+    return reviews.clean_review_tokens(t.reviews_unlabelled(spark, folder, True), t.STOP_WORDS)
 
 
 @query
 def frequent_words(spark, folder):
-    return reviews.frequent_words(t.reviews_unlabelled(spark, folder), t.STOP_WORDS)
+    return reviews.frequent_words(t.reviews_unlabelled(spark, folder, True), t.STOP_WORDS)
 
 
 @query
 def frequent_words_beyond_list(spark, folder):
     """Stop-words from a table that grows with the data: every word of the benchmark texts."""
     listed = words_of(t.table(spark, folder, "benchmark"), "text", [], []).distinct()
-    return reviews.frequent_words(t.reviews_unlabelled(spark, folder), listed, threshold=20)
+    return reviews.frequent_words(t.reviews_unlabelled(spark, folder, True), listed, threshold=20)
 
 
 @query
@@ -182,23 +191,23 @@ def _top_words_text(df: DataFrame) -> DataFrame:
 @query
 def top_words_by_category_sentiment(spark, folder):
     return _top_words_text(
-        reviews.top_words_by_category_sentiment(t.reviews(spark, folder), t.STOP_WORDS))
+        reviews.top_words_by_category_sentiment(t.reviews(spark, folder, True), t.STOP_WORDS))
 
 
 @query
 def top_words_by_category(spark, folder):
     return _top_words_text(
-        reviews.top_words_by_category(t.reviews_unlabelled(spark, folder), t.STOP_WORDS))
+        reviews.top_words_by_category(t.reviews_unlabelled(spark, folder, True), t.STOP_WORDS))
 
 
 @query
 def top_words_by_category_aspect_sentiment(spark, folder):
-    return reviews.top_words_by_category_aspect_sentiment(t.reviews(spark, folder), t.STOP_WORDS)
+    return reviews.top_words_by_category_aspect_sentiment(t.reviews(spark, folder, True), t.STOP_WORDS)
 
 
 @query
 def tfidf_top_words(spark, folder):
-    scores = reviews.tfidf_top_words(t.reviews_unlabelled(spark, folder), t.STOP_WORDS)
+    scores = reviews.tfidf_top_words(t.reviews_unlabelled(spark, folder, True), t.STOP_WORDS)
     return scores.withColumn("tf", F.round("tf", 9)).withColumn("tfidf", F.round("tfidf", 9))
 
 
@@ -350,6 +359,16 @@ def detect_people(spark, folder):
     return _flat_boxes(frames.detect_people(t.raw_messages(spark, folder), t.sample_scorer))
 
 
+@query
+def store_detections(spark, folder):
+    """Detection records appended to a parquet store by a stream, read back."""
+    records = t.detection_stream(spark, folder).select(*schemas.DETECTION_RECORD.fieldNames())
+    base = scratch_path(spark, "store")
+    pipeline.store_detections(records, f"{base}/store", f"{base}/checkpoint",
+                              available_now=True).awaitTermination()
+    return _flat_boxes(readers.read_detections(spark, f"{base}/store"))
+
+
 @query
 def latest_detections(spark, folder):
     return frames.latest_detections(t.detections(spark, folder)).select(

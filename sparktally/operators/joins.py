@@ -65,9 +65,8 @@ def lookup(facts: DataFrame, dim: DataFrame, key: str, how: str = "inner",
 
 
 def fits_broadcast(terms: DataFrame, column: str) -> bool:
-    """Whether the word list is below both bounds; reads at most the row bound."""
-    head = terms.select(column).limit(MAX_BROADCAST_ROWS + 1)
-    rows, size = head.agg(
+    """Whether the word list is below both bounds; one aggregation over the list."""
+    rows, size = terms.agg(
         F.count(F.lit(1)), F.coalesce(F.sum(F.octet_length(column)), F.lit(0))).first()
     return rows <= MAX_BROADCAST_ROWS and size <= MAX_BROADCAST_BYTES
 

@@ -154,6 +154,13 @@ SELECT camera_id, strftime(w, '%Y-%m-%d %H:%M:%S') AS window_start,
        frames, people, avg_people, max_people
 FROM windows"""
 
+_DETECTION_BOXES = _with(DETECTIONS) + """
+SELECT CAST(r.event_id AS VARCHAR) AS frame_id, camera_id, iso AS timestamp, person_count,
+       CAST(person AS INTEGER) AS person,
+       CAST(i * 10 AS DOUBLE) AS x1, CAST(i * 5 AS DOUBLE) AS y1,
+       CAST(i * 10 + k AS DOUBLE) AS x2, CAST(i * 5 + k AS DOUBLE) AS y2, confidence
+FROM records r LEFT JOIN boxes b ON r.event_id = b.event_id"""
+
 _SCHEMA_TABLES = {
     "customer": [("c_custkey", "bigint"), ("c_name", "string"), ("c_nationkey", "int"),
                  ("c_acctbal", "double"), ("c_mktsegment", "string")],
@@ -230,9 +237,14 @@ FROM ratings WHERE (user_id + movie_id) % 97 <> 0 AND (user_id + movie_id) % 89
 SELECT count(*) AS n_rows, count(*) FILTER ((user_id + movie_id) % 89 = 0) AS n_short,
        count(*) FILTER ((user_id + movie_id) % 89 <> 0 AND (user_id + movie_id) % 97 = 0) AS n_bad_rating
 FROM ratings""",
-    "movies_text_round_trip": _with(MOVIES) + """
-SELECT CAST(movie_id AS VARCHAR) AS movie_id,
-       CASE WHEN movie_id % 5 = 0 THEN title || ', The' ELSE title END AS title, genres FROM movies""",
+    "movies_text_round_trip": _with(MOVIES) + """, lines AS (
+SELECT CAST(movie_id AS VARCHAR) AS movie_id, title, genres, movie_id % 5 = 0 AS comma,
+       CASE WHEN movie_id % 5 = 0 THEN title || ', The' ELSE title END AS full_title FROM movies)
+SELECT 'first_comma' AS dialect, movie_id, full_title || ', ' || genres AS title, NULL AS genres FROM lines
+UNION ALL SELECT 'three_way', movie_id, title,
+       CASE WHEN comma THEN 'The, ' || genres ELSE genres END FROM lines
+UNION ALL SELECT 'last_comma', movie_id, full_title, genres FROM lines
+UNION ALL SELECT 'csv', movie_id, full_title, genres FROM lines""",
     "clean_review_tokens": _with(REVIEWS, WORDS) + """
 SELECT id AS review_id, word FROM words""",
     "frequent_words": _with(REVIEWS, WORDS) + """
@@ -351,12 +363,8 @@ FROM digests""",
     "frame_pipeline": SCORED_BOXES,
     "latest_detections": _with(DETECTIONS) + """
 SELECT CAST(event_id AS VARCHAR) AS frame_id, camera_id, iso AS timestamp, person_count FROM records""",
-    "detection_boxes": _with(DETECTIONS) + """
-SELECT CAST(r.event_id AS VARCHAR) AS frame_id, camera_id, iso AS timestamp, person_count,
-       CAST(person AS INTEGER) AS person,
-       CAST(i * 10 AS DOUBLE) AS x1, CAST(i * 5 AS DOUBLE) AS y1,
-       CAST(i * 10 + k AS DOUBLE) AS x2, CAST(i * 5 + k AS DOUBLE) AS y2, confidence
-FROM records r LEFT JOIN boxes b ON r.event_id = b.event_id""",
+    "detection_boxes": _DETECTION_BOXES,
+    "store_detections": _DETECTION_BOXES,
     "detections_total": "SELECT count(*) AS total FROM events",
     "people_per_window": _WINDOWS,
     "people_per_window_stream": _WINDOWS + """

@@ -53,7 +53,8 @@ def orders_by_month(orders: DataFrame) -> DataFrame:
 def review_score_distribution(reviews: DataFrame, lo: int = 1, hi: int = 5) -> DataFrame:
     """score, total_reviews, avg_score for whole scores between lo and hi."""
     scored = reviews.select(safe_int(F.col("score")).alias("score"))
-    return (scored.where(F.col("score").between(lo, hi))
+    # One reference to the parsed score, where a range would parse it twice.
+    return (scored.where(F.col("score").isin(list(range(lo, hi + 1))))
             .groupBy("score")
             .agg(F.count(F.lit(1)).alias("total_reviews"), F.avg("score").alias("avg_score"))
             .orderBy("score"))
@@ -61,15 +62,20 @@ def review_score_distribution(reviews: DataFrame, lo: int = 1, hi: int = 5) -> D
 
 def review_overall(reviews: DataFrame, lo: int = 1, hi: int = 5) -> DataFrame:
     """One row: overall mean and what the cleaning left out."""
-    score = safe_int(F.col("score"))
-    given = F.col("score").isNotNull()
-    return reviews.agg(
-        F.count(F.lit(1)).alias("n_rows"),
-        F.count_if(score.between(lo, hi)).alias("n_valid"),
-        F.count_if(~given).alias("n_null"),
-        F.count_if(given & score.isNull()).alias("n_not_numeric"),
-        F.count_if(score.isNotNull() & ~score.between(lo, hi)).alias("n_out_of_range"),
-        F.avg(F.when(score.between(lo, hi), score)).alias("avg_score"))
+    # Reduced to one row per parsed score and kind before the kinds are told apart.
+    counts = (reviews.groupBy(safe_int(F.col("score")).alias("_score"),
+                              F.isnull("score").alias("_missing"))
+              .agg(F.count(F.lit(1)).alias("_n")))
+    score, n = F.col("_score"), F.col("_n")
+    valid = score.between(lo, hi)
+    total = lambda hit: F.coalesce(F.sum(F.when(hit, n)), F.lit(0))
+    return counts.agg(
+        total(F.lit(True)).alias("n_rows"),
+        total(valid).alias("n_valid"),
+        total(F.col("_missing")).alias("n_null"),
+        total(~F.col("_missing") & score.isNull()).alias("n_not_numeric"),
+        total(score.isNotNull() & ~valid).alias("n_out_of_range"),
+        F.try_divide(F.sum(F.when(valid, score * n)), F.sum(F.when(valid, n))).alias("avg_score"))
 
 
 def _revenue_units(digits: int) -> Column:
@@ -102,9 +108,9 @@ def product_sales_and_rating(items: DataFrame, products: DataFrame, reviews: Dat
     costs its items, not their product.
     """
     score = reviews.select("order_id", safe_int(F.col("score")).alias("_score"))
-    per_order = (score.where(F.col("_score").isNotNull())
-                 .groupBy("order_id")
-                 .agg(F.sum("_score").alias("_sum"), F.count("_score").alias("_scores")))
+    per_order = (score.groupBy("order_id")
+                 .agg(F.sum("_score").alias("_sum"), F.count("_score").alias("_scores"))
+                 .where(F.col("_scores") > 0))
     sold = items.select("order_id", "product_id")
     if fan_out:
         pairs = lookup(sold, per_order, "order_id", hot_keys=True)

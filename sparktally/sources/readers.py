@@ -17,6 +17,17 @@ def _paths(paths: Paths) -> list[str]:
     return [paths] if isinstance(paths, str) else list(paths)
 
 
+def spread(scan: DataFrame, key: str) -> DataFrame:
+    """A scan, rehashed by a unique key where it has fewer partitions than the cluster has cores.
+
+    For a few files that cannot be split, in front of work that is heavy per
+    row.  A large table has more partitions than that and is left alone, so
+    what this shuffles is bounded by cores times the split size.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(cores, key) if scan.rdd.getNumPartitions() < cores else scan
+
+
 def _positional(spark: SparkSession, paths: Paths, schema: T.StructType) -> DataFrame:
     """Comma-separated fields without quoting; blanks around fields are dropped.
 

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from sparktally.functions.formatting import iso_utc
 from sparktally.plans.frames import keep_persons
+from sparktally.sources.readers import spread
 
 # Words left out of the sample texts (fixed list).
 STOP_WORDS = [
@@ -19,6 +20,9 @@ STOP_WORDS = [
     "in the",
 ]
 
+# Review scores as they are typed in, by the last digit of an event's number.
+SCORE_TEXTS = [None, "", "abc", "4.7", "0", "6", " 5 ", "3", "4", "5"]
+
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
@@ -61,20 +65,25 @@ def occupations(spark: SparkSession, folder: str) -> DataFrame:
         F.col("n_nationkey").alias("occupation_id"), F.col("n_name").alias("occupation"))
 
 
-def reviews(spark: SparkSession, folder: str) -> DataFrame:
+def _documents(spark: SparkSession, folder: str, for_words: bool) -> DataFrame:
+    documents = table(spark, folder, "documents")
+    return spread(documents, "doc_id") if for_words else documents
+
+
+def reviews(spark: SparkSession, folder: str, for_words: bool = False) -> DataFrame:
     """Documents as reviews; the label gives the sentiment, null without one."""
     labels = table(spark, folder, "labels")
     sentiment = (F.when(F.col("toxic") == 1, "negative").when(F.col("quality") == 1, "positive")
                  .when(F.col("quality") == 0, "neutral"))
-    return (table(spark, folder, "documents").join(labels, "doc_id", "left")
+    return (_documents(spark, folder, for_words).join(labels, "doc_id", "left")
             .select(F.col("doc_id").alias("id"), F.col("text").alias("review"),
                     F.col("source").alias("category"), F.col("lang").alias("aspect"),
                     sentiment.alias("sentiment")))
 
 
-def reviews_unlabelled(spark: SparkSession, folder: str) -> DataFrame:
+def reviews_unlabelled(spark: SparkSession, folder: str, for_words: bool = False) -> DataFrame:
     """Reviews without the sentiment, where an analysis does not look at it."""
-    return table(spark, folder, "documents").select(
+    return _documents(spark, folder, for_words).select(
         F.col("doc_id").alias("id"), F.col("text").alias("review"),
         F.col("source").alias("category"), F.col("lang").alias("aspect"))
 
@@ -113,16 +122,13 @@ def products(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _event_number():
-    return F.get_json_object("props", "$.k").cast("int")
+    return F.regexp_extract("props", r'"k": *(\d+)', 1).cast("int")
 
 
 def order_reviews(spark: SparkSession, folder: str) -> DataFrame:
     """Two events per order; a fixed share of the score texts is dirty."""
-    k = F.col("_k")
-    score = (F.when(k % 10 == 0, F.lit(None).cast("string")).when(k % 10 == 1, "")
-             .when(k % 10 == 2, "abc").when(k % 10 == 3, "4.7").when(k % 10 == 4, "0")
-             .when(k % 10 == 5, "6").when(k % 10 == 6, " 5 ")
-             .otherwise((k % 5 + 1).cast("string")))
+    texts = F.array(*[F.lit(text).cast("string") for text in SCORE_TEXTS])
+    score = F.element_at(texts, F.col("_k") % 10 + 1)
     return (table(spark, folder, "events").select("event_id", _event_number().alias("_k"))
             .select(F.expr("event_id div 2").alias("order_id"), score.alias("score")))
 
@@ -151,10 +157,14 @@ def detections(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def detection_stream(spark: SparkSession, folder: str) -> DataFrame:
-    schema = table(spark, folder, "events").schema
-    stream = (spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet")
-              .parquet(folder))
-    return detection_records(stream)
+    """The events as a stream; the table is one file or a folder of files."""
+    name = "events.parquet"
+    batch = table(spark, folder, "events")
+    reader = spark.readStream.schema(batch.schema)
+    first = batch.select("_metadata.file_name").first()
+    if first is not None and first.file_name == name:
+        return detection_records(reader.option("pathGlobFilter", name).parquet(folder))
+    return detection_records(reader.parquet(f"{folder}/{name}"))
 
 
 def frames(spark: SparkSession, folder: str) -> DataFrame:
