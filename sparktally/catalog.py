@@ -7,12 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from sparktally import schemas
-from sparktally.functions.parsing import AGE_BANDS_WIDE, epoch_year
-from sparktally.operators.ranking import global_rank
+from sparktally.functions.parsing import AGE_BANDS_FINE, AGE_BANDS_WIDE, band, epoch_year
+from sparktally.operators import ranking
+from sparktally.operators.joins import lookup
 from sparktally.operators.terms import words_of
 from sparktally.plans import commerce, frames, movies, reviews
 from sparktally.session import scratch_path
 from sparktally.sources import readers, sample_tables as t, sinks
+from sparktally.sources.readers import frame_paths as frame_listing
 from sparktally.streaming import pipeline
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -143,6 +145,21 @@ def movies_text_round_trip(spark, folder):
     return read
 
 
+@query
+def users_text_round_trip(spark, folder):
+    """Users and occupations as text, some ages unreadable, read back and banded."""
+    base = scratch_path(spark, "users")
+    users, jobs = t.users(spark, folder), t.occupations(spark, folder)
+    age = F.when(F.col("user_id") % 31 == 0, "unknown").otherwise(F.col("age").cast("string"))
+    line = F.concat_ws(", ", "user_id", "gender", age, "occupation_id", F.lit("12345"))
+    sinks.write_lines(sinks.render_lines(users, line), f"{base}/users")
+    sinks.write_lines(sinks.render_lines(jobs, F.concat_ws(",", "occupation_id", "occupation")), f"{base}/jobs")
+    read = lookup(readers.read_users(spark, f"{base}/users"),
+                  readers.read_occupations(spark, f"{base}/jobs"), "occupation_id")
+    return (read.groupBy("occupation", band(F.col("age"), AGE_BANDS_FINE).alias("band"))
+            .agg(F.count(F.lit(1)).alias("n_users")))
+
+
 # ---- reviews -------------------------------------------------------------
 
 @query
@@ -162,6 +179,17 @@ def frequent_words_beyond_list(spark, folder):
     return reviews.frequent_words(t.reviews_unlabelled(spark, folder, True), listed, threshold=20)
 
 
+@query
+def clean_tokens_word_file(spark, folder):
+    """Stop-words from a text file, kept words counted by review category."""
+    path = scratch_path(spark, "words")
+    listed = words_of(t.table(spark, folder, "benchmark"), "text", [], [])
+    sinks.write_lines(sinks.render_lines(listed, F.col("word")), path)
+    stop = readers.read_wordlist(spark, path)
+    words = words_of(t.reviews_unlabelled(spark, folder, True), "review", ["category"], stop)
+    return words.groupBy("category").agg(F.count("word").alias("n_words"))
+
+
 @query
 def reviews_by_category(spark, folder):
     return reviews.reviews_by_category(t.reviews_unlabelled(spark, folder))
@@ -316,10 +344,10 @@ def seller_ranking_all(spark, folder):
 
 
 @query
-def order_value_rank(spark, folder):
-    """rank() of every order by its number of items: few values, many ties."""
+def global_rank(spark, folder):
+    """rank() over a whole table with few values and many ties: orders by number of items."""
     sizes = t.items(spark, folder).groupBy("order_id").agg(F.count(F.lit(1)).alias("n_items"))
-    return global_rank(sizes, "n_items", "rank_by_items")
+    return ranking.global_rank(sizes, "n_items", "rank_by_items")
 
 
 @query
@@ -341,6 +369,11 @@ def customer_segments(spark, folder):
 
 # ---- frames --------------------------------------------------------------
 
+@query
+def frame_paths(spark, folder):
+    return frame_listing(t.frames(spark, folder))
+
+
 @query
 def frames_to_messages(spark, folder):
     files = t.frames(spark, folder)

@@ -245,6 +245,13 @@ UNION ALL SELECT 'three_way', movie_id, title,
        CASE WHEN comma THEN 'The, ' || genres ELSE genres END FROM lines
 UNION ALL SELECT 'last_comma', movie_id, full_title, genres FROM lines
 UNION ALL SELECT 'csv', movie_id, full_title, genres FROM lines""",
+    "users_text_round_trip": _with(USERS) + """, aged AS (
+SELECT occupation_id, CASE WHEN user_id % 31 <> 0 THEN age END AS age FROM users)
+SELECT n_name AS occupation,
+       CASE WHEN age IS NULL THEN NULL WHEN age < 18 THEN 'Under18' WHEN age <= 25 THEN '18-25'
+            WHEN age <= 35 THEN '26-35' WHEN age <= 45 THEN '36-45' WHEN age <= 50 THEN '46-50'
+            ELSE '50+' END AS band, count(*) AS n_users
+FROM aged JOIN nation ON occupation_id = n_nationkey GROUP BY 1, 2""",
     "clean_review_tokens": _with(REVIEWS, WORDS) + """
 SELECT id AS review_id, word FROM words""",
     "frequent_words": _with(REVIEWS, WORDS) + """
@@ -256,6 +263,13 @@ words AS (
   SELECT unnest(regexp_split_to_array(lower(text), '[ \t\r\n",()*]+')) AS word FROM documents)
 SELECT word, count(*) AS freq FROM words
 WHERE word <> '' AND word NOT IN (SELECT word FROM listed) GROUP BY word HAVING count(*) > 20""",
+    "clean_tokens_word_file": """
+WITH listed AS (
+  SELECT DISTINCT unnest(regexp_split_to_array(lower(text), '[ \t\r\n",()*]+')) AS word FROM benchmark),
+words AS (
+  SELECT source, unnest(regexp_split_to_array(lower(text), '[ \t\r\n",()*]+')) AS word FROM documents)
+SELECT source AS category, count(*) AS n_words FROM words
+WHERE word <> '' AND word NOT IN (SELECT word FROM listed) GROUP BY source""",
     "reviews_by_category": "SELECT source AS category, count(doc_id) AS n FROM documents GROUP BY source",
     "reviews_by_aspect": "SELECT lang AS aspect, count(DISTINCT doc_id) AS n FROM documents GROUP BY lang",
     "aspect_sentiment_ranking": _ASPECTS,
@@ -322,7 +336,7 @@ WHERE year(o_orderdate) = 1998 GROUP BY category""",
     "best_seller_true": _product_sales(False) + _BEST,
     "seller_ranking": _SELLERS + " ORDER BY cents DESC, seller_id LIMIT 20",
     "seller_ranking_all": _SELLERS,
-    "order_value_rank": """
+    "global_rank": """
 SELECT l_orderkey AS order_id, count(*) AS n_items,
        rank() OVER (ORDER BY count(*) DESC) AS rank_by_items
 FROM lineitem GROUP BY l_orderkey""",
@@ -348,6 +362,9 @@ SELECT CAST(CASE WHEN n_orders <= 8 THEN 0 WHEN n_orders <= 12 THEN 1 ELSE 2 END
                  WHEN n_orders / CAST(months AS DOUBLE) <= CAST(0.16 AS DOUBLE) THEN 1 ELSE 2 END AS INTEGER) AS frequency_level,
        count(*) AS n_customers, avg(n_orders) AS avg_orders
 FROM profile GROUP BY 1, 2, 3""",
+    "frame_paths": """
+SELECT '/frames/' || page_id ||
+       CASE page_id % 3 WHEN 0 THEN '.JPG' WHEN 1 THEN '.jpeg' ELSE '.png' END AS path FROM pages""",
     "frames_to_messages": """
 WITH files AS (
   SELECT page_id, html, '/frames/' || page_id ||

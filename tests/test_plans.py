@@ -29,7 +29,7 @@ def test_year_filter_and_columns_reach_the_scan(spark, big):
     assert "ReadSchema: struct<l_orderkey:bigint,l_partkey:bigint,l_extendedprice:double,l_tax:double>" in plan
 
 
-@pytest.mark.parametrize("name", ["tfidf_top_words", "seller_ranking", "seller_ranking_all", "order_value_rank"])
+@pytest.mark.parametrize("name", ["tfidf_top_words", "seller_ranking", "seller_ranking_all", "global_rank"])
 def test_branches_share_one_scan(spark, big, name):
     _, seen = ran(spark, name)
     assert seen["FileSourceScanExec"] == 1 and seen["ReusedExchangeExec"] >= 3

@@ -1,0 +1,44 @@
+import pytest
+from pyspark.sql import functions as F
+
+from sparktally import session
+from sparktally.sources.readers import spread
+
+
+class _Session:
+    """Just enough of a session for `scratch_path`."""
+
+    def __init__(self, master, folder=None):
+        self.conf = self
+        self.sparkContext = self
+        self.master, self.folder, self.applicationId = master, folder, "app-1"
+
+    def get(self, key, default=None):
+        return self.folder if key == "spark.checkpoint.dir" else default
+
+
+def test_scratch_is_below_the_shared_folder():
+    named = _Session("yarn", "hdfs:///shared/")
+    first, second = session.scratch_path(named, "x"), session.scratch_path(named, "x")
+    assert first != second and first.startswith("hdfs:///shared/sparktally/app-1/x-")
+
+
+def test_only_a_local_master_may_do_without():
+    assert "/app-1/x-" in session.scratch_path(_Session("local[2]"), "x")
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        session.scratch_path(_Session("yarn"), "x")
+
+
+def test_settings(spark):
+    assert spark.conf.get("spark.sql.session.timeZone") == "UTC"
+    assert spark.conf.get("spark.sql.adaptive.skewJoin.enabled") == "true"
+
+
+def test_spread_leaves_wide_scans_alone(spark, tmp_path):
+    spark.range(0, 1000, 1, 1).write.parquet(str(tmp_path / "one"))
+    spark.range(0, 1000, 1, 64).write.parquet(str(tmp_path / "many"))
+    one = spark.read.parquet(str(tmp_path / "one"))
+    assert spread(one, "id").rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    wide = spark.read.option("x", "y").parquet(str(tmp_path / "many")).repartition(64)
+    assert spread(wide, "id") is wide
+    assert spread(one, "id").agg(F.sum("id")).first()[0] == 499500
