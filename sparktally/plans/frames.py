@@ -13,7 +13,6 @@ import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, functions as F
 
-from sparktally import schemas
 from sparktally.functions.formatting import iso_utc
 
 # A scorer maps image bytes to a list of (class, confidence, (x1, y1, x2, y2)),

@@ -20,8 +20,8 @@ COMMON_CONF = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
-    # Frames are images: bound the Arrow batches by rows as well.
-    "spark.sql.execution.arrow.maxRecordsPerBatch": "256",
+    # Frames are images: Arrow batches are bounded by their bytes.
+    "spark.sql.execution.arrow.maxBytesPerBatch": "64m",
     "spark.ui.enabled": "false",
 }
 

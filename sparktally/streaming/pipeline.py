@@ -103,6 +103,17 @@ def replace_batch(path: str, fmt: str = "parquet") -> Callable[[DataFrame, int],
     return write
 
 
+def _detect_stage(spark, raw_path, result_path, checkpoint, factory, threshold, max_files, **when):
+    raw = read_message_stream(spark, schemas.RAW_FRAME, path=raw_path, max_files=max_files)
+    return write_message_stream(detect_people(raw, factory, threshold), f"{checkpoint}/detect",
+                                path=result_path, **when)
+
+
+def _store_stage(spark, result_path, store_path, checkpoint, max_files, **when):
+    results = read_message_stream(spark, schemas.DETECTION_RECORD, path=result_path, max_files=max_files)
+    return store_detections(results, store_path, f"{checkpoint}/store", **when)
+
+
 def run_pipeline(spark: SparkSession, raw_path: str, result_path: str, store_path: str,
                  checkpoint: str, factory: Callable[[], Scorer],
                  threshold: float = CONFIDENCE, max_files: int | None = None) -> None:
@@ -112,11 +123,20 @@ def run_pipeline(spark: SparkSession, raw_path: str, result_path: str, store_pat
     messages, detection messages -> store.  A second run continues after the
     last committed message.
     """
-    raw = read_message_stream(spark, schemas.RAW_FRAME, path=raw_path, max_files=max_files)
-    detected = detect_people(raw, factory, threshold)
-    write_message_stream(detected, f"{checkpoint}/detect", path=result_path,
-                         available_now=True).awaitTermination()
-    results = read_message_stream(spark, schemas.DETECTION_RECORD, path=result_path,
-                                  max_files=max_files)
-    store_detections(results, store_path, f"{checkpoint}/store",
-                     available_now=True).awaitTermination()
+    _detect_stage(spark, raw_path, result_path, checkpoint, factory, threshold, max_files,
+                  available_now=True).awaitTermination()
+    _store_stage(spark, result_path, store_path, checkpoint, max_files,
+                 available_now=True).awaitTermination()
+
+
+def start_pipeline(spark: SparkSession, raw_path: str, result_path: str, store_path: str,
+                   checkpoint: str, factory: Callable[[], Scorer], threshold: float = CONFIDENCE,
+                   max_files: int | None = None, interval: str = "2 seconds",
+                   ) -> tuple[StreamingQuery, StreamingQuery]:
+    """The same two queries running side by side until the caller stops them."""
+    # The second stage watches the result folder, which must exist by then.
+    spark.createDataFrame([], "value string").write.mode("append").text(result_path)
+    detect = _detect_stage(spark, raw_path, result_path, checkpoint, factory, threshold, max_files,
+                           interval=interval)
+    store = _store_stage(spark, result_path, store_path, checkpoint, max_files, interval=interval)
+    return detect, store

@@ -1,6 +1,5 @@
 import datetime as dt
 import random
-from collections import defaultdict
 
 import pytest
 from conftest import rows

@@ -117,6 +117,21 @@ def test_pipeline_restarts_without_repeats(spark, tmp_path):
     assert readers.read_detections(spark, store).count() == 4
 
 
+def test_stages_run_side_by_side(spark, tmp_path):
+    raw, results, store, check = (str(tmp_path / n) for n in ("raw", "results", "store", "check"))
+    put_messages(spark, messages(spark), raw)
+    queries = p.start_pipeline(spark, raw, results, store, check, scorers.scripted, interval="0 seconds")
+    try:
+        for _ in range(2):
+            for query in queries:
+                query.processAllAvailable()
+            assert readers.read_detections(spark, store).count() == (3 if _ == 0 else 5)
+            put_messages(spark, messages(spark).where("frame_id in ('f1', 'f2', 'f4')"), raw)
+    finally:
+        for query in queries:
+            query.stop()
+
+
 def records(spark, n, camera="cam1", start="2026-01-01 00:00:00", prefix="r"):
     return spark.range(n).select(
         F.concat(F.lit(prefix), F.col("id").cast("string")).alias("frame_id"), F.lit(camera).alias("camera_id"),

@@ -1,7 +1,4 @@
-import math
-
 import pytest
-from conftest import rows
 from pyspark.sql import functions as F
 
 from sparktally.functions import formatting, parsing

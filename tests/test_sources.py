@@ -4,7 +4,6 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sparktally import schemas
 from sparktally.sources import readers, sinks
 
 
