@@ -7,7 +7,9 @@ that sort.
 from __future__ import annotations
 
 import hashlib
+import sys
 from collections.abc import Callable, Iterator
+from types import ModuleType
 
 import pyarrow as pa
 from pyspark import cloudpickle
@@ -23,14 +25,16 @@ Scorer = Callable[[bytes], "list[Box] | None"]
 PERSON = "person"
 CONFIDENCE = 0.4
 
-# Models of this Python worker by key; a reused worker loads each one once.
-_loaded: dict[str, Scorer] = {}
-
-
 def _scorer(factory: Callable[[], Scorer], key: str) -> Scorer:
-    if key not in _loaded:
-        _loaded[key] = factory()
-    return _loaded[key]
+    """The model of this Python worker; a reused worker loads each one once.
+
+    Models are kept with the interpreter, as this module itself may be
+    shipped to the worker anew with every task.
+    """
+    models = vars(sys.modules.setdefault("_sparktally_models", ModuleType("_sparktally_models")))
+    if key not in models:
+        models[key] = factory()
+    return models[key]
 
 
 def frame_id(*parts: Column) -> Column:
