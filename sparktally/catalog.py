@@ -441,7 +441,7 @@ def people_per_window_stream(spark, folder):
 
 
 @query
-def frame_pipeline(spark, folder):
+def frames_to_store(spark, folder):
     """Messages to a folder, detection to a second one, a parquet store, read back."""
     base = scratch_path(spark, "frames")
     sinks.write_lines(pipeline.to_messages(t.raw_messages(spark, folder)), f"{base}/raw")

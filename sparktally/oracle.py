@@ -377,7 +377,7 @@ SELECT h[1:8] || '-' || h[9:12] || '-' || h[13:16] || '-' || h[17:20] || '-' ||
        to_base64(encode(html)) AS image_data
 FROM digests""",
     "detect_people": SCORED_BOXES,
-    "frame_pipeline": SCORED_BOXES,
+    "frames_to_store": SCORED_BOXES,
     "latest_detections": _with(DETECTIONS) + """
 SELECT CAST(event_id AS VARCHAR) AS frame_id, camera_id, iso AS timestamp, person_count FROM records""",
     "detection_boxes": _DETECTION_BOXES,
