@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from sparktally import catalog
-from sparktally.operators import aggregates, joins, terms
+from sparktally.operators import aggregates, joins, ranking, terms
 from sparktally.plans import commerce, movies
 
 FOLDER = "/root/testdata/sf0.001"
@@ -125,6 +125,19 @@ def test_hot_word_is_split_in_tfidf(spark, small_partitions, tmp_path):
     assert plans.executed(summed)["skew"] >= 1
 
 
+def test_hot_value_is_split_when_ranks_are_attached(spark, small_partitions, tmp_path):
+    rows = _hot(spark, str(tmp_path / "r"))
+    ranked = ranking.global_rank(rows, "user_id", "rk", buckets=16)
+    seen = ranked.groupBy("rk").agg(F.count("note").alias("n"), F.min("user_id").alias("v"))
+    got = sorted((r.rk, r.n, r.v) for r in seen.collect())
+    assert plans.executed(seen)["skew"] >= 1
+    above, want = 0, []
+    for r in rows.groupBy("user_id").count().orderBy(F.desc("user_id")).collect():
+        want.append((above + 1, r["count"], r.user_id))
+        above += r["count"]
+    assert got == want
+
+
 def test_hot_key_leaves_each_task_as_one_row(spark, big):
     """A mean by a key that holds all rows shuffles one partial row per map task."""
     df = aggregates.mean_count(spark.range(0, 100_000, 1, 8).select(F.lit(1).alias("k"), F.col("id").cast("double").alias("v")), ["k"], "v")
