@@ -6,9 +6,10 @@ import compare
 import pytest
 
 import __spark_entry__ as entry
+from sparktally import catalog, oracle
 
 FOLDER = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
-QUERIES, SQL = entry.queries(), entry.oracle_sql()
+QUERIES, SQL = catalog.QUERIES, oracle.ORACLE
 
 
 @pytest.fixture(scope="module")
@@ -18,6 +19,7 @@ def con():
 
 def test_every_query_has_a_twin():
     assert set(QUERIES) == set(SQL)
+    assert set(QUERIES) <= set(entry.queries())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
