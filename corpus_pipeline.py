@@ -6,11 +6,28 @@ Parquet and read again as the next stage's `docs`.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark import cloudpickle
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from sparktally.llm import mixing, simhash_tree
+import sparktally
+from sparktally.llm import line_runs, mixing, pieces, simhash_tree, toxicity
 from sparktally.session import scratch_path
 
+# Executors need not have the package installed.
+cloudpickle.register_pickle_by_value(sparktally)
+
+
+def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the lexicon learned from the labels scores below one half."""
+    return toxicity.reject_toxic(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document, without the lines that an earlier document holds; n_chars counts what is left."""
+    kept = line_runs.dedup_lines(docs)
+    kept = kept.withColumn("n_chars", F.when(F.col("n_dropped") > 0, F.length("text")).otherwise(F.col("n_chars")))
+    return kept.select(*docs.columns)
+
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document stays of each group linked within 2 bits over 3-word shingles."""
@@ -22,7 +39,13 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return mixing.mix(docs)
 
 
-STAGES = [("simhash_near_dedup", near_duplicates), ("mixing", mix)]
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """doc_id, n_tokens and ids of every document of the mix, repeats included."""
+    return pieces.encode(docs)
+
+
+STAGES = [("toxicity", reject_toxic), ("line_dedup", dedup_lines), ("simhash_near_dedup", near_duplicates),
+          ("mixing", mix), ("sentencepiece", encode)]
 
 #: No SQL: XXH64 fingerprints and the tokenizer are not expressible.
 ORACLE_SQL = None

@@ -69,3 +69,9 @@ def positions(rows: DataFrame, group: list[str], cell: str, tie: str, last: list
     return (rows.join(blocks, [*keys, "_block"])
             .withColumn("position", F.col("_before") + number - 1)
             .drop("_block", "_before"))
+
+
+def discard(spark, path: str) -> None:
+    """Delete a scratch folder written by an operator."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop, True)

@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from sparktally.llm import hilbert, mixing, simhash_tree
+from sparktally.llm import (anchors, digest, hilbert, html_cut, line_runs, mixing, multi_index, pieces, simhash_tree,
+                            toxicity)
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -70,6 +71,12 @@ SELECT doc_id, size, source_size, target, copies * size AS taken, copies FROM dr
 """
 
 
+@query
+def op2_multi_index_neighbours(spark, folder):
+    table = spark.read.parquet(f"{folder}/embeddings.parquet")
+    return multi_index.nearest(table, F.col("vec_id") % 50 == 0, k=5)
+
+
 @query
 def op3_shard_hilbert(spark, folder):
     sharded = hilbert.shard_by_hilbert(_documents(spark, folder), shards=24)
@@ -77,6 +84,66 @@ def op3_shard_hilbert(spark, folder):
                           F.lit(None).cast("int").alias("grown_shard"), "curve")
 
 
+@query
+def op4_dedup_lines(spark, folder):
+    kept = line_runs.dedup_lines(_documents(spark, folder))
+    return kept.select("doc_id", "n_lines", "n_dropped",
+                       F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+
+
+ORACLE["op4_dedup_lines"] = r"""
+WITH lines AS (
+  SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+         generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS place
+  FROM documents),
+keyed AS (
+  SELECT *, translate(trim(line, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+                      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+  FROM lines),
+owners AS (
+  SELECT key, min(doc_id) AS owner FROM keyed WHERE length(key) >= 10
+  GROUP BY key HAVING count(DISTINCT doc_id) >= 2),
+marked AS (
+  SELECT k.*, o.owner IS NOT NULL AND o.owner <> k.doc_id AS gone FROM keyed k LEFT JOIN owners o USING (key))
+SELECT doc_id, count(*)::BIGINT AS n_lines, count(*) FILTER (WHERE gone)::BIGINT AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY place) FILTER (WHERE NOT gone), '')) AS kept_sha256
+FROM marked GROUP BY doc_id
+"""
+
+
+@query
+def op5_main_text(spark, folder):
+    return html_cut.extract(spark.read.parquet(f"{folder}/pages.parquet"))
+
+
+@query
+def op6_sentencepiece_encode(spark, folder):
+    return pieces.encode(_documents(spark, folder), check=True)
+
+
+@query
+def op7_toxicity(spark, folder):
+    docs = _documents(spark, folder)
+    lexicon = toxicity.learn(docs, spark.read.parquet(f"{folder}/labels.parquet"))
+    return toxicity.score(docs, lexicon).select(
+        "doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score", "predicted", "hits")
+
+
+@query
+def op8_quartile_digest(spark, folder):
+    return digest.with_next(_documents(spark, folder))
+
+
+@query
+def op9_personal_data(spark, folder):
+    found = anchors.find_personal_data(_documents(spark, folder))
+    spans = F.col("spans")
+    return found.select(
+        "doc_id", *[anchors.count_kind(spans, k).alias(f"n_{k}") for k in anchors.BASE],
+        F.sha2(anchors.spans_text(anchors.base_spans(spans)), 256).alias("base_sha256"),
+        anchors.spans_text(spans).alias("spans"))
+
+
 @query
 def op10_simhash_components(spark, folder):
     found = simhash_tree.near_duplicates(_documents(spark, folder), shingle=3, max_bits=2)
