@@ -94,7 +94,9 @@ def _blocks(docs: DataFrame, column: str) -> tuple[DataFrame, list]:
     n = max(1, min(MOST_BLOCKS, -(-count // BLOCK_ROWS)))
     shares = [i / n for i in range(1, n)]
     cuts = ids.agg(F.percentile_approx("id", shares, 10 * MOST_BLOCKS)).first()[0] if shares else []
-    splits = [-float("inf"), *sorted({float(c) for c in cuts or []}), float("inf")]
+    # A Bucketizer wants one inner split at least: one that no id lies below.
+    inner = sorted({float(c) for c in cuts or []}) or [-float(1 << 63)]
+    splits = [-float("inf"), *inner, float("inf")]
     cut = Bucketizer(splits=splits, inputCol="_as_double", outputCol="_cut", handleInvalid="keep")
 
     def dealt(df: DataFrame) -> DataFrame:

@@ -195,7 +195,7 @@ def nearest(table: DataFrame, is_query: Column, k: int = 5, within: float = WITH
     codes = learn(seen if len(seen) else np.ones((1, lengths["n"])), k, within)
     found = settle(_search(index, asked, codes, codes.radius, k, blocks, chunks))
     enough = found.groupBy("query_id").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= min(k, n - 1))
-    lacking = asked.join(enough, "query_id", "left_anti")
+    lacking = settle(asked.join(enough, "query_id", "left_anti"))
     more = _search(index, lacking, codes, BITS, k, blocks, chunks)
     best = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     return (found.unionAll(more).distinct().withColumn("rank", best).where(F.col("rank") <= k)

@@ -18,6 +18,8 @@ from sparktally.llm.common import settle
 TRAINING_ROWS = 8_000
 #: Lengths of the word beginnings that can become terms, besides whole words.
 STEMS = range(3, 11)
+#: How far above the chance of so many candidates a term's log-likelihood ratio must lie.
+MARGIN = 8.0
 #: Terms kept in a lexicon.
 TERMS = 400
 #: Phrases in which a term does no harm.
@@ -132,71 +134,81 @@ def held_out(doc_id: Column) -> Column:
 def training_rows(docs: DataFrame, labels: DataFrame, most: int = TRAINING_ROWS) -> DataFrame:
     """text and toxic of labelled rows outside the held-out fold, about `most` at most.
 
-    Ids and labels are joined first, so only chosen texts travel.
+    Ids and labels are joined first, so only chosen texts travel.  Copies and
+    near copies, told by the three smallest hashes of their long words, are taken
+    once: a text that is repeated a thousand times says no more than one.
     """
     known = (labels.where("toxic in (0, 1) and doc_id is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
              .where(~held_out(F.col("doc_id"))))
     known = settle(known)
     keep = max(1, -(-known.count() // most))
     chosen = known.where(F.pmod(F.xxhash64("doc_id"), F.lit(keep)) == 0)
-    rows = docs.select(F.col("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    return settle(rows.join(chosen, "doc_id").select("text", "toxic"))
+    rows = docs.select(F.col("doc_id"), F.coalesce("text", F.lit("")).alias("text")).join(chosen, "doc_id")
+    long_words = F.regexp_extract_all(F.lower("text"), F.lit(r"\p{L}{9,}"), F.lit(0))
+    hashes = F.slice(F.array_sort(F.transform(F.array_distinct(long_words), lambda w: F.xxhash64(w))), 1, 3)
+    sign = F.when(F.size(hashes) == 3, F.xxhash64(hashes)).otherwise(F.xxhash64("text"))
+    rows = settle(rows.select("doc_id", "text", F.col("toxic").cast("int").alias("toxic"), sign.alias("sign")))
+    once = rows.groupBy("sign", "toxic").agg(F.min("doc_id").alias("doc_id"))
+    return settle(rows.join(once, ["doc_id", "sign", "toxic"], "left_semi").select("text", "toxic"))
 
 
-def _terms(text: str) -> set[str]:
+def _terms(text: str) -> Counter:
+    """In how many distinct words of the text each term is: whole words and beginnings of words."""
     words = set(_TOKEN.findall(fold(text)))
-    terms = {w + "$" for w in words if len(w) > 2}
+    terms = Counter(w + "$" for w in words if len(w) > 2)
     for n in STEMS:
         terms.update(w[:n] for w in words if len(w) >= n)
     return terms
 
 
 def _count_terms(batches):
+    """(term, documents and distinct words with it in toxic and in clean texts); "" counts all words."""
     for batch in batches:
-        toxic, every = Counter(), Counter()
+        documents, words = (Counter(), Counter()), (Counter(), Counter())
         for text, label in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
             terms = _terms(text)
-            every.update(terms)
-            if label:
-                toxic.update(terms)
-        if every:
-            names = list(every)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(names), pa.array([toxic[n] for n in names], pa.int64()),
-                 pa.array([every[n] for n in names], pa.int64())], names=["term", "toxic", "rows"])
+            documents[label].update(terms.keys())
+            words[label].update(terms)
+            words[label][""] += sum(n for t, n in terms.items() if t[-1] == "$")
+        names = list(words[0] | words[1])
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(names, pa.string()), *[pa.array([c[n] for n in names], pa.int64())
+                                             for c in (documents[1], words[1], documents[0], words[0])]],
+            names=["term", "dt", "wt", "dc", "wc"])
 
 
 def learn(docs: DataFrame, labels: DataFrame, most: int = TRAINING_ROWS, terms: int = TERMS,
           exceptions: tuple[str, ...] = EXCEPTIONS) -> Lexicon:
     """A lexicon from the labelled rows outside the held-out fold.
 
-    Whole words and beginnings of words are counted by documents.  One
-    that toxic documents have more often than chance allows, among so many
-    candidates, is a term; its weight is the log ratio of its shares.  Of
-    terms that begin alike the most telling one is kept.  A phrase of a term
-    and its neighbour that only clean documents have, twice or more, is an exception.
+    Whole words and beginnings of words are counted by the distinct words of
+    documents that have them.  One that toxic documents have more often than
+    chance allows, among so many candidates, and three of them at least, is a
+    term; its weight is the log ratio of its shares.  Of terms that begin
+    alike the most telling one is kept.  A phrase of a term and its
+    neighbour that only clean documents have, twice or more, is an exception.
+    Without labels of both kinds the lexicon is empty and no text is toxic.
     """
     rows = training_rows(docs, labels, most)
     n_toxic, n = rows.agg(F.sum("toxic"), F.count(F.lit(1))).first()
-    n_toxic = n_toxic or 0
-    if not 0 < n_toxic < n:
+    if not 0 < (n_toxic or 0) < n:
         return Lexicon(exceptions=exceptions)
-    counts = rows.mapInArrow(_count_terms, "term string, toxic long, rows long")
-    counts = settle(counts.groupBy("term").agg(F.sum("toxic").alias("t"), F.sum("rows").alias("n")).where("n >= 3"))
+    counts = rows.mapInArrow(_count_terms, "term string, dt long, wt long, dc long, wc long").groupBy("term").agg(
+        *[F.sum(c).alias(c) for c in ("dt", "wt", "dc", "wc")])
+    counts = settle(counts.where("dt + dc >= 3 or term = ''"))
+    every = counts.where("term = ''").first()
     candidates = counts.count()
-    # Log-likelihood ratio of "as often in toxic documents as elsewhere".
-    clean = n - n_toxic
-    t, c = F.col("t"), F.col("n") - F.col("t")
+    # Log-likelihood ratio of "as often among the words of toxic texts as among all".
+    share = every.wt / max(1, every.wt + every.wc)
 
     def part(seen: Column, expected: Column) -> Column:
         return F.when(seen > 0, seen * F.log(seen / expected)).otherwise(0.0)
 
-    share_t, share_c = F.lit(n_toxic / n), F.lit(clean / n)
-    rest_t, rest_c, rest = n_toxic - t, clean - c, n - F.col("n")
-    ratio = 2 * (part(t, F.col("n") * share_t) + part(c, F.col("n") * share_c)
-                 + part(rest_t, rest * share_t) + part(rest_c, rest * share_c))
-    bound = 2 * float(np.log(max(candidates, 2)))
-    telling = (counts.withColumn("g", ratio).where((t / n_toxic > 4 * c / clean) & (F.col("g") > bound))
+    both = F.col("wt") + F.col("wc")
+    ratio = 2 * (part(F.col("wt"), both * share) + part(F.col("wc"), both * (1 - share)))
+    bound = 2 * float(np.log(max(candidates, 2))) + MARGIN
+    often = (F.col("dt") >= 3) & (F.col("wt") * every.wc > 4 * F.col("wc") * every.wt)
+    telling = (counts.where("term <> ''").withColumn("g", ratio).where(often & (F.col("g") > bound))
                .orderBy(F.desc("g"), F.desc(F.length("term")), "term").limit(50 * terms))
     kept: dict[str, float] = {}
     heads: set[str] = set()
@@ -204,7 +216,7 @@ def learn(docs: DataFrame, labels: DataFrame, most: int = TRAINING_ROWS, terms:
         word = row.term.rstrip("$")
         if row.term in heads or any(word[:k] in kept for k in range(1, len(word) + 1)) or word + "$" in kept:
             continue
-        kept[row.term] = float(np.log((row.t + 0.5) / (n_toxic + 1)) - np.log((row.n - row.t + 0.5) / (clean + 1)))
+        kept[row.term] = float(np.log((row.wt + 0.5) / (every.wt + 1)) - np.log((row.wc + 0.5) / (every.wc + 1)))
         heads.update(word[:k] for k in range(1, len(word) + 1))
         if len(kept) == terms:
             break
@@ -232,7 +244,7 @@ def _learned_exceptions(rows: DataFrame, lexicon: Lexicon) -> list[str]:
             yield pa.RecordBatch.from_arrays([pa.array(found, pa.string()), pa.array(labels, pa.int32())],
                                              names=["phrase", "toxic"])
 
-    seen = rows.select("text", F.col("toxic").cast("int").alias("toxic")).mapInArrow(phrases, "phrase string, toxic int")
+    seen = rows.mapInArrow(phrases, "phrase string, toxic int")
     clean = (seen.groupBy("phrase").agg(F.sum("toxic").alias("t"), F.count(F.lit(1)).alias("n"))
              .where("t = 0 and n >= 2").orderBy(F.desc("n"), "phrase").limit(1000))
     return [r.phrase for r in clean.collect()]
@@ -254,7 +266,7 @@ def _measured(rows: DataFrame, lexicon: Lexicon, extra: str, kind: str) -> DataF
 
 def _fit(rows: DataFrame, lexicon: Lexicon, rounds: int = 50, ridge: float = 0.05) -> None:
     """Logistic regression of the label on the two sums, over the bounded training rows."""
-    table = _measured(rows.select(F.col("toxic").cast("int").alias("toxic"), "text"), lexicon, "toxic", "int").toArrow()
+    table = _measured(rows, lexicon, "toxic", "int").toArrow()
     y = table.column("toxic").to_numpy().astype(float)
     x = np.column_stack([np.ones(len(y)), table.column("total").to_numpy(), table.column("per_length").to_numpy()])
     beta = np.zeros(3)
