@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from sparktally import schemas
 from sparktally.functions.parsing import AGE_BANDS_FINE, AGE_BANDS_WIDE, band, epoch_year
@@ -26,6 +26,17 @@ def query(fn: Query) -> Query:
     return fn
 
 
+def _in_order(report: DataFrame) -> DataFrame:
+    """A sorted report with the place of each row, so that its order can be compared.
+
+    The place is counted along the rows as the report hands them out.  For
+    results of report size only: they go through one task.
+    """
+    numbered = report.select("*", F.monotonically_increasing_id().alias("_at"))
+    place = F.row_number().over(Window.orderBy("_at"))
+    return numbered.select(*report.columns, place.alias("place"))
+
+
 # ---- movie ratings -------------------------------------------------------
 
 @query
@@ -40,12 +51,12 @@ def top_rated_movie(spark, folder):
 
 @query
 def top_rated_movies(spark, folder):
-    return movies.top_rated_movies(t.movies(spark, folder), t.ratings(spark, folder))
+    return _in_order(movies.top_rated_movies(t.movies(spark, folder), t.ratings(spark, folder)))
 
 
 @query
 def genre_rating_summary(spark, folder):
-    return movies.genre_rating_summary(t.movies(spark, folder), t.ratings(spark, folder), sort="avg")
+    return _in_order(movies.genre_rating_summary(t.movies(spark, folder), t.ratings(spark, folder), sort="avg"))
 
 
 @query
@@ -97,19 +108,16 @@ def yearly_rating_summary(spark, folder):
 
 
 def _rating_files(spark, folder) -> list[str]:
-    """The ratings as two text files, a fixed share of the lines short or bad."""
+    """The ratings as two text files, a fixed share of the lines short, bad or without a rating."""
     lines = t.ratings(spark, folder, True).withColumn("_h", F.col("user_id") + F.col("movie_id"))
-    rating = F.when(F.col("_h") % 97 == 0, "n/a").otherwise(F.col("rating").cast("string"))
+    rating = (F.when(F.col("_h") % 97 == 0, "n/a").when(F.col("_h") % 83 == 0, "")
+              .otherwise(F.col("rating").cast("string")))
     full = F.concat_ws(", ", F.col("user_id"), F.col("movie_id"), rating, F.col("ts"))
     line = F.when(F.col("_h") % 89 == 0, F.col("user_id").cast("string")).otherwise(full)
-    base = scratch_path(spark, "ratings")
-    paths = [f"{base}/1", f"{base}/2"]
-    shared = lines.select(line.alias("line"), (F.col("ts") % (2 * 86400) == 0).alias("even"))
-    sinks.write_outputs(shared, [
-        lambda df: sinks.write_lines(sinks.render_lines(df.where("even"), F.col("line")), paths[0]),
-        lambda df: sinks.write_lines(sinks.render_lines(df.where("not even"), F.col("line")), paths[1]),
-    ])
-    return paths
+    path = scratch_path(spark, "ratings")
+    even = F.col("ts") % (2 * 86400) == 0
+    lines.select(line.alias("value"), even.alias("even")).write.partitionBy("even").text(path)
+    return [f"{path}/even=true", f"{path}/even=false"]
 
 
 @query
@@ -164,19 +172,19 @@ def users_text_round_trip(spark, folder):
 
 @query
 def clean_review_tokens(spark, folder):
-    return reviews.clean_review_tokens(t.reviews_unlabelled(spark, folder, True), t.STOP_WORDS)
+    return reviews.clean_review_tokens(t.reviews_unlabelled(spark, folder), t.STOP_WORDS)
 
 
 @query
 def frequent_words(spark, folder):
-    return reviews.frequent_words(t.reviews_unlabelled(spark, folder, True), t.STOP_WORDS)
+    return reviews.frequent_words(t.reviews_unlabelled(spark, folder), t.STOP_WORDS)
 
 
 @query
 def frequent_words_beyond_list(spark, folder):
     """Stop-words from a table that grows with the data: every word of the benchmark texts."""
     listed = words_of(t.table(spark, folder, "benchmark"), "text", [], []).distinct()
-    return reviews.frequent_words(t.reviews_unlabelled(spark, folder, True), listed, threshold=20)
+    return reviews.frequent_words(t.reviews_unlabelled(spark, folder), listed, threshold=20)
 
 
 @query
@@ -186,7 +194,7 @@ def clean_tokens_word_file(spark, folder):
     listed = words_of(t.table(spark, folder, "benchmark"), "text", [], [])
     sinks.write_lines(sinks.render_lines(listed, F.col("word")), path)
     stop = readers.read_wordlist(spark, path)
-    words = words_of(t.reviews_unlabelled(spark, folder, True), "review", ["category"], stop)
+    words = words_of(t.reviews_unlabelled(spark, folder), "review", ["category"], stop)
     return words.groupBy("category").agg(F.count("word").alias("n_words"))
 
 
@@ -202,7 +210,7 @@ def reviews_by_aspect(spark, folder):
 
 @query
 def aspect_sentiment_ranking(spark, folder):
-    return reviews.aspect_sentiment_ranking(t.reviews(spark, folder))
+    return _in_order(reviews.aspect_sentiment_ranking(t.reviews(spark, folder)))
 
 
 @query
@@ -219,23 +227,23 @@ def _top_words_text(df: DataFrame) -> DataFrame:
 @query
 def top_words_by_category_sentiment(spark, folder):
     return _top_words_text(
-        reviews.top_words_by_category_sentiment(t.reviews(spark, folder, True), t.STOP_WORDS))
+        reviews.top_words_by_category_sentiment(t.reviews(spark, folder), t.STOP_WORDS))
 
 
 @query
 def top_words_by_category(spark, folder):
     return _top_words_text(
-        reviews.top_words_by_category(t.reviews_unlabelled(spark, folder, True), t.STOP_WORDS))
+        reviews.top_words_by_category(t.reviews_unlabelled(spark, folder), t.STOP_WORDS))
 
 
 @query
 def top_words_by_category_aspect_sentiment(spark, folder):
-    return reviews.top_words_by_category_aspect_sentiment(t.reviews(spark, folder, True), t.STOP_WORDS)
+    return reviews.top_words_by_category_aspect_sentiment(t.reviews(spark, folder), t.STOP_WORDS)
 
 
 @query
 def tfidf_top_words(spark, folder):
-    scores = reviews.tfidf_top_words(t.reviews_unlabelled(spark, folder, True), t.STOP_WORDS)
+    scores = reviews.tfidf_top_words(t.reviews_unlabelled(spark, folder), t.STOP_WORDS)
     return scores.withColumn("tf", F.round("tf", 9)).withColumn("tfidf", F.round("tfidf", 9))
 
 
@@ -263,8 +271,8 @@ def sentiment_split_round_trip(spark, folder):
 
 @query
 def dataset_schema_report(spark, folder):
-    names = ["customer", "lineitem", "events", "orders", "part"]
-    return readers.describe_schema({n: t.table(spark, folder, n) for n in names})
+    names = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"]
+    return readers.describe_schema({n: t.table(spark, folder, n) for n in names}, counts=True)
 
 
 @query
@@ -283,17 +291,17 @@ def entity_totals(spark, folder):
 
 @query
 def orders_by_country(spark, folder):
-    return commerce.orders_by_country(t.orders(spark, folder), t.customers(spark, folder))
+    return _in_order(commerce.orders_by_country(t.orders(spark, folder), t.customers(spark, folder)))
 
 
 @query
 def orders_by_month(spark, folder):
-    return commerce.orders_by_month(t.orders(spark, folder))
+    return _in_order(commerce.orders_by_month(t.orders(spark, folder)))
 
 
 @query
 def review_score_distribution(spark, folder):
-    return commerce.review_score_distribution(t.order_reviews(spark, folder))
+    return _in_order(commerce.review_score_distribution(t.order_reviews(spark, folder)))
 
 
 @query
@@ -335,7 +343,7 @@ def best_seller_true(spark, folder):
 
 @query
 def seller_ranking(spark, folder):
-    return commerce.seller_ranking(t.items(spark, folder))
+    return _in_order(commerce.seller_ranking(t.items(spark, folder)))
 
 
 @query
@@ -374,6 +382,26 @@ def frame_paths(spark, folder):
     return frame_listing(t.frames(spark, folder))
 
 
+@query
+def frames_from_files(spark, folder):
+    """Frames written to a folder as files, one each, and read from there at once and as a stream."""
+    base = scratch_path(spark, "files")
+    text = F.translate(F.base64("content"), "\r\n", "")
+    (t.frames(spark, folder).select(text).write.option("maxRecordsPerFile", 1).option("extension", "png")
+     .option("quote", "").csv(f"{base}/frames"))
+    stream = readers.read_frames(spark, f"{base}/frames", streaming=True, max_files=1000)
+    (stream.writeStream.format("parquet").option("path", f"{base}/seen").option("checkpointLocation", f"{base}/check")
+     .trigger(availableNow=True).start().awaitTermination())
+    kinds = {"batch": readers.read_frames(spark, f"{base}/frames"), "stream": spark.read.parquet(f"{base}/seen")}
+    read = None
+    for kind, files in kinds.items():
+        content = F.unbase64(F.rtrim(F.decode("content", "UTF-8"), F.lit("\n")))
+        rows = files.select(F.lit(kind).alias("kind"), F.md5(content).alias("content_md5"),
+                            F.octet_length(content).cast("bigint").alias("length"))
+        read = rows if read is None else read.unionByName(rows)
+    return read
+
+
 @query
 def frames_to_messages(spark, folder):
     files = t.frames(spark, folder)
@@ -387,9 +415,14 @@ def _flat_boxes(records: DataFrame) -> DataFrame:
                         *corners, "confidence")
 
 
+def _records(messages: DataFrame) -> DataFrame:
+    return frames.person_records(t.found_boxes(frames.decoded_messages(messages)))
+
+
 @query
 def detect_people(spark, folder):
-    return _flat_boxes(frames.detect_people(t.raw_messages(spark, folder), t.sample_scorer))
+    """Messages decoded, their boxes filtered and rounded; the model's part is given."""
+    return _flat_boxes(_records(t.raw_messages(spark, folder)))
 
 
 @query
@@ -435,8 +468,8 @@ def people_per_window_stream(spark, folder):
     records = pipeline.without_repeats(t.detection_stream(spark, folder), horizon="10 minutes")
     windows = frames.people_per_window(records, width="1 hour")
     base = scratch_path(spark, "windows")
-    pipeline.store_detections(windows, f"{base}/store", f"{base}/checkpoint",
-                              available_now=True).awaitTermination()
+    pipeline.finish_complete(pipeline.store_detections(windows, f"{base}/store", f"{base}/checkpoint",
+                                                       available_now=True))
     return _window_text(spark.read.schema(windows.schema).parquet(f"{base}/store"))
 
 
@@ -446,5 +479,5 @@ def frames_to_store(spark, folder):
     base = scratch_path(spark, "frames")
     sinks.write_lines(pipeline.to_messages(t.raw_messages(spark, folder)), f"{base}/raw")
     pipeline.run_pipeline(spark, f"{base}/raw", f"{base}/results", f"{base}/store",
-                          f"{base}/checkpoint", t.sample_scorer)
+                          f"{base}/checkpoint", detect=_records)
     return _flat_boxes(readers.read_detections(spark, f"{base}/store"))

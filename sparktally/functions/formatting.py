@@ -15,11 +15,16 @@ def iso_utc(ts: Column) -> Column:
 
     The fraction is written with six digits and left out when it is zero.
     """
-    utc = F.to_utc_timestamp(ts, F.current_timezone())
-    with_fraction = F.date_format(utc, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
-    return F.concat(F.regexp_replace(with_fraction, r"\.000000$", ""), F.lit("+00:00"))
+    micros = F.unix_micros(ts.cast("timestamp"))
+    whole, fraction = F.floor(micros / 1_000_000), F.pmod(micros, F.lit(1_000_000))
+    # A wall clock without a zone: no clock change of the session zone comes in.
+    utc = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz") + F.make_dt_interval(secs=whole)
+    part = F.when(fraction == 0, "").otherwise(F.concat(F.lit("."), F.lpad(fraction.cast("string"), 6, "0")))
+    return F.concat(F.replace(utc.cast("string"), F.lit(" "), F.lit("T")), part, F.lit("+00:00"))
 
 
+# The sentences below are fixed values of the published outputs.
+
 def summary_line(title: Column, mean: Column, n: Column) -> Column:
     """'<title> AverageRating: 4.25 (TotalRatings: 2)'"""
     return F.concat(title, F.lit(" AverageRating: "), fixed(mean),

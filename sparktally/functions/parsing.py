@@ -35,11 +35,11 @@ def safe_double(value: Column) -> Column:
 def safe_int(value: Column) -> Column:
     """Whole part of a decimal text or number, null for anything else.
 
-    '4.7' gives 4, ' 5 ' gives 5; '', 'abc', 'NaN' and out-of-range give null.
+    '4.7' gives 4, ' 5 ' 5, '1e2' 100 and '.5' 0; '', 'abc', 'NaN' and out-of-range give null.
     """
     # The pattern keeps junk away from the cast, which is slow to refuse it.
-    pattern = F.lit(r"^[+-]?\d+(?=(\.\d*)?$)")
-    return F.regexp_substr(F.trim(value.cast("string")), pattern).try_cast("int")
+    pattern = F.lit(r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$")
+    return F.regexp_substr(F.trim(value.cast("string")), pattern).try_cast("double").try_cast("int")
 
 
 def split_multi(value: Column) -> Column:

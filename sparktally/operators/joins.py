@@ -2,8 +2,7 @@
 
 Equi-joins carry no broadcast hint: Spark broadcasts a side whose statistics
 or measured shuffle size are under its threshold, and otherwise sorts and
-merges, with AQE splitting the partitions of hot keys.  A hint is given only
-where a row and byte bound has been checked here.
+merges, with AQE splitting the partitions of hot keys.
 
 AQE splits a hot partition only where both inputs of the join come straight
 from a shuffle.  A side that was just aggregated by the join key comes from
@@ -17,13 +16,6 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-# A side is broadcast only below both bounds.
-MAX_BROADCAST_ROWS = 200_000
-MAX_BROADCAST_BYTES = 16 * 1024 * 1024
-
-# A Python list up to this length becomes a hash-set filter, with no join.
-MAX_INLINE_TERMS = 10_000
-
 
 def unique_dim(dim: DataFrame, key: str) -> DataFrame:
     """One row per key, the smallest of its duplicates.
@@ -64,30 +56,14 @@ def lookup(facts: DataFrame, dim: DataFrame, key: str, how: str = "inner",
     return joined
 
 
-def fits_broadcast(terms: DataFrame, column: str) -> bool:
-    """Whether the word list is below both bounds; one aggregation over the list."""
-    rows, size = terms.agg(
-        F.count(F.lit(1)), F.coalesce(F.sum(F.octet_length(column)), F.lit(0))).first()
-    return rows <= MAX_BROADCAST_ROWS and size <= MAX_BROADCAST_BYTES
-
-
-def exclude_terms(words: DataFrame, column: str,
-                  terms: Sequence[str] | DataFrame) -> DataFrame:
-    """Rows whose word is not in the list.
+def exclude_terms(words: DataFrame, column: str, terms: Sequence[str] | DataFrame) -> DataFrame:
+    """Rows whose word is not in the list; a null word is in no list and stays.
 
-    A short Python list is a filter; a DataFrame (one string column) is an
-    anti join, broadcast when its size is proven small and a shuffle join,
-    with skew splitting, when not.
+    One anti join for a Python list and for a DataFrame of one string column.
+    Nothing is run or measured here: Spark broadcasts a list that is under its
+    threshold, and else splits the partition of a hot word.
     """
     if not isinstance(terms, DataFrame):
-        listed = sorted(set(terms))
-        if len(listed) <= MAX_INLINE_TERMS:
-            return words.where(~F.col(column).isin(listed)) if listed else words
-        terms = words.sparkSession.createDataFrame([(t,) for t in listed], f"{column} string")
-    name = terms.columns[0]
-    listed = terms.select(F.col(name).alias(column)).where(F.col(column).isNotNull())
-    if fits_broadcast(listed, column):
-        listed = F.broadcast(listed)
-    else:
-        listed = own_shuffle(listed, column)
-    return words.join(listed, column, "left_anti")
+        terms = words.sparkSession.createDataFrame([(t,) for t in sorted(set(terms))], f"{column} string")
+    listed = terms.select(F.col(terms.columns[0]).alias(column)).where(F.col(column).isNotNull())
+    return words.join(own_shuffle(listed, column), column, "left_anti")

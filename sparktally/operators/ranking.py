@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window as W, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F
 from pyspark.sql import types as T
 
 from sparktally.session import ensure_checkpoint_dir
@@ -21,15 +21,17 @@ def top_k(df: DataFrame, order: Sequence[Column], k: int | None) -> DataFrame:
 
 def top_k_per_group(df: DataFrame, group: Sequence[str], order: Sequence[Column], k: int,
                     rank_name: str = "rk", spread: str | None = None,
-                    salts: int = 64) -> DataFrame:
+                    salts: int | None = None) -> DataFrame:
     """The first k rows of every group, numbered from 1.
 
     Up to Spark's group-limit threshold each task passes on at most k rows
     per group.  Beyond it, hot groups are first cut to k rows within `salts`
-    sub-groups by a hash of column `spread`; the first k of a group are
-    among the first k of its sub-groups, so the result is exact.
+    sub-groups, as many as shuffle partitions if not given, by a hash of column
+    `spread`; the first k of a group are among the first k of its sub-groups,
+    so the result is exact.
     """
     spark = df.sparkSession
+    salts = salts or shuffle_width(spark)
     threshold = int(spark.conf.get(GROUP_LIMIT_CONF, "1000"))
     if k > threshold and spread is not None:
         part = F.pmod(F.xxhash64(spread), F.lit(salts))
@@ -47,16 +49,22 @@ def nest_top(df: DataFrame, group: Sequence[str], columns: Sequence[str], name:
     return df.groupBy(*group).agg(plain.alias(name))
 
 
-def rank_values(df: DataFrame, value: str, rank_name: str, buckets: int = 256) -> DataFrame:
+def shuffle_width(spark: SparkSession) -> int:
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def rank_values(df: DataFrame, value: str, rank_name: str, buckets: int | None = None) -> DataFrame:
     """(value, rank) for every distinct value, as rank() over value descending.
 
     rank = 1 + rows with a greater value.  Rows are counted per distinct value,
-    the distinct values are cut into ranges by pivots, and a value's rank is
-    the total of the higher ranges plus a running total inside its own, so no
-    task holds more than one range.  The pivots are the values with the
+    the distinct values are cut into ranges by pivots, as many as shuffle
+    partitions if `buckets` is not given, and a value's rank is the total of
+    the higher ranges plus a running total inside its own, so no task holds
+    more than one range.  A value finds its range by binary search.  The pivots are the values with the
     smallest hashes: a sample that is fixed by the data, so that a recomputed
     task sees the same ranges.  Any pivots give exact ranks.
     """
+    buckets = buckets or shuffle_width(df.sparkSession)
     counts = df.groupBy(value).agg(F.count(F.lit(1)).alias("_rows"))
     # Several sampled values per range even out the range sizes.
     per_range = 8
@@ -67,7 +75,10 @@ def rank_values(df: DataFrame, value: str, rank_name: str, buckets: int = 256) -
     # Ranges are numbered from the highest values; null sorts last.  The
     # coalesce tells Spark that a range is never null, so that no null check
     # on it is pushed down to the rows.
-    higher_pivots = F.size(F.filter("_p", lambda p: p > F.col(value)))
+    steps = F.array(*[F.lit(1 << s) for s in reversed(range(buckets.bit_length()))])
+    up_to = F.aggregate(steps, F.lit(0), lambda below, step: F.when(
+        F.get("_p", below + step - 1) <= F.col(value), below + step).otherwise(below))
+    higher_pivots = F.size("_p") - up_to
     ranged = counts.withColumn("_p", pivots.scalar()).withColumn(
         "_range",
         F.coalesce(F.when(F.col(value).isNotNull(), higher_pivots), F.lit(buckets + 1))).drop("_p")
@@ -89,7 +100,7 @@ def attach_rank(df: DataFrame, ranks: DataFrame, value: str) -> DataFrame:
     return df.join(ranks, F.col(value).eqNullSafe(F.col("_value")), "left").drop("_value")
 
 
-def global_rank(df: DataFrame, value: str, rank_name: str, buckets: int = 256) -> DataFrame:
+def global_rank(df: DataFrame, value: str, rank_name: str, buckets: int | None = None) -> DataFrame:
     """`df` with rank() over `value` descending, without a single-task window.
 
     Ranks are matched to rows by value.  A floating sum may differ in its last

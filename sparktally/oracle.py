@@ -7,13 +7,13 @@ from sparktally.sources.sample_tables import STOP_WORDS
 _STOP = ", ".join("('" + w.replace("'", "''") + "')" for w in STOP_WORDS)
 
 MOVIES = """movies AS (
-  SELECT p_partkey AS movie_id, p_name AS title, p_type || '|' || p_brand AS genres FROM part)"""
+  SELECT p_partkey AS movie_id, CASE WHEN p_partkey % 19 = 0 THEN 'Same Title' ELSE p_name END AS title, p_type || '|' || p_brand AS genres FROM part)"""
 RATINGS = """ratings AS (
-  SELECT o_custkey AS user_id, l_partkey AS movie_id, ceil(l_quantity / 5) / 2 AS rating,
+  SELECT o_custkey AS user_id, CASE WHEN l_orderkey % 53 = 0 THEN -l_partkey ELSE l_partkey END AS movie_id, ceil(l_quantity / 5) / 2 AS rating,
          l_shipdate AS day
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey)"""
 LINE_RATINGS = """ratings AS (
-  SELECT l_partkey AS movie_id, ceil(l_quantity / 5) / 2 AS rating, l_shipdate AS day
+  SELECT CASE WHEN l_orderkey % 53 = 0 THEN -l_partkey ELSE l_partkey END AS movie_id, ceil(l_quantity / 5) / 2 AS rating, l_shipdate AS day
   FROM lineitem)"""
 USERS = """users AS (
   SELECT c_custkey AS user_id,
@@ -22,7 +22,7 @@ USERS = """users AS (
          10 + c_custkey % 60 AS age, c_nationkey AS occupation_id
   FROM customer)"""
 REVIEWS = """reviews AS (
-  SELECT d.doc_id AS id, d.text AS review, d.source AS category, d.lang AS aspect,
+  SELECT CASE WHEN d.doc_id % 31 <> 0 THEN d.doc_id END AS id, d.text AS review, d.source AS category, d.lang AS aspect,
          CASE WHEN toxic = 1 THEN 'negative' WHEN quality = 1 THEN 'positive'
               WHEN quality = 0 THEN 'neutral' END AS sentiment
   FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id)"""
@@ -50,12 +50,13 @@ EVENT_NUMBERS = """numbered AS (
   SELECT *, CAST(regexp_extract(props, '"k": *([0-9]+)', 1) AS INTEGER) AS k FROM events)"""
 SCORES = EVENT_NUMBERS + """, texts AS (
   SELECT event_id // 2 AS order_id,
-         CASE k % 10 WHEN 0 THEN NULL WHEN 1 THEN '' WHEN 2 THEN 'abc' WHEN 3 THEN '4.7'
-                     WHEN 4 THEN '0' WHEN 5 THEN '6' WHEN 6 THEN ' 5 '
-                     ELSE CAST(k % 5 + 1 AS VARCHAR) END AS text
+         CASE k % 14 WHEN 0 THEN NULL WHEN 1 THEN '' WHEN 2 THEN 'abc' WHEN 3 THEN '4.7'
+                     WHEN 4 THEN '0' WHEN 5 THEN '6' WHEN 6 THEN ' 5 ' WHEN 7 THEN '3' WHEN 8 THEN '4'
+                     WHEN 9 THEN '5' WHEN 10 THEN '1e2' WHEN 11 THEN '.5' WHEN 12 THEN '99999999999'
+                     ELSE '+2' END AS text
   FROM numbered), scores AS (
   SELECT order_id, text,
-         CAST(trunc(TRY_CAST(trim(text) AS DOUBLE)) AS INTEGER) AS score FROM texts)"""
+         TRY_CAST(trunc(TRY_CAST(trim(text) AS DOUBLE)) AS INTEGER) AS score FROM texts)"""
 DETECTIONS = EVENT_NUMBERS + """, all_boxes AS (
   SELECT event_id, i, k, ((k * i * 7) % 101) / 100.0 AS confidence,
          CASE WHEN (k + i) % 3 = 0 THEN 'car' ELSE 'person' END AS class
@@ -162,6 +163,9 @@ SELECT CAST(r.event_id AS VARCHAR) AS frame_id, camera_id, iso AS timestamp, per
 FROM records r LEFT JOIN boxes b ON r.event_id = b.event_id"""
 
 _SCHEMA_TABLES = {
+    "region": [("r_regionkey", "int"), ("r_name", "string")],
+    "nation": [("n_nationkey", "int"), ("n_name", "string"), ("n_regionkey", "int")],
+    "supplier": [("s_suppkey", "bigint"), ("s_name", "string"), ("s_nationkey", "int"), ("s_acctbal", "double")],
     "customer": [("c_custkey", "bigint"), ("c_name", "string"), ("c_nationkey", "int"),
                  ("c_acctbal", "double"), ("c_mktsegment", "string")],
     "lineitem": [("l_orderkey", "bigint"), ("l_partkey", "bigint"), ("l_suppkey", "bigint"),
@@ -195,11 +199,13 @@ SELECT title, avg(rating) AS avg_rating, count(*) AS n_ratings
 FROM ratings JOIN movies USING (movie_id) GROUP BY movie_id, title
 HAVING count(*) >= 5 ORDER BY avg_rating DESC, title, movie_id LIMIT 1""",
     "top_rated_movies": _with(MOVIES, LINE_RATINGS) + """
-SELECT avg(rating) AS avg_rating, title, count(*) AS n_ratings
+SELECT avg(rating) AS avg_rating, title, count(*) AS n_ratings,
+       CAST(row_number() OVER (ORDER BY avg(rating) DESC, title, movie_id) AS INTEGER) AS place
 FROM ratings JOIN movies USING (movie_id) GROUP BY movie_id, title
 HAVING count(*) >= 5 ORDER BY avg_rating DESC, title, movie_id LIMIT 10""",
     "genre_rating_summary": _with(MOVIES, LINE_RATINGS) + """
-SELECT genre, avg(rating) AS avg_rating, count(*) AS n_ratings
+SELECT genre, avg(rating) AS avg_rating, count(*) AS n_ratings,
+       CAST(row_number() OVER (ORDER BY avg(rating) DESC, genre) AS INTEGER) AS place
 FROM ratings JOIN (SELECT movie_id, unnest(string_split(genres, '|')) AS genre FROM movies) g
 USING (movie_id) GROUP BY genre""",
     "genre_rating_summary_float": _with(MOVIES, LINE_RATINGS) + """
@@ -213,11 +219,11 @@ SELECT title, gender, avg(rating) AS avg_rating
 FROM ratings JOIN users USING (user_id) JOIN movies USING (movie_id)
 GROUP BY movie_id, title, gender""",
     "movie_age_pivot": _with(MOVIES, RATINGS, USERS) + """
-SELECT title, avg(rating) FILTER (age <= 18) AS age_0_18,
+SELECT coalesce(title, CAST(movie_id AS VARCHAR)) AS title, avg(rating) FILTER (age <= 18) AS age_0_18,
        avg(rating) FILTER (age > 18 AND age <= 35) AS age_18_35,
        avg(rating) FILTER (age > 35 AND age <= 50) AS age_35_50,
        avg(rating) FILTER (age > 50) AS age_50_plus
-FROM ratings JOIN users USING (user_id) LEFT JOIN movies USING (movie_id) GROUP BY title""",
+FROM ratings JOIN users USING (user_id) LEFT JOIN movies USING (movie_id) GROUP BY 1""",
     "movie_age_long": _with(MOVIES, RATINGS, USERS) + """, banded AS (
 SELECT movie_id, title, rating,
        CASE WHEN age < 18 THEN 'Under18' WHEN age <= 25 THEN '18-25' WHEN age <= 35 THEN '26-35'
@@ -232,10 +238,12 @@ SELECT CAST(year(day) AS INTEGER) AS year, avg(rating) AS avg_rating, count(*) A
 FROM ratings GROUP BY 1""",
     "ratings_text_round_trip": _with(RATINGS) + """
 SELECT CAST(year(day) AS INTEGER) AS year, count(*) AS n_ratings, sum(rating) AS total
-FROM ratings WHERE (user_id + movie_id) % 97 <> 0 AND (user_id + movie_id) % 89 <> 0 GROUP BY 1""",
+FROM ratings WHERE (user_id + movie_id) % 97 <> 0 AND (user_id + movie_id) % 89 <> 0 AND (user_id + movie_id) % 83 <> 0
+GROUP BY 1""",
     "rating_rejects": _with(RATINGS) + """
 SELECT count(*) AS n_rows, count(*) FILTER ((user_id + movie_id) % 89 = 0) AS n_short,
-       count(*) FILTER ((user_id + movie_id) % 89 <> 0 AND (user_id + movie_id) % 97 = 0) AS n_bad_rating
+       count(*) FILTER ((user_id + movie_id) % 89 <> 0 
+                        AND ((user_id + movie_id) % 97 = 0 OR (user_id + movie_id) % 83 = 0)) AS n_bad_rating
 FROM ratings""",
     "movies_text_round_trip": _with(MOVIES) + """, lines AS (
 SELECT CAST(movie_id AS VARCHAR) AS movie_id, title, genres, movie_id % 5 = 0 AS comma,
@@ -270,9 +278,10 @@ words AS (
   SELECT source, unnest(regexp_split_to_array(lower(text), '[ \t\r\n",()*]+')) AS word FROM documents)
 SELECT source AS category, count(*) AS n_words FROM words
 WHERE word <> '' AND word NOT IN (SELECT word FROM listed) GROUP BY source""",
-    "reviews_by_category": "SELECT source AS category, count(doc_id) AS n FROM documents GROUP BY source",
-    "reviews_by_aspect": "SELECT lang AS aspect, count(DISTINCT doc_id) AS n FROM documents GROUP BY lang",
-    "aspect_sentiment_ranking": _ASPECTS,
+    "reviews_by_category": "SELECT source AS category, count(*) FILTER (doc_id % 31 <> 0) AS n FROM documents GROUP BY source",
+    "reviews_by_aspect": "SELECT lang AS aspect, count(DISTINCT CASE WHEN doc_id % 31 <> 0 THEN doc_id END) AS n FROM documents GROUP BY lang",
+    "aspect_sentiment_ranking": f"""SELECT *, CAST(row_number() OVER (ORDER BY sentiment, n DESC, aspect) AS INTEGER)
+       AS place FROM ({_ASPECTS}) a""",
     "top_aspect_by_sentiment": f"""SELECT aspect, sentiment, n FROM ({_ASPECTS}) c
 QUALIFY row_number() OVER (PARTITION BY sentiment ORDER BY n DESC, aspect) = 1""",
     "sentiment_split_round_trip": _ASPECTS,
@@ -307,17 +316,20 @@ FROM reviews GROUP BY aspect, sentiment""",
     "inferred_csv_round_trip": _ORDERS_BY_MONTH,
     "entity_totals": """
 SELECT (SELECT count(DISTINCT o_orderkey) FROM orders) AS total_orders,
-       (SELECT count(DISTINCT c_custkey) FROM customer WHERE c_custkey % 41 <> 0) AS total_customers,
+       (SELECT count(DISTINCT c_custkey) FROM customer) AS total_customers,
        (SELECT count(DISTINCT l_suppkey) FROM lineitem) AS total_sellers""",
     "orders_by_country": """
-SELECT n_name AS country, count(DISTINCT o_orderkey) AS total_orders
+SELECT n_name AS country, count(DISTINCT o_orderkey) AS total_orders,
+       CAST(row_number() OVER (ORDER BY count(DISTINCT o_orderkey) DESC, n_name NULLS FIRST) AS INTEGER) AS place
 FROM orders LEFT JOIN (
-  SELECT c_custkey, n_name FROM customer JOIN nation ON c_nationkey = n_nationkey
-  WHERE c_custkey % 41 <> 0) c ON o_custkey = c_custkey
+  SELECT c_custkey, CASE WHEN c_custkey % 41 <> 0 THEN n_name END AS n_name
+  FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey) c ON o_custkey = c_custkey
 GROUP BY n_name""",
-    "orders_by_month": _ORDERS_BY_MONTH,
+    "orders_by_month": f"""SELECT *, CAST(row_number() OVER (ORDER BY year, month DESC) AS INTEGER) AS place
+FROM ({_ORDERS_BY_MONTH}) m""",
     "review_score_distribution": _with(SCORES) + """
-SELECT score, count(*) AS total_reviews, avg(score) AS avg_score
+SELECT score, count(*) AS total_reviews, avg(score) AS avg_score,
+       CAST(row_number() OVER (ORDER BY score) AS INTEGER) AS place
 FROM scores WHERE score BETWEEN 1 AND 5 GROUP BY score""",
     "review_overall": _with(SCORES) + """
 SELECT count(*) AS n_rows, count(*) FILTER (score BETWEEN 1 AND 5) AS n_valid,
@@ -334,7 +346,9 @@ WHERE year(o_orderdate) = 1998 GROUP BY category""",
     "product_sales_without_fan_out": _product_sales(False) + _STATS,
     "best_selling_product": _product_sales(True) + _BEST,
     "best_seller_true": _product_sales(False) + _BEST,
-    "seller_ranking": _SELLERS + " ORDER BY cents DESC, seller_id LIMIT 20",
+    "seller_ranking": _SELLERS.replace("FROM totals", """,
+       CAST(row_number() OVER (ORDER BY cents DESC, seller_id) AS INTEGER) AS place
+FROM totals ORDER BY place LIMIT 20"""),
     "seller_ranking_all": _SELLERS,
     "global_rank": """
 SELECT l_orderkey AS order_id, count(*) AS n_items,
@@ -365,6 +379,9 @@ FROM profile GROUP BY 1, 2, 3""",
     "frame_paths": """
 SELECT '/frames/' || page_id ||
        CASE page_id % 3 WHEN 0 THEN '.JPG' WHEN 1 THEN '.jpeg' ELSE '.png' END AS path FROM pages""",
+    "frames_from_files": """
+SELECT kind, md5(html) AS content_md5, CAST(strlen(html) AS BIGINT) AS length
+FROM pages, (VALUES ('batch'), ('stream')) k(kind)""",
     "frames_to_messages": """
 WITH files AS (
   SELECT page_id, html, '/frames/' || page_id ||

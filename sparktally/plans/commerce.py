@@ -12,16 +12,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window as W, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from sparktally.functions.parsing import in_year, safe_int, scaled, unscaled
 from sparktally.operators.aggregates import distinct_total
 from sparktally.operators.joins import lookup
 from sparktally.operators.ranking import attach_rank, rank_values, top_k
 
-# Up to this many sellers a report is ranked after the cut.
-REPORT_LIMIT = 10_000
-
 
 def entity_totals(orders: DataFrame, customers: DataFrame, items: DataFrame,
                   approximate: bool = False) -> DataFrame:
@@ -146,9 +143,7 @@ def seller_totals(items: DataFrame, digits: int = 2) -> DataFrame:
 def seller_ranking(items: DataFrame, k: int | None = 20, digits: int = 2) -> DataFrame:
     """seller_id, total_revenue, total_orders, total_items_sold, rank_by_revenue, rank_by_orders.
 
-    With k, the k sellers of highest revenue; without, all of them.  A report
-    of k rows is cut first: its revenue ranks depend on its own rows only,
-    and its order ranks are looked up among the ranks of all order counts.
+    With k, the k sellers of highest revenue; without, all of them.
     """
     totals = seller_totals(items, digits)
     order = [F.col("revenue_units").desc_nulls_last(), F.asc("seller_id")]
@@ -157,15 +152,9 @@ def seller_ranking(items: DataFrame, k: int | None = 20, digits: int = 2) -> Dat
     ranked_rows = totals.where((F.col("total_items_sold") > 0) | (F.col("total_orders") > 0)
                                | F.col("revenue_units").isNotNull())
     by_orders = rank_values(ranked_rows, "total_orders", "rank_by_orders")
-    if k is not None and k <= REPORT_LIMIT:
-        head = totals.orderBy(*order).limit(k)
-        by_revenue = W.orderBy(F.col("revenue_units").desc_nulls_last())
-        head = head.withColumn("rank_by_revenue", F.rank().over(by_revenue).cast("bigint"))
-        ranked = F.broadcast(head).join(by_orders, "total_orders")
-    else:
-        by_revenue = rank_values(ranked_rows, "revenue_units", "rank_by_revenue")
-        ranked = attach_rank(totals, by_revenue, "revenue_units")
-        ranked = attach_rank(ranked, by_orders, "total_orders")
+    by_revenue = rank_values(ranked_rows, "revenue_units", "rank_by_revenue")
+    ranked = attach_rank(totals, by_revenue, "revenue_units")
+    ranked = attach_rank(ranked, by_orders, "total_orders")
     ranked = top_k(ranked, order, k) if k is not None else ranked.orderBy(*order)
     return ranked.select("seller_id", unscaled(F.col("revenue_units"), digits).alias("total_revenue"),
                          "total_orders", "total_items_sold", "rank_by_revenue", "rank_by_orders")

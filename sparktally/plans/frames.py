@@ -17,22 +17,26 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from sparktally.functions.formatting import iso_utc
 
-# A scorer maps image bytes to a list of (class, confidence, (x1, y1, x2, y2)),
-# or to None when the bytes cannot be decoded.  A factory loads the model.
+# A scorer maps a list of images (their bytes) to one entry per image: a list
+# of (class, confidence, (x1, y1, x2, y2)), or None when the bytes cannot be
+# decoded.  A factory loads the model.
 Box = tuple[str, float, tuple[float, float, float, float]]
-Scorer = Callable[[bytes], "list[Box] | None"]
+Scorer = Callable[[list[bytes]], "list[list[Box] | None]"]
 
 PERSON = "person"
 CONFIDENCE = 0.4
+_BOXES = "array<struct<class:string,confidence:double,bbox:array<double>>>"
+
 
 def _scorer(factory: Callable[[], Scorer], key: str) -> Scorer:
-    """The model of this Python worker; a reused worker loads each one once.
+    """The model of this Python worker; a reused worker loads it once and keeps only the last.
 
-    Models are kept with the interpreter, as this module itself may be
+    The model is kept with the interpreter, as this module itself may be
     shipped to the worker anew with every task.
     """
     models = vars(sys.modules.setdefault("_sparktally_models", ModuleType("_sparktally_models")))
     if key not in models:
+        models.clear()
         models[key] = factory()
     return models[key]
 
@@ -56,55 +60,56 @@ def frames_to_messages(frames: DataFrame, camera_id: str = "cam01",
         F.translate(F.base64("content"), "\r\n", "").alias("image_data"))
 
 
-def _records(factory: Callable[[], Scorer], key: str, threshold: float):
-    """Arrow batches of (frame_id, camera_id, timestamp, payload) to detection records."""
+def _scored(factory: Callable[[], Scorer], key: str):
+    """Arrow batches of (frame_id, camera_id, timestamp, payload) with the boxes found in place of the payload."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         score = _scorer(factory, key)
-        columns = ["frame_id", "camera_id", "timestamp"]
-        box_type = pa.list_(pa.struct([("bbox", pa.list_(pa.float64())),
-                                       ("confidence", pa.float64()), ("class", pa.string())]))
+        box = pa.struct([("class", pa.string()), ("confidence", pa.float64()), ("bbox", pa.list_(pa.float64()))])
         for batch in batches:
-            kept, found = [], []
-            for row, payload in enumerate(batch.column("payload").to_pylist()):
-                boxes = score(payload)
-                if boxes is None:
-                    continue
-                kept.append(row)
-                found.append([
-                    {"bbox": [round(float(x), 2) for x in box],
-                     "confidence": round(float(confidence), 4), "class": name}
-                    for name, confidence, box in boxes
-                    if name == PERSON and confidence >= threshold])
-            rows = batch.take(pa.array(kept, pa.int64()))
-            yield pa.RecordBatch.from_arrays(
-                [rows.column(c) for c in columns] + [pa.array(found, box_type)],
-                names=columns + ["detections"])
+            found = [None if boxes is None else [(c, float(p), [float(x) for x in xy]) for c, p, xy in boxes]
+                     for boxes in score(batch.column("payload").to_pylist())]
+            columns = ["frame_id", "camera_id", "timestamp"]
+            yield pa.RecordBatch.from_arrays([batch.column(c) for c in columns] + [pa.array(found, pa.list_(box))],
+                                             names=[*columns, "boxes"])
     return run
 
 
+def decoded_messages(messages: DataFrame) -> DataFrame:
+    """frame_id, camera_id, timestamp, payload; messages without valid base64 are dropped."""
+    return (messages.select("frame_id", "camera_id", "timestamp",
+                            F.try_to_binary("image_data", F.lit("base64")).alias("payload"))
+            .where(F.col("payload").isNotNull()))
+
+
+def person_records(scored: DataFrame, threshold: float = CONFIDENCE) -> DataFrame:
+    """Detection records of (frame_id, camera_id, timestamp, boxes); frames whose boxes are null are dropped.
+
+    Person boxes at or above the threshold stay, rounded half to even to 2 decimals, confidences to 4.
+    """
+    kept = F.transform(keep_persons(F.col("boxes"), threshold), lambda b: F.struct(
+        F.transform(b["bbox"], lambda x: F.bround(x, 2)).alias("bbox"),
+        F.bround(b["confidence"], 4).alias("confidence"), b["class"].alias("class")))
+    return (scored.where(F.col("boxes").isNotNull())
+            .select("frame_id", "camera_id", "timestamp", kept.alias("detections"))
+            .select("frame_id", "camera_id", "timestamp", F.size("detections").alias("person_count"), "detections"))
+
+
 def detect_people(messages: DataFrame, factory: Callable[[], Scorer],
                   threshold: float = CONFIDENCE, model_key: str | None = None) -> DataFrame:
     """Detection records of raw-frame messages; undecodable frames are dropped.
 
-    The payload is decoded by Spark and scored in Arrow batches, with the
-    model loaded once per Python worker.  `model_key` names the model; by
-    default a digest of the factory does.
+    The payload is decoded by Spark and scored one Arrow batch per call, with
+    the model loaded once per Python worker; all else is done by Spark.
+    `model_key` names the model; by default a digest of the factory does.
     """
     key = model_key or hashlib.sha256(cloudpickle.dumps(factory)).hexdigest()
-    decoded = (messages
-               .select("frame_id", "camera_id", "timestamp",
-                       F.try_to_binary("image_data", F.lit("base64")).alias("payload"))
-               .where(F.col("payload").isNotNull()))
-    scored = decoded.mapInArrow(
-        _records(factory, key, threshold),
-        "frame_id string, camera_id string, timestamp string, "
-        "detections array<struct<bbox:array<double>,confidence:double,class:string>>")
-    return scored.select("frame_id", "camera_id", "timestamp",
-                         F.size("detections").alias("person_count"), "detections")
+    scored = decoded_messages(messages).mapInArrow(
+        _scored(factory, key), f"frame_id string, camera_id string, timestamp string, boxes {_BOXES}")
+    return person_records(scored, threshold)
 
 
 def keep_persons(detections: Column, threshold: float = CONFIDENCE) -> Column:
-    """Person boxes at or above the threshold, for records scored elsewhere."""
+    """Person boxes at or above the threshold."""
     return F.filter(detections, lambda d: (d["class"] == PERSON) & (d["confidence"] >= threshold))
 
 

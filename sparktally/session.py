@@ -25,22 +25,27 @@ COMMON_CONF = {
     "spark.ui.enabled": "false",
 }
 
-# Cluster only: many small shuffle partitions to start from, merged by AQE
-# to the advisory size, so that no partition outgrows an executor.
+# Cluster only: shuffle partitions are merged by AQE to the advisory size.
 CLUSTER_CONF = {
-    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "20000",
     "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     "spark.sql.files.maxPartitionBytes": "256m",
 }
+# Input that a cluster session is laid out for if its size is not named.
+USUAL_INPUT = 1 << 40
+
+
+def shuffle_partitions(input_bytes: int) -> int:
+    """One partition per 128 MB of input, 200 at least; streams keep it as their state's width."""
+    return max(200, -(-input_bytes // (128 << 20)))
 
 
 def build_session(app_name: str = "sparktally", master: str | None = None,
-                  conf: dict[str, str] | None = None) -> SparkSession:
+                  conf: dict[str, str] | None = None, input_bytes: int = USUAL_INPUT) -> SparkSession:
     """Session with the settings above; `conf` wins over them.
 
     With a local master the shuffle width follows the thread count; on a
-    cluster the master comes from spark-submit.
+    cluster it follows `input_bytes`, and the master comes from spark-submit.
     """
     settings = dict(COMMON_CONF)
     builder = SparkSession.builder.appName(app_name)
@@ -50,6 +55,7 @@ def build_session(app_name: str = "sparktally", master: str | None = None,
         settings["spark.sql.shuffle.partitions"] = threads if threads.isdigit() else "8"
     else:
         settings.update(CLUSTER_CONF)
+        settings["spark.sql.shuffle.partitions"] = str(shuffle_partitions(input_bytes))
         if master is not None:
             builder = builder.master(master)
     settings.update(conf or {})
@@ -58,18 +64,42 @@ def build_session(app_name: str = "sparktally", master: str | None = None,
     return builder.getOrCreate()
 
 
-def scratch_path(spark: SparkSession, label: str) -> str:
-    """A fresh path under the shared folder named by spark.checkpoint.dir.
+# Machine-local scratch folders of local sessions, by application.
+_LOCAL_ROOTS: dict[str, str] = {}
 
-    A machine-local folder is used only on a local master that names none.
-    """
+
+def _scratch_root(spark: SparkSession) -> str:
+    app = spark.sparkContext.applicationId
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        root = tempfile.mkdtemp(prefix="sparktally-")
-    app = spark.sparkContext.applicationId
-    return f"{root.rstrip('/')}/sparktally/{app}/{label}-{uuid.uuid4().hex}"
+        if app not in _LOCAL_ROOTS:
+            _LOCAL_ROOTS[app] = tempfile.mkdtemp(prefix="sparktally-")
+        root = _LOCAL_ROOTS[app]
+    return f"{root.rstrip('/')}/sparktally/{app}"
+
+
+def scratch_path(spark: SparkSession, label: str) -> str:
+    """A fresh path under the shared folder named by spark.checkpoint.dir.
+
+    A machine-local folder is used only on a local master that names none.
+    """
+    return f"{_scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Delete a scratch folder; nothing happens if it is gone."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete all that this application has left below its scratch folder.
+
+    For the end of a run: results that were not yet collected read from there.
+    """
+    discard(spark, _scratch_root(spark))
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:

@@ -17,17 +17,6 @@ def _paths(paths: Paths) -> list[str]:
     return [paths] if isinstance(paths, str) else list(paths)
 
 
-def spread(scan: DataFrame, key: str) -> DataFrame:
-    """A scan, rehashed by a unique key where it has fewer partitions than the cluster has cores.
-
-    For a few files that cannot be split, in front of work that is heavy per
-    row.  A large table has more partitions than that and is left alone, so
-    what this shuffles is bounded by cores times the split size.
-    """
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    return scan.repartition(cores, key) if scan.rdd.getNumPartitions() < cores else scan
-
-
 def _positional(spark: SparkSession, paths: Paths, schema: T.StructType) -> DataFrame:
     """Comma-separated fields without quoting; blanks around fields are dropped.
 
@@ -41,37 +30,42 @@ def _positional(spark: SparkSession, paths: Paths, schema: T.StructType) -> Data
             .csv(_paths(paths)))
 
 
+def _rating_lines(spark: SparkSession, paths: Paths) -> DataFrame:
+    """`parts`, the trimmed fields of each line that is not blank; separators decide their number."""
+    line = F.regexp_replace("value", r"\r$", "")
+    return (spark.read.text(_paths(paths)).where(F.trim(line) != "")
+            .select(F.transform(F.split(line, ",", -1), lambda part: F.trim(part)).alias("parts")))
+
+
 def read_ratings(spark: SparkSession, paths: Paths, min_fields: int = 3,
                  on_bad: str = "drop") -> DataFrame:
     """user_id, movie_id, rating DOUBLE, ts BIGINT (epoch seconds).
 
-    Rows with fewer than `min_fields` filled fields are dropped.  A rating
-    that is no number is dropped, kept as null, or fails the job
-    (`on_bad` = drop, null, fail).
+    Lines with fewer than `min_fields` fields are dropped; an empty field is a
+    field.  A rating that is no number, an empty one included, is dropped, kept
+    as null, or fails the job (`on_bad` = drop, null, fail).
     """
-    raw = _positional(spark, paths, schemas.RATING_FIELDS)
-    last = schemas.RATING_FIELDS.fieldNames()[min_fields - 1]
-    raw = raw.where(F.col(last).isNotNull())
+    field = lambda i: F.get("parts", F.lit(i))
+    lines = _rating_lines(spark, paths).where(F.size("parts") >= min_fields)
     if on_bad == "fail":
-        bad = F.concat(F.lit("rating is not a number: "), F.col("rating"))
-        rating = F.coalesce(safe_double(F.col("rating")), F.raise_error(bad).cast("double"))
+        bad = F.concat(F.lit("rating is not a number: "), F.coalesce(field(2), F.lit("")))
+        rating = F.coalesce(safe_double(field(2)), F.raise_error(bad).cast("double"))
     elif on_bad in ("drop", "null"):
-        rating = safe_double(F.col("rating"))
+        rating = safe_double(field(2))
     else:
         raise ValueError(f"unknown on_bad {on_bad!r}")
-    rows = raw.select("user_id", "movie_id", rating.alias("rating"),
-                      F.col("ts").try_cast("bigint").alias("ts"))
+    rows = lines.select(field(0).alias("user_id"), field(1).alias("movie_id"), rating.alias("rating"),
+                        field(3).try_cast("bigint").alias("ts"))
     return rows.where(F.col("rating").isNotNull()) if on_bad == "drop" else rows
 
 
 def rating_rejects(spark: SparkSession, paths: Paths, min_fields: int = 3) -> DataFrame:
     """One row: n_rows, n_short, n_bad_rating of the rating files."""
-    raw = _positional(spark, paths, schemas.RATING_FIELDS)
-    last = F.col(schemas.RATING_FIELDS.fieldNames()[min_fields - 1])
-    return raw.agg(
+    short = F.size("parts") < min_fields
+    return _rating_lines(spark, paths).agg(
         F.count(F.lit(1)).alias("n_rows"),
-        F.count_if(last.isNull()).alias("n_short"),
-        F.count_if(last.isNotNull() & safe_double(F.col("rating")).isNull()).alias("n_bad_rating"))
+        F.count_if(short).alias("n_short"),
+        F.count_if(~short & safe_double(F.get("parts", F.lit(2))).isNull()).alias("n_bad_rating"))
 
 
 def read_users(spark: SparkSession, paths: Paths) -> DataFrame:
@@ -143,34 +137,43 @@ def read_commerce(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
     return tables
 
 
-def describe_schema(tables: dict[str, DataFrame]) -> DataFrame:
-    """table_name, position, column_name, type, n_values (non-null) of every column.
+def describe_schema(tables: dict[str, DataFrame], counts: bool = False) -> DataFrame:
+    """table_name, position, column_name, type of every column, from the schemas alone.
 
-    One scan per table; the counts are turned into rows afterwards.
+    With `counts` also n_values (non-null), from one scan of every table.
     """
     reports = []
     for table, df in tables.items():
-        counts = df.agg(*[F.count(c).alias(c) for c in df.columns])
-        entries = F.array(*[
-            F.struct(F.lit(i + 1).alias("position"), F.lit(f.name).alias("column_name"),
-                     F.lit(f.dataType.simpleString()).alias("type"),
-                     F.col(f.name).alias("n_values"))
-            for i, f in enumerate(df.schema.fields)])
-        reports.append(counts.select(F.lit(table).alias("table_name"), F.inline(entries)))
+        names = ["position", "column_name", "type"]
+        rows = [(i, f.name, f.dataType.simpleString()) for i, f in enumerate(df.schema.fields, 1)]
+        if counts:
+            counted = df.agg(*[F.count(F.col(f"`{c}`")).alias(c) for c in df.columns])
+            entries = F.array(*[F.struct(*[F.lit(v).alias(n) for n, v in zip(names, row)],
+                                         F.col(f"`{row[1]}`").alias("n_values")) for row in rows])
+            reports.append(counted.select(F.lit(table).alias("table_name"), F.inline(entries)))
+        else:
+            listed = df.sparkSession.createDataFrame(rows, "position int, column_name string, type string")
+            reports.append(listed.select(F.lit(table).alias("table_name"), *names))
     report = reports[0]
     for other in reports[1:]:
         report = report.unionByName(other)
     return report
 
 
-def read_frames(spark: SparkSession, folder: str, streaming: bool = False) -> DataFrame:
-    """Image files of a folder: path, modificationTime, length, content."""
+def read_frames(spark: SparkSession, folder: str, streaming: bool = False,
+                max_files: int | None = None) -> DataFrame:
+    """Image files of a folder: path, modificationTime, length, content.
+
+    A stream takes at most `max_files` new files per batch, all waiting ones if not given.
+    """
     if not streaming:
         return (spark.read.format("binaryFile").option("pathGlobFilter", "*.{jpg,jpeg,png}")
                 .load(folder))
     schema = "path string, modificationTime timestamp, length bigint, content binary"
-    return (spark.readStream.format("binaryFile").schema(schema)
-            .option("pathGlobFilter", "*.{jpg,jpeg,png}").load(folder))
+    reader = spark.readStream.format("binaryFile").schema(schema)
+    if max_files is not None:
+        reader = reader.option("maxFilesPerTrigger", max_files)
+    return reader.option("pathGlobFilter", "*.{jpg,jpeg,png}").load(folder)
 
 
 def frame_paths(frames: DataFrame) -> DataFrame:

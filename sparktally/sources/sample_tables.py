@@ -10,7 +10,6 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from sparktally.functions.formatting import iso_utc
 from sparktally.plans.frames import keep_persons
-from sparktally.sources.readers import spread
 
 # Words left out of the sample texts (fixed list).
 STOP_WORDS = [
@@ -20,8 +19,8 @@ STOP_WORDS = [
     "in the",
 ]
 
-# Review scores as they are typed in, by the last digit of an event's number.
-SCORE_TEXTS = [None, "", "abc", "4.7", "0", "6", " 5 ", "3", "4", "5"]
+# Review scores as they are typed in, by an event's number.
+SCORE_TEXTS = [None, "", "abc", "4.7", "0", "6", " 5 ", "3", "4", "5", "1e2", ".5", "99999999999", "+2"]
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -33,9 +32,13 @@ def _epoch_days_as_seconds(day) -> F.Column:
 
 
 def ratings(spark: SparkSession, folder: str, with_user: bool = False) -> DataFrame:
-    """One rating of 0.5 to 5.0 per line item; the user is the order's customer."""
+    """One rating of 0.5 to 5.0 per line item; the user is the order's customer.
+
+    Some ratings are of a movie that no table knows.
+    """
+    movie = F.when(F.col("l_orderkey") % 53 == 0, -F.col("l_partkey")).otherwise(F.col("l_partkey"))
     lines = table(spark, folder, "lineitem").select(
-        F.col("l_orderkey").alias("_order"), F.col("l_partkey").alias("movie_id"),
+        F.col("l_orderkey").alias("_order"), movie.alias("movie_id"),
         (F.ceil(F.col("l_quantity") / 5) / 2.0).cast("double").alias("rating"),
         _epoch_days_as_seconds("l_shipdate").alias("ts"))
     if not with_user:
@@ -46,8 +49,10 @@ def ratings(spark: SparkSession, folder: str, with_user: bool = False) -> DataFr
 
 
 def movies(spark: SparkSession, folder: str) -> DataFrame:
+    """Parts as movies; some share one title."""
+    title = F.when(F.col("p_partkey") % 19 == 0, "Same Title").otherwise(F.col("p_name"))
     return table(spark, folder, "part").select(
-        F.col("p_partkey").alias("movie_id"), F.col("p_name").alias("title"),
+        F.col("p_partkey").alias("movie_id"), title.alias("title"),
         F.concat_ws("|", "p_type", "p_brand").alias("genres"))
 
 
@@ -65,26 +70,25 @@ def occupations(spark: SparkSession, folder: str) -> DataFrame:
         F.col("n_nationkey").alias("occupation_id"), F.col("n_name").alias("occupation"))
 
 
-def _documents(spark: SparkSession, folder: str, for_words: bool) -> DataFrame:
-    documents = table(spark, folder, "documents")
-    return spread(documents, "doc_id") if for_words else documents
-
-
-def reviews(spark: SparkSession, folder: str, for_words: bool = False) -> DataFrame:
-    """Documents as reviews; the label gives the sentiment, null without one."""
+def reviews(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents as reviews, some without an id; the label gives the sentiment, null without one."""
     labels = table(spark, folder, "labels")
     sentiment = (F.when(F.col("toxic") == 1, "negative").when(F.col("quality") == 1, "positive")
                  .when(F.col("quality") == 0, "neutral"))
-    return (_documents(spark, folder, for_words).join(labels, "doc_id", "left")
-            .select(F.col("doc_id").alias("id"), F.col("text").alias("review"),
+    return (table(spark, folder, "documents").join(labels, "doc_id", "left")
+            .select(_review_id(), F.col("text").alias("review"),
                     F.col("source").alias("category"), F.col("lang").alias("aspect"),
                     sentiment.alias("sentiment")))
 
 
-def reviews_unlabelled(spark: SparkSession, folder: str, for_words: bool = False) -> DataFrame:
+def _review_id():
+    return F.when(F.col("doc_id") % 31 != 0, F.col("doc_id")).alias("id")
+
+
+def reviews_unlabelled(spark: SparkSession, folder: str) -> DataFrame:
     """Reviews without the sentiment, where an analysis does not look at it."""
-    return _documents(spark, folder, for_words).select(
-        F.col("doc_id").alias("id"), F.col("text").alias("review"),
+    return table(spark, folder, "documents").select(
+        _review_id(), F.col("text").alias("review"),
         F.col("source").alias("category"), F.col("lang").alias("aspect"))
 
 
@@ -98,12 +102,12 @@ def orders(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def customers(spark: SparkSession, folder: str) -> DataFrame:
-    """Customers with their country; some orders' customers are left out."""
+    """Customers with their country, some without one."""
     nations = table(spark, folder, "nation").select(
         F.col("n_nationkey").alias("c_nationkey"), F.col("n_name").alias("country"))
-    return (table(spark, folder, "customer").where(F.col("c_custkey") % 41 != 0)
-            .join(nations, "c_nationkey")
-            .select(F.col("c_custkey").alias("customer_id"), "country"))
+    return (table(spark, folder, "customer").join(nations, "c_nationkey", "left")
+            .select(F.col("c_custkey").alias("customer_id"),
+                    F.when(F.col("c_custkey") % 41 != 0, F.col("country")).alias("country")))
 
 
 def items(spark: SparkSession, folder: str) -> DataFrame:
@@ -128,7 +132,7 @@ def _event_number():
 def order_reviews(spark: SparkSession, folder: str) -> DataFrame:
     """Two events per order; a fixed share of the score texts is dirty."""
     texts = F.array(*[F.lit(text).cast("string") for text in SCORE_TEXTS])
-    score = F.element_at(texts, F.col("_k") % 10 + 1)
+    score = F.element_at(texts, F.col("_k") % len(SCORE_TEXTS) + 1)
     return (table(spark, folder, "events").select("event_id", _event_number().alias("_k"))
             .select(F.expr("event_id div 2").alias("order_id"), score.alias("score")))
 
@@ -191,17 +195,13 @@ def raw_messages(spark: SparkSession, folder: str) -> DataFrame:
         F.when(key % 10 == 3, "%%%").otherwise(payload).alias("image_data"))
 
 
-def sample_scorer():
-    """A stand-in model: boxes follow from the payload length, nothing is loaded."""
-    def score(payload: bytes):
-        n = len(payload)
-        if n % 7 == 0:
-            return None
-        boxes = []
-        for i in range(1, n % 5 + 1):
-            name = "car" if (n + i) % 3 == 0 else "person"
-            confidence = ((n * 7 + i * 13) % 101) / 100
-            left = n % 97 + i / 4
-            boxes.append((name, confidence, (left, i * 2.5, left + 50.0, i * 2.5 + 80.0)))
-        return boxes
-    return score
+def found_boxes(messages: DataFrame) -> DataFrame:
+    """Decoded messages with `boxes`, as a detector may have found them; null where it read no image."""
+    n = F.octet_length("payload")
+    box = lambda i: F.struct(
+        F.when((n + i) % 3 == 0, "car").otherwise("person").alias("class"),
+        (((n * 7 + i * 13) % 101) / 100.0).cast("double").alias("confidence"),
+        F.array(*[x.cast("double") for x in ((n % 97) + i / 4, i * 2.5, (n % 97) + i / 4 + 50.0, i * 2.5 + 80.0)]
+                ).alias("bbox"))
+    all_boxes = F.transform(F.filter(F.sequence(F.lit(1), F.lit(4)), lambda i: i <= n % 5), box)
+    return messages.select("frame_id", "camera_id", "timestamp", F.when(n % 7 != 0, all_boxes).alias("boxes"))

@@ -7,6 +7,8 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql import types as T
 
+from sparktally.session import discard, scratch_path
+
 
 def render_lines(df: DataFrame, line: Column) -> DataFrame:
     """One text column from a typed result; the order of the rows is kept."""
@@ -56,10 +58,16 @@ def write_split(df: DataFrame, column: str, path: str, mode: str = "errorifexist
 
 
 def write_outputs(shared: DataFrame, outputs: Sequence[Callable[[DataFrame], None]]) -> None:
-    """Several outputs that share a prefix, computed once and kept between the writes."""
-    shared = shared.persist()
+    """Several outputs that share a prefix, which is computed once.
+
+    The prefix is written to the shared scratch folder, read again by every
+    output, and deleted at the end.
+    """
+    spark = shared.sparkSession
+    path = scratch_path(spark, "shared")
+    shared.write.parquet(path)
     try:
         for write in outputs:
-            write(shared)
+            write(spark.read.parquet(path))
     finally:
-        shared.unpersist()
+        discard(spark, path)

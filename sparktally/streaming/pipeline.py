@@ -16,12 +16,20 @@ from pyspark.sql.streaming import StreamingQuery
 from sparktally import schemas
 from sparktally.plans.frames import CONFIDENCE, Scorer, detect_people
 
+#: New files that one batch takes, so that a backlog is not one batch.
+MAX_FILES = 1000
+_CORRUPT = T.StructField("_malformed_message", T.StringType())
+Detect = Callable[[DataFrame], DataFrame]
+
 
 def read_message_stream(spark: SparkSession, schema: T.StructType, source: str = "file",
                         path: str | None = None, servers: str | None = None,
                         topic: str | None = None, starting_offsets: str = "latest",
-                        max_files: int | None = None, max_offsets: int | None = None) -> DataFrame:
-    """JSON messages as rows; missing keys are null, a malformed message is all null.
+                        max_files: int | None = None, max_offsets: int | None = None,
+                        malformed: bool = False) -> DataFrame:
+    """JSON messages as rows; missing keys are null, malformed messages are left out.
+
+    With `malformed` the raw text of just those, in `value`, blank lines included.
 
     source='file'   a folder of JSON-lines files
     source='kafka'  a topic, from `starting_offsets` on the first run and from
@@ -40,7 +48,13 @@ def read_message_stream(spark: SparkSession, schema: T.StructType, source: str =
         values = reader.load().select(F.col("value").cast("string").alias("value"))
     else:
         raise ValueError(f"unknown source {source!r}")
-    return values.select(F.from_json("value", schema).alias("_m")).select("_m.*")
+    tried = values.withColumn("_m", F.from_json(
+        "value", T.StructType([*schema.fields, _CORRUPT]),
+        {"columnNameOfCorruptRecord": _CORRUPT.name}))
+    broken = F.col("_m").isNull() | F.col(f"_m.{_CORRUPT.name}").isNotNull()
+    if malformed:
+        return tried.where(broken).select("value")
+    return tried.where(~broken).select("_m.*").drop(_CORRUPT.name)
 
 
 def to_messages(df: DataFrame, key: str | None = None) -> DataFrame:
@@ -103,10 +117,30 @@ def replace_batch(path: str, fmt: str = "parquet") -> Callable[[DataFrame, int],
     return write
 
 
-def _detect_stage(spark, raw_path, result_path, checkpoint, factory, threshold, max_files, **when):
+def dropped_late(query: StreamingQuery) -> int:
+    """Rows that the watermark has left out of a finished query's state, over all its batches."""
+    progress = query.recentProgress
+    kept = int(query._jsq.sparkSession().conf().get("spark.sql.streaming.numRecentProgressUpdates", "100"))
+    if len(progress) >= kept:
+        raise RuntimeError("not all batches can be seen; raise spark.sql.streaming.numRecentProgressUpdates")
+    return sum(s.numRowsDroppedByWatermark for p in progress for s in p.stateOperators)
+
+
+def finish_complete(query: StreamingQuery) -> None:
+    """Wait for a query over waiting data and raise if its result depends on how that fell into batches.
+
+    A row later than the watermark is dropped by Spark without a word.  A
+    stream whose rows come that much out of order needs a longer horizon, and
+    a bounded backfill the batch function.
+    """
+    query.awaitTermination()
+    if late := dropped_late(query):
+        raise RuntimeError(f"{late} rows came later than the watermark and are missing from the result")
+
+
+def _detect_stage(spark, raw_path, result_path, checkpoint, detect, max_files, **when):
     raw = read_message_stream(spark, schemas.RAW_FRAME, path=raw_path, max_files=max_files)
-    return write_message_stream(detect_people(raw, factory, threshold), f"{checkpoint}/detect",
-                                path=result_path, **when)
+    return write_message_stream(detect(raw), f"{checkpoint}/detect", path=result_path, **when)
 
 
 def _store_stage(spark, result_path, store_path, checkpoint, max_files, **when):
@@ -114,29 +148,47 @@ def _store_stage(spark, result_path, store_path, checkpoint, max_files, **when):
     return store_detections(results, store_path, f"{checkpoint}/store", **when)
 
 
+def _reject_stage(spark, raw_path, reject_path, checkpoint, max_files, **when):
+    broken = read_message_stream(spark, schemas.RAW_FRAME, path=raw_path, max_files=max_files, malformed=True)
+    writer = (broken.writeStream.format("text").option("path", reject_path).outputMode("append")
+              .option("checkpointLocation", f"{checkpoint}/reject"))
+    return _start(writer, when.get("available_now", False), when.get("interval"))
+
+
+def _detector(factory, threshold, detect) -> Detect:
+    if (factory is None) == (detect is None):
+        raise ValueError("give either a model factory or a detect function")
+    return detect or (lambda raw: detect_people(raw, factory, threshold))
+
+
 def run_pipeline(spark: SparkSession, raw_path: str, result_path: str, store_path: str,
-                 checkpoint: str, factory: Callable[[], Scorer],
-                 threshold: float = CONFIDENCE, max_files: int | None = None) -> None:
+                 checkpoint: str, factory: Callable[[], Scorer] | None = None,
+                 threshold: float = CONFIDENCE, max_files: int | None = MAX_FILES,
+                 detect: Detect | None = None, reject_path: str | None = None) -> None:
     """Process all waiting raw-frame messages through detection into the store, then stop.
 
     Two queries decoupled by the result folder: messages -> detection
     messages, detection messages -> store.  A second run continues after the
-    last committed message.
+    last committed message.  Detection is by the factory's model, or by
+    `detect`, raw messages to records.  Messages that are no JSON go to
+    `reject_path`, one per line, if it is given.
     """
-    _detect_stage(spark, raw_path, result_path, checkpoint, factory, threshold, max_files,
-                  available_now=True).awaitTermination()
+    found = _detector(factory, threshold, detect)
+    _detect_stage(spark, raw_path, result_path, checkpoint, found, max_files, available_now=True).awaitTermination()
+    if reject_path is not None:
+        _reject_stage(spark, raw_path, reject_path, checkpoint, max_files, available_now=True).awaitTermination()
     _store_stage(spark, result_path, store_path, checkpoint, max_files,
                  available_now=True).awaitTermination()
 
 
 def start_pipeline(spark: SparkSession, raw_path: str, result_path: str, store_path: str,
-                   checkpoint: str, factory: Callable[[], Scorer], threshold: float = CONFIDENCE,
-                   max_files: int | None = None, interval: str = "2 seconds",
-                   ) -> tuple[StreamingQuery, StreamingQuery]:
+                   checkpoint: str, factory: Callable[[], Scorer] | None = None, threshold: float = CONFIDENCE,
+                   max_files: int | None = MAX_FILES, interval: str = "2 seconds",
+                   detect: Detect | None = None) -> tuple[StreamingQuery, StreamingQuery]:
     """The same two queries running side by side until the caller stops them."""
     # The second stage watches the result folder, which must exist by then.
     spark.createDataFrame([], "value string").write.mode("append").text(result_path)
-    detect = _detect_stage(spark, raw_path, result_path, checkpoint, factory, threshold, max_files,
+    detect = _detect_stage(spark, raw_path, result_path, checkpoint, _detector(factory, threshold, detect), max_files,
                            interval=interval)
     store = _store_stage(spark, result_path, store_path, checkpoint, max_files, interval=interval)
     return detect, store

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from sparktally import schemas
 from sparktally.plans import frames as f
-from sparktally.sources import readers, sinks
+from sparktally.sources import readers, sample_tables, sinks
 from sparktally.streaming import pipeline as p
 
 
@@ -59,6 +59,20 @@ def test_detection_records(spark):
     assert {r.frame_id: r.person_count for r in strict.collect()} == {"f1": 1, "f2": 0, "f5": 0}
 
 
+def test_a_model_finds_what_the_sample_tables_give(spark):
+    raw = sample_tables.raw_messages(spark, "/root/testdata/sf0.001")
+    given = f.person_records(sample_tables.found_boxes(f.decoded_messages(raw)))
+    assert rows(f.detect_people(raw, scorers.by_length)) == rows(given)
+
+
+def test_only_the_last_model_is_kept(spark):
+    made = []
+    for key in ("a", "a", "b"):
+        f._scorer(lambda: made.append(key) or (lambda x: x), key)
+    import sys
+    assert made == ["a", "b"] and list(k for k in vars(sys.modules["_sparktally_models"]) if len(k) == 1) == ["b"]
+
+
 def test_model_is_loaded_once_per_worker(spark, tmp_path):
     log = tmp_path / "loads"
     many = messages(spark).withColumn("i", F.explode(F.sequence(F.lit(1), F.lit(20)))).drop("i").repartition(16)
@@ -168,6 +182,39 @@ def test_late_records_are_left_out_of_closed_windows(spark, tmp_path):
     assert frames == [("00:00", 10), ("00:10", 10), ("00:20", 10), ("00:30", 10)]
 
 
+def test_a_result_that_depends_on_batches_is_refused(spark, tmp_path):
+    data = records(spark, 240)
+    for i, part in enumerate((2, 0, 3, 1)):  # four files in no order of time
+        data.where(f"cast(substr(frame_id, 2) as int) div 60 = {part}").coalesce(1).write.mode("append").parquet(
+            f"{tmp_path}/in/f{i}")
+
+    def run(name, max_files, horizon):
+        stream = (spark.readStream.schema(data.schema).option("maxFilesPerTrigger", max_files)
+                  .option("recursiveFileLookup", True).parquet(str(tmp_path / "in")))
+        windows = f.people_per_window(p.without_repeats(stream, horizon=horizon))
+        query = p.store_detections(windows, f"{tmp_path}/{name}", f"{tmp_path}/{name}-check", available_now=True)
+        p.finish_complete(query)
+        return spark.read.schema(windows.schema).parquet(f"{tmp_path}/{name}")
+
+    closed = f.people_per_window(data).where("window_end <= timestamp'2026-01-01 03:54:00'")
+    assert rows(run("one", 10, "5 minutes")) == rows(closed)
+    with pytest.raises(RuntimeError, match="later than the watermark"):
+        run("four", 1, "5 minutes")
+
+
+def test_malformed_messages_are_set_aside(spark, tmp_path):
+    raw = tmp_path / "raw"
+    raw.mkdir()
+    good = json.dumps(dict(zip(schemas.RAW_FRAME.fieldNames(), MESSAGES[0])))
+    (raw / "a.txt").write_text(f"{good}\nno json\n\n")
+    results, store, check, bad = (str(tmp_path / n) for n in ("results", "store", "check", "bad"))
+    p.run_pipeline(spark, str(raw), results, store, check, scorers.scripted, reject_path=bad)
+    assert [r.frame_id for r in readers.read_detections(spark, store).collect()] == ["f1"]
+    assert sorted(r.value for r in spark.read.text(bad).collect()) == ["", "no json"]
+    with pytest.raises(ValueError):
+        p.run_pipeline(spark, str(raw), results, store, check)
+
+
 def test_batches_replace_what_they_left(spark, tmp_path):
     data = records(spark, 10)
     data.write.parquet(str(tmp_path / "in"))

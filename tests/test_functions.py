@@ -7,7 +7,8 @@ from sparktally.functions.text import token_array
 
 def test_safe_int(spark):
     cases = [(None, None), ("", None), ("abc", None), ("4.7", 4), ("0", 0), (" 5 ", 5), ("-3", -3),
-             ("+2", 2), ("NaN", None), ("1e3", None), ("99999999999", None), ("4.", 4), ("7x", None)]
+             ("+2", 2), ("NaN", None), ("1e3", 1000), ("1e2", 100), (".5", 0), ("-.5", 0),
+             ("99999999999", None), ("1e400", None), ("4.", 4), ("7x", None), (".", None), ("Infinity", None)]
     df = spark.createDataFrame(cases, "text string, want int")
     assert [(r.text, r.got) for r in df.select("text", parsing.safe_int(F.col("text")).alias("got")).collect()] == cases
 
@@ -93,8 +94,9 @@ def test_rendering(spark):
 
 
 def test_iso_utc_in_any_session_zone(spark, conf):
-    df = spark.createDataFrame([(1767225600000000,), (1767225600123456,)], "us bigint")
-    for zone in ("UTC", "Asia/Tokyo"):
+    df = spark.createDataFrame([(1767225600000000,), (1767225600123456,), (-1,), (1710037800000000,)], "us bigint")
+    for zone in ("UTC", "Asia/Tokyo", "America/New_York"):
         conf(**{"spark.sql.session.timeZone": zone})
         got = [r[0] for r in df.select(formatting.iso_utc(F.timestamp_micros("us"))).collect()]
-        assert got == ["2026-01-01T00:00:00+00:00", "2026-01-01T00:00:00.123456+00:00"]
+        assert got == ["2026-01-01T00:00:00+00:00", "2026-01-01T00:00:00.123456+00:00", "1969-12-31T23:59:59.999999+00:00",
+                       "2024-03-10T02:30:00+00:00"]

@@ -40,7 +40,7 @@ def test_no_query_multiplies_rows_or_leaves_the_jvm(spark, big, name):
     _, seen = ran(spark, name)
     assert seen["CartesianProductExec"] == seen["BroadcastNestedLoopJoinExec"] == 0
     python = sum(n for kind, n in seen.items() if "Python" in kind or "Arrow" in kind or "Pandas" in kind)
-    assert python == (1 if name == "detect_people" else 0)
+    assert python == 0
 
 
 def test_per_group_top_is_cut_before_the_shuffle(spark, big):
@@ -90,8 +90,7 @@ def test_hot_user_is_split_over_tasks(spark, small_partitions, tmp_path, dedupe)
 
 
 @pytest.mark.parametrize("distinct", [False, True])
-def test_hot_word_is_split_in_the_exclusion_join(spark, small_partitions, monkeypatch, tmp_path, distinct):
-    monkeypatch.setattr(joins, "MAX_BROADCAST_ROWS", 10)
+def test_hot_word_is_split_in_the_exclusion_join(spark, small_partitions, tmp_path, distinct):
     words = _hot(spark, str(tmp_path / "w")).withColumn("word", F.concat(F.lit("w"), F.col("user_id").cast("string")))
     stop = spark.range(100).select(F.concat(F.lit("w"), (F.col("id") + 2).cast("string")).alias("w"))
     left = joins.exclude_terms(words, "word", stop.distinct() if distinct else stop)

@@ -1,8 +1,6 @@
 import pytest
-from pyspark.sql import functions as F
 
 from sparktally import session
-from sparktally.sources.readers import spread
 
 
 class _Session:
@@ -34,11 +32,17 @@ def test_settings(spark):
     assert spark.conf.get("spark.sql.adaptive.skewJoin.enabled") == "true"
 
 
-def test_spread_leaves_wide_scans_alone(spark, tmp_path):
-    spark.range(0, 1000, 1, 1).write.parquet(str(tmp_path / "one"))
-    spark.range(0, 1000, 1, 64).write.parquet(str(tmp_path / "many"))
-    one = spark.read.parquet(str(tmp_path / "one"))
-    assert spread(one, "id").rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
-    wide = spark.read.option("x", "y").parquet(str(tmp_path / "many")).repartition(64)
-    assert spread(wide, "id") is wide
-    assert spread(one, "id").agg(F.sum("id")).first()[0] == 499500
+def test_shuffle_width_follows_the_input():
+    assert session.shuffle_partitions(0) == 200
+    assert session.shuffle_partitions(100 << 40) == 100 << 13
+
+
+def test_scratch_is_cleared(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(session, "_scratch_root", lambda _: str(tmp_path))
+    paths = [session.scratch_path(spark, n) for n in ("a", "b")]
+    for path in paths:
+        spark.range(3).write.parquet(path)
+    session.discard(spark, paths[0])
+    assert not (tmp_path / paths[0]).exists() and (tmp_path / paths[1]).exists()
+    session.clear_scratch(spark)
+    assert not (tmp_path / paths[1]).exists()

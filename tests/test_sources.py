@@ -16,7 +16,7 @@ def test_ratings_tolerate_bad_lines(spark, tmp_path):
     a = put(tmp_path / "r1.txt", "7, 1020, 4.5, 1577836800\n\n8, 1020, x, 1577836800\n9, 1020\n1,2,3", "\r\n")
     b = put(tmp_path / "r2.txt", "7,1021, 5 ,1577836801,surplus\n7,1021,2,\n")
     four = readers.read_ratings(spark, [a, b], min_fields=4)
-    assert rows(four) == [("7", "1020", 4.5, 1577836800), ("7", "1021", 5.0, 1577836801)]
+    assert rows(four) == [("7", "1020", 4.5, 1577836800), ("7", "1021", 2.0, None), ("7", "1021", 5.0, 1577836801)]
     three = readers.read_ratings(spark, [a, b])
     assert rows(three) == [("1", "2", 3.0, None), ("7", "1020", 4.5, 1577836800),
                            ("7", "1021", 2.0, None), ("7", "1021", 5.0, 1577836801)]
@@ -25,7 +25,16 @@ def test_ratings_tolerate_bad_lines(spark, tmp_path):
         readers.read_ratings(spark, [a, b], on_bad="fail").collect()
     with pytest.raises(ValueError):
         readers.read_ratings(spark, a, on_bad="other")
-    assert rows(readers.rating_rejects(spark, [a, b], 4)) == [(6, 3, 1)]
+    assert rows(readers.rating_rejects(spark, [a, b], 4)) == [(6, 2, 1)]
+
+
+def test_an_empty_rating_is_bad_and_not_short(spark, tmp_path):
+    path = put(tmp_path / "r.txt", "1,10,4,100\n2,10,,100\n3,10\n")
+    assert rows(readers.read_ratings(spark, path)) == [("1", "10", 4.0, 100)]
+    assert rows(readers.read_ratings(spark, path, on_bad="null")) == [("1", "10", 4.0, 100), ("2", "10", None, 100)]
+    with pytest.raises(Exception, match="not a number"):
+        readers.read_ratings(spark, path, on_bad="fail").collect()
+    assert rows(readers.rating_rejects(spark, path)) == [(3, 1, 1)]
 
 
 def test_users_occupations_movies(spark, tmp_path):
@@ -62,7 +71,9 @@ def test_commerce_tables_with_inferred_types(spark, tmp_path):
     assert dict(tables["orders"].dtypes) == {"order_id": "string", "customer_id": "string", "purchase_ts": "timestamp"}
     assert dict(tables["items"].dtypes)["price"] == "double"
     assert rows(tables["reviews"]) == [("o1", "5"), ("o1", "abc")]
-    report = readers.describe_schema({"products": tables["products"], "reviews": tables["reviews"]})
+    two = {"products": tables["products"], "reviews": tables["reviews"]}
+    report = readers.describe_schema(two, counts=True)
+    assert rows(readers.describe_schema(two)) == [r[:4] for r in rows(report)]
     assert rows(report) == [("products", 1, "product_id", "string", 1), ("products", 2, "category", "string", 1),
                             ("reviews", 1, "order_id", "string", 2), ("reviews", 2, "score", "string", 2)]
     declared = T.StructType([T.StructField("a", T.StringType()), T.StructField("b", T.StringType())])
