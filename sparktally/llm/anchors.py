@@ -26,7 +26,7 @@ _DIGIT_CHAIN = re.compile(r"[0-9](?:[ -]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 _URL_REST = re.compile(r"[^\s<>\"'`{}|\\^]+")
 _AFTER_CUE = re.compile(r"(?: ?(?:number|no\.?|nr\.?|id))?[ \t]{0,2}[:=#]?[ \t]{0,2}[\"']?")
-_IDENTIFIER = re.compile(r"[A-Za-z0-9](?:[A-Za-z0-9_-]*[A-Za-z0-9])?(?: [A-Z0-9]{4})*")
+_IDENTIFIER = re.compile(r"[A-Za-z0-9](?:[A-Za-z0-9_-]*[A-Za-z0-9])?(?: [0-9]{2,4})*")
 _NOT_DIGIT = re.compile(r"[^0-9]")
 
 

@@ -1,4 +1,13 @@
-"""SentencePiece encoding by a Viterbi search that words with a common prefix share."""
+"""SentencePiece encoding: a forward search that words with a common prefix share.
+
+The model is one of merges: SentencePiece joins the neighbours whose joint
+piece scores best, again and again.  The sum of scores along a path does not
+say which path that is, so a plain Viterbi search would give other ids than
+the library.  What a search over prefixes needs is known for merges too: a
+row of pieces is what merging leaves if and only if every two neighbours
+are left apart when they are merged alone.  So the forward table holds, for
+every prefix of a word, the one last piece that can stand there.
+"""
 
 from __future__ import annotations
 
@@ -11,83 +20,138 @@ from pyspark.sql import DataFrame, functions as F
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
-#: An unknown character scores this much less than the worst piece.
-UNKNOWN_PENALTY = 10.0
 #: Words whose ids a task keeps between batches.
 REMEMBERED = 400_000
-#: Ids of a batch that is handed back.
-_OUT_IDS = 4_000_000
+#: Bytes of text that are encoded and handed back at once, about.
+_OUT_BYTES = 4_000_000
+_PROBES = ("a  b ", " x\n\ty", "ﬁ Å", "the theory of everything, and then some")
+
+Model = tuple[list[str], list[float], list[bool], list[int]]
 
 
-def read_model(path: str = MODEL) -> tuple[list[str], list[float], list[bool], list[int]]:
+def read_model(path: str = MODEL) -> Model:
     """Pieces, scores, whether a piece is no text of its own, and the ids of the 256 byte pieces.
 
-    The model must leave texts as they are but for marking spaces and adding
-    one at the front, which is tried on a few texts here.
+    The model must be one of merges with byte fallback that leaves texts as
+    they are but for marking spaces and adding one at the front; a few texts are
+    tried here.
     """
     import sentencepiece
 
     model = sentencepiece.SentencePieceProcessor(model_file=path)
-    for probe in ("a  b ", " x\n\ty", "ﬁ Å"):
-        if model.decode(model.encode(probe)) != probe:
-            raise ValueError(f"{path} changes texts before it encodes them")
     ids = range(model.get_piece_size())
     octets = [model.piece_to_id(f"<0x{b:02X}>") for b in range(256)]
     if any(model.is_unknown(i) for i in octets):
         raise ValueError(f"{path} has no byte pieces")
     special = [model.is_byte(i) or model.is_control(i) or model.is_unknown(i) or model.is_unused(i) for i in ids]
-    return [model.id_to_piece(i) for i in ids], [model.get_score(i) for i in ids], special, octets
+    read = [model.id_to_piece(i) for i in ids], [model.get_score(i) for i in ids], special, octets
+    own = _Encoder(Vocabulary(read)).encode(list(_PROBES))
+    for probe, found in zip(_PROBES, own):
+        if np.frombuffer(found, np.int32).tolist() != model.encode(probe) or model.decode(model.encode(probe)) != probe:
+            raise ValueError(f"{path} is of another kind, or changes texts before it encodes them")
+    return read
 
 
 class Vocabulary:
     """What `read_model` has read on the driver, made ready for search in a task."""
 
-    def __init__(self, model: tuple[list[str], list[float], list[bool], list[int]]):
+    def __init__(self, model: Model):
         texts, scores, special, self.bytes = model
         self.ids = {p: i for i, p in enumerate(texts) if not special[i]}
-        self.scores = {p: scores[i] for p, i in self.ids.items()}
+        #: The smaller, the earlier two neighbours are joined to the piece.
+        self.ranks = {p: -scores[i] for p, i in self.ids.items()}
         self.longest = max(map(len, self.ids))
-        self.unknown = min(self.scores.values()) - UNKNOWN_PENALTY
         #: UTF-8 of every id, for decoding; control and unknown pieces have none.
         of_byte = {i: bytes([b]) for b, i in enumerate(self.bytes)}
         self.octets = [of_byte.get(i, b"" if special[i] else p.replace(MARK, " ").encode())
                        for i, p in enumerate(texts)]
+        self._history: dict[str, tuple | None] = {}
+        self._apart: dict[tuple[str, str], bool] = {}
         # Words can be cut where a mark follows another character, and at line
         # feeds, only if no piece reaches over.
         if any(MARK in p.lstrip(MARK) or "\n" in p for p in self.ids):
             raise ValueError("the model has pieces that reach over words or lines")
 
+    # ---- merges ----------------------------------------------------------
+
+    def history(self, piece: str) -> tuple | None:
+        """Ranks of the joins that make up a piece, and its first and last symbol before each and at the end.
+
+        None if merging the piece alone leaves something else.
+        """
+        if piece not in self._history:
+            symbols = list(piece)
+            ranks, firsts, lasts = [], [symbols[0]], [symbols[-1]]
+            while len(symbols) > 1:
+                joint = [(self.ranks[a + b], k) for k, (a, b) in enumerate(zip(symbols, symbols[1:]))
+                         if a + b in self.ranks]
+                if not joint:
+                    break
+                rank, k = min(joint)
+                symbols[k:k + 2] = [symbols[k] + symbols[k + 1]]
+                ranks.append(rank)
+                firsts.append(symbols[0])
+                lasts.append(symbols[-1])
+            self._history[piece] = (ranks, firsts, lasts) if len(symbols) == 1 else None
+        return self._history[piece]
+
+    def apart(self, left: str, right: str) -> bool:
+        """Whether two neighbouring pieces stay apart: no join over their border comes first.
+
+        Both sides are built up in the order of their joins; in between, the
+        symbols at the border are joined if that ranks before the next join
+        of either side, the left one going first among equals.
+        """
+        known = self._apart.get((left, right))
+        if known is not None:
+            return known
+        ranks_l, _, lasts = self.history(left)
+        ranks_r, firsts, _ = self.history(right)
+        i = j = 0
+        stay = True
+        while True:
+            next_l = ranks_l[i] if i < len(ranks_l) else float("inf")
+            next_r = ranks_r[j] if j < len(ranks_r) else float("inf")
+            over = self.ranks.get(lasts[i] + firsts[j])
+            if over is not None and over < next_l and over <= next_r:
+                stay = False
+                break
+            if next_l == next_r == float("inf"):
+                break
+            if next_l <= next_r:
+                i += 1
+            else:
+                j += 1
+        if len(self._apart) >= 4 * REMEMBERED:
+            self._apart.clear()
+        self._apart[left, right] = stay
+        return stay
+
     # ---- words -----------------------------------------------------------
 
     def encode_words(self, words: list[str]):
         """(word, ids as bytes of 32-bit numbers) of distinct words, in sorted order.
 
         Sorted words are a walk through their trie, depth first: what two
-        neighbours have in common is the path that stays.  Scores and best
-        last pieces of its prefixes are kept, only the rest of a word is scored.
-        Of equal scores the longest last piece wins.
+        neighbours have in common is the path that stays.  The last pieces of
+        its prefixes are kept, only the rest of a word is searched.
         """
-        scores, longest, unknown = self.scores.get, self.longest, self.unknown
-        best, start, before = [0.0], [0], ""
+        ranks, longest, apart, history = self.ranks, self.longest, self.apart, self.history
+        last, start, before = [""], [0], ""
         for word in sorted(words):
             n, same = len(word), 0
             limit = min(n, len(before))
             while same < limit and word[same] == before[same]:
                 same += 1
-            del best[same + 1:], start[same + 1:]
+            del last[same + 1:], start[same + 1:]
             for end in range(same + 1, n + 1):
-                top, at = None, end - 1
-                for j in range(end - longest if end > longest else 0, end):
-                    score = scores(word[j:end])
-                    if score is not None:
-                        score += best[j]
-                        if top is None or score > top:
-                            top, at = score, j
-                if scores(word[end - 1]) is None:
-                    score = best[end - 1] + unknown
-                    if top is None or score > top:
-                        top, at = score, end - 1
-                best.append(top)
+                for at in range(end - longest if end > longest else 0, end):
+                    piece = word[at:end]
+                    if piece in ranks and history(piece) and (not at or apart(last[at], piece)):
+                        break
+                else:  # a character of no piece, which nothing joins
+                    at, piece = end - 1, word[end - 1]
+                last.append(piece)
                 start.append(at)
             before = word
             yield word, self._path(word, start)
@@ -163,11 +227,10 @@ class _Encoder:
 def encode(docs: DataFrame, model: str = MODEL, check: bool = False) -> DataFrame:
     """doc_id, n_tokens, ids of every row; with `check` also whether decoding gives the text back.
 
-    The model's pieces and scores are taken as a unigram model: of all ways
-    to cut a text the one of highest total score is chosen, and a character of
-    no piece becomes its UTF-8 bytes.  Null and empty texts have no ids.  No
-    shuffle: distinct words are sorted and scored per Arrow batch, and what a
-    task has scored it remembers up to a bound.  A literal U+2581 is encoded as a
+    The ids are those of the library; a character of no piece becomes its
+    UTF-8 bytes.  Null and empty texts have no ids.  No
+    shuffle: distinct words are sorted and searched per Arrow batch, and what a
+    task has found it remembers up to a bound.  A literal U+2581 is encoded as a
     space, as the format has no other mark, and is then not `exact`.
     """
     shared = docs.sparkSession.sparkContext.broadcast(read_model(model))
@@ -183,7 +246,7 @@ def encode(docs: DataFrame, model: str = MODEL, check: bool = False) -> DataFram
             at = 0
             while at < batch.num_rows:
                 end, size = at, 0
-                while end < batch.num_rows and (end == at or size < _OUT_IDS):
+                while end < batch.num_rows and (end == at or size < _OUT_BYTES):
                     size += texts[end].as_buffer().size
                     end += 1
                 part = texts.slice(at, end - at).to_pylist()

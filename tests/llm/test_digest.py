@@ -1,0 +1,64 @@
+"""Document fingerprints and their neighbours."""
+
+import hashlib
+import random
+
+import numpy as np
+import pytest
+import tables
+
+from sparktally.llm import digest
+
+
+def test_buckets_by_hand():
+    data = "añb cañb".encode() * 3
+    want = np.zeros(digest.BUCKETS, int)
+    for i in range(len(data) - 2):
+        triplet = data[i] << 16 | data[i + 1] << 8 | data[i + 2]
+        want[(triplet * 2654435761 % (1 << 32)) >> 25] += 1
+    assert digest.bucket_counts(data).tolist() == want.tolist()
+
+
+def test_chunks_do_not_change_counts(monkeypatch):
+    data = bytes(random.Random(0).randrange(256) for _ in range(5000))
+    whole = digest.bucket_counts(data).tolist()
+    monkeypatch.setattr(digest, "_CHUNK", 97)
+    assert digest.bucket_counts(data).tolist() == whole
+
+
+def test_likeness():
+    rng = random.Random(1)
+    words = ["".join(rng.choice("aeiounrst") for _ in range(6)) for _ in range(400)]
+    text = " ".join(rng.choice(words) for _ in range(500))
+    near = text.replace(words[3], "changed")
+    other = " ".join("".join(rng.choice("bcdfgklmp") for _ in range(5)) for _ in range(500))
+    a, b, c = map(digest.digest, (text, near, other))
+    assert digest.likeness(a, a) == 1.0 and digest.likeness(a, b) > 0.8 > 0.3 > digest.likeness(a, c)
+    assert digest.difference(a, c) == digest.difference(c, a) <= digest.BOUND
+    assert len({len(digest.digest(t)) for t in ("", "a", "ab", text, tables.LONG)}) == 1
+
+
+@pytest.mark.parametrize("block_rows", [1024, 2])
+def test_next_document_by_hand(spark, monkeypatch, block_rows):
+    monkeypatch.setattr(digest, "BLOCK_ROWS", block_rows)
+    got = {r.doc_id: r for r in digest.with_next(tables.clashing(spark)).collect() if r.doc_id != 2}
+    rows = sorted({(d is None, d, t or "") for d, t, *_ in tables.AWKWARD}, key=lambda r: (r[0], r[1] or 0))
+    assert len(got) == len(rows) - 1
+    for (_, doc_id, text), (_, _, following) in zip(rows, rows[1:] + rows[:1]):
+        if doc_id == 2:
+            continue
+        half = len(text) // 2
+        edited = text[:len(text) - half] + following[:half]
+        r = got[doc_id]
+        assert r.n_chars == len(text) and r.edited_sha256 == hashlib.sha256(edited.encode()).hexdigest()
+        assert (r.fingerprint, r.edited_fingerprint) == (digest.digest(text), digest.digest(edited))
+        assert r.near_edited == digest.likeness(digest.digest(text), digest.digest(edited))
+        assert r.near_next == digest.likeness(digest.digest(text), digest.digest(following))
+
+
+def test_one_row_and_no_rows(spark):
+    one = digest.with_next(spark.createDataFrame([(5, "abcd")], "doc_id long, text string")).collect()
+    assert [(r.doc_id, r.near_next) for r in one] == [(5, 1.0)]
+    assert one[0].edited_sha256 == hashlib.sha256(b"abab").hexdigest()
+    assert digest.with_next(tables.empty(spark)).count() == 0
+    assert digest.fingerprints(tables.clashing(spark)).count() == len(tables.AWKWARD)

@@ -1,0 +1,72 @@
+"""Nearest neighbours: the index against full comparison, and recall."""
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from sparktally.llm import multi_index as mi
+
+SCHEMA = "vec_id long, embedding array<float>, label int"
+
+
+@pytest.mark.parametrize("radius", [0, 1, 31, 32, 40, 70, 96, 130, 256])
+def test_every_code_within_the_radius_is_found(radius):
+    rng = np.random.default_rng(radius)
+    codes = rng.integers(0, 256, (400, 32), dtype=np.uint8)
+    codes[200:] = codes[0] ^ np.packbits(rng.random((200, 256)) < rng.random((200, 1)) * 0.4, axis=1)
+    index = mi.Index(codes)
+    for query in (codes[0], codes[250], rng.integers(0, 256, 32, dtype=np.uint8)):
+        want = np.flatnonzero(np.bitwise_count(codes ^ query).sum(1) <= radius)
+        assert index.within(query, radius).tolist() == want.tolist()
+
+
+def exact(rows, k, every):
+    ids = np.array([r[0] for r in rows])
+    x = np.array([r[1] for r in rows], np.float32).astype(float)
+    out = {}
+    for i in np.flatnonzero(ids % every == 0):
+        s = (x * x[i]).sum(1) / (np.sqrt((x * x).sum(1)) * np.sqrt((x[i] * x[i]).sum()))
+        out[int(ids[i])] = sorted((-s[j], int(ids[j])) for j in range(len(ids)) if ids[j] != ids[i])[:k]
+    return out
+
+
+def found(df):
+    out = {}
+    for r in df.orderBy("query_id", "rank").collect():
+        out.setdefault(r.query_id, []).append((-r.score, r.vec_id))
+        assert r["rank"] == len(out[r.query_id])
+    return out
+
+
+def test_recall_and_exact_scores(spark):
+    table = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet")
+    rows = [(r.vec_id, r.embedding) for r in table.collect()]
+    got, want = found(mi.nearest(table, F.col("vec_id") % 50 == 0)), exact(rows, 5, 50)
+    assert got.keys() == want.keys() and all(len(v) == 5 for v in got.values())
+    hits = sum(len({i for _, i in got[q]} & {i for _, i in want[q]}) for q in want)
+    assert hits / sum(map(len, want.values())) >= 0.9
+    x = dict(rows)
+    for q in list(got)[:5]:
+        for s, i in got[q]:
+            a, b = np.array(x[q], float), np.array(x[i], float)
+            assert -s == pytest.approx(a @ b / np.sqrt(a @ a) / np.sqrt(b @ b), abs=1e-12)
+
+
+def test_common_vectors_ties_and_unusable_rows(spark):
+    rng = np.random.default_rng(0)
+    rows = [(i, rng.normal(size=16).astype(np.float32).tolist()) for i in range(1, 300)]
+    rows += [(i, [1.0] * 16) for i in range(300, 420)]  # one vector, often
+    bad = [(1000, None), (1050, []), (1100, [0.0] * 16), (1150, [float("nan")] * 16), (1200, [float("inf")] * 16),
+           (1250, [None] * 16), (None, [1.0] * 16), (1300, [1.0] * 3)]
+    table = spark.createDataFrame([(*r, 0) for r in rows + bad + rows[:40]], SCHEMA).repartition(5)
+    got, want = found(mi.nearest(table, F.col("vec_id") % 50 == 0)), exact(rows, 5, 50)
+    assert got.keys() == want.keys()
+    assert [i for _, i in got[350]] == [300, 301, 302, 303, 304] == [i for _, i in want[350]]
+
+
+def test_few_rows(spark):
+    table = spark.createDataFrame([(0, [1.0, 0.0], 0), (1, [0.0, 1.0], 0), (50, [1.0, 1.0], 0)], SCHEMA)
+    got = found(mi.nearest(table, F.col("vec_id") % 50 == 0))
+    assert {q: [i for _, i in v] for q, v in got.items()} == {0: [50, 1], 50: [0, 1]}
+    assert mi.nearest(table.limit(1), F.lit(True)).count() == 0
+    assert mi.nearest(table.limit(0), F.lit(True)).count() == 0

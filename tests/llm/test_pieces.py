@@ -1,0 +1,85 @@
+"""Encoding against the SentencePiece library on the same model file."""
+
+import random
+
+import pytest
+import sentencepiece
+import tables
+from hypothesis import given, settings, strategies as st
+
+from sparktally.llm import pieces
+
+
+@pytest.fixture(scope="module")
+def vocabulary():
+    return pieces.Vocabulary(pieces.read_model())
+
+
+@pytest.fixture(scope="module")
+def library():
+    return sentencepiece.SentencePieceProcessor(model_file=pieces.MODEL)
+
+
+def ids_of(vocabulary, texts):
+    import numpy as np
+
+    return [np.frombuffer(e, np.int32).tolist() for e in pieces._Encoder(vocabulary).encode(texts)]
+
+
+TEXTS = ["", " ", "a", "  a  b   c ", "Hello world.\n\nNew line\ttab", "\n", " \n ", "ünïcödé straße 😀 中文", "a b",
+         "x" * 300, "the the the theory there", "\u0007 bell", "ends with space \n next"]
+
+
+def test_equals_the_library(vocabulary, library):
+    for text, got in zip(TEXTS, ids_of(vocabulary, TEXTS)):
+        assert got == library.encode(text), text
+        assert vocabulary.decode(got) == text
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.text(alphabet="ab the\nñ.☃ ", max_size=40))
+def test_any_text_equals_the_library(vocabulary, library, text):
+    got = ids_of(vocabulary, [text])[0]
+    assert got == library.encode(text)
+    assert vocabulary.decode(got) == text
+
+
+def test_whole_texts_equal_the_library(spark, vocabulary, library):
+    texts = [r.text for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").collect()]
+    assert ids_of(vocabulary, texts) == library.encode(texts)
+
+
+def test_every_piece_next_to_others(vocabulary, library):
+    rng = random.Random(2)
+    known = [p for p in vocabulary.ids if "▁" not in p]
+    texts = ["".join(rng.choice(known) for _ in range(rng.randint(2, 6))) for _ in range(20_000)]
+    assert ids_of(vocabulary, texts) == library.encode(texts)
+
+
+def test_shared_prefixes_do_not_change_words(vocabulary):
+    rng = random.Random(1)
+    words = {"▁" + "".join(rng.choice("then") for _ in range(rng.randint(1, 9))) for _ in range(500)}
+    together = dict(vocabulary.encode_words(list(words)))
+    assert all(dict(vocabulary.encode_words([w]))[w] == together[w] for w in words)
+
+
+def test_forgetting_words_does_not_change_ids(vocabulary):
+    few = pieces._Encoder(vocabulary, remembered=3)
+    assert [few.encode([t])[0] for t in TEXTS] == pieces._Encoder(vocabulary).encode(TEXTS)
+
+
+def test_rows_round_trip(spark):
+    docs = tables.clashing(spark)
+    encoded = pieces.encode(docs, check=True)
+    rows = encoded.collect()
+    assert len(rows) == len(tables.AWKWARD) and all(r.exact and r.n_tokens == len(r.ids) for r in rows)
+    back = pieces.decode(encoded)
+    want = sorted(((d, t or "") for d, t, *_ in tables.AWKWARD), key=repr)
+    assert tables.table(back) == want
+    assert pieces.encode(tables.empty(spark)).count() == 0
+    assert pieces.decode(spark.createDataFrame([(1, None)], "doc_id long, ids array<int>")).first().text is None
+
+
+def test_no_shuffle(spark):
+    assert "Exchange" not in pieces.encode(tables.awkward(spark).coalesce(1))._jdf.queryExecution(
+    ).optimizedPlan().toString()
