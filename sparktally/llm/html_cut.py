@@ -130,7 +130,7 @@ def blocks_of(page: str) -> list[Block]:
         tag = token[2].lower()
         if token[1]:
             where = next((i for i in range(len(stack) - 1, 0, -1) if stack[i].tag == tag), None)
-            if tag in _BLOCK:
+            if tag in _BLOCK and (where is not None or tag == "p"):
                 current = None
             if where is not None:
                 costly = stack[-1].cost != stack[where - 1].cost

@@ -155,11 +155,12 @@ def dedup_lines(docs: DataFrame, batches: int = BATCHES, shortest: int = SHORTES
     rows = docs.select(carried(docs).alias("_row"), _order_id(F.col("doc_id")).alias("doc"),
                        F.xxhash64("text").alias("text_hash"))
     joined = rows.join(gone, ["doc", "text_hash"], "left")
-    return joined.select("_row.*", "_gone").withColumns({
-        "n_lines": F.size(_lines(F.col("text"))).cast("long"),
-        "n_dropped": F.coalesce(F.size("_gone"), F.lit(0)).cast("long"),
-        "text": F.when(F.col("_gone").isNull(), F.col("text")).otherwise(
-            kept_text(F.col("text"), F.col("_gone")))}).drop("_gone")
+    text, cut = F.col("_row.text"), F.col("_gone")
+    own = {"n_lines": F.size(_lines(text)).cast("long"),
+           "n_dropped": F.coalesce(F.size(cut), F.lit(0)).cast("long"),
+           "text": F.when(cut.isNull(), text).otherwise(kept_text(text, cut))}
+    columns = {c: F.col(f"_row.`{c}`") for c in docs.columns} | own
+    return joined.select(*[column.alias(name) for name, column in columns.items()])
 
 
 def kept_text(text: Column, gone: Column) -> Column:
