@@ -12,6 +12,8 @@ WEIGHTS = (5, 2, 1)
 MOST = 3
 #: Random offsets drawn for each source; the one whose words come nearest the target is used.
 OFFSETS = 16
+#: Places in which the rows of one source meet what is known of it.
+SPREAD = 64
 
 
 def _source_key(source: Column) -> Column:
@@ -68,16 +70,22 @@ def copies_of(docs: DataFrame, seed: int = 17, weights: tuple[int, ...] = WEIGHT
     sizes = rows.groupBy("key").agg(F.sum("size").alias("source_size"))
     targets = source_targets(sizes, weights, most)
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
-    # One row per source: bounded by the number of sources, measured by AQE.
     targets = settle(targets.select("key", "source_size", "target", rate.alias("rate")))
-    placed = settle(positions(rows, ["key"], "size", "tie", ["doc_id", "text_hash"]))
+    spread = F.pmod(F.col("tie"), F.lit(SPREAD)).alias("spread")
+    placed = settle(positions(rows, ["key"], "size", "tie", ["doc_id", "text_hash"]).select("*", spread))
     drawn = [_crossed(_offset(seed, draw)) * F.col("size") for draw in range(OFFSETS)]
-    words = placed.join(targets, "key").groupBy("key", "target").agg(F.array(*[F.sum(w) for w in drawn]).alias("words"))
+    words = (placed.join(_spread(targets), ["key", "spread"]).groupBy("key", "target")
+             .agg(F.array(*[F.sum(w) for w in drawn]).alias("words")))
     miss = F.transform("words", lambda w, i: F.struct(F.abs(w - F.col("target")).alias("miss"), i.alias("draw")))
     nearest = words.select("key", F.array_min(miss)["draw"].alias("draw"))
     chosen = targets.join(nearest, "key").withColumn("_offset", _offset(seed, F.col("draw"))).drop("draw")
-    return (placed.join(chosen, "key").withColumn("copies", _crossed(F.col("_offset")))
-            .drop("rate", "_offset", "position", "tie"))
+    return (placed.join(_spread(chosen), ["key", "spread"]).withColumn("copies", _crossed(F.col("_offset")))
+            .drop("rate", "_offset", "position", "tie", "spread"))
+
+
+def _spread(sources: DataFrame) -> DataFrame:
+    """Each source SPREAD times, so that the rows of a hot one meet it in as many places."""
+    return sources.withColumn("spread", F.explode(F.sequence(F.lit(0), F.lit(SPREAD - 1)).cast("array<long>")))
 
 
 def _offset(seed: int, draw: int | Column) -> Column:

@@ -41,22 +41,29 @@ def _fold_table() -> dict[int, str | None]:
     """Code points of a lower-case text and what they become."""
     table: dict[int, str | None] = {ord(a): b for a, b in (_LOOKALIKES | _DIGITS).items()}
     table |= {ord(c): None for c in _INVISIBLE}
-    for code in (*range(0xC0, 0x250), *range(0x1E00, 0x1F00)):  # letters with marks lose them
-        base = unicodedata.normalize("NFD", chr(code))[0]
-        if base != chr(code) and base.isascii():
-            table[code] = base
     for i in range(26):  # full-width letters
         table[0xFF41 + i] = chr(ord("a") + i)
-    table |= {code: None for code in range(0x300, 0x370)}  # marks that stand alone
+    table |= {code: None for code in range(0x300, 0x370)}  # marks that belong to no letter
     return table
 
 
-_FOLD = _fold_table()
+def _plain_table() -> dict[int, str]:
+    """Letters with marks and the letters below them."""
+    bases = {code: unicodedata.normalize("NFD", chr(code))[0]
+             for code in (*range(0xC0, 0x250), *range(0x1E00, 0x1F00))}
+    return {code: base for code, base in bases.items() if base != chr(code) and base.isascii()}
+
+
+_FOLD, _PLAIN = _fold_table(), _plain_table()
 _TOKEN = re.compile(r"[^\W\d_]+")
 
 
 def fold(text: str) -> str:
-    return text.lower().translate(_FOLD)
+    """The text in lower case, look-alikes and digits as the letters they stand for.
+
+    Letters with marks stay: in their language they are letters of their own.
+    """
+    return unicodedata.normalize("NFC", text.lower()).translate(_FOLD)
 
 
 @dataclass
@@ -92,10 +99,7 @@ class _Matcher:
         automaton.make_automaton()
         return automaton if found else None
 
-    def hits(self, folded: str) -> list[tuple[int, int, str, float]]:
-        """(start, end, term, weight) of each match that is no part of an exception phrase."""
-        if self.terms is None:
-            return []
+    def _matches(self, folded: str) -> list[tuple[int, int, str, float]]:
         found = []
         for last, (length, values) in self.terms.iter(folded):
             start, end = last + 1 - length, last + 1
@@ -103,6 +107,17 @@ class _Matcher:
                 continue
             inside = end < len(folded) and folded[end].isalpha()
             found += [(start, end, t, w) for t, w in values if not (inside and t[-1] == "$")]
+        return found
+
+    def hits(self, folded: str) -> list[tuple[int, int, str, float]]:
+        """(start, end, term, weight) of each match that is no part of an exception phrase."""
+        if self.terms is None:
+            return []
+        found = self._matches(folded)
+        if not folded.isascii():
+            # Marks on the letters of a whole word are a disguise, on its beginning they may be another word.
+            seen = {h[:2] for h in found}
+            found += [h for h in self._matches(folded.translate(_PLAIN)) if h[2][-1] == "$" and h[:2] not in seen]
         if found and self.phrases is not None:
             spans = []
             for last, (length, _) in self.phrases.iter(folded):
@@ -285,8 +300,8 @@ def _fit(rows: DataFrame, lexicon: Lexicon, rounds: int = 50, ridge: float = 0.0
 def score(docs: DataFrame, lexicon: Lexicon) -> DataFrame:
     """doc_id, text_hash, score, predicted, hits of every row, from its whole text alone.
 
-    The text is lower-cased, look-alike letters, marks and digits are folded
-    to Latin letters, terms are found in one pass, matches inside exception
+    The text is lower-cased, look-alike letters and digits are folded to Latin
+    letters, terms are found in one pass and whole words also without marks, matches inside exception
     phrases are left out, and the sum of weights goes into the score as it is and per length.
     Null and empty texts have the score of a text without a match.
     """
