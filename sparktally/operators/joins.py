@@ -14,6 +14,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 
@@ -64,6 +65,8 @@ def exclude_terms(words: DataFrame, column: str, terms: Sequence[str] | DataFram
     threshold, and else splits the partition of a hot word.
     """
     if not isinstance(terms, DataFrame):
-        terms = words.sparkSession.createDataFrame([(t,) for t in sorted(set(terms))], f"{column} string")
+        # An Arrow table becomes a local relation, whose size Spark knows while it plans.
+        listed = pa.table({column: pa.array(sorted(set(terms)), pa.string())})
+        terms = words.sparkSession.createDataFrame(listed)
     listed = terms.select(F.col(terms.columns[0]).alias(column)).where(F.col(column).isNotNull())
     return words.join(own_shuffle(listed, column), column, "left_anti")

@@ -12,7 +12,7 @@ for path in (ROOT, ROOT / "tests"):
 os.environ["PYTHONPATH"] = os.pathsep.join(
     [str(ROOT), str(ROOT / "tests"), os.environ.get("PYTHONPATH", "")])
 
-from sparktally.session import build_session
+from sparktally.session import build_session, clear_scratch
 
 
 @pytest.fixture(scope="session")
@@ -21,6 +21,7 @@ def spark():
         "spark.sql.shuffle.partitions": "8", "spark.driver.memory": "8g"})
     session.sparkContext.setLogLevel("ERROR")
     yield session
+    clear_scratch(session)
     session.stop()
 
 

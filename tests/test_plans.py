@@ -166,3 +166,18 @@ def test_hot_order_is_not_multiplied(spark):
     products = spark.range(10).select(F.col("id").alias("product_id"), F.lit("c").alias("category"))
     df = commerce.product_sales_and_rating(items, products, reviews)
     assert [(r.total_sold, r.avg_rating) for r in df.collect()] == [(900_000, 3.0)] * 10
+
+
+@pytest.mark.parametrize("listed", [1, 5000])
+def test_a_listed_word_moves_no_text(spark, listed):
+    words = spark.range(1000).select(F.concat(F.lit("w"), F.col("id").cast("string")).alias("word"))
+    left = joins.exclude_terms(words, "word", [f"w{i}" for i in range(listed)])
+    assert left.count() == max(0, 1000 - listed)
+    left.collect()
+    seen = plans.executed(left)
+    assert seen["BroadcastHashJoinExec"] == 1 and seen["ShuffleExchangeExec"] == 0
+
+
+def test_clean_tokens_have_no_exchange(spark):
+    df, seen = ran(spark, "clean_review_tokens")
+    assert seen["ShuffleExchangeExec"] == 0
