@@ -66,7 +66,11 @@ class Vocabulary:
         self.octets = [of_byte.get(i, b"" if special[i] else p.replace(MARK, " ").encode())
                        for i, p in enumerate(texts)]
         self._history: dict[str, tuple | None] = {}
-        self._apart: dict[tuple[str, str], bool] = {}
+        #: By left piece, which right ones were found to stay apart from it and which not.
+        self._apart: dict[str, dict[str, bool]] = {}
+        self._pairs = 0
+        #: Every end of a piece: 0 if it is only that, 1 if it is a piece that merging leaves, 2 if that was not yet tried.
+        self._ends = {p[k:]: 0 for p in self.ids for k in range(1, len(p))} | dict.fromkeys(self.ids, 2)
         # Words can be cut where a mark follows another character, and at line
         # feeds, only if no piece reaches over.
         if any(MARK in p.lstrip(MARK) or "\n" in p for p in self.ids):
@@ -102,9 +106,6 @@ class Vocabulary:
         symbols at the border are joined if that ranks before the next join
         of either side, the left one going first among equals.
         """
-        known = self._apart.get((left, right))
-        if known is not None:
-            return known
         ranks_l, _, lasts = self.history(left)
         ranks_r, firsts, _ = self.history(right)
         i = j = 0
@@ -122,9 +123,6 @@ class Vocabulary:
                 i += 1
             else:
                 j += 1
-        if len(self._apart) >= 4 * REMEMBERED:
-            self._apart.clear()
-        self._apart[left, right] = stay
         return stay
 
     # ---- words -----------------------------------------------------------
@@ -136,23 +134,46 @@ class Vocabulary:
         neighbours have in common is the path that stays.  The last pieces of
         its prefixes are kept, only the rest of a word is searched.
         """
-        ranks, longest, apart, history = self.ranks, self.longest, self.apart, self.history
+        ends, pairs = self._ends, self._apart
+        if self._pairs > 4 * REMEMBERED:
+            pairs.clear()
+            self._pairs = 0
+        right_of: list[dict[str, bool]] = [{}]  # of the last piece of each prefix, what is known of its neighbours
         last, start, before = [""], [0], ""
         for word in sorted(words):
             n, same = len(word), 0
             limit = min(n, len(before))
             while same < limit and word[same] == before[same]:
                 same += 1
-            del last[same + 1:], start[same + 1:]
+            del last[same + 1:], start[same + 1:], right_of[same + 1:]
             for end in range(same + 1, n + 1):
-                for at in range(end - longest if end > longest else 0, end):
+                at = end
+                while at:
+                    at -= 1
                     piece = word[at:end]
-                    if piece in ranks and history(piece) and (not at or apart(last[at], piece)):
+                    whole = ends.get(piece)
+                    if whole is None:  # no piece ends so, nor with more in front
+                        at = -1
+                        break
+                    if whole == 2:
+                        whole = ends[piece] = int(self.history(piece) is not None)
+                    if not whole:
+                        continue
+                    if not at:
+                        break
+                    stay = right_of[at].get(piece)
+                    if stay is None:
+                        stay = right_of[at][piece] = self.apart(last[at], piece)
+                        self._pairs += 1
+                    if stay:
                         break
-                else:  # a character of no piece, which nothing joins
+                else:
+                    at = -1
+                if at < 0:  # a character of no piece, which nothing joins
                     at, piece = end - 1, word[end - 1]
                 last.append(piece)
                 start.append(at)
+                right_of.append(pairs.setdefault(piece, {}))
             before = word
             yield word, self._path(word, start)
 
