@@ -29,16 +29,19 @@ _BAD_WORDS = frozenset("""ad ads adv advert advertisement advertising adsense ba
 comments commentlist disqus consent cookie cookies copyright disclaimer footer form hidden login masthead menu menubar
 modal nav navbar navigation newsletter notice notification outbrain pager pagination popup privacy promo promotion
 recommended related reply replies respond search share sharing sidebar signup social sponsor sponsored subscribe
-subscription taboola tags toolbar tooltip widget widgets complementary contentinfo dialog alert""".split())
+subscription taboola tags toolbar tooltip widget widgets complementary contentinfo dialog alert announcement gdpr legal
+overlay paywall policy sitemap toc warning""".split())
 _GOOD_WORDS = frozenset("article articlebody content entry main post story".split())
-_CERTAIN, _LIKELY = 12.0, 5.0
+# What follows these in a class name says that the page has it elsewhere, or not at all.
+_ABOUT_OTHERS = ("has-", "with-", "without-", "no-", "not-")
+_CERTAIN, _LIKELY, _OUTSIDE = 12.0, 5.0, 6.0
 _ADJACENT, _SIBLING = 1.0, 1.0
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*+(?:>|\Z)"
     r"|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>"
     r"|</?[a-zA-Z][^>]*+(?:>|\Z)", re.S)
-_ATTRIBUTE = re.compile(r"""(class|id|role|itemprop|hidden|aria-hidden|style)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""",
+_ATTRIBUTE = re.compile(r"""(?<![\w-])(class|id|role|itemprop|hidden|aria-hidden|style)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""",
                         re.I)
 _WORDS = re.compile(r"[a-z]+")
 
@@ -72,10 +75,12 @@ def _element(tag: str, attributes: str, parent: _Element | None) -> _Element:
                     name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value)):
                 cost += _CERTAIN
             elif name != "style":
-                words.update(_WORDS.findall(value))
-    if tag in _BAD_TAGS or words & _BAD_WORDS and tag not in ("html", "body"):
+                for token in value.split():
+                    if not token.startswith(_ABOUT_OTHERS):
+                        words.update(_WORDS.findall(token))
+    if tag in _BAD_TAGS or words & _BAD_WORDS:
         cost += _CERTAIN
-    elif tag == "header" and not good:
+    elif (tag == "header" or "header" in words) and not good:
         cost += _CERTAIN
     elif tag in _GOOD_TAGS or words & _GOOD_WORDS:
         if not good:
@@ -179,12 +184,16 @@ def blocks_of(page: str) -> list[Block]:
     return kept
 
 
-def cost_of(block: Block) -> float:
-    """Log odds that the block is boilerplate: what its elements say, then what its text says."""
+def cost_of(block: Block, elsewhere: bool = False) -> float:
+    """Log odds that the block is boilerplate: what its elements say, then what its text says.
+
+    `elsewhere`: the page has an element for its content, and the block may lie outside.
+    """
     length = len(block.text)
     share = min(1.0, block.linked / max(1, length))
     cost = block.parent.cost + 3.0 * share
     if not block.parent.inside_good:
+        cost += _OUTSIDE * elsewhere
         cost += 1.0 if length < 60 else -1.5 if length > 200 else -0.5
         cost -= 0.5 * (block.text[-1] in ".!?…\"”»")
         cost -= 1.0 * (block.parent.tag in ("p", "h1", "blockquote", "pre"))
@@ -312,7 +321,8 @@ class _Flow:
 def main_text(page: str) -> str:
     """The article of a page: its content blocks, joined by line feeds."""
     blocks = blocks_of(page)
-    away = minimum_cut([cost_of(b) for b in blocks], smoothness(blocks))
+    has_content = any(b.parent.inside_good for b in blocks)
+    away = minimum_cut([cost_of(b, has_content) for b in blocks], smoothness(blocks))
     return "\n".join(b.text for b, gone in zip(blocks, away) if not gone)
 
 

@@ -28,6 +28,14 @@ def test_page_by_hand():
         "A title & more", "First block goes on. A link, ok.", "Short.", "one", "two", "kept text", "cell 1", "cell 2"]
 
 
+def test_class_names():
+    page = ("<div class='site-header'><p>Name of the site and more words.</p></div>"
+            "<p>Please agree to everything that we ask for, it is a long and dull text, but you have no choice.</p>"
+            "<div id=main class='content has-sidebar'><p>Text one.</p><div class=article-footer>x</div>"
+            "<p data-class=ad>Text two.</p><p class='cookie-warning'>w</p></div><div class=sidebar>side</div>")
+    assert html_cut.main_text(page) == "Text one.\nText two."
+
+
 def test_broken_markup():
     assert html_cut.main_text("") == "" and html_cut.main_text("<p") == "" and html_cut.main_text("<!-- open") == ""
     assert html_cut.main_text("<article><p>one <b>two<p>three</article><p class='ad'>x") == "one two\nthree"
