@@ -14,7 +14,7 @@ MAX_BITS = 2
 #: Fingerprints of which the upper tree is grown, at most about so many.
 SAMPLE = 32_768
 #: Distinct fingerprints that a shard should hold; the tree gets a level per doubling beyond.
-SHARD_ROWS = 16_384
+SHARD_ROWS = 4_096
 #: A node of a shard's own tree with fewer fingerprints is compared in full.
 LEAF = 48
 _FLUSH = 1 << 19
