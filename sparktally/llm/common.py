@@ -52,7 +52,7 @@ def positions(rows: DataFrame, group: list[str], cell: str, tie: str, last: list
     numbered inside their block only.  A group, or a cell, that holds a third
     of all rows is so spread over 2**salt_bits blocks.  `cell` is a
     whole number of bounded range and `tie` a hash below 2**52; both decide
-    the order together with `last`, so runs agree.  A null cell comes first.
+    the order together with `last`, so runs agree.  Groups, cells and ties are not null.
     """
     block = F.shiftright(F.col(tie), TIE_BITS - salt_bits)
     rows = rows.withColumn("_block", block)
@@ -70,8 +70,3 @@ def positions(rows: DataFrame, group: list[str], cell: str, tie: str, last: list
             .withColumn("position", F.col("_before") + number - 1)
             .drop("_block", "_before"))
 
-
-def discard(spark, path: str) -> None:
-    """Delete a scratch folder written by an operator."""
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop, True)

@@ -7,8 +7,8 @@ import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from sparktally.llm.common import SPACE, carried, discard, settle
-from sparktally.session import scratch_path
+from sparktally.llm.common import SPACE, carried, settle
+from sparktally.session import discard, scratch_path
 
 #: Code points that a key needs to be compared at all.
 SHORTEST = 10
