@@ -22,6 +22,10 @@ STEMS = range(3, 11)
 MARGIN = 8.0
 #: Terms kept in a lexicon.
 TERMS = 400
+#: Insults to start from, as whole words; labels confirm their weight or take them out.
+BASE = ("bastard", "clown", "creep", "cretin", "disgusting", "dumb", "filth", "fool", "garbage", "idiot", "imbecile",
+        "jerk", "loser", "moron", "pathetic", "scum", "stupid", "trash", "vermin", "worthless")
+BASE_WEIGHT = 5.0
 #: Phrases in which a term does no harm.
 EXCEPTIONS = ("trash can", "trash bin", "clown fish", "sore loser", "pathetic fallacy", "scum line")
 
@@ -73,10 +77,10 @@ class Lexicon:
     A term ending in "$" is a whole word, any other one the beginning of a word.
     """
 
-    weights: dict[str, float] = field(default_factory=dict)
+    weights: dict[str, float] = field(default_factory=lambda: {f"{w}$": BASE_WEIGHT for w in BASE})
     exceptions: tuple[str, ...] = EXCEPTIONS
-    bias: float = -2.0
-    slopes: tuple[float, float] = (0.0, 0.0)
+    bias: float = -4.0
+    slopes: tuple[float, float] = (1.0, 1.0)
 
     def matcher(self) -> "_Matcher":
         return _Matcher(self)
@@ -200,9 +204,10 @@ def learn(docs: DataFrame, labels: DataFrame, most: int = TRAINING_ROWS, terms:
     documents that have them.  One that toxic documents have more often than
     chance allows, among so many candidates, and three of them at least, is a
     term; its weight is the log ratio of its shares.  Of terms that begin
-    alike the most telling one is kept.  A phrase of a term and its
-    neighbour that only clean documents have, twice or more, is an exception.
-    Without labels of both kinds the lexicon is empty and no text is toxic.
+    alike the most telling one is kept.  The base words are terms unless clean
+    documents have them too.  A phrase of a term and its neighbour that
+    only clean documents have, twice or more, is an exception.  Without labels
+    of both kinds the lexicon is that of the base words, with usual weights.
     """
     rows = training_rows(docs, labels, most)
     n_toxic, n = rows.agg(F.sum("toxic"), F.count(F.lit(1))).first()
@@ -235,6 +240,9 @@ def learn(docs: DataFrame, labels: DataFrame, most: int = TRAINING_ROWS, terms:
         heads.update(word[:k] for k in range(1, len(word) + 1))
         if len(kept) == terms:
             break
+    base = [f"{w}$" for w in BASE]
+    common = {r.term for r in counts.where(F.col("term").isin(base)).where(~often & (F.col("dc") > 0)).collect()}
+    kept |= {t: BASE_WEIGHT for t in base if t not in common and not any(t[:k] in kept for k in range(1, len(t) + 1))}
     lexicon = Lexicon(kept, exceptions)
     lexicon.exceptions = (*exceptions, *_learned_exceptions(rows, lexicon))
     _fit(rows, lexicon)

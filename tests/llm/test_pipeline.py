@@ -1,0 +1,83 @@
+"""The whole pipeline against a plain version of every stage."""
+
+import hashlib
+import math
+
+import sentencepiece
+from test_line_runs import key_of
+from test_simhash_tree import fingerprint, groups
+
+import corpus_pipeline
+from sparktally.llm import pieces, toxicity
+
+FOLDER = "/root/testdata/sf0.001"
+
+
+def without_toxic(spark, rows):
+    lexicon = toxicity.learn(spark.read.parquet(f"{FOLDER}/documents.parquet"),
+                             spark.read.parquet(f"{FOLDER}/labels.parquet"))
+    matcher = lexicon.matcher()
+
+    def score(text):
+        total, per_length, _ = matcher.measures(text or "")
+        z = lexicon.bias + lexicon.slopes[0] * total + lexicon.slopes[1] * per_length
+        return 1 / (1 + math.exp(-z))
+
+    return [r for r in rows if score(r[1]) < 0.5]
+
+
+def without_known_lines(rows):
+    first = {}
+    for doc_id, text, _ in rows:
+        for line in (text or "").split("\n"):
+            key = key_of(line)
+            first[key] = min(first.get(key, doc_id), doc_id)
+    holders = {}
+    for doc_id, text, _ in rows:
+        for line in (text or "").split("\n"):
+            holders.setdefault(key_of(line), set()).add(doc_id)
+    return [(doc_id, "\n".join(x for x in (text or "").split("\n")
+                               if len(key_of(x)) < 10 or len(holders[key_of(x)]) < 2 or first[key_of(x)] == doc_id),
+             source) for doc_id, text, source in rows]
+
+
+def one_of_each_group(rows):
+    rows = sorted(rows)
+    label = groups([fingerprint(r[1]) for r in rows], 2)
+    return [r for i, r in enumerate(rows) if label.index(label[i]) == i]
+
+
+def mixed(rows):
+    from test_mixing import shared_out
+
+    hashed = lambda text: int(hashlib.md5(text.encode()).hexdigest()[:13], 16)
+    size = lambda r: len(r[1].encode().split())
+    own = {}
+    for r in rows:
+        own.setdefault("0" + r[2], []).append(r)
+    targets = shared_out({k: sum(map(size, v)) for k, v in own.items()}, (5, 2, 1), 3)
+    out = []
+    for key, docs in own.items():
+        docs = sorted(docs, key=lambda r: (size(r), hashed(str(r[0])), r[0]))
+        rate = targets[key] / sum(map(size, docs))
+        draws = []
+        for draw in range(16):
+            shift = hashed(f"17:{draw}:{key}") / 2 ** 52
+            copies = [math.floor((i + 1) * rate + shift) - math.floor(i * rate + shift) for i in range(len(docs))]
+            words = sum(c * size(r) for c, r in zip(copies, docs))
+            draws.append((abs(words - targets[key]), draw, copies))
+        for r, c in zip(docs, min(draws)[2]):
+            out += [r] * c
+    return out
+
+
+def test_pipeline_equals_its_plain_version(spark):
+    rows = [(r.doc_id, r.text, r.source) for r in spark.read.parquet(f"{FOLDER}/documents.parquet").collect()]
+    kept = without_toxic(spark, rows)
+    assert 0 < len(kept) < len(rows)
+    want = mixed(one_of_each_group(without_known_lines(kept)))
+    library = sentencepiece.SentencePieceProcessor(model_file=pieces.MODEL)
+    got = corpus_pipeline.run(spark, FOLDER).collect()
+    assert sorted(r.doc_id for r in got) == sorted(r[0] for r in want)
+    ids = {r[0]: library.encode(r[1]) for r in want}
+    assert all(list(r.ids) == ids[r.doc_id] and r.n_tokens == len(r.ids) for r in got)

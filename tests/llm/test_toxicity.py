@@ -63,6 +63,23 @@ def test_awkward_rows(spark):
     assert {r.doc_id for r in rows if r.predicted} == {6}
     labels = spark.createDataFrame([(1, 0, None), (None, 1, 1), (2, 1, 1), (2, 1, 1)],
                                    "doc_id long, quality int, toxic int")
-    kept = toxicity.reject_toxic(docs, labels)  # nothing to learn: all stay
+    kept = toxicity.reject_toxic(docs, labels)  # nothing to learn, and no base word in it: all stay
     assert kept.columns == docs.columns and tables.table(kept) == tables.table(docs)
     assert toxicity.reject_toxic(tables.empty(spark), labels).count() == 0
+
+
+def test_base_words_without_labels(spark):
+    texts = ["you idiot, you worthless scum", "a kind word about clowns", "take out the trash can", ""]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
+    scored = {r.doc_id: r.predicted for r in toxicity.score(docs, toxicity.learn(docs, labels)).collect()}
+    assert scored == {0: 1, 1: 0, 2: 0, 3: 0}
+
+
+def test_a_base_word_that_clean_texts_use_is_left_out(spark):
+    rows = [(i, f"number{i} the clown is a fool and an idiot thing{i}" if i % 4 else f"number{i} clown idiot idiot{i}")
+            for i in range(200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = docs.selectExpr("doc_id", "1 AS quality", "int(doc_id % 4 = 0) AS toxic")
+    weights = toxicity.learn(docs, labels).weights
+    assert "clown$" not in weights and "fool$" not in weights and "scum$" in weights
