@@ -384,20 +384,21 @@ def frame_paths(spark, folder):
 
 @query
 def frames_from_files(spark, folder):
-    """Frames written to a folder as files, one each, and read from there at once and as a stream."""
+    """Frames written to a folder as files, 25 to a file, and read from there at once and as a limited stream."""
     base = scratch_path(spark, "files")
     text = F.translate(F.base64("content"), "\r\n", "")
-    (t.frames(spark, folder).select(text).write.option("maxRecordsPerFile", 1).option("extension", "png")
+    (t.frames(spark, folder).select(text).write.option("maxRecordsPerFile", 25).option("extension", "png")
      .option("quote", "").csv(f"{base}/frames"))
-    stream = readers.read_frames(spark, f"{base}/frames", streaming=True, max_files=1000)
+    stream = readers.read_frames(spark, f"{base}/frames", streaming=True, max_files=40)
     (stream.writeStream.format("parquet").option("path", f"{base}/seen").option("checkpointLocation", f"{base}/check")
      .trigger(availableNow=True).start().awaitTermination())
     kinds = {"batch": readers.read_frames(spark, f"{base}/frames"), "stream": spark.read.parquet(f"{base}/seen")}
     read = None
     for kind, files in kinds.items():
-        content = F.unbase64(F.rtrim(F.decode("content", "UTF-8"), F.lit("\n")))
-        rows = files.select(F.lit(kind).alias("kind"), F.md5(content).alias("content_md5"),
-                            F.octet_length(content).cast("bigint").alias("length"))
+        lines = F.split(F.rtrim(F.decode("content", "UTF-8"), F.lit("\n")), "\n")
+        rows = (files.select(F.explode(lines).alias("line")).select(F.unbase64("line").alias("frame"))
+                .select(F.lit(kind).alias("kind"), F.md5("frame").alias("content_md5"),
+                        F.octet_length("frame").cast("bigint").alias("length")))
         read = rows if read is None else read.unionByName(rows)
     return read
 
