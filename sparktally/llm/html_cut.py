@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import html
 import re
-from collections import deque
+from collections import Counter, deque
 from dataclasses import dataclass, field
 
 import pyarrow as pa
@@ -97,6 +97,7 @@ def blocks_of(page: str) -> list[Block]:
     """
     root = _Element("html", None, 0.0, False)
     stack = [root]
+    opened: Counter[str] = Counter()  # open elements by tag, so that stray end tags cost no search
     links = 0
     blocks: list[Block] = []
     current: Block | None = None
@@ -120,7 +121,9 @@ def blocks_of(page: str) -> list[Block]:
     def close(upto: int) -> None:
         nonlocal links
         while len(stack) > upto:
-            links -= stack.pop().tag == "a"
+            tag = stack.pop().tag
+            opened[tag] -= 1
+            links -= tag == "a"
 
     while at < end:
         token = _TOKEN.search(page, at)
@@ -134,7 +137,9 @@ def blocks_of(page: str) -> list[Block]:
             continue
         tag = token[2].lower()
         if token[1]:
-            where = next((i for i in range(len(stack) - 1, 0, -1) if stack[i].tag == tag), None)
+            where = None
+            if opened[tag]:
+                where = next(i for i in range(len(stack) - 1, 0, -1) if stack[i].tag == tag)
             if tag in _BLOCK and (where is not None or tag == "p"):
                 current = None
             if where is not None:
@@ -174,6 +179,7 @@ def blocks_of(page: str) -> list[Block]:
         if element.cost != stack[-1].cost:
             current = None
         stack.append(element)
+        opened[tag] += 1
         links += tag == "a"
     kept = []
     for block in blocks:

@@ -44,6 +44,7 @@ def test_broken_markup():
     assert html_cut.main_text("<article><p title='>'>a</p></article>") == "a"
     deep = "<div>" * 5000 + "<article><p>deep text.</p></article>"
     assert html_cut.main_text(deep) == "deep text."
+    assert html_cut.main_text("<b>" * 40_000 + "</i>" * 40_000 + "<article><p>deep text.</p></article>") == "deep text."
 
 
 def test_page_without_article_element():
