@@ -98,6 +98,7 @@ def blocks_of(page: str) -> list[Block]:
     root = _Element("html", None, 0.0, False)
     stack = [root]
     opened: Counter[str] = Counter()  # open elements by tag, so that stray end tags cost no search
+    inside = [0]  # places of the open block elements; the outermost stands for the page
     links = 0
     blocks: list[Block] = []
     current: Block | None = None
@@ -108,7 +109,7 @@ def blocks_of(page: str) -> list[Block]:
         if current is None:
             if text.isspace():
                 return
-            holder = next((e for e in reversed(stack) if e.tag in _BLOCK), root)
+            holder = stack[inside[-1]]
             current = Block(holder)
             # Inline elements with a cost of their own, such as a marked span, count too.
             if stack[-1].cost != holder.cost:
@@ -123,6 +124,8 @@ def blocks_of(page: str) -> list[Block]:
         while len(stack) > upto:
             tag = stack.pop().tag
             opened[tag] -= 1
+            if inside[-1] == len(stack):
+                inside.pop()
             links -= tag == "a"
 
     while at < end:
@@ -161,9 +164,8 @@ def blocks_of(page: str) -> list[Block]:
         if tag in _BLOCK:
             current = None
             if tag in _ENDS_P:
-                where = next((i for i in range(len(stack) - 1, 0, -1) if stack[i].tag in _BLOCK), 0)
-                if where and stack[where].tag == "p":
-                    close(where)
+                if stack[inside[-1]].tag == "p":
+                    close(inside[-1])
             if tag in _SAME_ENDS:
                 for i in range(len(stack) - 1, 0, -1):
                     if stack[i].tag in _FENCE[tag]:
@@ -178,6 +180,8 @@ def blocks_of(page: str) -> list[Block]:
         element = _element(tag, token[3], stack[-1])
         if element.cost != stack[-1].cost:
             current = None
+        if tag in _BLOCK:
+            inside.append(len(stack))
         stack.append(element)
         opened[tag] += 1
         links += tag == "a"
