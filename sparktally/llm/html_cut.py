@@ -82,7 +82,8 @@ def _element(tag: str, attributes: str, parent: _Element | None) -> _Element:
         cost += _CERTAIN
     elif (tag == "header" or "header" in words) and not good:
         cost += _CERTAIN
-    elif tag in _GOOD_TAGS or words & _GOOD_WORDS:
+    elif cost <= 0 and (tag in _GOOD_TAGS or words & _GOOD_WORDS):
+        # Inside boilerplate such a name says what the boilerplate holds, not where the article is.
         if not good:
             cost -= _LIKELY
         good = True
@@ -331,7 +332,7 @@ class _Flow:
 def main_text(page: str) -> str:
     """The article of a page: its content blocks, joined by line feeds."""
     blocks = blocks_of(page)
-    has_content = any(b.parent.inside_good for b in blocks)
+    has_content = any(b.parent.inside_good and b.parent.cost < 0 for b in blocks)
     away = minimum_cut([cost_of(b, has_content) for b in blocks], smoothness(blocks))
     return "\n".join(b.text for b, gone in zip(blocks, away) if not gone)
 

@@ -53,6 +53,24 @@ def test_page_without_article_element():
     assert len(html_cut.main_text(page).split("\n")) == 3
 
 
+LONG = "Sentences of the main text go on and on. " * 8
+OUTER = (f"<div class='wrap'><h1>A title</h1><p>{LONG}</p><p>{LONG}</p></div>", f"A title\n{LONG.strip()}\n{LONG.strip()}")
+
+
+@pytest.mark.parametrize("around", [
+    "<footer><div class='content'><p>(c) site</p></div></footer>",
+    "<div class='cookie-bar'><div class='content'><p>We use cookies.</p></div></div>",
+    "<aside><article><p>Another one.</p></article></aside>", "<div class=ad><div class=story>Buy</div></div>"])
+def test_content_class_inside_boilerplate(around):
+    page, text = OUTER
+    assert html_cut.main_text(page + around) == text and html_cut.main_text(around + page) == text
+
+
+def test_boilerplate_inside_content_is_no_content():
+    page, text = OUTER
+    assert html_cut.main_text(page + "<div class=content><footer><p>(c) site</p></footer></div>") == text
+
+
 def total(costs, edges, away):
     return (sum(max(c, 0) for c, x in zip(costs, away) if not x) + sum(max(-c, 0) for c, x in zip(costs, away) if x)
             + sum(w for a, b, w in edges if away[a] != away[b]))
