@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import heapq
 import html
 import re
 from collections import Counter, deque
@@ -15,7 +16,8 @@ _BLOCK = frozenset("""address article aside blockquote body caption center dd de
 figcaption figure footer form frameset h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol optgroup
 option p pre search section select summary table tbody td tfoot th thead tr ul""".split())
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-_RAW = frozenset("script style noscript template textarea title iframe noembed noframes xmp svg math object".split())
+_RAW = frozenset("""script style noscript template textarea title iframe noembed noframes xmp svg annotation
+annotation-xml""".split())
 _ENDS_P = _BLOCK - {"body", "html"}
 _SAME_ENDS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"},
               "th": {"td", "th"}, "option": {"option"}}
@@ -34,8 +36,18 @@ overlay paywall policy sitemap toc warning""".split())
 _GOOD_WORDS = frozenset("article articlebody content entry main post story".split())
 # What follows these in a class name says that the page has it elsewhere, or not at all.
 _ABOUT_OTHERS = ("has-", "with-", "without-", "no-", "not-")
+# What follows these is the topic of a text, unless it ends in a part of a page.
+_TOPICS = ("category-", "tag-")
+_PARTS = ("list", "menu", "nav", "navigation", "navbar", "sidebar", "toolbar", "widget", "widgets")
+# Beside the class "layout" these say where the other columns stand.
+_COLUMNS = frozenset("left-sidebar right-sidebar sidebar-left sidebar-right sidebars".split())
+# Class words that text alone does not outweigh.
+_SURE_WORDS = frozenset("""comment comments commentlist consent cookie cookies copyright disqus footer gdpr reply replies
+respond""".split())
 _CERTAIN, _LIKELY, _OUTSIDE = 12.0, 5.0, 6.0
 _ADJACENT, _SIBLING = 1.0, 1.0
+# From so many characters on a block is running text; so much of it makes a page, and so many times the rest outweighs it.
+_RUNNING, _PAGE, _TIMES = 60, 400, 4
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*+(?:>|\Z)"
@@ -46,12 +58,26 @@ _ATTRIBUTE = re.compile(r"""(?<![\w-])(class|id|role|itemprop|hidden|aria-hidden
 _WORDS = re.compile(r"[a-z]+")
 
 
+@dataclass
+class _Region:
+    """What the names of an element say; elements that say nothing share their parent's."""
+
+    parent: "_Region | None"
+    own: float  # log odds for boilerplate that the element gives all its blocks
+    claim: bool = False  # class words speak for boilerplate; whether they count, `_open_claims` says
+    good: bool = False  # the element speaks for content
+    head: bool = False  # in an article or main element that no class word speaks against
+    sure: bool = False  # the claim has words that text alone does not outweigh
+    named: bool = False  # this element or one around it speaks for content
+    cost: float = 0.0
+    inside_good: bool = False
+
+
 @dataclass
 class _Element:
     tag: str
     parent: "_Element | None"
-    cost: float  # log odds for boilerplate that the element gives all its blocks
-    inside_good: bool
+    region: _Region
 
 
 @dataclass
@@ -64,30 +90,43 @@ class Block:
     text: str = ""
 
 
-def _element(tag: str, attributes: str, parent: _Element | None) -> _Element:
-    cost = parent.cost if parent else 0.0
-    good = bool(parent and parent.inside_good)
-    words: set[str] = set()
+def _region(tag: str, attributes: str, around: _Region) -> _Region:
+    own, certain, good = 0.0, False, tag in _GOOD_TAGS
+    names: list[str] = []
     if attributes and not attributes.isspace():
         for name, value in _ATTRIBUTE.findall(attributes):
             name, value = name.lower(), value.strip("\"'").lower()
             if name == "hidden" or name == "aria-hidden" and value == "true" or (
                     name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value)):
-                cost += _CERTAIN
+                own += _CERTAIN
+            elif name == "role":
+                certain = certain or not _BAD_WORDS.isdisjoint(_WORDS.findall(value))
+                names.append(value)
             elif name != "style":
-                for token in value.split():
-                    if not token.startswith(_ABOUT_OTHERS):
-                        words.update(_WORDS.findall(token))
-    if tag in _BAD_TAGS or words & _BAD_WORDS:
-        cost += _CERTAIN
-    elif (tag == "header" or "header" in words) and not good:
-        cost += _CERTAIN
-    elif cost <= 0 and (tag in _GOOD_TAGS or words & _GOOD_WORDS):
-        # Inside boilerplate such a name says what the boilerplate holds, not where the article is.
-        if not good:
-            cost -= _LIKELY
+                names += value.split()
+    words: set[str] = set()
+    named = tag == "main"
+    for token in names:
+        if token.startswith(_ABOUT_OTHERS) or token in _COLUMNS and "layout" in names:
+            continue
+        if token.startswith(_TOPICS) and not token.endswith(_PARTS):
+            continue
+        found = _WORDS.findall(token)
+        words.update(found)
+        named = named or not _GOOD_WORDS.isdisjoint(found) and _BAD_WORDS.isdisjoint(found) and "header" not in found
+    bad = words & _BAD_WORDS
+    if tag in _BAD_TAGS or certain or tag == "header" and not around.named:
+        return _Region(around, own + _CERTAIN, named=around.named)
+    if bad or "header" in words and not around.named:
+        # The classes of an article tell its topics too.
+        if not (named and tag in _GOOD_TAGS):
+            return _Region(around, own, True, good or named, False, bool(bad & _SURE_WORDS),
+                           around.named or good or named)
+    elif words & _GOOD_WORDS:
         good = True
-    return _Element(tag, parent, cost, good)
+    if not own and (not good or around.named and tag not in _GOOD_TAGS):
+        return around
+    return _Region(around, own, False, good, around.head or tag in _GOOD_TAGS and not bad, False, around.named or good)
 
 
 def blocks_of(page: str) -> list[Block]:
@@ -96,7 +135,8 @@ def blocks_of(page: str) -> list[Block]:
     Unclosed and stray tags are taken as browsers do: a paragraph ends where a block
     starts, an end tag closes what is open inside its element, an unknown one nothing.
     """
-    root = _Element("html", None, 0.0, False)
+    root = _Element("html", None, _Region(None, 0.0))
+    regions = [root.region]
     stack = [root]
     opened: Counter[str] = Counter()  # open elements by tag, so that stray end tags cost no search
     inside = [0]  # places of the open block elements; the outermost stands for the page
@@ -113,7 +153,7 @@ def blocks_of(page: str) -> list[Block]:
             holder = stack[inside[-1]]
             current = Block(holder)
             # Inline elements with a cost of their own, such as a marked span, count too.
-            if stack[-1].cost != holder.cost:
+            if stack[-1].region is not holder.region:
                 current.parent = stack[-1]
             blocks.append(current)
         current.parts.append(text)
@@ -147,7 +187,7 @@ def blocks_of(page: str) -> list[Block]:
             if tag in _BLOCK and (where is not None or tag == "p"):
                 current = None
             if where is not None:
-                costly = stack[-1].cost != stack[where - 1].cost
+                costly = stack[-1].region is not stack[where - 1].region
                 close(where)
                 if costly:
                     current = None
@@ -155,7 +195,7 @@ def blocks_of(page: str) -> list[Block]:
         if tag in _RAW:
             # Their content is no text of the page; it ends at their own end tag only.
             stop = re.compile(rf"</{re.escape(tag)}\b[^>]*>?", re.I).search(page, at)
-            if not token[3].rstrip().endswith("/") or tag not in ("svg", "math", "object"):
+            if not token[3].rstrip().endswith("/") or tag not in ("svg", "annotation", "annotation-xml"):
                 at = stop.end() if stop else end
             continue
         if tag == "br":
@@ -178,8 +218,9 @@ def blocks_of(page: str) -> list[Block]:
             continue
         if tag in ("html", "body"):
             continue
-        element = _element(tag, token[3], stack[-1])
-        if element.cost != stack[-1].cost:
+        element = _Element(tag, stack[-1], _region(tag, token[3], stack[-1].region))
+        if element.region is not stack[-1].region:
+            regions.append(element.region)
             current = None
         if tag in _BLOCK:
             inside.append(len(stack))
@@ -192,9 +233,83 @@ def blocks_of(page: str) -> list[Block]:
         block.text = " ".join((html.unescape(text) if "&" in text else text).split())
         if block.text:
             kept.append(block)
+    _open_claims(regions, kept)
+    for region in regions[1:]:
+        around = region.parent
+        region.cost = around.cost + region.own + _CERTAIN * region.claim
+        region.inside_good = around.inside_good
+        # Inside boilerplate such a name says what the boilerplate holds, not where the article is.
+        if region.good and region.cost <= 0:
+            region.cost -= _LIKELY * (not around.inside_good)
+            region.inside_good = True
     return kept
 
 
+def _open_claims(regions: list[_Region], blocks: list[Block]) -> None:
+    """Class words do not count on an element that holds the page's text.
+
+    The claimed elements are taken from the one with most text on, each at most once, and an inner
+    one after those around it.  What no claim covers is the rest.  An element that speaks for content too
+    is opened if it holds more than the rest; one with a heading or an article, if it holds more running
+    text than the rest, and several times as much if the rest has a heading or an article too; any
+    other one if the rest is next to nothing.
+    """
+    if not any(r.claim for r in regions):
+        return
+    place = {id(r): i for i, r in enumerate(regions)}
+    n = len(regions)
+    up = [place[id(r.parent)] if r.parent else -1 for r in regions]
+    shut, cover = [False] * n, [-1] * n  # inside certain boilerplate; the innermost claim
+    for i, r in enumerate(regions):
+        if r.parent:
+            shut[i] = r.own > 0 or shut[up[i]]
+            cover[i] = i if r.claim else cover[up[i]]
+    # Of all inside each region; and of what lies directly under each claim, last of the rest.
+    text, running, head = [0] * n, [0] * n, [False] * n
+    direct, content, lead = [0] * (n + 1), [0] * (n + 1), [False] * (n + 1)
+    for block in blocks:
+        i = place[id(block.parent.region)]
+        if shut[i]:
+            continue
+        plain = max(0, len(block.text) - block.linked)
+        long = plain if plain >= _RUNNING and 2 * plain > len(block.text) else 0
+        first = block.parent.tag == "h1" or regions[i].head
+        text[i] += plain
+        running[i] += long
+        head[i] = head[i] or first
+        direct[cover[i]] += long
+        content[cover[i]] += plain * regions[i].named
+        lead[cover[i]] = lead[cover[i]] or first
+    for i in range(n - 1, 0, -1):
+        text[up[i]] += text[i]
+        running[up[i]] += running[i]
+        head[up[i]] = head[up[i]] or head[i]
+    inner: list[list[int]] = [[] for _ in range(n + 1)]
+    for i, r in enumerate(regions):
+        if r.claim and not shut[i]:
+            inner[cover[up[i]]].append(i)
+    waiting = [(-text[i], i) for i in inner[-1]]
+    heapq.heapify(waiting)
+    while waiting:
+        _, i = heapq.heappop(waiting)
+        rest = max(direct[-1], content[-1])
+        known = lead[-1] and rest > 0
+        if regions[i].good:
+            opened = text[i] > rest
+        elif head[i]:
+            opened = running[i] > rest * (_TIMES if known else 1)
+        else:
+            opened = (not regions[i].sure and not known and not content[-1]
+                      and running[i] >= _PAGE and running[i] > _TIMES * rest)
+        if opened:
+            regions[i].claim = False
+            direct[-1] += direct[i]
+            content[-1] += content[i]
+            lead[-1] = lead[-1] or lead[i]
+            for j in inner[i]:
+                heapq.heappush(waiting, (-text[j], j))
+
+
 def cost_of(block: Block, elsewhere: bool = False) -> float:
     """Log odds that the block is boilerplate: what its elements say, then what its text says.
 
@@ -202,8 +317,8 @@ def cost_of(block: Block, elsewhere: bool = False) -> float:
     """
     length = len(block.text)
     share = min(1.0, block.linked / max(1, length))
-    cost = block.parent.cost + 3.0 * share
-    if not block.parent.inside_good:
+    cost = block.parent.region.cost + 3.0 * share
+    if not block.parent.region.inside_good:
         cost += _OUTSIDE * elsewhere
         cost += 1.0 if length < 60 else -1.5 if length > 200 else -0.5
         cost -= 0.5 * (block.text[-1] in ".!?…\"”»")
@@ -332,7 +447,7 @@ class _Flow:
 def main_text(page: str) -> str:
     """The article of a page: its content blocks, joined by line feeds."""
     blocks = blocks_of(page)
-    has_content = any(b.parent.inside_good and b.parent.cost < 0 for b in blocks)
+    has_content = any(b.parent.region.inside_good and b.parent.region.cost < 0 for b in blocks)
     away = minimum_cut([cost_of(b, has_content) for b in blocks], smoothness(blocks))
     return "\n".join(b.text for b, gone in zip(blocks, away) if not gone)
 

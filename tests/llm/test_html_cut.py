@@ -71,6 +71,47 @@ def test_boilerplate_inside_content_is_no_content():
     assert html_cut.main_text(page + "<div class=content><footer><p>(c) site</p></footer></div>") == text
 
 
+TEXT = f"A title\n{LONG.strip()}\nShort."
+INNER = f"<h1>A title</h1><p>{LONG}</p><p>Short.</p>"
+
+
+@pytest.mark.parametrize("names", ["class='post category-legal tag-privacy'", "class='category-social-media'",
+                                   "class='tag-search tag-cookies'", "class='story promo'", "class='legal'", "id=privacy-policy"])
+def test_article_whatever_its_classes(names):
+    around = "<nav><a href=x>Home</a></nav>{}<div class='widget'>Other</div><footer>(c) site</footer>"
+    assert html_cut.main_text(around.format(f"<article {names}>{INNER}</article>")) == TEXT
+    assert html_cut.main_text(around.format(f"<main><article {names}>{INNER}</article></main>")) == TEXT
+    assert html_cut.main_text(around.format(f"<main {names}>{INNER}</main>")) == TEXT
+
+
+@pytest.mark.parametrize("names", ["class='layout sidebar-right'", "class='sidebar-right'", "class='page widget-area'",
+                                   "id=page-social", "class='fixed-header'", "class='wrap cookies'"])
+def test_class_word_on_a_wrapper(names):
+    beside = "<div class='cookie-bar'>We use cookies.</div><div class=sidebar><a href=x>One</a></div>"
+    for inner in (INNER, f"<article>{INNER}</article>", f"<div class=search>{INNER}</div>"):
+        assert html_cut.main_text(f"<div {names}>{inner}{beside}</div>{beside}<footer>(c) site</footer>") == TEXT
+
+
+def test_claims_stand_beside_content():
+    comments = f"<div class='comments'><p>{LONG}</p><article class='comment-body'><p>{LONG}</p></article></div>"
+    related = f"<div class='related'><article class='post'><p>{LONG}</p></article></div>"
+    assert html_cut.main_text(f"<article>{INNER}</article>{comments}{related}<article class='ad'>Buy</article>") == TEXT
+    assert html_cut.main_text(f"<div>{INNER}{comments}</div>{related}<div class='widget post'>Popular</div>") == TEXT
+    assert html_cut.main_text(f"<ul class='category-menu'><li>One</ul><article>{INNER}</article>") == TEXT
+    assert "Sentences" not in html_cut.main_text(f"<div class='cookie-consent'><p>{LONG}</p><p>{LONG}</p></div>Short.")
+
+
+def test_formulas_and_fallback_text():
+    math = "<math><semantics><mi>x</mi><mo>=</mo><mn>1</mn><annotation>x=1</annotation></semantics></math>"
+    page = f"<article><p>Let {math} be. <object data=a><param name=b>A chart.</object></p></article>"
+    assert html_cut.main_text(page) == "Let x=1 be. A chart."
+
+
+def test_many_claims():
+    page = "<div class=ad>" * 20_000 + "x" + "</div>" * 20_000 + "<div class=ad>x</div>" * 5_000 + f"<article>{INNER}"
+    assert html_cut.main_text(page) == TEXT
+
+
 def total(costs, edges, away):
     return (sum(max(c, 0) for c, x in zip(costs, away) if not x) + sum(max(-c, 0) for c, x in zip(costs, away) if x)
             + sum(w for a, b, w in edges if away[a] != away[b]))
