@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 #: In the order in which spans of one start are listed; the first four are the base kinds.
 KINDS = ("email", "ip", "card", "phone", "url", "account")
 BASE = KINDS[:4]
-#: Words that announce an identifier of a person or an account.
+#: Words that announce an identifier of a person or an account, in letters of either case.
 CUES = ("iban", "account", "acct", "konto", "cuenta", "compte", "passport", "ssn", "social security", "tax id",
         "customer id", "user id", "token", "password", "secret", "api_key", "api key")
 
@@ -25,8 +25,10 @@ _FOUR_PARTS = re.compile(r"([0-9]+)\.([0-9]+)\.([0-9]+)\.([0-9]+)")
 _DIGIT_CHAIN = re.compile(r"[0-9](?:[ -]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 _URL_REST = re.compile(r"[^\s<>\"'`{}|\\^]+")
-_AFTER_CUE = re.compile(r"(?: ?(?:number|no\.?|nr\.?|id))?[ \t]{0,2}[:=#]?[ \t]{0,2}[\"']?")
-_IDENTIFIER = re.compile(r"[A-Za-z0-9](?:[A-Za-z0-9_-]*[A-Za-z0-9])?(?: [0-9]{2,4})*")
+_AFTER_CUE = re.compile(r"(?: ?(?:number|no|nr|id)(?![a-z])\.?)?[ \t]{0,2}[:=#]?[ \t]{0,2}[\"']?", re.I | re.A)
+# Groups of digits may follow; the last one goes on to the end of its word.
+_IDENTIFIER = re.compile(r"[A-Za-z0-9](?:[A-Za-z0-9_-]*[A-Za-z0-9])?(?: [0-9]{2,4}(?![A-Za-z0-9]))*"
+                         r"(?: [0-9]{2,4}[A-Za-z0-9]+)?")
 _NOT_DIGIT = re.compile(r"[^0-9]")
 
 
@@ -36,6 +38,12 @@ def luhn(digits: str) -> bool:
     return (sum(map(int, odd)) + sum(sum(divmod(2 * int(d), 10)) for d in even)) % 10 == 0
 
 
+def _ascii_lower(text: str) -> str:
+    """The text with A to Z in lower case: as many code points, each in its place."""
+    return text.lower() if text.isascii() else text.encode("utf-8", "surrogatepass").lower().decode(
+        "utf-8", "surrogatepass")
+
+
 def _automaton() -> ahocorasick.Automaton:
     anchors = ahocorasick.Automaton()
     anchors.add_word("@", ("at", 1))
@@ -44,8 +52,7 @@ def _automaton() -> ahocorasick.Automaton:
     for digit in _DIGITS:
         anchors.add_word(digit, ("digit", 1))
     for cue in CUES:
-        for form in {cue, cue.upper(), cue.capitalize()}:
-            anchors.add_word(form, ("cue", len(form)))
+        anchors.add_word(cue, ("cue", len(cue)))
     anchors.make_automaton()
     return anchors
 
@@ -65,7 +72,7 @@ class Finder:
     def spans(self, text: str) -> list[tuple[str, int, int]]:
         found: list[tuple[str, int, int]] = []
         done = dict.fromkeys(KINDS, 0)
-        for last, (anchor, length) in self.anchors.iter(text):
+        for last, (anchor, length) in self.anchors.iter(_ascii_lower(text)):
             at = last + 1 - length
             if anchor == "digit":
                 # Only the first digit of a run can begin something.

@@ -61,6 +61,32 @@ def test_spans_that_the_method_adds():
                      ("account", "463a598be7e7")}
 
 
+def accounts(text):
+    return [text[a:b] for k, a, b in FINDER.spans(text) if k == "account"]
+
+
+def test_cues_in_any_case():
+    for cue in anchors.CUES:
+        for form in (cue, cue.upper(), cue.title(), cue.capitalize(), cue.swapcase()):
+            assert accounts(f"\u0130\u00c4 {form}: 12345678.") == ["12345678"], form
+            for word in ("Number", "NUMBER", "No", "No.", "NR", "Id", "ID"):
+                assert accounts(f"{form} {word}: 12345678") == accounts(f"{form} {word} 12345678") == ["12345678"]
+    assert accounts("API key abc12345, API Key abd12345") == ["abc12345", "abd12345"]
+    assert accounts("Passport No: X1234567, passport notice771") == ["X1234567", "notice771"]
+
+
+def test_identifiers_end_with_their_word():
+    assert accounts("ACCOUNT NUMBER 12345678") == ["12345678"]
+    assert accounts("account 1234 56789 and iban DE89 3704 0044 05x.") == ["1234 56789", "DE89 3704 0044 05x"]
+
+
+def test_numbers_after_title_case_cues_are_masked(spark):
+    docs = spark.createDataFrame([(1, "Account Number: 12345678; ACCOUNT NUMBER 12345678; Tax ID 12345678")],
+                                 "doc_id long, text string")
+    masked = "Account Number: [account]; ACCOUNT NUMBER [account]; Tax ID [account]"
+    assert tables.table(anchors.masked(docs)) == [(1, masked)]
+
+
 def test_query_columns(spark, tmp_path):
     tables.clashing(spark).write.parquet(f"{tmp_path}/documents.parquet")
     for r in queries.op9_personal_data(spark, str(tmp_path)).collect():
