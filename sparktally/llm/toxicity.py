@@ -20,8 +20,6 @@ TRAINING_ROWS = 8_000
 STEMS = range(3, 11)
 #: How far above the chance of so many candidates a term's log-likelihood ratio must lie.
 MARGIN = 8.0
-#: Terms kept in a lexicon.
-TERMS = 400
 #: Insults to start from, as whole words; labels confirm their weight or take them out.
 BASE = ("bastard", "clown", "creep", "cretin", "disgusting", "dumb", "filth", "fool", "garbage", "idiot", "imbecile",
         "jerk", "loser", "moron", "pathetic", "scum", "stupid", "trash", "vermin", "worthless")
@@ -196,7 +194,7 @@ def _count_terms(batches):
             names=["term", "dt", "wt", "dc", "wc"])
 
 
-def learn(docs: DataFrame, labels: DataFrame, most: int = TRAINING_ROWS, terms: int = TERMS,
+def learn(docs: DataFrame, labels: DataFrame, most: int = TRAINING_ROWS,
           exceptions: tuple[str, ...] = EXCEPTIONS) -> Lexicon:
     """A lexicon from the labelled rows outside the held-out fold.
 
@@ -206,8 +204,8 @@ def learn(docs: DataFrame, labels: DataFrame, most: int = TRAINING_ROWS, terms:
     term; its weight is the log ratio of its shares.  Of terms that begin
     alike the most telling one is kept.  The base words are terms unless clean
     documents have them too.  A phrase of a term and its neighbour that
-    only clean documents have, twice or more, is an exception.  Without labels
-    of both kinds the lexicon is that of the base words, with usual weights.
+    only clean documents have, twice or more, is an exception.  The training rows
+    alone bound how many terms and phrases there are.  Without labels of both kinds the lexicon is that of the base words, with usual weights.
     """
     rows = training_rows(docs, labels, most)
     n_toxic, n = rows.agg(F.sum("toxic"), F.count(F.lit(1))).first()
@@ -229,7 +227,7 @@ def learn(docs: DataFrame, labels: DataFrame, most: int = TRAINING_ROWS, terms:
     bound = 2 * float(np.log(max(candidates, 2))) + MARGIN
     often = (F.col("dt") >= 3) & (F.col("wt") * every.wc > 4 * F.col("wc") * every.wt)
     telling = (counts.where("term <> ''").withColumn("g", ratio).where(often & (F.col("g") > bound))
-               .orderBy(F.desc("g"), F.desc(F.length("term")), "term").limit(50 * terms))
+               .orderBy(F.desc("g"), F.desc(F.length("term")), "term"))
     kept: dict[str, float] = {}
     heads: set[str] = set()
     for row in telling.collect():
@@ -238,8 +236,6 @@ def learn(docs: DataFrame, labels: DataFrame, most: int = TRAINING_ROWS, terms:
             continue
         kept[row.term] = float(np.log((row.wt + 0.5) / (every.wt + 1)) - np.log((row.wc + 0.5) / (every.wc + 1)))
         heads.update(word[:k] for k in range(1, len(word) + 1))
-        if len(kept) == terms:
-            break
     base = [f"{w}$" for w in BASE]
     common = {r.term for r in counts.where(F.col("term").isin(base)).where(~often & (F.col("dc") > 0)).collect()}
     kept |= {t: BASE_WEIGHT for t in base if t not in common and not any(t[:k] in kept for k in range(1, len(t) + 1))}
@@ -269,7 +265,7 @@ def _learned_exceptions(rows: DataFrame, lexicon: Lexicon) -> list[str]:
 
     seen = rows.mapInArrow(phrases, "phrase string, toxic int")
     clean = (seen.groupBy("phrase").agg(F.sum("toxic").alias("t"), F.count(F.lit(1)).alias("n"))
-             .where("t = 0 and n >= 2").orderBy(F.desc("n"), "phrase").limit(1000))
+             .where("t = 0 and n >= 2").orderBy(F.desc("n"), "phrase"))
     return [r.phrase for r in clean.collect()]
 
 

@@ -83,3 +83,25 @@ def test_a_base_word_that_clean_texts_use_is_left_out(spark):
     labels = docs.selectExpr("doc_id", "1 AS quality", "int(doc_id % 4 = 0) AS toxic")
     weights = toxicity.learn(docs, labels).weights
     assert "clown$" not in weights and "fool$" not in weights and "scum$" in weights
+
+
+def name(i):
+    return "".join(chr(ord("a") + i // 26 ** k % 26) for k in range(3))
+
+
+def test_every_telling_term_is_kept(spark):
+    toxic = [(i, " ".join(f"{name(j)}vile" for j in range(i % 25, 600, 25))) for i in range(500)]
+    clean = [(500 + i, " ".join(f"w{name(i * 37 + j)}ord" for j in range(90))) for i in range(500)]
+    docs = spark.createDataFrame([(i, f"{t} only{name(i)}once{name(i)}") for i, t in toxic + clean],
+                                 "doc_id long, text string")
+    labels = docs.selectExpr("doc_id", "1 AS quality", "int(doc_id < 500) AS toxic")
+    weights = toxicity.learn(docs, labels).weights
+    assert sum(any(w[:k] in weights for k in range(1, 8)) or f"{w}$" in weights
+               for w in (f"{name(j)}vile" for j in range(600))) == 600
+
+
+def test_every_exception_phrase_is_learned(spark):
+    lexicon = toxicity.Lexicon({"scum$": 5.0}, ())
+    rows = [(" ".join(f"{name(i)}x scum ." for i in range(1500)), 0)] * 2 + [("you scum", 1)]
+    learned = toxicity._learned_exceptions(spark.createDataFrame(rows, "text string, toxic int"), lexicon)
+    assert sorted(learned) == sorted(f"{name(i)}x scum" for i in range(1500))
