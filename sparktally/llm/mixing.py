@@ -64,15 +64,22 @@ def copies_of(docs: DataFrame, seed: int = 17, weights: tuple[int, ...] = WEIGHT
     size 0; a source without words has target 0 and is not taken.  Equal rows
     are counted one by one.  Hot sources and sizes are split, see `positions`.
     """
-    rows = settle(docs.select(
+    return _copies(docs, [], seed, weights, most)
+
+
+def _copies(docs: DataFrame, more: list[Column], seed: int, weights: tuple[int, ...], most: int) -> DataFrame:
+    """As `copies_of`, with `more` columns, which put rows of equal id and text in order."""
+    rows = docs.select(
         F.col("doc_id"), F.xxhash64("text").alias("text_hash"), _source_key(F.col("source")).alias("key"),
-        word_count(F.col("text")).alias("size"), tie_hash(F.col("doc_id")).alias("tie")))
+        word_count(F.col("text")).alias("size"), tie_hash(F.col("doc_id")).alias("tie"), *more)
+    last = [c for c in rows.columns if c not in ("key", "size", "tie")]
+    rows = settle(rows)
     sizes = rows.groupBy("key").agg(F.sum("size").alias("source_size"))
     targets = source_targets(sizes, weights, most)
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
     targets = settle(targets.select("key", "source_size", "target", rate.alias("rate")))
     spread = F.pmod(F.col("tie"), F.lit(SPREAD)).alias("spread")
-    placed = settle(positions(rows, ["key"], "size", "tie", ["doc_id", "text_hash"]).select("*", spread))
+    placed = settle(positions(rows, ["key"], "size", "tie", last).select("*", spread))
     drawn = [_crossed(_offset(seed, draw)) * F.col("size") for draw in range(OFFSETS)]
     words = (placed.join(_spread(targets), ["key", "spread"]).groupBy("key", "target")
              .agg(F.array(*[F.sum(w) for w in drawn]).alias("words")))
@@ -102,19 +109,30 @@ def _crossed(offset: Column) -> Column:
                    F.ceil("rate"))
 
 
+def _whole_hash(docs: DataFrame) -> Column:
+    """A hash of all columns; nulls count, and nested values, maps included, go in as JSON."""
+    nested = ("struct", "array", "map", "variant")
+    columns = [(docs[f"`{f.name}`"], f.dataType.simpleString().startswith(nested)) for f in docs.schema]
+    return F.xxhash64(*[F.to_json(F.struct(c.alias("c"))) if deep else c for c, deep in columns],
+                      *[c.isNull() for c, _ in columns])
+
+
 def mix(docs: DataFrame, seed: int = 17, weights: tuple[int, ...] = WEIGHTS, most: int = MOST) -> DataFrame:
     """The mixed documents: every row of `docs` as often as the mix takes it.
 
-    Equal rows are interchangeable: the first of them stands for the copies
-    of all.  Columns are those of `docs`.
+    Rows equal in all columns are interchangeable: one of them stands for the copies
+    of all.  Rows of equal id, text and source that differ elsewhere are ordered by a hash
+    of the whole row and have copies of their own.  Columns are those of `docs`.
     """
-    taken = (copies_of(docs, seed, weights, most).groupBy("doc_id", "text_hash", "key")
+    whole = _whole_hash(docs)
+    taken = (_copies(docs, [whole.alias("whole")], seed, weights, most).groupBy("doc_id", "text_hash", "key", "whole")
              .agg(F.sum("copies").alias("_copies")).where("_copies > 0"))
     rows = docs.select(carried(docs).alias("_row"), F.col("doc_id").alias("_id"),
-                       F.xxhash64("text").alias("_hash"), _source_key(F.col("source")).alias("_key"))
+                       F.xxhash64("text").alias("_hash"), _source_key(F.col("source")).alias("_key"),
+                       whole.alias("_whole"))
     same = (rows["_id"].eqNullSafe(taken["doc_id"]) & (rows["_hash"] == taken["text_hash"])
-            & (rows["_key"] == taken["key"]))
-    first = F.row_number().over(Window.partitionBy("_id", "_hash", "_key").orderBy("_hash")) == 1
+            & (rows["_key"] == taken["key"]) & (rows["_whole"] == taken["whole"]))
+    first = F.row_number().over(Window.partitionBy("_id", "_hash", "_key", "_whole").orderBy("_hash")) == 1
     return (rows.join(taken, same).withColumn("_first", first).where("_first")
             .select("_row", F.explode(F.sequence(F.lit(1), F.col("_copies"))).alias("_copy"))
             .select("_row.*"))

@@ -77,3 +77,11 @@ def test_mix_repeats_whole_rows(spark):
     got = {r["doc_id"]: r["n"] for r in mixed.groupBy("doc_id").agg(F.count("*").alias("n")).collect()}
     assert got == {k: n for k, n in want.items() if n}
     assert mixing.mix(tables.empty(spark)).count() == 0
+
+
+def test_rows_that_differ_elsewhere_keep_their_own_copies(spark):
+    docs = [(1, "some words", lang, "a", n) for lang in ("en", "de", None) for n in (1, 2, None)] + [(1, "x", "en", "a", 1)] * 2
+    table = spark.createDataFrame(docs, tables.DOCS).withColumn("extra", F.create_map("doc_id", "lang"))
+    for parts in (1, 5):
+        mixed = mixing.mix(table.repartition(parts))  # one source: every row once
+        assert tables.table(mixed) == tables.table(table)
