@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from sparktally.llm import (anchors, digest, hilbert, html_cut, line_runs, mixing, multi_index, pieces, simhash_tree,
-                            toxicity)
+from sparktally.llm import (anchors, decontaminate, digest, hilbert, html_cut, line_runs, mixing, multi_index, pieces,
+                            simhash_tree, toxicity)
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -148,3 +148,41 @@ def op9_personal_data(spark, folder):
 def op10_simhash_components(spark, folder):
     found = simhash_tree.near_duplicates(_documents(spark, folder), shingle=3, max_bits=2)
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+@query
+def op12_decontaminate(spark, folder):
+    found = decontaminate.contamination(_documents(spark, folder), spark.read.parquet(f"{folder}/benchmark.parquet"))
+    return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+                        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+                        (F.col("n_hit") > 0).alias("contaminated"))
+
+
+ORACLE["op12_decontaminate"] = r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS r, doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM documents),
+tests AS (
+  SELECT item_id::VARCHAR AS item,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM benchmark),
+grams AS (
+  SELECT DISTINCT item, least(len(w), 10) AS n, array_to_string(w[i:i + least(len(w), 10) - 1], ' ') AS gram
+  FROM tests, unnest(range(1, greatest(len(w) - 9, 1) + 1)) t(i) WHERE len(w) > 0),
+widths AS (SELECT DISTINCT n FROM grams),
+windows AS (
+  SELECT r, i, n, array_to_string(w[i:i + n - 1], ' ') AS gram
+  FROM docs CROSS JOIN widths, unnest(range(1, len(w) - n + 2)) t(i)),
+hits AS (SELECT r, i, n, item FROM windows JOIN grams USING (n, gram)),
+hit_words AS (
+  SELECT r, count(DISTINCT p)::BIGINT AS n_hit FROM hits, unnest(range(i, i + n)) t(p) GROUP BY r),
+hit_items AS (
+  SELECT r, count(*)::BIGINT AS n_items, string_agg(item, ',' ORDER BY item) AS items
+  FROM (SELECT DISTINCT r, item FROM hits) GROUP BY r)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM docs LEFT JOIN hit_words USING (r) LEFT JOIN hit_items USING (r)
+"""

@@ -25,7 +25,7 @@ def test_registered():
 
 @pytest.mark.parametrize("name", sorted(queries.QUERIES))
 def test_tables_without_rows(spark, tmp_path, name):
-    for table in ("documents", "labels", "embeddings", "pages"):
+    for table in ("documents", "labels", "embeddings", "pages", "benchmark"):
         spark.read.parquet(f"{FOLDER}/{table}.parquet").limit(0).write.parquet(f"{tmp_path}/{table}.parquet")
     assert queries.QUERIES[name](spark, str(tmp_path)).count() == 0
 
