@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from sparktally.llm import (anchors, decontaminate, digest, hilbert, html_cut, line_runs, mixing, multi_index, pieces,
+from sparktally.llm import (align, anchors, decontaminate, digest, hilbert, html_cut, line_runs, mixing, multi_index, pieces,
                             simhash_tree, toxicity)
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -186,3 +186,8 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(
        sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM docs LEFT JOIN hit_words USING (r) LEFT JOIN hit_items USING (r)
 """
+
+
+@query
+def op13_align_tokenizers(spark, folder):
+    return align.align(_documents(spark, folder))

@@ -1,0 +1,150 @@
+"""Token groups and links against a plain walk over characters' bytes."""
+
+import hashlib
+import random
+from collections import Counter
+from pathlib import Path
+
+import plans
+import pytest
+import sentencepiece
+import tables
+from tokenizers import Tokenizer
+
+from sparktally.llm import align
+
+MODEL = sentencepiece.SentencePieceProcessor(model_file=align.PIECES)
+LEVEL = Tokenizer.from_file(align.BYTE_LEVEL)
+LEVEL.encode_special_tokens = True
+
+
+def _level_bytes():
+    """The letters of byte-level files, written down on their own: shifted where they would not be seen."""
+    table, shifted = {}, 0
+    for b in range(256):
+        if b <= 32 or 127 <= b <= 160 or b == 173:
+            table[chr(256 + shifted)] = b
+            shifted += 1
+        else:
+            table[chr(b)] = b
+    return table
+
+
+LETTERS = _level_bytes()
+
+
+def tokens(text):
+    """(id, bytes) of both encodings by the libraries, on whole texts."""
+    if not text:
+        return [], []
+    e = LEVEL.encode(" " + text, add_special_tokens=False)
+    a = [(i, bytes(LETTERS[c] for c in t)) for i, t in zip(e.ids, e.tokens)]
+    b = []
+    for i in MODEL.encode(text):
+        piece = MODEL.id_to_piece(i)
+        b.append((i, bytes([int(piece[3:5], 16)]) if MODEL.is_byte(i) else piece.replace("▁", " ").encode()))
+    whole = (" " + text).encode()
+    return (a, b) if all(b"".join(x for _, x in side) == whole for side in (a, b)) else ([], [])
+
+
+def groups(text):
+    a, b = tokens(text)
+    out, left, right, at_a, at_b = [], [], [], 0, 0
+    a, b = list(a), list(b)
+    while a or b:
+        if at_a <= at_b:
+            i, x = a.pop(0)
+            left.append(i)
+            at_a += len(x)
+        else:
+            i, x = b.pop(0)
+            right.append(i)
+            at_b += len(x)
+        if at_a == at_b:
+            out.append((left, right))
+            left, right = [], []
+    return out
+
+
+def by_hand(rows):
+    found = [groups(text) for _, text in rows]
+    links = [Counter((x, y) for a, b in gs for x in a for y in b) for gs in found]
+    docs = Counter(pair for of in links for pair in of)
+    most = {}
+    for (x, _), n in docs.items():
+        most[x] = max(n, most.get(x, 0))
+    out = []
+    for (doc_id, _), gs, of in zip(rows, found, links):
+        text = ";".join(",".join(map(str, a)) + "|" + ",".join(map(str, b)) for a, b in gs)
+        out.append((doc_id, sum(len(a) for a, _ in gs), sum(len(b) for _, b in gs), len(gs), sum(of.values()),
+                    sum(n for p, n in of.items() if docs[p] == most[p[0]]), sum(n * docs[p] for p, n in of.items()),
+                    hashlib.sha256(text.encode()).hexdigest() if gs else ""))
+    return sorted(out, key=repr)
+
+
+def found(df):
+    return tables.table(df.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"))
+
+
+TEXTS = ["the quick brown fox", "<|endoftext|> and <s> are text", "a▁b has a mark", "日本語のテキスト and ünïcödé \U0001f600\U0001f468‍\U0001f469",
+         "    spaces   between  \n\n\ttabs\n ", " ", "x" * 300, "=" * 5000, "don't we'll 12345 3.14159", "the quick brown fox",
+         "\x00\x01 control \x85   ", "word " * 50, "\n", "ffi ﬁ Å é é"]
+
+
+def test_equals_a_plain_walk(spark):
+    rows = list(enumerate(TEXTS)) + [(3, TEXTS[0]), (None, None), (50, ""), (51, TEXTS[3]), (51, TEXTS[3])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    want = by_hand(rows)
+    assert found(align.align(docs)) == want
+    assert found(align.align(docs, chunk_bytes=40)) == want
+
+
+def test_random_rows_of_characters(spark):
+    rng = random.Random(5)
+    letters = "abcde  ABC\n\t.,'é日\U0001f600▁0123ß"
+    rows = [(i, "".join(rng.choice(letters) for _ in range(rng.randint(0, 60)))) for i in range(200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    assert found(align.align(docs, chunk_bytes=1000)) == by_hand(rows)
+
+
+def test_awkward_rows_and_extra_columns(spark):
+    docs = tables.clashing(spark)
+    rows = [r[:2] for r in tables.AWKWARD]
+    assert found(align.align(docs)) == by_hand(rows)
+
+
+def test_long_texts_are_encoded_in_parts(spark, monkeypatch):
+    monkeypatch.setattr(align, "PART_CHARS", 20)
+    data = [Path(p).read_bytes() for p in (align.BYTE_LEVEL, align.PIECES)]
+    aligner = align.Aligner(*data)
+    rng = random.Random(3)
+    for text in [*TEXTS, "one two " * 40, "no-cut-here!" * 30,
+                 " ".join(rng.choice(["ab", "don't", "  ", "日本", "x_1", "7", "\n"]) for _ in range(400))]:
+        a, b = tokens(text)
+        assert aligner.tokens(text) == ([i for i, _ in a], [i for i, _ in b])
+    assert len(align._parts("one two " * 40)) > 5
+
+
+@pytest.mark.parametrize("listed", [0, 1, 5, 4096])
+def test_large_groups_are_counted_by_distinct_ids(listed, monkeypatch):
+    monkeypatch.setattr(align, "LISTED", listed)
+    aligner = align.Aligner(*[Path(p).read_bytes() for p in (align.BYTE_LEVEL, align.PIECES)])
+    ids_a, ids_b = [5, 5, 6, 7, 5, 5], [1, 2, 1, 1, 3, 3, 3]
+    n, pairs, times = aligner.links(ids_a, ids_b, [3, 4, 6], [3, 4, 7])
+    want = Counter((x, y) for a, b in ((ids_a[:3], ids_b[:3]), ([7], [1]), ([5, 5], [3, 3, 3])) for x in a for y in b)
+    assert n == sum(want.values())
+    assert {(p // aligner.width, p % aligner.width): t for p, t in zip(pairs.tolist(), times.tolist())} == want
+
+
+def test_only_distinct_pairs_of_chunks_are_shuffled_for_the_counts(spark, big):
+    docs = spark.range(300).selectExpr("id AS doc_id", "'the very same words' AS text").repartition(4)
+    got = align.align(docs)
+    assert {r.count_sum for r in got.collect()} == {300 * 4}
+    seen = plans.executed(got)
+    assert seen["FlatMapCoGroupsInArrowExec"] == 1 and not seen["CartesianProductExec"] + seen["BroadcastNestedLoopJoinExec"]
+
+
+def test_no_rows(spark):
+    assert align.align(tables.empty(spark)).count() == 0
+    assert found(align.align(spark.createDataFrame([(1, None)], "doc_id long, text string"))) == [
+        (1, 0, 0, 0, 0, 0, 0, "")]
