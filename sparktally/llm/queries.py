@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from sparktally.llm import (align, anchors, decontaminate, digest, hilbert, html_cut, line_runs, mixing, multi_index, pieces,
-                            simhash_tree, toxicity)
+                            simhash_tree, toxicity, whiten)
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -150,6 +150,12 @@ def op10_simhash_components(spark, folder):
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+@query
+def op11_whiten(spark, folder):
+    found = whiten.whiten(spark.read.parquet(f"{folder}/embeddings.parquet"))
+    return found.withColumn("deviation", F.col("deviation").try_cast("long"))
+
+
 @query
 def op12_decontaminate(spark, folder):
     found = decontaminate.contamination(_documents(spark, folder), spark.read.parquet(f"{folder}/benchmark.parquet"))
