@@ -401,6 +401,5 @@ SELECT CAST(event_id AS VARCHAR) AS frame_id, camera_id, iso AS timestamp, perso
     "store_detections": _DETECTION_BOXES,
     "detections_total": "SELECT count(*) AS total FROM events",
     "people_per_window": _WINDOWS,
-    "people_per_window_stream": _WINDOWS + """
-WHERE w + INTERVAL 1 HOUR <= (SELECT date_trunc('millisecond', max(ts)) FROM events) - INTERVAL 10 MINUTE""",
+    "people_per_window_stream": _WINDOWS,
 }

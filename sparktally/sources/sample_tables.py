@@ -160,11 +160,13 @@ def detections(spark: SparkSession, folder: str) -> DataFrame:
     return detection_records(table(spark, folder, "events"))
 
 
-def detection_stream(spark: SparkSession, folder: str) -> DataFrame:
-    """The events as a stream; the table is one file or a folder of files."""
+def detection_stream(spark: SparkSession, folder: str, max_files: int | None = None) -> DataFrame:
+    """The events as a stream, `max_files` a batch if given; the table is one file or a folder of files."""
     name = "events.parquet"
     batch = table(spark, folder, "events")
     reader = spark.readStream.schema(batch.schema)
+    if max_files is not None:
+        reader = reader.option("maxFilesPerTrigger", max_files)
     first = batch.select("_metadata.file_name").first()
     if first is not None and first.file_name == name:
         return detection_records(reader.option("pathGlobFilter", name).parquet(folder))
