@@ -5,19 +5,23 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import types as T
 
 from sparktally import schemas
 from sparktally.functions.parsing import AGE_BANDS_FINE, AGE_BANDS_WIDE, band, epoch_year
 from sparktally.operators import ranking
 from sparktally.operators.joins import lookup
+from sparktally.operators.rejects import Rejects, checked_batches, write_checked
 from sparktally.operators.terms import words_of
 from sparktally.plans import commerce, frames, movies, reviews
 from sparktally.session import scratch_path
 from sparktally.sources import readers, sample_tables as t, sinks
 from sparktally.sources.readers import frame_paths as frame_listing
 from sparktally.streaming import pipeline, windows
+from sparktally.streaming.keyed_store import KeyedStore
 
 Query = Callable[[SparkSession, str], DataFrame]
+_REJECT = [T.StructField("value", T.StringType()), T.StructField("kind", T.StringType())]
 QUERIES: dict[str, Query] = {}
 
 
@@ -130,8 +134,33 @@ def ratings_text_round_trip(spark, folder):
 
 @query
 def rating_rejects(spark, folder):
-    """What reading the two files leaves out."""
-    return readers.rating_rejects(spark, _rating_files(spark, folder), min_fields=4)
+    """What reading the two files leaves out, counted by the pass that stores the rest."""
+    rejects = Rejects(most_share=0.5)
+    path = scratch_path(spark, "accepted")
+    read = readers.read_ratings(spark, _rating_files(spark, folder), min_fields=4, rejects=rejects)
+    write_checked(read, path, rejects)
+    kept = spark.read.schema(read.schema).parquet(path).agg(F.count(F.lit(1)).alias("n_kept"))
+    return kept.withColumns({name: F.lit(n).cast("bigint") for name, n in rejects.counts.items()})
+
+
+@query
+def message_rejects(spark, folder):
+    """Detection messages, some cut off, streamed into a folder per kind; the rejects of each batch from its own pass."""
+    base = scratch_path(spark, "messages")
+    records = t.detections(spark, folder).select(*schemas.DETECTION_RECORD.fieldNames())
+    cut = F.when(F.pmod(F.col("frame_id").cast("int"), F.lit(41)) == 0, F.expr("left(value, length(value) - 5)"))
+    lines = records.select("frame_id", F.to_json(F.struct(*records.columns)).alias("value"))
+    sinks.write_lines(lines.select(F.coalesce(cut, F.col("value")).alias("value")), f"{base}/in")
+    counted: dict[int, dict[str, int]] = {}
+    write = checked_batches(f"{base}/out", pipeline.sorted_messages(schemas.DETECTION_RECORD), most_share=0.5,
+                            report=counted.__setitem__)
+    pipeline.store_batches(spark.readStream.text(f"{base}/in"), write, f"{base}/checkpoint", available_now=True
+                           ).awaitTermination()
+    stored = spark.read.schema(T.StructType([*schemas.DETECTION_RECORD, *_REJECT])
+                               ).parquet(f"{base}/out")
+    reported = {name: sum(c.get(name, 0) for c in counted.values()) for name in ("n_rows", "n_malformed")}
+    return (stored.groupBy("kind").agg(F.count(F.lit(1)).alias("n"), F.sum("person_count").alias("people"))
+            .withColumns({name: F.lit(n).cast("bigint") for name, n in reported.items()}))
 
 
 @query
@@ -436,6 +465,18 @@ def store_detections(spark, folder):
     return _flat_boxes(readers.read_detections(spark, f"{base}/store"))
 
 
+@query
+def store_detections_once(spark, folder):
+    """Records merged by frame into a store by day; every one comes twice, and all again after a lost checkpoint."""
+    base = scratch_path(spark, "once")
+    store = KeyedStore(spark, f"{base}/store", schemas.DETECTION_RECORD)
+    records = t.detection_stream(spark, folder).select(*schemas.DETECTION_RECORD.fieldNames())
+    for checkpoint in ("first", "second"):
+        pipeline.store_batches(records.unionAll(records), store.writer(), f"{base}/{checkpoint}",
+                               available_now=True).awaitTermination()
+    return _flat_boxes(store.read())
+
+
 @query
 def latest_detections(spark, folder):
     return frames.latest_detections(t.detections(spark, folder)).select(

@@ -243,8 +243,15 @@ GROUP BY 1""",
     "rating_rejects": _with(RATINGS) + """
 SELECT count(*) AS n_rows, count(*) FILTER ((user_id + movie_id) % 89 = 0) AS n_short,
        count(*) FILTER ((user_id + movie_id) % 89 <> 0 
-                        AND ((user_id + movie_id) % 97 = 0 OR (user_id + movie_id) % 83 = 0)) AS n_bad_rating
+                        AND ((user_id + movie_id) % 97 = 0 OR (user_id + movie_id) % 83 = 0)) AS n_bad_rating,
+       count(*) FILTER ((user_id + movie_id) % 89 <> 0 AND (user_id + movie_id) % 97 <> 0
+                        AND (user_id + movie_id) % 83 <> 0) AS n_kept
 FROM ratings""",
+    "message_rejects": _with(DETECTIONS) + """
+SELECT CASE WHEN event_id % 41 = 0 THEN 'malformed' ELSE 'record' END AS kind, count(*) AS n,
+       CAST(sum(CASE WHEN event_id % 41 <> 0 THEN person_count END) AS BIGINT) AS people,
+       (SELECT count(*) FROM events) AS n_rows, (SELECT count(*) FROM events WHERE event_id % 41 = 0) AS n_malformed
+FROM records GROUP BY 1""",
     "movies_text_round_trip": _with(MOVIES) + """, lines AS (
 SELECT CAST(movie_id AS VARCHAR) AS movie_id, title, genres, movie_id % 5 = 0 AS comma,
        CASE WHEN movie_id % 5 = 0 THEN title || ', The' ELSE title END AS full_title FROM movies)
@@ -399,6 +406,7 @@ FROM digests""",
 SELECT CAST(event_id AS VARCHAR) AS frame_id, camera_id, iso AS timestamp, person_count FROM records""",
     "detection_boxes": _DETECTION_BOXES,
     "store_detections": _DETECTION_BOXES,
+    "store_detections_once": _DETECTION_BOXES,
     "detections_total": "SELECT count(*) AS total FROM events",
     "people_per_window": _WINDOWS,
     "people_per_window_stream": _WINDOWS,

@@ -88,10 +88,21 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{_scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+def _folder(spark: SparkSession, path: str):
+    """The path and its file system, whichever that is."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return folder, folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
 def discard(spark: SparkSession, path: str) -> None:
     """Delete a scratch folder; nothing happens if it is gone."""
-    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+    folder, files = _folder(spark, path)
+    files.delete(folder, True)
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    folder, files = _folder(spark, path)
+    return files.exists(folder)
 
 
 def clear_scratch(spark: SparkSession) -> None:

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
 from sparktally import schemas
 from sparktally.functions.parsing import movie_fields, safe_double, safe_int
+from sparktally.operators.rejects import Rejects
 
 Paths = str | Sequence[str]
 
@@ -38,15 +39,19 @@ def _rating_lines(spark: SparkSession, paths: Paths) -> DataFrame:
 
 
 def read_ratings(spark: SparkSession, paths: Paths, min_fields: int = 3,
-                 on_bad: str = "drop") -> DataFrame:
+                 on_bad: str = "drop", rejects: Rejects | None = None) -> DataFrame:
     """user_id, movie_id, rating DOUBLE, ts BIGINT (epoch seconds).
 
     Lines with fewer than `min_fields` fields are dropped; an empty field is a
     field.  A rating that is no number, an empty one included, is dropped, kept
-    as null, or fails the job (`on_bad` = drop, null, fail).
+    as null, or fails the job (`on_bad` = drop, null, fail).  `rejects` counts, in the same
+    pass, n_short lines and those with an n_bad_rating.
     """
     field = lambda i: F.get("parts", F.lit(i))
-    lines = _rating_lines(spark, paths).where(F.size("parts") >= min_fields)
+    lines = _rating_lines(spark, paths)
+    if rejects is not None:
+        lines = rejects.watch(lines, **_rating_faults(min_fields))
+    lines = lines.where(F.size("parts") >= min_fields)
     if on_bad == "fail":
         bad = F.concat(F.lit("rating is not a number: "), F.coalesce(field(2), F.lit("")))
         rating = F.coalesce(safe_double(field(2)), F.raise_error(bad).cast("double"))
@@ -59,13 +64,17 @@ def read_ratings(spark: SparkSession, paths: Paths, min_fields: int = 3,
     return rows.where(F.col("rating").isNotNull()) if on_bad == "drop" else rows
 
 
-def rating_rejects(spark: SparkSession, paths: Paths, min_fields: int = 3) -> DataFrame:
-    """One row: n_rows, n_short, n_bad_rating of the rating files."""
+def _rating_faults(min_fields: int) -> dict[str, Column]:
+    """Why a rating line is left out, one reason per line."""
     short = F.size("parts") < min_fields
+    return {"n_short": short, "n_bad_rating": ~short & safe_double(F.get("parts", F.lit(2))).isNull()}
+
+
+def rating_rejects(spark: SparkSession, paths: Paths, min_fields: int = 3) -> DataFrame:
+    """One row: n_rows, n_short, n_bad_rating of the rating files, by a pass of its own."""
     return _rating_lines(spark, paths).agg(
         F.count(F.lit(1)).alias("n_rows"),
-        F.count_if(short).alias("n_short"),
-        F.count_if(~short & safe_double(F.get("parts", F.lit(2))).isNull()).alias("n_bad_rating"))
+        *[F.count_if(fault).alias(name) for name, fault in _rating_faults(min_fields).items()])
 
 
 def read_users(spark: SparkSession, paths: Paths) -> DataFrame:

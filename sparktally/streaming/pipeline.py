@@ -9,11 +9,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from sparktally import schemas
+from sparktally.operators.rejects import Rejects
 from sparktally.plans.frames import CONFIDENCE, Scorer, detect_people
 
 #: New files that one batch takes, so that a backlog is not one batch.
@@ -48,15 +49,31 @@ def read_message_stream(spark: SparkSession, schema: T.StructType, source: str =
         values = reader.load().select(F.col("value").cast("string").alias("value"))
     else:
         raise ValueError(f"unknown source {source!r}")
-    tried = values.withColumn("_m", F.from_json(
-        "value", T.StructType([*schema.fields, _CORRUPT]),
-        {"columnNameOfCorruptRecord": _CORRUPT.name}))
-    broken = F.col("_m").isNull() | F.col(f"_m.{_CORRUPT.name}").isNotNull()
+    tried, broken = _tried(values, schema)
     if malformed:
         return tried.where(broken).select("value")
     return tried.where(~broken).select("_m.*").drop(_CORRUPT.name)
 
 
+def _tried(values: DataFrame, schema: T.StructType) -> tuple[DataFrame, Column]:
+    """`value` read as JSON into `_m`, and whether that failed."""
+    tried = values.withColumn("_m", F.from_json(
+        "value", T.StructType([*schema.fields, _CORRUPT]),
+        {"columnNameOfCorruptRecord": _CORRUPT.name}))
+    return tried, F.col("_m").isNull() | F.col(f"_m.{_CORRUPT.name}").isNotNull()
+
+
+def sorted_messages(schema: T.StructType) -> Callable[[DataFrame, Rejects], DataFrame]:
+    """For `checked_batches`: the messages in `value` as kind 'record', what is no JSON as kind 'malformed'."""
+    def sort_out(batch: DataFrame, rejects: Rejects) -> DataFrame:
+        tried, broken = _tried(batch.select("value"), schema)
+        watched = rejects.watch(tried, n_malformed=broken)
+        return watched.select(F.when(broken, F.col("value")).alias("value"),
+                              *[F.when(~broken, F.col(f"_m.{f}")).alias(f) for f in schema.fieldNames()],
+                              F.when(broken, "malformed").otherwise("record").alias("kind"))
+    return sort_out
+
+
 def to_messages(df: DataFrame, key: str | None = None) -> DataFrame:
     """Rows as JSON text in `value`, the topic form of a record."""
     body = F.to_json(F.struct(*df.columns)).alias("value")
