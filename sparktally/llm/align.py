@@ -6,7 +6,9 @@ import hashlib
 import json
 import os
 import re
-from itertools import accumulate
+from array import array
+from collections import Counter
+from itertools import accumulate, chain, count
 from pathlib import Path
 
 import numpy as np
@@ -22,14 +24,12 @@ PIECES = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
 #: UTF-8 bytes of text that make up a chunk: documents whose links are looked up together.
 CHUNK_BYTES = 8 << 20
-#: Characters that the libraries are given at once, about so many.
-PART_CHARS = 1 << 16
 #: Links of a group that are listed one by one; a larger group is reduced to its distinct ids first.
 LISTED = 4_096
-#: Groups that the text of a digest is built of at once.
-_GROUPS_AT_ONCE = 1 << 16
-#: A space between word characters: neither library has a token that goes on over the place before it.
-_CUT = re.compile(r"(?<=\w) (?=\w)")
+#: Words that a task keeps aligned, and the length up to which it does.
+REMEMBERED, LONGEST = 300_000, 256
+#: A space between two characters that are none: both sides begin a token there, so words are encoded and aligned alone.
+_CUT = re.compile(r"(?<=\S) (?=\S)")
 
 
 # ---- the two vocabularies ------------------------------------------------
@@ -62,9 +62,9 @@ class ByteLevel:
             if token not in special:
                 self.octets[i] = bytes(letters[c] for c in token)
 
-    def encode(self, parts: list[str]) -> list[list[int]]:
-        """Ids of parts that each begin with the space before them."""
-        return [e.ids for e in self.library.encode_batch_fast(parts, add_special_tokens=False)]
+    def encode(self, words: list[str]) -> list[list[int]]:
+        """Ids of words, each with the space before it."""
+        return [e.ids for e in self.library.encode_batch_fast([" " + w for w in words], add_special_tokens=False)]
 
 
 class Pieces:
@@ -84,101 +84,103 @@ class Pieces:
                 # Where a piece goes on after a space, a text cannot be cut before one.
                 self.cuts &= MARK not in piece.lstrip(MARK)
 
-    def encode(self, parts: list[str]) -> list[list[int]]:
-        """Ids of parts without the space before them."""
-        return self.library.encode(parts, num_threads=1)
+    def encode(self, words: list[str]) -> list[list[int]]:
+        """Ids of words; the library puts a space before each."""
+        return self.library.encode(words, num_threads=1)
 
 
-def _parts(text: str) -> list[str]:
-    """The text in parts of about PART_CHARS that are encoded alike alone; the space at a cut is left out."""
-    parts, at = [], 0
-    while len(text) - at > PART_CHARS:
-        cut = _CUT.search(text, at + PART_CHARS)
-        if cut is None:
-            break
-        parts.append(text[at:cut.start()])
-        at = cut.end()
-    return [*parts, text[at:]]
+#: n_a, n_b, n_groups, n_links, the groups as text (None if the bytes do not come back), the linked pairs as bytes
+#: of 64-bit numbers, repeats included, and those of large groups as (pair, times).
+Word = tuple[int, int, int, int, str | None, bytes, tuple[tuple[int, int], ...]]
 
 
 class Aligner:
-    """Both encodings of texts, and their groups and links."""
+    """Both encodings of texts, and their groups and links.
 
-    def __init__(self, byte_level: bytes, pieces: bytes):
+    What a text gives is put together from its words, as no token of either
+    side goes on from one word to the next; distinct words are worked out once.
+    """
+
+    def __init__(self, byte_level: bytes, pieces: bytes, remembered: int = REMEMBERED):
         self.a, self.b = ByteLevel(byte_level), Pieces(pieces)
         self.sizes = [list(map(len, side.octets)) for side in (self.a, self.b)]
         self.decimal = [list(map(str, range(len(side.octets)))) for side in (self.a, self.b)]
         self.width = len(self.b.octets)
+        self.known: dict[str, Word] = {}
+        self.remembered = remembered
 
-    def tokens(self, text: str | None) -> tuple[list[int], list[int]]:
-        """Ids of space + text in both encodings; none if either does not give its bytes back."""
-        if not text:
-            return [], []
-        parts = _parts(text) if self.b.cuts else [text]
-        ids_a = [i for ids in self.a.encode([" " + p for p in parts]) for i in ids]
-        ids_b = [i for ids in self.b.encode(parts) for i in ids]
-        whole = (" " + text).encode("utf-8", "surrogatepass")
-        same = all(b"".join(map(side.octets.__getitem__, ids)) == whole for side, ids in ((self.a, ids_a), (self.b, ids_b)))
-        return (ids_a, ids_b) if same else ([], [])
-
-    def cuts(self, ids_a: list[int], ids_b: list[int]) -> tuple[list[int], list[int]]:
-        """For each group, how many tokens of either side come before its end.
+    def word(self, word: str, ids_a: list[int], ids_b: list[int]) -> Word:
+        """The groups of one word and the links of each.
 
         The ends of a side's tokens are a dictionary from byte offset to
         number of tokens; the offsets that both dictionaries hold, in order, are the ends of the groups.
         """
-        index_a, index_b = (dict(zip(accumulate(map(sizes.__getitem__, ids)), range(1, len(ids) + 1)))
-                            for sizes, ids in zip(self.sizes, (ids_a, ids_b)))
-        shared = sorted(index_a.keys() & index_b.keys())
-        return list(map(index_a.__getitem__, shared)), list(map(index_b.__getitem__, shared))
-
-    def digest(self, ids_a: list[int], ids_b: list[int], ends_a: list[int], ends_b: list[int]) -> str:
-        """SHA-256 of the groups as text, '' without any; the text is built piece by piece."""
-        if not ends_a:
-            return ""
-        text_a, text_b = self.decimal
-        said, a, b, out = hashlib.sha256(), 0, 0, []
-        for end_a, end_b in zip(ends_a, ends_b):
-            left = text_a[ids_a[a]] if end_a == a + 1 else ",".join([text_a[i] for i in ids_a[a:end_a]])
-            right = text_b[ids_b[b]] if end_b == b + 1 else ",".join([text_b[i] for i in ids_b[b:end_b]])
-            out.append(f"{left}|{right}")
+        whole = (" " + word).encode("utf-8", "surrogatepass")
+        octets_a, octets_b = self.a.octets, self.b.octets
+        if b"".join([octets_a[i] for i in ids_a]) != whole or b"".join([octets_b[i] for i in ids_b]) != whole:
+            return 0, 0, 0, 0, None, b"", ()
+        (sizes_a, sizes_b), (text_a, text_b), width = self.sizes, self.decimal, self.width
+        index_a = dict(zip(accumulate([sizes_a[i] for i in ids_a]), count(1)))
+        index_b = dict(zip(accumulate([sizes_b[i] for i in ids_b]), count(1)))
+        said, pairs, large, n_links, a, b = [], [], None, 0, 0, 0
+        for end in sorted(index_a.keys() & index_b.keys()):
+            end_a, end_b = index_a[end], index_b[end]
+            if end_a == a + 1 and end_b == b + 1:
+                x, y = ids_a[a], ids_b[b]
+                said.append(text_a[x] + "|" + text_b[y])
+                pairs.append(x * width + y)
+                n_links += 1
+            else:
+                left, right = ids_a[a:end_a], ids_b[b:end_b]
+                said.append(",".join([text_a[i] for i in left]) + "|" + ",".join([text_b[i] for i in right]))
+                n = len(left) * len(right)
+                n_links += n
+                if n <= LISTED:
+                    pairs += [x * width + y for x in left for y in right]
+                else:
+                    large, often = large or Counter(), Counter(right)
+                    for x, i in Counter(left).items():
+                        for y, j in often.items():
+                            large[x * width + y] += i * j
             a, b = end_a, end_b
-            if len(out) == _GROUPS_AT_ONCE and a < len(ids_a):
-                said.update((";".join(out) + ";").encode())
-                out = []
-        said.update(";".join(out).encode())
-        return said.hexdigest()
-
-    def links(self, ids_a: list[int], ids_b: list[int], ends_a: list[int], ends_b: list[int]):
-        """(n_links, pairs, times): the distinct id pairs of a text as a * width + b, ascending, and how often each is linked."""
-        a, b = np.asarray(ids_a, np.int64), np.asarray(ids_b, np.int64)
-        ends_a, ends_b = np.asarray(ends_a, np.int64), np.asarray(ends_b, np.int64)
-        from_a, from_b = (np.append(0, ends)[:-1] for ends in (ends_a, ends_b))
-        n_a, n_b = ends_a - from_a, ends_b - from_b
-        n_links = int((n_a * n_b).sum())
-        large = n_a * n_b > LISTED
-        # Every A token of a group is paired with the run of B tokens of that group.
-        partners = np.repeat(np.where(large, 0, n_b), n_a)
-        first = np.repeat(from_b, n_a)
-        run = np.arange(partners.sum()) - np.repeat(np.cumsum(partners) - partners, partners)
-        pairs, times = np.unique(np.repeat(a, partners) * self.width + b[np.repeat(first, partners) + run],
-                                 return_counts=True)
-        more = [(pairs, times)]
-        for g in np.flatnonzero(large):
-            left, often_l = np.unique(a[from_a[g]:ends_a[g]], return_counts=True)
-            right, often_r = np.unique(b[from_b[g]:ends_b[g]], return_counts=True)
-            more.append(((left[:, None] * self.width + right).ravel(), np.outer(often_l, often_r).ravel()))
-        if len(more) > 1:
-            pairs, place = np.unique(np.concatenate([p for p, _ in more]), return_inverse=True)
-            times = np.zeros(len(pairs), np.int64)
-            np.add.at(times, place, np.concatenate([t for _, t in more]))
-        return n_links, pairs, times
+        return (len(ids_a), len(ids_b), len(said), n_links, ";".join(said), array("q", pairs).tobytes(),
+                tuple(large.items()) if large else ())
+
+    def texts(self, texts: list[str | None]) -> list[tuple]:
+        """n_a, n_b, n_groups, n_links, digest, distinct pairs ascending and how often each is linked, of every text.
+
+        A text of which either side does not give all bytes back has none of them.
+        """
+        split = [[] if not t else _CUT.split(t) if self.b.cuts else [t] for t in texts]
+        new = list(set(chain.from_iterable(split)).difference(self.known))
+        if len(self.known) + len(new) > self.remembered:
+            self.known.clear()
+            new = list(set(chain.from_iterable(split)))
+        for each in zip(new, self.a.encode(new), self.b.encode(new)):
+            self.known[each[0]] = self.word(*each)
+        out = [self._text([self.known[w] for w in words]) for words in split]
+        for w in new:
+            if len(w) > LONGEST:
+                del self.known[w]
+        return out
+
+    def _text(self, words: list[Word]) -> tuple:
+        n_a, n_b, n_groups, n_links, said, pairs, large = zip(*words) if words else [()] * 7
+        if not words or None in said:
+            return 0, 0, 0, 0, "", np.zeros(0, np.int64), np.zeros(0, np.int64)
+        found, times = np.unique(np.frombuffer(b"".join(pairs), np.int64), return_counts=True)
+        more = list(chain.from_iterable(large))
+        if more:
+            found, place = np.unique(np.concatenate([found, [p for p, _ in more]]), return_inverse=True)
+            weights, times = np.concatenate([times, [n for _, n in more]]), np.zeros(len(found), np.int64)
+            np.add.at(times, place, weights)
+        digest = hashlib.sha256(";".join(said).encode()).hexdigest()
+        return sum(n_a), sum(n_b), sum(n_groups), sum(n_links), digest, found, times
 
 
 # ---- the corpus ----------------------------------------------------------
 
 _COLUMNS = "n_a long, n_b long, n_groups long, n_links long"
-_LISTS = [("pairs", pa.list_(pa.int64())), ("times", pa.list_(pa.int64()))]
 
 
 def _list_array(parts: list[np.ndarray]) -> pa.ListArray:
@@ -202,15 +204,12 @@ def _aligned(docs: DataFrame, byte_level: bytes, pieces: bytes, chunk_bytes: int
             at = 0
             while at < batch.num_rows:
                 # A few documents at a time, all of one chunk.
-                out, size, start = [], 0, at
+                size, start = 0, at
                 while at < batch.num_rows and size < min(room, chunk_bytes // 8):
-                    text = texts[at].as_py()
-                    a, b = aligner.tokens(text)
-                    ends = aligner.cuts(a, b)
-                    out.append((len(a), len(b), len(ends[0]), aligner.digest(a, b, *ends), *aligner.links(a, b, *ends)))
-                    size += texts[at].as_buffer().size if text else 1
+                    size += texts[at].as_buffer().size if texts[at].is_valid else 1
                     at += 1
-                n_a, n_b, n_groups, sha, n_links, pairs, times = zip(*out)
+                out = aligner.texts(texts.slice(start, at - start).to_pylist())
+                n_a, n_b, n_groups, n_links, sha, pairs, times = zip(*out)
                 yield pa.RecordBatch.from_arrays(
                     [ids.slice(start, at - start), *[pa.array(c, pa.int64()) for c in (n_a, n_b, n_groups, n_links)],
                      pa.array(sha, pa.string()), pa.array([chunk] * len(out), pa.int64()),
@@ -269,7 +268,7 @@ def align(docs: DataFrame, byte_level: str = BYTE_LEVEL, pieces: str = PIECES, c
     byte (a literal U+2581, say), have no tokens: zeros and ''.  Repeated rows
     count one by one, also in the counts; ids may be null or repeated.
 
-    A task reduces the links of each text to distinct pairs, and the pairs of a
+    Distinct words are aligned once per task, as far as it remembers them.  A task reduces the links of each text to distinct pairs, and the pairs of a
     chunk of documents to distinct ones again.  Only these are counted by a
     shuffle, met with the counts and sent back to their chunk, so a pair
     that every document holds is one row per chunk.

@@ -113,27 +113,36 @@ def test_awkward_rows_and_extra_columns(spark):
     assert found(align.align(docs)) == by_hand(rows)
 
 
-def test_long_texts_are_encoded_in_parts(spark, monkeypatch):
-    monkeypatch.setattr(align, "PART_CHARS", 20)
-    data = [Path(p).read_bytes() for p in (align.BYTE_LEVEL, align.PIECES)]
-    aligner = align.Aligner(*data)
+def aligner(**options):
+    return align.Aligner(*[Path(p).read_bytes() for p in (align.BYTE_LEVEL, align.PIECES)], **options)
+
+
+def test_words_alone_give_what_whole_texts_give():
     rng = random.Random(3)
-    for text in [*TEXTS, "one two " * 40, "no-cut-here!" * 30,
-                 " ".join(rng.choice(["ab", "don't", "  ", "日本", "x_1", "7", "\n"]) for _ in range(400))]:
+    texts = [*TEXTS, "one two " * 40, "no-cut-here!" * 30, "a \x1c b \x85 c\u2028 d \xa0 e\u3000 f", "x \u200b y ' s 's \n\n  z",
+             *[" ".join(rng.choice(["ab", "don't", "'s", "", "日本", "x_1", "7", "\n", "a\nb", "!", ",", "\t", "é\u0301"])
+                        for _ in range(200)) for _ in range(20)]]
+    one, few = aligner(), aligner(remembered=5)
+    for text in texts:
         a, b = tokens(text)
-        assert aligner.tokens(text) == ([i for i, _ in a], [i for i, _ in b])
-    assert len(align._parts("one two " * 40)) > 5
+        gs = groups(text)
+        got = one.texts([text])[0]
+        assert got[:3] == (len(a), len(b), len(gs))
+        said = ";".join(",".join(map(str, x)) + "|" + ",".join(map(str, y)) for x, y in gs)
+        assert got[4] == (hashlib.sha256(said.encode()).hexdigest() if gs else "")
+        assert repr(few.texts([text])[0]) == repr(got)
+    assert one.known and all(len(w) <= align.LONGEST for w in one.known)
 
 
 @pytest.mark.parametrize("listed", [0, 1, 5, 4096])
 def test_large_groups_are_counted_by_distinct_ids(listed, monkeypatch):
     monkeypatch.setattr(align, "LISTED", listed)
-    aligner = align.Aligner(*[Path(p).read_bytes() for p in (align.BYTE_LEVEL, align.PIECES)])
-    ids_a, ids_b = [5, 5, 6, 7, 5, 5], [1, 2, 1, 1, 3, 3, 3]
-    n, pairs, times = aligner.links(ids_a, ids_b, [3, 4, 6], [3, 4, 7])
-    want = Counter((x, y) for a, b in ((ids_a[:3], ids_b[:3]), ([7], [1]), ([5, 5], [3, 3, 3])) for x in a for y in b)
-    assert n == sum(want.values())
-    assert {(p // aligner.width, p % aligner.width): t for p, t in zip(pairs.tolist(), times.tolist())} == want
+    mine = aligner()
+    text = "xyxyxyxyxy" * 3 + " 😀👨\u200d👩😀 日本語日本語"
+    want = Counter((x, y) for a, b in groups(text) for x in a for y in b)
+    _, _, _, n, _, pairs, times = mine.texts([text])[0]
+    assert n == sum(want.values()) and max(want.values()) > 1
+    assert {(p // mine.width, p % mine.width): t for p, t in zip(pairs.tolist(), times.tolist())} == want
 
 
 def test_only_distinct_pairs_of_chunks_are_shuffled_for_the_counts(spark, big):
