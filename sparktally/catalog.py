@@ -13,7 +13,7 @@ from sparktally.operators import ranking
 from sparktally.operators.joins import lookup
 from sparktally.operators.rejects import Rejects, checked_batches, write_checked
 from sparktally.operators.terms import words_of
-from sparktally.plans import commerce, frames, movies, reviews
+from sparktally.plans import blobs, commerce, frames, movies, reviews
 from sparktally.session import scratch_path
 from sparktally.sources import readers, sample_tables as t, sinks
 from sparktally.sources.readers import frame_paths as frame_listing
@@ -446,15 +446,21 @@ def _flat_boxes(records: DataFrame) -> DataFrame:
 
 
 def _records(messages: DataFrame) -> DataFrame:
-    return frames.person_records(t.found_boxes(frames.decoded_messages(messages)))
+    return frames.detect_people(messages, blobs.bright_regions, model_key="bright regions", whole_images=True)
 
 
 @query
 def detect_people(spark, folder):
-    """Messages decoded, their boxes filtered and rounded; the model's part is given."""
+    """Messages decoded, whole images scored by batch, boxes filtered and rounded."""
     return _flat_boxes(_records(t.raw_messages(spark, folder)))
 
 
+@query
+def undecodable_frames(spark, folder):
+    """Messages set aside before the detector, told by their bytes alone."""
+    return frames.undecodable_frames(t.raw_messages(spark, folder))
+
+
 @query
 def store_detections(spark, folder):
     """Detection records appended to a parquet store by a stream, read back."""

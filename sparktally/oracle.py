@@ -74,22 +74,21 @@ records AS (
          CAST(count(b.i) AS INTEGER) AS person_count
   FROM numbered n LEFT JOIN boxes b ON n.event_id = b.event_id
   GROUP BY n.event_id, n.user_id, n.ts)"""
-SCORED_PAGES = """sized AS (
-  SELECT page_id, strlen(html) AS n FROM pages
-  WHERE page_id % 10 <> 3 AND strlen(html) % 7 <> 0),
+SCORED_BOXES = """
+WITH sized AS (
+  SELECT page_id, strlen(html) AS n FROM pages WHERE page_id % 10 NOT IN (3, 5, 7, 9)),
+drawn AS (
+  SELECT page_id, i, 16 * i - 15 AS x, 3 + n * i % 11 AS w, 3 + (n * 7 + i * 5) % 27 AS h, 40 + (n * 7 + i * 13) % 216 AS grey
+  FROM sized, (VALUES (1), (2), (3), (4)) b(i) WHERE i <= n % 5),
 found AS (
-  SELECT page_id, n, i, row_number() OVER (PARTITION BY page_id ORDER BY i) AS person,
-         CAST(((n * 7 + i * 13) % 101) / 100.0 AS DOUBLE) AS confidence
-  FROM sized, (VALUES (1), (2), (3), (4)) b(i)
-  WHERE i <= n % 5 AND (n + i) % 3 <> 0 AND ((n * 7 + i * 13) % 101) / 100.0 >= 0.4)"""
-SCORED_BOXES = f"""WITH {SCORED_PAGES}
+  SELECT *, row_number() OVER (PARTITION BY page_id ORDER BY i) AS person FROM drawn WHERE h > w AND grey / 255.0 >= 0.4)
 SELECT CAST(s.page_id AS VARCHAR) AS frame_id, 'cam' || (s.page_id % 4) AS camera_id,
        '2024-01-01T00:00:00+00:00' AS timestamp,
        CAST(count(f.i) OVER (PARTITION BY s.page_id) AS INTEGER) AS person_count,
        CAST(f.person AS INTEGER) AS person,
-       CAST(s.n % 97 + f.i / 4.0 AS DOUBLE) AS x1, CAST(f.i * 2.5 AS DOUBLE) AS y1,
-       CAST(s.n % 97 + f.i / 4.0 + 50.0 AS DOUBLE) AS x2, CAST(f.i * 2.5 + 80.0 AS DOUBLE) AS y2,
-       f.confidence AS confidence
+       CAST(f.x AS DOUBLE) AS x1, CAST(CASE WHEN f.i IS NOT NULL THEN 1 END AS DOUBLE) AS y1,
+       CAST(f.x + f.w AS DOUBLE) AS x2, CAST(f.h + 1 AS DOUBLE) AS y2,
+       round(CAST(f.grey AS DOUBLE) / 255.0, 4) AS confidence
 FROM sized s LEFT JOIN found f ON s.page_id = f.page_id"""
 
 
@@ -401,6 +400,10 @@ SELECT h[1:8] || '-' || h[9:12] || '-' || h[13:16] || '-' || h[17:20] || '-' ||
        to_base64(encode(html)) AS image_data
 FROM digests""",
     "detect_people": SCORED_BOXES,
+    "undecodable_frames": """
+SELECT CAST(page_id AS VARCHAR) AS frame_id, 'cam' || (page_id % 4) AS camera_id, '2024-01-01T00:00:00+00:00' AS timestamp,
+       CASE page_id % 10 WHEN 3 THEN 'no base64' WHEN 5 THEN 'truncated' WHEN 7 THEN 'foreign' ELSE 'damaged' END AS fault
+FROM pages WHERE page_id % 10 IN (3, 5, 7, 9)""",
     "frames_to_store": SCORED_BOXES,
     "latest_detections": _with(DETECTIONS) + """
 SELECT CAST(event_id AS VARCHAR) AS frame_id, camera_id, iso AS timestamp, person_count FROM records""",

@@ -16,6 +16,7 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, functions as F
 
 from sparktally.functions.formatting import iso_utc
+from sparktally.functions.images import image_state
 
 # A scorer maps a list of images (their bytes) to one entry per image: a list
 # of (class, confidence, (x1, y1, x2, y2)), or None when the bytes cannot be
@@ -81,6 +82,22 @@ def decoded_messages(messages: DataFrame) -> DataFrame:
             .where(F.col("payload").isNotNull()))
 
 
+def frame_faults(decoded: DataFrame) -> DataFrame:
+    """The decoded messages with `fault`: null for a whole PNG or JPEG, else why its bytes are none."""
+    return decoded.withColumn("fault", image_state(F.col("payload"))["fault"])
+
+
+def undecodable_frames(messages: DataFrame) -> DataFrame:
+    """frame_id, camera_id, timestamp, fault of the messages that hold no whole image.
+
+    The fault is 'no base64' or one of those of `image_state`.
+    """
+    payload = F.try_to_binary("image_data", F.lit("base64"))
+    read = messages.select("frame_id", "camera_id", "timestamp", payload.alias("payload"))
+    fault = F.when(F.col("payload").isNull(), "no base64").otherwise(F.col("fault"))
+    return frame_faults(read).withColumn("fault", fault).where("fault is not null").drop("payload")
+
+
 def person_records(scored: DataFrame, threshold: float = CONFIDENCE) -> DataFrame:
     """Detection records of (frame_id, camera_id, timestamp, boxes); frames whose boxes are null are dropped.
 
@@ -95,15 +112,21 @@ def person_records(scored: DataFrame, threshold: float = CONFIDENCE) -> DataFram
 
 
 def detect_people(messages: DataFrame, factory: Callable[[], Scorer],
-                  threshold: float = CONFIDENCE, model_key: str | None = None) -> DataFrame:
+                  threshold: float = CONFIDENCE, model_key: str | None = None,
+                  whole_images: bool = False) -> DataFrame:
     """Detection records of raw-frame messages; undecodable frames are dropped.
 
     The payload is decoded by Spark and scored one Arrow batch per call, with
     the model loaded once per Python worker; all else is done by Spark.
     `model_key` names the model; by default a digest of the factory does.
+    With `whole_images` only payloads that are whole PNG or JPEG files reach the
+    model; `undecodable_frames` lists the others.
     """
     key = model_key or hashlib.sha256(cloudpickle.dumps(factory)).hexdigest()
-    scored = decoded_messages(messages).mapInArrow(
+    frames = decoded_messages(messages)
+    if whole_images:
+        frames = frame_faults(frames).where("fault is null").drop("fault")
+    scored = frames.mapInArrow(
         _scored(factory, key), f"frame_id string, camera_id string, timestamp string, boxes {_BOXES}")
     return person_records(scored, threshold)
 

@@ -59,10 +59,23 @@ def test_detection_records(spark):
     assert {r.frame_id: r.person_count for r in strict.collect()} == {"f1": 1, "f2": 0, "f5": 0}
 
 
-def test_a_model_finds_what_the_sample_tables_give(spark):
+def test_only_whole_images_reach_the_model(spark):
     raw = sample_tables.raw_messages(spark, "/root/testdata/sf0.001")
-    given = f.person_records(sample_tables.found_boxes(f.decoded_messages(raw)))
-    assert rows(f.detect_people(raw, scorers.by_length)) == rows(given)
+    every = {r.frame_id for r in f.decoded_messages(raw).collect()}
+    aside = {r.frame_id: r.fault for r in f.undecodable_frames(raw).collect()}
+    assert set(aside.values()) == {"no base64", "truncated", "foreign", "damaged"}
+    seen = f.detect_people(raw, scorers.any_image, whole_images=True)
+    assert {r.frame_id for r in seen.collect()} == every - set(aside)
+    assert {r.frame_id for r in f.detect_people(raw, scorers.any_image).collect()} == every
+
+
+def test_undecodable_frames_of_a_stream(spark, tmp_path):
+    raw = sample_tables.raw_messages(spark, "/root/testdata/sf0.001")
+    put_messages(spark, raw, str(tmp_path / "raw"))
+    stream = p.read_message_stream(spark, schemas.RAW_FRAME, path=str(tmp_path / "raw"))
+    p.store_detections(f.undecodable_frames(stream), str(tmp_path / "aside"), str(tmp_path / "check"), available_now=True
+                       ).awaitTermination()
+    assert rows(spark.read.parquet(str(tmp_path / "aside"))) == rows(f.undecodable_frames(raw))
 
 
 def test_only_the_last_model_is_kept(spark):

@@ -40,7 +40,8 @@ def test_no_query_multiplies_rows_or_leaves_the_jvm(spark, big, name):
     _, seen = ran(spark, name)
     assert seen["CartesianProductExec"] == seen["BroadcastNestedLoopJoinExec"] == 0
     python = sum(n for kind, n in seen.items() if "Python" in kind or "Arrow" in kind or "Pandas" in kind)
-    assert python == 0
+    # The images are drawn by one step, and scored by another.
+    assert python == {"undecodable_frames": 1, "detect_people": 2}.get(name, 0)
 
 
 def test_per_group_top_is_cut_before_the_shuffle(spark, big):
