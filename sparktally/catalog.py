@@ -15,7 +15,7 @@ from sparktally.operators.rejects import Rejects, checked_batches, write_checked
 from sparktally.operators.terms import words_of
 from sparktally.plans import blobs, commerce, frames, movies, reviews
 from sparktally.session import scratch_path
-from sparktally.sources import readers, sample_tables as t, sinks
+from sparktally.sources import message_log, readers, sample_tables as t, sinks
 from sparktally.sources.readers import frame_paths as frame_listing
 from sparktally.streaming import pipeline, windows
 from sparktally.streaming.keyed_store import KeyedStore
@@ -483,6 +483,30 @@ def store_detections_once(spark, folder):
     return _flat_boxes(store.read())
 
 
+@query
+def messages_by_reader(spark, folder):
+    """Detection messages in three segments of a log, and what two readers got: one from the start, one from the latest on."""
+    base = scratch_path(spark, "log")
+    records = t.detections(spark, folder).select(*schemas.DETECTION_RECORD.fieldNames())
+    third = lambda n: pipeline.to_messages(records.where(F.pmod(F.col("frame_id").cast("int"), F.lit(3)) == n))
+
+    def read(name: str, starting: str) -> DataFrame:
+        stream = message_log.read_log_stream(spark, f"{base}/log", starting, reader=name)
+        pipeline.store_detections(stream, f"{base}/{name}", f"{base}/{name}-checkpoint", available_now=True).awaitTermination()
+        return spark.read.schema(stream.schema).parquet(f"{base}/{name}").withColumn("reader", F.lit(name))
+
+    message_log.append_segment(third(0), f"{base}/log", 0)
+    for name, starting in (("all", "earliest"), ("new", "latest")):
+        read(name, starting)
+    for n in (1, 2):
+        message_log.append_segment(third(n), f"{base}/log", n)
+    message_log.trim(spark, f"{base}/log")
+    got = read("all", "earliest").unionAll(read("new", "latest"))
+    record = F.from_json("value", schemas.DETECTION_RECORD)
+    return got.select("reader", record.alias("r")).groupBy("reader").agg(
+        F.count("r.frame_id").alias("n"), F.countDistinct("r.frame_id").alias("n_frames"), F.sum("r.person_count").alias("people"))
+
+
 @query
 def latest_detections(spark, folder):
     return frames.latest_detections(t.detections(spark, folder)).select(

@@ -408,6 +408,9 @@ FROM pages WHERE page_id % 10 IN (3, 5, 7, 9)""",
     "latest_detections": _with(DETECTIONS) + """
 SELECT CAST(event_id AS VARCHAR) AS frame_id, camera_id, iso AS timestamp, person_count FROM records""",
     "detection_boxes": _DETECTION_BOXES,
+    "messages_by_reader": _with(DETECTIONS) + """
+SELECT reader, count(*) AS n, count(DISTINCT event_id) AS n_frames, CAST(sum(person_count) AS BIGINT) AS people
+FROM records, (VALUES ('all', 0), ('new', 1)) r(reader, first) WHERE event_id % 3 >= first GROUP BY reader""",
     "store_detections": _DETECTION_BOXES,
     "store_detections_once": _DETECTION_BOXES,
     "detections_total": "SELECT count(*) AS total FROM events",
