@@ -27,7 +27,7 @@ CHUNK_BYTES = 8 << 20
 #: Links of a group that are listed one by one; a larger group is reduced to its distinct ids first.
 LISTED = 4_096
 #: Words that a task keeps aligned, and the length up to which it does.
-REMEMBERED, LONGEST = 300_000, 256
+REMEMBERED, LONGEST = 600_000, 256
 #: A space between two characters that are none: both sides begin a token there, so words are encoded and aligned alone.
 _CUT = re.compile(r"(?<=\S) (?=\S)")
 
@@ -94,6 +94,9 @@ class Pieces:
 Word = tuple[int, int, int, int, str | None, bytes, tuple[tuple[int, int], ...]]
 
 
+_NOT_GIVEN_BACK: Word = (0, 0, 0, 0, None, b"", ())
+
+
 class Aligner:
     """Both encodings of texts, and their groups and links.
 
@@ -109,25 +112,27 @@ class Aligner:
         self.known: dict[str, Word] = {}
         self.remembered = remembered
 
-    def word(self, word: str, ids_a: list[int], ids_b: list[int]) -> Word:
+    def back(self, words: list[str], ids_a: list[list[int]], ids_b: list[list[int]]) -> bool:
+        """Whether both sides give the bytes of all these words back, each with its space."""
+        whole = "".join([" " + w for w in words]).encode("utf-8", "surrogatepass")
+        return all(b"".join(map(side.octets.__getitem__, chain.from_iterable(ids))) == whole
+                   for side, ids in ((self.a, ids_a), (self.b, ids_b)))
+
+    def word(self, ids_a: list[int], ids_b: list[int]) -> Word:
         """The groups of one word and the links of each.
 
         The ends of a side's tokens are a dictionary from byte offset to
         number of tokens; the offsets that both dictionaries hold, in order, are the ends of the groups.
         """
-        whole = (" " + word).encode("utf-8", "surrogatepass")
-        octets_a, octets_b = self.a.octets, self.b.octets
-        if b"".join([octets_a[i] for i in ids_a]) != whole or b"".join([octets_b[i] for i in ids_b]) != whole:
-            return 0, 0, 0, 0, None, b"", ()
         (sizes_a, sizes_b), (text_a, text_b), width = self.sizes, self.decimal, self.width
-        index_a = dict(zip(accumulate([sizes_a[i] for i in ids_a]), count(1)))
-        index_b = dict(zip(accumulate([sizes_b[i] for i in ids_b]), count(1)))
+        index_a = dict(zip(accumulate(map(sizes_a.__getitem__, ids_a)), count(1)))
+        index_b = dict(zip(accumulate(map(sizes_b.__getitem__, ids_b)), count(1)))
         said, pairs, large, n_links, a, b = [], [], None, 0, 0, 0
         for end in sorted(index_a.keys() & index_b.keys()):
             end_a, end_b = index_a[end], index_b[end]
-            if end_a == a + 1 and end_b == b + 1:
+            if end_a - a == end_b - b == 1:
                 x, y = ids_a[a], ids_b[b]
-                said.append(text_a[x] + "|" + text_b[y])
+                said.append(f"{x}|{y}")
                 pairs.append(x * width + y)
                 n_links += 1
             else:
@@ -156,8 +161,10 @@ class Aligner:
         if len(self.known) + len(new) > self.remembered:
             self.known.clear()
             new = list(set(chain.from_iterable(split)))
-        for each in zip(new, self.a.encode(new), self.b.encode(new)):
-            self.known[each[0]] = self.word(*each)
+        ids_a, ids_b = self.a.encode(new), self.b.encode(new)
+        sound = self.back(new, ids_a, ids_b)
+        for w, a, b in zip(new, ids_a, ids_b):
+            self.known[w] = self.word(a, b) if sound or self.back([w], [a], [b]) else _NOT_GIVEN_BACK
         out = [self._text([self.known[w] for w in words]) for words in split]
         for w in new:
             if len(w) > LONGEST:
