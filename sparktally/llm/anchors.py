@@ -17,6 +17,9 @@ BASE = KINDS[:4]
 CUES = ("iban", "account", "acct", "konto", "cuenta", "compte", "passport", "ssn", "social security", "tax id",
         "customer id", "user id", "token", "password", "secret", "api_key", "api key")
 
+#: Cues whose value is a secret: after a separator or "is" it is all up to the next white space or quote.
+SECRETS = frozenset(("token", "password", "secret", "api_key", "api key"))
+
 _LOCAL = frozenset(string.ascii_letters + string.digits + "._%+-")
 _SCHEME = frozenset(string.ascii_letters + string.digits + "+.-")
 _DIGITS = "0123456789"
@@ -25,10 +28,12 @@ _FOUR_PARTS = re.compile(r"([0-9]+)\.([0-9]+)\.([0-9]+)\.([0-9]+)")
 _DIGIT_CHAIN = re.compile(r"[0-9](?:[ -]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 _URL_REST = re.compile(r"[^\s<>\"'`{}|\\^]+")
-_AFTER_CUE = re.compile(r"(?: ?(?:number|no|nr|id)(?![a-z])\.?)?[ \t]{0,2}[:=#]?[ \t]{0,2}[\"']?", re.I | re.A)
+_AFTER_CUE = re.compile(r"(?: ?(?:number|no|nr|id)(?![a-z])\.?)?(?: is(?![a-z]))?[ \t]{0,2}[:=#]?[ \t]{0,2}[\"']?", re.I | re.A)
 # Groups of digits may follow; the last one goes on to the end of its word.
 _IDENTIFIER = re.compile(r"[A-Za-z0-9](?:[A-Za-z0-9_-]*[A-Za-z0-9])?(?: [0-9]{2,4}(?![A-Za-z0-9]))*"
                          r"(?: [0-9]{2,4}[A-Za-z0-9]+)?")
+_SEPARATOR = re.compile(r"[ \t]{0,2}(?:[:=]|is(?![a-z]))[ \t]{0,2}[\"']?", re.I | re.A)
+_SECRET = re.compile(r"[^\s\"']+")
 _NOT_DIGIT = re.compile(r"[^0-9]")
 
 
@@ -52,7 +57,7 @@ def _automaton() -> ahocorasick.Automaton:
     for digit in _DIGITS:
         anchors.add_word(digit, ("digit", 1))
     for cue in CUES:
-        anchors.add_word(cue, ("cue", len(cue)))
+        anchors.add_word(cue, ("secret" if cue in SECRETS else "cue", len(cue)))
     anchors.make_automaton()
     return anchors
 
@@ -86,7 +91,7 @@ class Finder:
                         found.append(("phone", at, match.end()))
             elif anchor == "scheme":
                 self._url(text, at, done, found)
-            else:
+            elif anchor != "secret" or not self._secret(text, at, last + 1, done, found):
                 self._account(text, at, last + 1, done, found)
         found.sort(key=lambda s: (s[1], KINDS.index(s[0])))
         return found
@@ -123,6 +128,18 @@ class Finder:
                 done["url"] = end
                 found.append(("url", start, end))
 
+    def _secret(self, text, start, end, done, found) -> bool:
+        if start and text[start - 1].isalnum() or not (separator := _SEPARATOR.match(text, end)):
+            return False
+        match = _SECRET.match(text, separator.end())
+        value = match[0].rstrip(".,;") if match else ""
+        # A plain word after "is" is most often none.
+        if len(value) < 5 or value.isalpha() or match.start() < done["account"]:
+            return False
+        done["account"] = match.start() + len(value)
+        found.append(("account", match.start(), done["account"]))
+        return True
+
     def _account(self, text, start, end, done, found):
         if start and text[start - 1].isalnum() or end < len(text) and text[end].isalnum():
             return
@@ -140,7 +157,8 @@ _SPANS = "array<struct<kind:string,start:int,end:int>>"
 def find_personal_data(docs: DataFrame) -> DataFrame:
     """doc_id and `spans` of every row: kind, start and end (exclusive) in code points.
 
-    Null and empty texts have no spans.  Rows are independent, so there is no shuffle.
+    Null and empty texts have no spans.  Rows are independent, so there is no shuffle: repeated rows
+    and rows without an id each have their row, a table without rows gives none.
     """
     rows = docs.select(F.col("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     kind = rows.schema["doc_id"].dataType.simpleString()

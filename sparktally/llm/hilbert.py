@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from sparktally.llm.common import carried, positions, settle, tie_hash
+from sparktally.llm.common import carried, positions, settle, tie_hash, whole_hash
 
 
 def _let(value: Column, body) -> Column:
@@ -92,13 +92,20 @@ def shard_by_hilbert(docs: DataFrame, shards: int = 24, bits: int = 5) -> DataFr
     values are a value of their own, null texts have 8 bytes and the checksum of the
     empty text.  A table of fewer rows than shards fills the first ones.
     The curve index is computed once per cell, of which there are at most
-    2**(3 * bits); the cells' table is bounded by that and broadcast.
+    2**(3 * bits); the cells' table is bounded by that and broadcast.  Repeated rows
+    follow each other.
     """
+    return _placed(docs, [], shards, bits)
+
+
+def _placed(docs: DataFrame, more: list[Column], shards: int, bits: int) -> DataFrame:
+    """As `shard_by_hilbert`, with `more` columns, which put rows of equal id and text in order."""
     rows = settle(docs.select(
         F.col("doc_id"), F.xxhash64("text").alias("text_hash"), size_bytes(F.col("text")).alias("size"),
         F.crc32(F.coalesce(F.col("text"), F.lit("")).cast("binary")).alias("text_crc32"),
         F.col("source").cast("string").alias("source"), F.col("lang").cast("string").alias("lang"),
-        tie_hash(F.col("doc_id")).alias("tie")))
+        tie_hash(F.col("doc_id")).alias("tie"), *more))
+    last = [c for c in rows.columns if c not in ("size", "text_crc32", "source", "lang", "tie")]
     total, largest = rows.agg(F.count(F.lit(1)), F.max("size")).first()
     total = max(total, 1)
     rows = rows.withColumn("_l_size", size_level(F.col("size"), largest or 8, bits))
@@ -109,7 +116,7 @@ def shard_by_hilbert(docs: DataFrame, shards: int = 24, bits: int = 5) -> DataFr
     cells = rows.select(*axes).distinct().withColumn(
         "curve", hilbert_index(F.array(*[F.col(a) for a in axes]), len(axes), bits))
     rows = rows.join(F.broadcast(cells), axes).drop(*axes, "source", "lang")
-    placed = positions(rows, [], "curve", "tie", ["doc_id", "text_hash"])
+    placed = positions(rows, [], "curve", "tie", last)
     # Whole numbers only: the first position of shard s is ceil(s * total / shards).
     shard = F.expr(f"position * {shards} div {total}")
     start = F.expr(f"(shard * {total} + {shards - 1}) div {shards}")
@@ -119,14 +126,17 @@ def shard_by_hilbert(docs: DataFrame, shards: int = 24, bits: int = 5) -> DataFr
 
 def write_shards(docs: DataFrame, path: str, shards: int = 24, bits: int = 5) -> None:
     """The documents themselves, one folder per shard, in curve order."""
-    placed = shard_by_hilbert(docs, shards, bits).select(
-        F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"),
+    whole = whole_hash(docs)
+    placed = _placed(docs, [whole.alias("_whole")], shards, bits).select(
+        F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), "_whole",
         F.col("shard").alias("_shard"), F.col("slot").alias("_slot"))
-    order = Window.partitionBy("_id", "_hash")
+    # Rows equal in all columns are interchangeable; any other finds its own place.
+    order = Window.partitionBy("_id", "_hash", "_whole")
     placed = placed.withColumn("_k", F.row_number().over(order.orderBy("_shard", "_slot")))
-    rows = docs.select(carried(docs).alias("_row"), F.col("doc_id").alias("_d"), F.xxhash64("text").alias("_h"))
-    rows = rows.withColumn("_j", F.row_number().over(Window.partitionBy("_d", "_h").orderBy("_h")))
-    same = (rows["_d"].eqNullSafe(placed["_id"]) & (rows["_h"] == placed["_hash"])
+    rows = docs.select(carried(docs).alias("_row"), F.col("doc_id").alias("_d"), F.xxhash64("text").alias("_h"),
+                       whole.alias("_w"))
+    rows = rows.withColumn("_j", F.row_number().over(Window.partitionBy("_d", "_h", "_w").orderBy("_h")))
+    same = (rows["_d"].eqNullSafe(placed["_id"]) & (rows["_h"] == placed["_hash"]) & (rows["_w"] == placed["_whole"])
             & (rows["_j"] == placed["_k"]))
     (rows.join(placed, same).repartition(shards, "_shard").sortWithinPartitions("_shard", "_slot")
      .select("_row.*", F.col("_shard").alias("shard")).write.partitionBy("shard").parquet(path))

@@ -30,9 +30,9 @@ _GOOD_TAGS = frozenset("article main".split())
 _BAD_WORDS = frozenset("""ad ads adv advert advertisement advertising adsense banner breadcrumb breadcrumbs comment
 comments commentlist disqus consent cookie cookies copyright disclaimer footer form hidden login masthead menu menubar
 modal nav navbar navigation newsletter notice notification outbrain pager pagination popup privacy promo promotion
-recommended related reply replies respond search share sharing sidebar signup social sponsor sponsored subscribe
+feedback recommended related reply replies respond search share sharing sidebar signup social sponsor sponsored subscribe
 subscription taboola tags toolbar tooltip widget widgets complementary contentinfo dialog alert announcement gdpr legal
-overlay paywall policy sitemap toc warning""".split())
+overlay paywall policy sitemap thread threads toc warning""".split())
 _GOOD_WORDS = frozenset("article articlebody content entry main post story".split())
 # What follows these in a class name says that the page has it elsewhere, or not at all.
 _ABOUT_OTHERS = ("has-", "with-", "without-", "no-", "not-")
@@ -43,9 +43,14 @@ _PARTS = ("list", "menu", "nav", "navigation", "navbar", "sidebar", "toolbar", "
 _COLUMNS = frozenset("left-sidebar right-sidebar sidebar-left sidebar-right sidebars".split())
 # Class words that text alone does not outweigh.
 _SURE_WORDS = frozenset("""comment comments commentlist consent cookie cookies copyright disqus footer gdpr reply replies
-respond""".split())
+respond thread threads""".split())
 _CERTAIN, _LIKELY, _OUTSIDE = 12.0, 5.0, 6.0
 _ADJACENT, _SIBLING = 1.0, 1.0
+# A list or a table is one thing: its blocks hold together, and it belongs to what stands beside it.
+_WHOLES = frozenset("ul ol dl table".split())
+_WITHIN, _BESIDE = 2.0, 2.0
+# What speaks for the longest text of a page.
+_LONGEST = 3.5
 # From so many characters on a block is running text; so much of it makes a page, and so many times the rest outweighs it.
 _RUNNING, _PAGE, _TIMES = 60, 400, 4
 
@@ -69,6 +74,7 @@ class _Region:
     head: bool = False  # in an article or main element that no class word speaks against
     sure: bool = False  # the claim has words that text alone does not outweigh
     named: bool = False  # this element or one around it speaks for content
+    article: bool = False  # in an article element
     cost: float = 0.0
     inside_good: bool = False
 
@@ -78,6 +84,7 @@ class _Element:
     tag: str
     parent: "_Element | None"
     region: _Region
+    whole: "_Element | None" = None  # the outermost list or table that it is, or is in
 
 
 @dataclass
@@ -91,6 +98,14 @@ class Block:
 
 
 def _region(tag: str, attributes: str, around: _Region) -> _Region:
+    """What an element says, beside what is said around it; `around` itself if that is nothing."""
+    region = _said(tag, attributes, around)
+    if region is not around:
+        region.article = around.article or tag == "article"
+    return region
+
+
+def _said(tag: str, attributes: str, around: _Region) -> _Region:
     own, certain, good = 0.0, False, tag in _GOOD_TAGS
     names: list[str] = []
     if attributes and not attributes.isspace():
@@ -117,6 +132,9 @@ def _region(tag: str, attributes: str, around: _Region) -> _Region:
     bad = words & _BAD_WORDS
     if tag in _BAD_TAGS or certain or tag == "header" and not around.named:
         return _Region(around, own + _CERTAIN, named=around.named)
+    if tag == "article" and around.article:
+        # An article in an article is most often a comment on it; whether that counts, its text says.
+        return _Region(around, own, True, False, False, bool(bad & _SURE_WORDS), around.named)
     if bad or "header" in words and not around.named:
         # The classes of an article tell its topics too.
         if not (named and tag in _GOOD_TAGS):
@@ -218,7 +236,9 @@ def blocks_of(page: str) -> list[Block]:
             continue
         if tag in ("html", "body"):
             continue
-        element = _Element(tag, stack[-1], _region(tag, token[3], stack[-1].region))
+        element = _Element(tag, stack[-1], _region(tag, token[3], stack[-1].region), stack[-1].whole)
+        if element.whole is None and tag in _WHOLES:
+            element.whole = element
         if element.region is not stack[-1].region:
             regions.append(element.region)
             current = None
@@ -310,25 +330,68 @@ def _open_claims(regions: list[_Region], blocks: list[Block]) -> None:
                 heapq.heappush(waiting, (-text[j], j))
 
 
-def cost_of(block: Block, elsewhere: bool = False) -> float:
-    """Log odds that the block is boilerplate: what its elements say, then what its text says.
+def _length_cost(length: int) -> float:
+    return 1.0 if length < 60 else -1.5 if length > 200 else -0.5
+
+
+def costs_of(blocks: list[Block]) -> list[float]:
+    """Log odds of each block that it is boilerplate: what its elements say, then what its text says.
 
-    `elsewhere`: the page has an element for its content, and the block may lie outside.
+    Outside of elements that speak for content, text speaks by its length, its end, its element and
+    the share of it that is linked.  A list or table is judged as a whole, and each of its blocks takes its
+    share of that; a few links speak little against it.  Where no element speaks for content, the
+    longest text is likely what the page is for; where one does, what lies outside is likely not.
     """
-    length = len(block.text)
-    share = min(1.0, block.linked / max(1, length))
-    cost = block.parent.region.cost + 3.0 * share
-    if not block.parent.region.inside_good:
-        cost += _OUTSIDE * elsewhere
-        cost += 1.0 if length < 60 else -1.5 if length > 200 else -0.5
-        cost -= 0.5 * (block.text[-1] in ".!?…\"”»")
-        cost -= 1.0 * (block.parent.tag in ("p", "h1", "blockquote", "pre"))
-    return cost
+    elsewhere = any(b.parent.region.inside_good and b.parent.region.cost < 0 for b in blocks)
+    of_whole: dict[int, list[int]] = {}
+    longest = 0
+    for block in blocks:
+        if block.parent.whole is not None:
+            found = of_whole.setdefault(id(block.parent.whole), [0, 0, 0])
+            found[0] += len(block.text)
+            found[1] += 1
+            found[2] += min(block.linked, len(block.text))
+        if block.parent.region.cost <= 0 and 2 * block.linked < len(block.text):
+            longest = max(longest, len(block.text))
+    costs = []
+    for block in blocks:
+        region, length = block.parent.region, len(block.text)
+        cost = region.cost
+        if region.inside_good or block.parent.whole is None:
+            cost += 3.0 * min(1.0, block.linked / length)
+        if not region.inside_good:
+            if block.parent.whole is not None:
+                total, n, linked = of_whole[id(block.parent.whole)]
+                cost += _length_cost(total) / n + 3.0 * (linked / total) ** 2
+            else:
+                cost += _length_cost(length)
+                cost -= 0.5 * (block.text[-1] in ".!?…\"”»")
+                cost -= 1.0 * (block.parent.tag in ("p", "h1", "blockquote", "pre"))
+            if elsewhere:
+                cost += _OUTSIDE
+            elif region.cost <= 0 and 2 * block.linked < length and length == longest:
+                cost -= _LONGEST
+        costs.append(cost)
+    return costs
 
 
 def smoothness(blocks: list[Block]) -> list[tuple[int, int, float]]:
-    """Edges between blocks: neighbours on the page, and neighbours under one parent or grandparent."""
-    edges = [(i, i + 1, _ADJACENT) for i in range(len(blocks) - 1)]
+    """Edges between blocks that likely belong together.
+
+    Neighbours on the page; neighbours under one parent or grandparent; neighbours within one list or
+    table; and a list or table with the block before and after it, if they stand side by side in the tree.
+    """
+    edges = []
+    for i in range(len(blocks) - 1):
+        a, b = blocks[i].parent, blocks[i + 1].parent
+        weight = _ADJACENT
+        if a.whole is not None and a.whole is b.whole:
+            weight += _WITHIN
+        elif a.whole is not None or b.whole is not None:
+            a, b = a.whole or a, b.whole or b
+            if a.parent is b.parent or a is b.parent or a.parent is b:
+                weight += _BESIDE
+        edges.append((i, i + 1, weight))
     last: dict[int, int] = {}
     for i, block in enumerate(blocks):
         near = block.parent.parent or block.parent
@@ -447,14 +510,14 @@ class _Flow:
 def main_text(page: str) -> str:
     """The article of a page: its content blocks, joined by line feeds."""
     blocks = blocks_of(page)
-    has_content = any(b.parent.region.inside_good and b.parent.region.cost < 0 for b in blocks)
-    away = minimum_cut([cost_of(b, has_content) for b in blocks], smoothness(blocks))
+    away = minimum_cut(costs_of(blocks), smoothness(blocks))
     return "\n".join(b.text for b, gone in zip(blocks, away) if not gone)
 
 
 def extract(pages: DataFrame) -> DataFrame:
     """page_id, url, text and n_chars (code points) of every row; null html counts as empty.
 
+    Repeated rows and rows without an id each have their row; a table without rows gives none.
     Pages are independent: no shuffle, and one page in memory at a time beside its batch.
     """
     rows = pages.select(F.col("page_id"), F.col("url"), F.coalesce("html", F.lit("")).alias("html"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from sparktally.llm.common import TIE_BITS, carried, positions, settle, tie_hash, word_count
+from sparktally.llm.common import TIE_BITS, carried, positions, settle, tie_hash, whole_hash, word_count
 
 #: Weights of the sources by code point, null last, repeated as often as needed.
 WEIGHTS = (5, 2, 1)
@@ -109,14 +109,6 @@ def _crossed(offset: Column) -> Column:
                    F.ceil("rate"))
 
 
-def _whole_hash(docs: DataFrame) -> Column:
-    """A hash of all columns; nulls count, and nested values, maps included, go in as JSON."""
-    nested = ("struct", "array", "map", "variant")
-    columns = [(docs[f"`{f.name}`"], f.dataType.simpleString().startswith(nested)) for f in docs.schema]
-    return F.xxhash64(*[F.to_json(F.struct(c.alias("c"))) if deep else c for c, deep in columns],
-                      *[c.isNull() for c, _ in columns])
-
-
 def mix(docs: DataFrame, seed: int = 17, weights: tuple[int, ...] = WEIGHTS, most: int = MOST) -> DataFrame:
     """The mixed documents: every row of `docs` as often as the mix takes it.
 
@@ -124,7 +116,7 @@ def mix(docs: DataFrame, seed: int = 17, weights: tuple[int, ...] = WEIGHTS, mos
     of all.  Rows of equal id, text and source that differ elsewhere are ordered by a hash
     of the whole row and have copies of their own.  Columns are those of `docs`.
     """
-    whole = _whole_hash(docs)
+    whole = whole_hash(docs)
     taken = (_copies(docs, [whole.alias("whole")], seed, weights, most).groupBy("doc_id", "text_hash", "key", "whole")
              .agg(F.sum("copies").alias("_copies")).where("_copies > 0"))
     rows = docs.select(carried(docs).alias("_row"), F.col("doc_id").alias("_id"),

@@ -48,13 +48,20 @@ def _rotation(unit: np.ndarray, seed: int, rounds: int = 20) -> np.ndarray:
     return turned
 
 
+def scaled(vectors: np.ndarray) -> np.ndarray:
+    """Each row times a power of two, so that its largest part is near 1: cosines stay, and no square overflows or vanishes."""
+    exponent = np.frexp(np.abs(vectors).max(axis=1, initial=0))[1]
+    return np.ldexp(vectors, -exponent[:, None])
+
+
 def learn(sample: np.ndarray, k: int = 5, within: float = WITHIN, probes: int = 512) -> Codes:
     """Codes for vectors like those of the sample; several rotations make up the bits.
 
     The radius holds the share `within` of the k nearest neighbours that
     probes have among the sample.  In more data neighbours are nearer, so it holds at least as many.
     """
-    unit = sample / np.linalg.norm(sample, axis=1, keepdims=True)
+    unit = scaled(sample)
+    unit = unit / np.linalg.norm(unit, axis=1, keepdims=True)
     turns = -(-BITS // unit.shape[1])
     codes = Codes(np.hstack([_rotation(unit, seed) for seed in range(turns)])[:, :BITS], BITS)
     if len(unit) <= k:
@@ -135,7 +142,7 @@ def _search(index: DataFrame, asked: DataFrame, codes: Codes, radius: int, k: in
 
     def vectors(table: pa.Table) -> np.ndarray:
         column = table.column("vector").combine_chunks()
-        return column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(column), -1)
+        return scaled(column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(column), -1))
 
     def each(own: pa.Table, queries: pa.Table) -> pa.Table:
         if not own.num_rows or not queries.num_rows:

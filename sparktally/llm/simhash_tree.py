@@ -7,7 +7,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, Window, functions as F
 
-from sparktally.llm.common import carried, settle
+from sparktally.llm.common import carried, settle, whole_hash
 
 SHINGLE = 3
 MAX_BITS = 2
@@ -324,7 +324,8 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX
 def keep_one(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
     """The rows of `docs` without near-duplicates: of each component the smallest doc_id stays.
 
-    Among rows of that id the smallest text hash stays, and of equal rows one.
+    Among rows of that id the smallest text hash stays, among rows of equal id and text the
+    smallest hash of the whole row, and of rows equal in all columns one.
     """
     found = near_duplicates(docs, shingle, max_bits)
     # The smallest id, null last, then the smallest hash.
@@ -332,7 +333,8 @@ def keep_one(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS)
     kept = (found.groupBy("root").agg(F.min(order).alias("best"))
             .select("best.doc_id", "best.text_hash"))
     rows = docs.select(carried(docs).alias("_row"), F.col("doc_id").cast("long").alias("_id"),
-                       F.xxhash64("text").alias("_hash"))
+                       F.xxhash64("text").alias("_hash"), whole_hash(docs).alias("_whole"))
     same = rows["_id"].eqNullSafe(kept["doc_id"]) & (rows["_hash"] == kept["text_hash"])
-    first = F.row_number().over(Window.partitionBy("_id", "_hash").orderBy("_hash"))
+    # Spark cuts each task to one row per group before it shuffles them.
+    first = F.row_number().over(Window.partitionBy("_id", "_hash").orderBy("_whole"))
     return (rows.join(kept, same, "left_semi").withColumn("_n", first).where("_n = 1").select("_row.*"))

@@ -5,10 +5,12 @@ from __future__ import annotations
 import re
 import unicodedata
 from collections import Counter
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import ahocorasick
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -58,6 +60,7 @@ def _plain_table() -> dict[int, str]:
 
 _FOLD, _PLAIN = _fold_table(), _plain_table()
 _TOKEN = re.compile(r"[^\W\d_]+")
+_NEXT = re.compile(r" [^\W\d_]+")
 
 
 def fold(text: str) -> str:
@@ -245,6 +248,21 @@ def learn(docs: DataFrame, labels: DataFrame, most: int = TRAINING_ROWS,
     return lexicon
 
 
+def _with_neighbours(folded: str, start: int) -> list[str]:
+    """The word at `start` with the word before it and with the one after it, whole words of any length, a space between."""
+    word = _TOKEN.match(folded, start)
+    out = []
+    if start and folded[start - 1] == " ":
+        first = start - 1
+        while first and _TOKEN.match(folded[first - 1]):
+            first -= 1
+        if first < start - 1:
+            out.append(folded[first:word.end()])
+    if right := _NEXT.match(folded, word.end()):
+        out.append(folded[start:right.end()])
+    return out
+
+
 def _learned_exceptions(rows: DataFrame, lexicon: Lexicon) -> list[str]:
     def phrases(batches):
         matcher = lexicon.matcher()
@@ -252,12 +270,8 @@ def _learned_exceptions(rows: DataFrame, lexicon: Lexicon) -> list[str]:
             found, labels = [], []
             for text, label in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 folded, own = fold(text), set()
-                for start, end, _, _ in matcher.hits(folded):
-                    left = re.search(r"[^\W\d_]+ $", folded[max(0, start - 30):start])
-                    word = _TOKEN.match(folded, start)
-                    right = re.match(r" [^\W\d_]+", folded[word.end():word.end() + 30])
-                    own |= {left[0] + word[0]} if left else set()
-                    own |= {word[0] + right[0]} if right else set()
+                for start, _, _, _ in matcher.hits(folded):
+                    own.update(_with_neighbours(folded, start))
                 found += own
                 labels += [label] * len(own)
             yield pa.RecordBatch.from_arrays([pa.array(found, pa.string()), pa.array(labels, pa.int32())],
@@ -331,9 +345,10 @@ def reject_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
     lexicon = learn(docs, labels)
 
     @F.pandas_udf("boolean")
-    def clean(texts):
-        matcher = lexicon.matcher()
-        found = np.array([matcher.measures(t or "")[:2] for t in texts]).reshape(-1, 2)
-        return texts.__class__(matcher.score(found) < 0.5)
+    def clean(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        matcher = lexicon.matcher()  # once per task
+        for texts in batches:
+            found = np.array([matcher.measures(t or "")[:2] for t in texts]).reshape(-1, 2)
+            yield pd.Series(matcher.score(found) < 0.5)
 
     return docs.where(clean(F.coalesce(docs["text"], F.lit(""))))

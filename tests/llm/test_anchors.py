@@ -3,6 +3,7 @@
 import hashlib
 import re
 
+import pytest
 import tables
 from hypothesis import given, settings, strategies as st
 
@@ -101,3 +102,12 @@ def test_masked_text(spark):
     docs = spark.createDataFrame([(1, "to a@b.co now"), (2, None), (3, "")], "doc_id long, text string")
     assert tables.table(anchors.masked(docs)) == [(1, "to [email] now"), (2, None), (3, "")]
     assert anchors.find_personal_data(tables.empty(spark)).count() == 0
+
+
+@pytest.mark.parametrize("text,found", [
+    ("account number is 12345678.", "12345678"), ("My password is hunter2, yes", "hunter2"),
+    ("password=abcDEF123!@#x more", "abcDEF123!@#x"), ('token: "a1-b2_c3"', "a1-b2_c3"), ("Passport No is X1234567", "X1234567"),
+    ("the password is missing", None), ("secret garden", None), ("an account is opened", None)])
+def test_boundaries_of_account_values(text, found):
+    spans = [text[s:e] for k, s, e in anchors.Finder().spans(text) if k == "account"]
+    assert spans == ([found] if found else [])

@@ -52,3 +52,54 @@ def test_written_shards_hold_every_row(spark, tmp_path):
 
 def test_no_rows(spark):
     assert hilbert.shard_by_hilbert(tables.empty(spark)).count() == 0
+
+
+def plain_index(point, bits):
+    """Position along the Hilbert curve by walking it: neighbours differ by one step, halves are visited in turn (Skilling)."""
+    x, n = list(point), len(point)
+    m = 1 << (bits - 1)
+    q = m
+    while q > 1:
+        for i in range(n):
+            if x[i] & q:
+                x[0] ^= q - 1
+            else:
+                t = (x[0] ^ x[i]) & (q - 1)
+                x[0] ^= t
+                x[i] ^= t
+        q >>= 1
+    for i in range(1, n):
+        x[i] ^= x[i - 1]
+    t, q = 0, m
+    while q > 1:
+        if x[n - 1] & q:
+            t ^= q - 1
+        q >>= 1
+    x = [v ^ t for v in x]
+    return int("".join(str(v >> b & 1) for b in range(bits - 1, -1, -1) for v in x), 2)
+
+
+def test_index_and_cut_by_hand(spark):
+    bits = 3
+    cells = [(a, b, c) for a in range(8) for b in range(8) for c in range(8)]
+    got = {tuple(r.p): r.i for r in spark.createDataFrame([(list(c),) for c in cells], "p array<bigint>").select(
+        "p", hilbert.hilbert_index(F.col("p"), 3, bits).alias("i")).collect()}
+    assert sorted(got.values()) == list(range(512))
+    by_place = {i: c for c, i in got.items()}
+    assert all(sum(abs(u - v) for u, v in zip(by_place[i], by_place[i + 1])) == 1 for i in range(511))
+    assert {c: plain_index(c, bits) for c in cells} == got
+    # the cut: positions along the curve in runs of near equal counts
+    docs = spark.createDataFrame([(i, "x" * (i % 50), f"l{i % 3}", f"s{i % 11}", 0) for i in range(301)], tables.DOCS)
+    rows = sorted(hilbert.shard_by_hilbert(docs, 7).collect(), key=lambda r: (r.shard, r.slot))
+    starts = [-(-s * 301 // 7) for s in range(8)]
+    assert [(r.shard, r.slot) for r in rows] == [(s, i - starts[s]) for s in range(7) for i in range(starts[s], starts[s + 1])]
+    assert [r.curve for r in rows] == sorted(r.curve for r in rows)
+
+
+def test_written_shards_do_not_depend_on_the_order_of_rows(spark, tmp_path):
+    rows = [(1, "the same", lang, f"s{n}", n) for lang in ("a", "b", None) for n in range(6)] + [(1, "the same", "a", "s0", 0)] * 2
+    written = []
+    for i, order in enumerate((rows, rows[::-1])):
+        hilbert.write_shards(spark.createDataFrame(order, tables.DOCS).coalesce(1), f"{tmp_path}/{i}", 4)
+        written.append(tables.table(spark.read.parquet(f"{tmp_path}/{i}")))
+    assert written[0] == written[1] and len(written[0]) == len(rows)

@@ -101,6 +101,67 @@ def test_claims_stand_beside_content():
     assert "Sentences" not in html_cut.main_text(f"<div class='cookie-consent'><p>{LONG}</p><p>{LONG}</p></div>Short.")
 
 
+ITEMS = ["milk", "two eggs", "a cup of flour", "some salt", "butter", "an apple"]
+LIST = "<ul>" + "".join(f"<li>{x}</li>" for x in ITEMS) + "</ul>"
+TABLE = "<table><tr><th>what</th><th>how much</th></tr><tr><td>milk</td><td>1 l</td></tr></table>"
+
+
+@pytest.mark.parametrize("whole,inner", [(LIST, ITEMS), (TABLE, ["what", "how much", "milk", "1 l"]),
+                                         (LIST.replace("ul", "ol"), ITEMS), (LIST * 2, ITEMS * 2),
+                                         (LIST.replace("two eggs", "<a href=x>two eggs</a>"), ITEMS)])
+def test_lists_and_tables_stay_with_their_text(whole, inner):
+    text = "\n".join(inner)
+    assert html_cut.main_text(f"<div><h1>T</h1><p>{LONG}</p>{whole}<p>{LONG}</p></div>") == (
+        f"T\n{LONG.strip()}\n{text}\n{LONG.strip()}")
+    assert html_cut.main_text(f"<div><h1>T</h1><p>{LONG}</p>{whole}</div>") == f"T\n{LONG.strip()}\n{text}"
+    menu = "<ul>" + "<li><a href=x>Somewhere else</a></li>" * 5 + "</ul>"
+    assert html_cut.main_text(f"{menu}<div><p>{LONG}</p>{whole}</div>{menu}") == f"{LONG.strip()}\n{text}"
+
+
+def test_the_only_text_of_a_page():
+    assert html_cut.main_text("<div>Hello world</div>") == "Hello world"
+    assert html_cut.main_text("<div>Hello world</div><div><a href=x>Home</a></div>") == "Hello world"
+    assert html_cut.main_text("<nav>Hello world</nav>") == html_cut.main_text("<div><a href=x>Home</a></div>") == ""
+
+
+@pytest.mark.parametrize("comments", [
+    f"<div class='thread'><p>{LONG}</p></div>", f"<article><p>{LONG}</p></article>" * 3,
+    f"<div class='user-feedback'><p>{LONG}</p></div>", f"<section class='thread'><article><p>{LONG}</p></article></section>"])
+def test_comments_inside_an_article(comments):
+    inner = f"<h1>A title</h1><p>{LONG}</p><p>{LONG}</p>"
+    assert html_cut.main_text(f"<article>{inner}{comments}</article>") == OUTER[1]
+
+
+def test_an_article_around_the_article():
+    assert html_cut.main_text(f"<article class=page><article>{INNER}</article></article>") == TEXT
+
+
+LINKS = "<div><a href=x>Home</a> <a href=y>About the site</a></div>"
+
+
+@pytest.mark.parametrize("page,text", [
+    # a short subheading between paragraphs
+    (f"<div><p>{LONG}</p><h2>Part two</h2><p>{LONG}</p></div>", f"{LONG.strip()}\nPart two\n{LONG.strip()}"),
+    # a line that is a link, in a list of the text
+    (f"<div><p>{LONG}</p><ul><li>milk</li><li><a href=x>two eggs</a></li><li>some salt</li></ul><p>{LONG}</p></div>",
+     f"{LONG.strip()}\nmilk\ntwo eggs\nsome salt\n{LONG.strip()}"),
+    # a caption without a full stop
+    (f"<div><p>{LONG}</p><div>A view of the lake</div><p>{LONG}</p></div>", f"{LONG.strip()}\nA view of the lake\n{LONG.strip()}"),
+    # a line of words among links
+    (f"<div><p>{LONG}</p><p>{LONG}</p></div><div>{LINKS}<div>All that is here belongs to the owner of the site and to some friends"
+     f"</div>{LINKS}</div>", f"{LONG.strip()}\n{LONG.strip()}"),
+])
+def test_the_cut_decides_where_costs_alone_are_wrong(page, text):
+    blocks = html_cut.blocks_of(page)
+    alone = "\n".join(b.text for b, cost in zip(blocks, html_cut.costs_of(blocks)) if cost <= 0)
+    assert alone != text and html_cut.main_text(page) == text
+
+
+def test_a_very_long_page():
+    page = f"<div>{'<p>Some words of a long page.</p>' * 30_000}</div><div>{LINKS * 1000}</div>"
+    assert html_cut.main_text(page).count("\n") == 29_999
+
+
 def test_formulas_and_fallback_text():
     math = "<math><semantics><mi>x</mi><mo>=</mo><mn>1</mn><annotation>x=1</annotation></semantics></math>"
     page = f"<article><p>Let {math} be. <object data=a><param name=b>A chart.</object></p></article>"

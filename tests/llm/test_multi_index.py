@@ -70,3 +70,11 @@ def test_few_rows(spark):
     assert {q: [i for _, i in v] for q, v in got.items()} == {0: [50, 1], 50: [0, 1]}
     assert mi.nearest(table.limit(1), F.lit(True)).count() == 0
     assert mi.nearest(table.limit(0), F.lit(True)).count() == 0
+
+
+def test_extreme_magnitudes(spark):
+    rows = [(0, [1e200, 1e200]), (1, [1e-200, 0.0]), (2, [1e-200, 1.1e-200]), (3, [1e300, -1e300]), (4, [1.0, 1.0]), (5, [0.0, 5e-324])]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = mi.nearest(table, F.col("vec_id") == 0, k=5).orderBy("rank").collect()
+    assert [r.vec_id for r in got] == [4, 2, 1, 5, 3]
+    assert [r.score for r in got] == pytest.approx([1.0, 2.1 / (2 * 2.21) ** 0.5, 0.5 ** 0.5, 0.5 ** 0.5, 0.0], abs=1e-15)

@@ -100,3 +100,10 @@ def test_one_row_of_each_group_stays(spark):
 def test_no_rows(spark):
     assert st.near_duplicates(tables.empty(spark)).count() == 0
     assert st.keep_one(tables.empty(spark)).count() == 0
+
+
+def test_rows_of_equal_id_and_text_that_differ_elsewhere(spark):
+    rows = [(1, "the same text", lang, "s", n) for lang in ("a", "b", None) for n in (1, 2)] + [(2, "another text here", "a", "s", 1)]
+    kept = {tuple(tables.table(st.keep_one(spark.createDataFrame(order, tables.DOCS).coalesce(1))))
+            for order in (rows, rows[::-1], rows[3:] + rows[:3], rows + rows)}
+    assert len(kept) == 1 and len(next(iter(kept))) == 2

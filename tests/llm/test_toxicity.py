@@ -1,5 +1,6 @@
 """The toxicity lexicon: folding, matching, exceptions and held-out accuracy."""
 
+import random
 import zlib
 
 import pytest
@@ -105,3 +106,43 @@ def test_every_exception_phrase_is_learned(spark):
     rows = [(" ".join(f"{name(i)}x scum ." for i in range(1500)), 0)] * 2 + [("you scum", 1)]
     learned = toxicity._learned_exceptions(spark.createDataFrame(rows, "text string, toxic int"), lexicon)
     assert sorted(learned) == sorted(f"{name(i)}x scum" for i in range(1500))
+
+
+def test_exception_phrases_of_long_words(spark):
+    long = "abcdefghij" * 5
+    lexicon = toxicity.Lexicon({"scum$": 5.0}, ())
+    rows = [(f"{long} scum {long}z and 1{long}", 0)] * 2 + [("you scum", 1)]
+    learned = toxicity._learned_exceptions(spark.createDataFrame(rows, "text string, toxic int"), lexicon)
+    assert sorted(learned) == sorted([f"{long} scum", f"scum {long}z"])
+    for phrase in learned:
+        assert hits(toxicity.Lexicon({"scum$": 5.0}, (phrase,)), rows[0][0]) == []
+
+
+def plain_hits(lexicon, folded):
+    """Every place of every term and phrase, by plain search."""
+    def places(word):
+        return [(i, i + len(word)) for i in range(len(folded) - len(word) + 1) if folded.startswith(word, i)]
+
+    def free(end):
+        return end == len(folded) or not folded[end].isalpha()
+
+    spans = [(s, e) for p in lexicon.exceptions for s, e in places(toxicity.fold(p))
+             if (s == 0 or not folded[s - 1].isalpha()) and free(e)]
+    out = []
+    for term, weight in lexicon.weights.items():
+        for s, e in places(term.rstrip("$")):
+            if (s == 0 or not folded[s - 1].isalpha()) and (term[-1] != "$" or free(e)):
+                if not any(a <= s and e <= b for a, b in spans):
+                    out.append((s, e, term, weight))
+    return sorted(out)
+
+
+def test_matches_equal_a_plain_search():
+    rng = random.Random(2)
+    words = ["scum", "scummy", "trash", "can", "ash", "a", "vequ", "vequila", "x1d10t", "1d10t", "idiot", "trash can", "l0ser"]
+    lexicon = toxicity.Lexicon({"scum$": 5.0, "vequ": 2.0, "trash$": 1.0, "ash": 3.0, "idiot$": 4.0, "loser$": 2.0, "los": 1.0},
+                               ("trash can", "scum a", "a vequila"))
+    matcher = lexicon.matcher()
+    for _ in range(400):
+        folded = toxicity.fold(rng.choice([" ", ". ", "-"]).join(rng.choice(words) for _ in range(rng.randint(0, 12))))
+        assert sorted(matcher.hits(folded)) == plain_hits(lexicon, folded)
