@@ -4,18 +4,21 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from pyspark.sql import types as T
 
 from sparktally import schemas
+from sparktally.functions.formatting import comma_line, fixed
 from sparktally.functions.parsing import AGE_BANDS_FINE, AGE_BANDS_WIDE, band, epoch_year
-from sparktally.operators import ranking
+from sparktally.operators import distinct_sketches, quantiles, ranking
 from sparktally.operators.joins import lookup
+from sparktally.operators.means_store import MeansStore
 from sparktally.operators.rejects import Rejects, checked_batches, write_checked
 from sparktally.operators.terms import words_of
 from sparktally.plans import blobs, commerce, frames, movies, reviews
-from sparktally.session import scratch_path
-from sparktally.sources import message_log, readers, sample_tables as t, sinks
+from sparktally.session import ensure_checkpoint_dir, scratch_path
+from sparktally.sources import layout, message_log, readers, sample_tables as t, sinks
 from sparktally.sources.readers import frame_paths as frame_listing
 from sparktally.streaming import pipeline, windows
 from sparktally.streaming.keyed_store import KeyedStore
@@ -41,6 +44,15 @@ def _in_order(report: DataFrame) -> DataFrame:
     return numbered.select(*report.columns, place.alias("place"))
 
 
+def _in_order_large(report: DataFrame) -> DataFrame:
+    """As `_in_order` for results of any size: the rows' own numbers are ranked in ranges."""
+    ensure_checkpoint_dir(report.sparkSession)
+    numbered = report.select("*", F.monotonically_increasing_id().alias("_at")).checkpoint()
+    ranked = ranking.attach_rank(numbered, ranking.rank_values(numbered, "_at", "_rank"), "_at")
+    n = numbered.agg(F.count(F.lit(1))).scalar()
+    return ranked.select(*report.columns, (n - F.col("_rank") + 1).alias("place"))
+
+
 # ---- movie ratings -------------------------------------------------------
 
 @query
@@ -163,6 +175,24 @@ def message_rejects(spark, folder):
             .withColumns({name: F.lit(n).cast("bigint") for name, n in reported.items()}))
 
 
+@query
+def lines_round_trip(spark, folder):
+    """Genre means as lines of two decimals in one file, written over an older one; a third writing is refused."""
+    path = scratch_path(spark, "lines")
+    means = movies.genre_rating_summary(t.movies(spark, folder), t.ratings(spark, folder))
+    lines = sinks.render_lines(means, comma_line(F.col("genre"), fixed(F.col("avg_rating")), F.col("n_ratings")))
+    sinks.write_lines(sinks.render_lines(t.movies(spark, folder), F.col("title")), path)
+    sinks.write_lines(lines, path, mode="overwrite", single_file=True)
+    try:
+        sinks.write_lines(lines, path)
+        refused = False
+    except AnalysisException:
+        refused = True
+    read = spark.read.text(path).select("value", "_metadata.file_path")
+    files = read.agg(F.countDistinct("file_path")).scalar()
+    return read.select("value", files.alias("n_files"), F.lit(refused).alias("refused"))
+
+
 @query
 def movies_text_round_trip(spark, folder):
     """Movies as text lines, some titles with a comma, read back in every dialect."""
@@ -197,6 +227,41 @@ def users_text_round_trip(spark, folder):
             .agg(F.count(F.lit(1)).alias("n_users")))
 
 
+def _by_user(spark, folder) -> tuple[DataFrame, DataFrame]:
+    """Ratings and users stored in buckets of the user."""
+    base = scratch_path(spark, "by-user")
+    return (layout.store_by_key(t.ratings(spark, folder, True), f"{base}/ratings", "user_id", buckets=8),
+            layout.store_by_key(t.users(spark, folder), f"{base}/users", "user_id", buckets=8))
+
+
+@query
+def movie_gender_long_by_layout(spark, folder):
+    """The gender means from ratings stored by user, which are not shuffled again."""
+    ratings, users = _by_user(spark, folder)
+    return movies.movie_gender_long(t.movies(spark, folder), ratings, users)
+
+
+@query
+def occupation_summary_by_layout(spark, folder):
+    ratings, users = _by_user(spark, folder)
+    return movies.occupation_rating_summary(ratings, users, t.occupations(spark, folder))
+
+
+@query
+def movie_means_between_loads(spark, folder):
+    """Means per movie kept as sums and counts over three loads of rating files, one of them repeated."""
+    base = scratch_path(spark, "loads")
+    ratings = t.ratings(spark, folder)
+    ratings.withColumn("part", F.pmod(F.col("movie_id"), F.lit(3))).write.partitionBy("part").parquet(f"{base}/in")
+    files = [r[0] for r in spark.read.parquet(f"{base}/in").select("_metadata.file_path").distinct().collect()]
+    files.sort()
+    store = MeansStore(spark, f"{base}/store", ["movie_id"], "rating")
+    half = -(-len(files) // 2)
+    for asked in (files[:half], files[:half], files, files[half:]):
+        store.load(asked, lambda new: spark.read.schema(ratings.schema).parquet(*new))
+    return store.means()
+
+
 # ---- reviews -------------------------------------------------------------
 
 @query
@@ -300,8 +365,9 @@ def sentiment_split_round_trip(spark, folder):
 
 @query
 def dataset_schema_report(spark, folder):
+    """Columns, types and counts of values, the counts from the file footers."""
     names = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"]
-    return readers.describe_schema({n: t.table(spark, folder, n) for n in names}, counts=True)
+    return readers.describe_schema({n: readers.read_footers(spark, f"{folder}/{n}.parquet") for n in names}, counts=True)
 
 
 @query
@@ -404,11 +470,60 @@ def customer_segments(spark, folder):
         value_cuts=(100000.0, 150000.0), frequency_cuts=(0.12, 0.16))
 
 
+@query
+def customer_segments_by_quantile(spark, folder):
+    return commerce.customer_segments_by_quantile(t.orders(spark, folder), t.items(spark, folder))
+
+
+@query
+def customer_value_quartiles(spark, folder):
+    """ntile(4) of all customers by mean order value, without a window over the whole table."""
+    profile = commerce.customer_profile(t.orders(spark, folder), t.items(spark, folder))
+    return quantiles.ntile(profile.select("customer_id", "avg_order_value"), ["avg_order_value", "customer_id"], 4).select(
+        "customer_id", "tile")
+
+
+@query
+def price_quantile_sketch(spark, folder):
+    """Quantile sketches of item prices per month, stored and merged; how many items, and whether each quantile's rank is near."""
+    path = scratch_path(spark, "price-sketches")
+    items = t.items(spark, folder)
+    monthly = items.withColumn("month", F.date_format("shipping_limit", "yyyy-MM"))
+    quantiles.quantile_sketches(monthly, ["month"], "price").write.parquet(path)
+    found = quantiles.merge_quantiles(spark.read.schema("month string, sketch binary").parquet(path), [], [0.1, 0.25, 0.5, 0.75, 0.9])
+    limits = found.agg(F.collect_list("quantile")).scalar()
+    below = items.agg(*[F.sum((F.col("price") <= F.get(limits, F.lit(i))).cast("bigint")).alias(f"_{i}") for i in range(5)])
+    ranks = below.select(F.posexplode(F.array(*[F.col(f"_{i}") for i in range(5)])).alias("at", "rank"))
+    placed = found.withColumn("at", F.array_position(limits, F.col("quantile")).cast("int") - 1)
+    near = F.abs(F.col("rank") / F.col("n") - F.col("share")) <= 0.02
+    return placed.join(ranks, "at").select("share", "n", near.alias("near"))
+
+
+@query
+def distinct_orders_rolled_up(spark, folder):
+    """Distinct orders per country, year and in all from sketches kept per month and country, beside the exact counts."""
+    path = scratch_path(spark, "order-sketches")
+    orders, customers = t.orders(spark, folder), t.customers(spark, folder)
+    commerce.order_sketches(orders, customers).write.parquet(path)
+    kept = spark.read.schema("year int, month int, country string, sketch binary").parquet(path)
+    placed = lookup(orders, customers, "customer_id", "left").withColumn("year", F.year("purchase_ts"))
+    levels = {"country": F.col("country"), "year": F.col("year").cast("string"), "all": F.lit("all")}
+    report = None
+    for name, key in levels.items():
+        united = distinct_sketches.distinct_estimates(kept.withColumn("key", key), ["key"], "n")
+        exact = placed.groupBy(key.alias("key")).agg(F.countDistinct("order_id").alias("n_exact"))
+        both = united.join(exact, united["key"].eqNullSafe(exact["key"]), "full").select(
+            F.lit(name).alias("level"), exact["key"], "n_exact",
+            (F.abs(F.col("n") - F.col("n_exact")) <= 4 * distinct_sketches.standard_error() * F.col("n_exact") + 1).alias("near"))
+        report = both if report is None else report.unionAll(both)
+    return report
+
+
 # ---- frames --------------------------------------------------------------
 
 @query
 def frame_paths(spark, folder):
-    return frame_listing(t.frames(spark, folder))
+    return _in_order_large(frame_listing(t.frames(spark, folder)))
 
 
 @query
@@ -509,8 +624,8 @@ def messages_by_reader(spark, folder):
 
 @query
 def latest_detections(spark, folder):
-    return frames.latest_detections(t.detections(spark, folder)).select(
-        "frame_id", "camera_id", "timestamp", "person_count")
+    return _in_order_large(frames.latest_detections(t.detections(spark, folder)).select(
+        "frame_id", "camera_id", "timestamp", "person_count"))
 
 
 @query

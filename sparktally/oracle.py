@@ -189,6 +189,21 @@ def _schema_report() -> str:
         for i, (column, kind) in enumerate(columns, 1))
 
 
+_PROFILE = """, valued AS (
+SELECT order_id, sum(cents) AS cents FROM items GROUP BY order_id), profile AS (
+SELECT customer_id, count(*) AS n_orders, coalesce(sum(cents), 0) AS cents,
+       max(year(purchase_ts) * 12 + month(purchase_ts))
+         - min(year(purchase_ts) * 12 + month(purchase_ts)) + 1 AS months
+FROM co LEFT JOIN valued USING (order_id) GROUP BY customer_id), rated AS (
+SELECT customer_id, n_orders, CAST(cents AS DOUBLE) / 100.0 / n_orders AS value,
+       n_orders / CAST(months AS DOUBLE) AS frequency FROM profile)"""
+_GENDER_LONG = _with(MOVIES, RATINGS, USERS) + """
+SELECT title, gender, avg(rating) AS avg_rating
+FROM ratings JOIN users USING (user_id) JOIN movies USING (movie_id)
+GROUP BY movie_id, title, gender"""
+_OCCUPATIONS = _with(RATINGS, USERS) + """
+SELECT n_name AS occupation, avg(rating) AS avg_rating, count(*) AS n_ratings
+FROM ratings JOIN users USING (user_id) JOIN nation ON occupation_id = n_nationkey GROUP BY n_name"""
 ORACLE: dict[str, str] = {
     "movie_rating_summary": _with(MOVIES, LINE_RATINGS) + """
 SELECT title, avg(rating) AS avg_rating, count(*) AS n_ratings
@@ -213,10 +228,7 @@ FROM ratings JOIN (SELECT movie_id, unnest(string_split(genres, '|')) AS genre F
 USING (movie_id) GROUP BY genre""",
     "movie_gender_pivot": _gender_pivot("title"),
     "movie_gender_pivot_by_id": _gender_pivot("movie_id, title"),
-    "movie_gender_long": _with(MOVIES, RATINGS, USERS) + """
-SELECT title, gender, avg(rating) AS avg_rating
-FROM ratings JOIN users USING (user_id) JOIN movies USING (movie_id)
-GROUP BY movie_id, title, gender""",
+    "movie_gender_long": _GENDER_LONG,
     "movie_age_pivot": _with(MOVIES, RATINGS, USERS) + """
 SELECT coalesce(title, CAST(movie_id AS VARCHAR)) AS title, avg(rating) FILTER (age <= 18) AS age_0_18,
        avg(rating) FILTER (age > 18 AND age <= 35) AS age_18_35,
@@ -229,9 +241,7 @@ SELECT movie_id, title, rating,
             WHEN age <= 45 THEN '36-45' WHEN age <= 50 THEN '46-50' ELSE '50+' END AS band
 FROM ratings JOIN users USING (user_id) JOIN movies USING (movie_id))
 SELECT title, band, avg(rating) AS avg_rating FROM banded GROUP BY movie_id, title, band""",
-    "occupation_rating_summary": _with(RATINGS, USERS) + """
-SELECT n_name AS occupation, avg(rating) AS avg_rating, count(*) AS n_ratings
-FROM ratings JOIN users USING (user_id) JOIN nation ON occupation_id = n_nationkey GROUP BY n_name""",
+    "occupation_rating_summary": _OCCUPATIONS,
     "yearly_rating_summary": _with(LINE_RATINGS) + """
 SELECT CAST(year(day) AS INTEGER) AS year, avg(rating) AS avg_rating, count(*) AS n_ratings
 FROM ratings GROUP BY 1""",
@@ -251,6 +261,16 @@ SELECT CASE WHEN event_id % 41 = 0 THEN 'malformed' ELSE 'record' END AS kind, c
        CAST(sum(CASE WHEN event_id % 41 <> 0 THEN person_count END) AS BIGINT) AS people,
        (SELECT count(*) FROM events) AS n_rows, (SELECT count(*) FROM events WHERE event_id % 41 = 0) AS n_malformed
 FROM records GROUP BY 1""",
+    "movie_gender_long_by_layout": _GENDER_LONG,
+    "occupation_summary_by_layout": _OCCUPATIONS,
+    "movie_means_between_loads": _with(LINE_RATINGS) + """
+SELECT movie_id, avg(rating) AS avg_rating, count(*) AS n_ratings FROM ratings GROUP BY movie_id""",
+    "lines_round_trip": _with(MOVIES, LINE_RATINGS) + """, means AS (
+SELECT genre, CAST(sum(rating * 2) AS BIGINT) AS halves, count(*) AS n
+FROM ratings JOIN (SELECT movie_id, unnest(string_split(genres, '|')) AS genre FROM movies) g USING (movie_id) GROUP BY genre),
+cents AS (SELECT *, (100 * halves + n) // (2 * n) AS c FROM means)
+SELECT genre || ',' || (c // 100) || '.' || lpad(CAST(c % 100 AS VARCHAR), 2, '0') || ',' || n AS value,
+       CAST(1 AS BIGINT) AS n_files, true AS refused FROM cents""",
     "movies_text_round_trip": _with(MOVIES) + """, lines AS (
 SELECT CAST(movie_id AS VARCHAR) AS movie_id, title, genres, movie_id % 5 = 0 AS comma,
        CASE WHEN movie_id % 5 = 0 THEN title || ', The' ELSE title END AS full_title FROM movies)
@@ -369,6 +389,30 @@ FROM delays GROUP BY seller_id""",
 SELECT CASE WHEN d IS NULL THEN 'open' WHEN d < 0 THEN 'early' WHEN d = 0 THEN 'on_time'
             ELSE 'late' END AS performance, count(*) AS n_items, avg(d) AS avg_delay_days
 FROM delays GROUP BY 1""",
+    "customer_value_quartiles": _with(ITEMS, COMMERCE_ORDERS) + _PROFILE + """
+SELECT customer_id, CAST(ntile(4) OVER (ORDER BY value, customer_id) AS INTEGER) AS tile FROM rated""",
+    "customer_segments_by_quantile": _with(ITEMS, COMMERCE_ORDERS) + _PROFILE + """, cuts AS (
+SELECT s, list_sort(list(n_orders))[CAST(ceil(count(*) * s) AS BIGINT)] AS o,
+       list_sort(list(value))[CAST(ceil(count(*) * s) AS BIGINT)] AS v,
+       list_sort(list(frequency))[CAST(ceil(count(*) * s) AS BIGINT)] AS f
+FROM rated, (VALUES (CAST(0.25 AS DOUBLE)), (0.5), (0.75)) x(s) GROUP BY s)
+SELECT CAST((SELECT count(*) FROM cuts WHERE n_orders > o) AS INTEGER) AS order_level,
+       CAST((SELECT count(*) FROM cuts WHERE value > v) AS INTEGER) AS value_level,
+       CAST((SELECT count(*) FROM cuts WHERE frequency > f) AS INTEGER) AS frequency_level,
+       count(*) AS n_customers, avg(n_orders) AS avg_orders
+FROM rated GROUP BY 1, 2, 3""",
+    "price_quantile_sketch": """
+SELECT share, (SELECT count(*) FROM lineitem) AS n, true AS near
+FROM (VALUES (CAST(0.1 AS DOUBLE)), (0.25), (0.5), (0.75), (0.9)) s(share)""",
+    "distinct_orders_rolled_up": """
+WITH placed AS (
+  SELECT o_orderkey, CAST(year(o_orderdate) AS VARCHAR) AS year, country
+  FROM orders LEFT JOIN (
+    SELECT c_custkey, CASE WHEN c_custkey % 41 <> 0 THEN n_name END AS country
+    FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey) c ON o_custkey = c_custkey)
+SELECT 'country' AS level, country AS key, count(DISTINCT o_orderkey) AS n_exact, true AS near FROM placed GROUP BY country
+UNION ALL SELECT 'year', year, count(DISTINCT o_orderkey), true FROM placed GROUP BY year
+UNION ALL SELECT 'all', 'all', count(DISTINCT o_orderkey), true FROM placed""",
     "customer_segments": _with(ITEMS, COMMERCE_ORDERS) + """, valued AS (
 SELECT order_id, sum(cents) AS cents FROM items GROUP BY order_id), profile AS (
 SELECT customer_id, count(*) AS n_orders, coalesce(sum(cents), 0) AS cents,
@@ -383,8 +427,8 @@ SELECT CAST(CASE WHEN n_orders <= 8 THEN 0 WHEN n_orders <= 12 THEN 1 ELSE 2 END
        count(*) AS n_customers, avg(n_orders) AS avg_orders
 FROM profile GROUP BY 1, 2, 3""",
     "frame_paths": """
-SELECT '/frames/' || page_id ||
-       CASE page_id % 3 WHEN 0 THEN '.JPG' WHEN 1 THEN '.jpeg' ELSE '.png' END AS path FROM pages""",
+SELECT path, row_number() OVER (ORDER BY path) AS place FROM (
+  SELECT '/frames/' || page_id || CASE page_id % 3 WHEN 0 THEN '.JPG' WHEN 1 THEN '.jpeg' ELSE '.png' END AS path FROM pages) p""",
     "frames_from_files": """
 SELECT kind, md5(html) AS content_md5, CAST(strlen(html) AS BIGINT) AS length
 FROM pages, (VALUES ('batch'), ('stream')) k(kind)""",
@@ -406,7 +450,8 @@ SELECT CAST(page_id AS VARCHAR) AS frame_id, 'cam' || (page_id % 4) AS camera_id
 FROM pages WHERE page_id % 10 IN (3, 5, 7, 9)""",
     "frames_to_store": SCORED_BOXES,
     "latest_detections": _with(DETECTIONS) + """
-SELECT CAST(event_id AS VARCHAR) AS frame_id, camera_id, iso AS timestamp, person_count FROM records""",
+SELECT CAST(event_id AS VARCHAR) AS frame_id, camera_id, iso AS timestamp, person_count,
+       row_number() OVER (ORDER BY iso DESC, CAST(event_id AS VARCHAR)) AS place FROM records""",
     "detection_boxes": _DETECTION_BOXES,
     "messages_by_reader": _with(DETECTIONS) + """
 SELECT reader, count(*) AS n, count(DISTINCT event_id) AS n_frames, CAST(sum(person_count) AS BIGINT) AS people

@@ -16,8 +16,11 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from sparktally.functions.parsing import in_year, safe_int, scaled, unscaled
 from sparktally.operators.aggregates import distinct_total
+from sparktally.operators.distinct_sketches import distinct_sketches
 from sparktally.operators.joins import lookup
+from sparktally.operators.quantiles import level, quantile_cuts
 from sparktally.operators.ranking import attach_rank, rank_values, top_k
+from sparktally.session import ensure_checkpoint_dir
 
 
 def entity_totals(orders: DataFrame, customers: DataFrame, items: DataFrame,
@@ -229,3 +232,22 @@ def customer_segments(orders: DataFrame, items: DataFrame,
         _cut(F.col("avg_order_value"), value_cuts).alias("value_level"),
         _cut(F.col("orders_per_month"), frequency_cuts).alias("frequency_level"))
         .agg(F.count(F.lit(1)).alias("n_customers"), F.avg("n_orders").alias("avg_orders")))
+
+
+def customer_segments_by_quantile(orders: DataFrame, items: DataFrame, shares: Sequence[float] = (0.25, 0.5, 0.75),
+                                  digits: int = 2) -> DataFrame:
+    """As `customer_segments`, with the levels cut at exact quantiles of the customers."""
+    ensure_checkpoint_dir(orders.sparkSession)
+    profile = customer_profile(orders, items, digits).checkpoint()
+    cut = lambda c: level(F.col(c), quantile_cuts(profile, c, shares))
+    return (profile.groupBy(cut("n_orders").alias("order_level"), cut("avg_order_value").alias("value_level"),
+                            cut("orders_per_month").alias("frequency_level"))
+            .agg(F.count(F.lit(1)).alias("n_customers"), F.avg("n_orders").alias("avg_orders")))
+
+
+def order_sketches(orders: DataFrame, customers: DataFrame) -> DataFrame:
+    """year, month, country, sketch of the order ids: what a load keeps to answer counts per any of them."""
+    placed = lookup(orders.select("order_id", "customer_id", F.year("purchase_ts").alias("year"),
+                                  F.month("purchase_ts").alias("month")),
+                    customers.select("customer_id", "country"), "customer_id", "left", hot_keys=True)
+    return distinct_sketches(placed, ["year", "month", "country"], "order_id")

@@ -149,7 +149,8 @@ def read_commerce(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
 def describe_schema(tables: dict[str, DataFrame], counts: bool = False) -> DataFrame:
     """table_name, position, column_name, type of every column, from the schemas alone.
 
-    With `counts` also n_values (non-null), from one scan of every table.
+    With `counts` also n_values (non-null), from one scan of every table; of tables read by
+    `read_footers` from the footers alone.
     """
     reports = []
     for table, df in tables.items():
@@ -169,6 +170,18 @@ def describe_schema(tables: dict[str, DataFrame], counts: bool = False) -> DataF
     return report
 
 
+def read_footers(spark: SparkSession, path: str) -> DataFrame:
+    """A Parquet table whose counts, least and largest values of columns Spark takes from the file footers.
+
+    That is a feature of Spark's second reader and off by default; the settings hold in a session
+    of its own, to which the frame belongs.  Frames of both sessions do not join.
+    """
+    session = spark.newSession()
+    session.conf.set("spark.sql.sources.useV1SourceList", "")
+    session.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+    return session.read.parquet(path)
+
+
 def read_frames(spark: SparkSession, folder: str, streaming: bool = False,
                 max_files: int | None = None) -> DataFrame:
     """Image files of a folder: path, modificationTime, length, content.

@@ -27,12 +27,13 @@ def read_message_stream(spark: SparkSession, schema: T.StructType, source: str =
                         path: str | None = None, servers: str | None = None,
                         topic: str | None = None, starting_offsets: str = "latest",
                         max_files: int | None = None, max_offsets: int | None = None,
-                        malformed: bool = False) -> DataFrame:
+                        malformed: bool = False, archive: str | None = None) -> DataFrame:
     """JSON messages as rows; missing keys are null, malformed messages are left out.
 
     With `malformed` the raw text of just those, in `value`, blank lines included.
 
-    source='file'   a folder of JSON-lines files
+    source='file'   a folder of JSON-lines files; files that are done with are moved to `archive`, if
+                    given, so that the folder's listing stays short (one reader per folder then)
     source='kafka'  a topic, from `starting_offsets` on the first run and from
                     the checkpoint later (needs Spark's Kafka package)
     """
@@ -40,6 +41,8 @@ def read_message_stream(spark: SparkSession, schema: T.StructType, source: str =
         reader = spark.readStream
         if max_files is not None:
             reader = reader.option("maxFilesPerTrigger", max_files)
+        if archive is not None:
+            reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive)
         values = reader.text(path)
     elif source == "kafka":
         reader = (spark.readStream.format("kafka").option("kafka.bootstrap.servers", servers)
