@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import heapq
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -12,9 +14,11 @@ from sparktally.llm.common import carried, settle, whole_hash
 SHINGLE = 3
 MAX_BITS = 2
 #: Fingerprints of which the upper tree is grown, at most about so many.
-SAMPLE = 32_768
-#: Distinct fingerprints that a shard should hold; the tree gets a level per doubling beyond.
+SAMPLE = 131_072
+#: Distinct fingerprints that should be at home in a shard, at most about so many.
 SHARD_ROWS = 4_096
+#: Sample points that a shard is judged by at least; so there are SAMPLE / LEAST_POINTS shards at most, and larger ones beyond.
+LEAST_POINTS = 16
 #: A node of a shard's own tree with fewer fingerprints is compared in full.
 LEAF = 48
 _FLUSH = 1 << 19
@@ -127,18 +131,33 @@ def _vantage(points: np.ndarray, radius: int) -> tuple[int, int] | None:
     return best[1], best[2]
 
 
-def grow(sample: np.ndarray, depth: int, radius: int) -> list[tuple[int, int] | None]:
-    """The upper tree as a heap: node i has children 2i+1 and 2i+2; None ends a branch."""
-    nodes: list[tuple[int, int] | None] = [None] * ((1 << depth) - 1)
-    parts = {0: sample}
-    for i in range(len(nodes)):
-        points = parts.pop(i, None)
-        if points is None or len(points) < 2 or (node := _vantage(points, radius)) is None:
+def grow(sample: np.ndarray, most: int, radius: int) -> list[tuple[int, int, int, int]]:
+    """The upper tree: nodes (vantage, bound, left, right); a child below zero, -1 - s, is shard s.
+
+    The part with most sample points is parted next, until none has more
+    than `most` or what has more cannot be parted; so no branch is left large because another one is deep.
+    """
+    nodes: list[list[int]] = []
+    waiting = [(-len(sample), 0, sample, -1, 0)]  # size, order of arrival, points, place in its parent
+    done: list[tuple[int, int]] = []
+    arrived = 0
+    while waiting:
+        size, _, points, parent, side = heapq.heappop(waiting)
+        node = _vantage(points, radius) if -size > max(1, most) else None
+        if node is None:
+            done.append((parent, side))
             continue
-        nodes[i] = node
+        if parent >= 0:
+            nodes[parent][2 + side] = len(nodes)
         left = distance(points, np.uint64(node[0])) <= node[1]
-        parts[2 * i + 1], parts[2 * i + 2] = points[left], points[~left]
-    return nodes
+        for k, part in enumerate((points[left], points[~left])):
+            arrived += 1
+            heapq.heappush(waiting, (-len(part), arrived, part, len(nodes), k))
+        nodes.append([*node, -1, -1])
+    for shard, (parent, side) in enumerate(done):
+        if parent >= 0:
+            nodes[parent][2 + side] = -1 - shard
+    return [tuple(n) for n in nodes]
 
 
 def route(points: np.ndarray, nodes: list, radius: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -149,21 +168,21 @@ def route(points: np.ndarray, nodes: list, radius: int) -> tuple[np.ndarray, np.
     if it is at least bound + 1 - radius.
     """
     rows, shards, homes = [], [], []
-    todo = [(0, np.arange(len(points)), np.ones(len(points), bool))]
+    todo = [(0 if nodes else -1, np.arange(len(points)), np.ones(len(points), bool))]
     while todo:
         i, at, home = todo.pop()
         if not len(at):
             continue
-        if i >= len(nodes) or nodes[i] is None:
+        if i < 0:
             rows.append(at)
-            shards.append(np.full(len(at), i))
+            shards.append(np.full(len(at), -1 - i))
             homes.append(home)
             continue
-        vantage, bound = nodes[i]
+        vantage, bound, to_left, to_right = nodes[i]
         d = distance(points[at], np.uint64(vantage)).astype(np.int64)
         left, right = d <= bound + radius, d > bound - radius
-        todo.append((2 * i + 1, at[left], (home & (d <= bound))[left]))
-        todo.append((2 * i + 2, at[right], (home & (d > bound))[right]))
+        todo.append((to_left, at[left], (home & (d <= bound))[left]))
+        todo.append((to_right, at[right], (home & (d > bound))[right]))
     if not rows:
         return (np.zeros(0, np.int64),) * 2 + (np.zeros(0, bool),)
     return np.concatenate(rows), np.concatenate(shards), np.concatenate(homes)
@@ -231,20 +250,20 @@ def links(distinct: DataFrame, max_bits: int = MAX_BITS, sample: int = SAMPLE,
     """(a, b), a > b: links that join every set of fingerprints within `max_bits` of each other.
 
     `distinct` has one row per fingerprint `fp`.  The upper tree is grown on
-    at most about `sample` of them, chosen by hash; its nodes, fewer than
-    2 * count / shard_rows, travel with the code.  Each fingerprint goes to
+    at most about `sample` of them, chosen by hash, until no shard has more than its share of them; its
+    nodes, fewer than sample / LEAST_POINTS, are broadcast.  Each fingerprint goes to
     its home shard and, as a query, to the shards its ball overlaps.  Inside
     a shard only a spanning set of the pairs found is returned, each to the
     smallest member.
     """
     spark = distinct.sparkSession
     count = distinct.count()
-    depth = max(0, int(np.ceil(np.log2(max(1, count) / shard_rows))))
     modulus = max(1, -(-count // sample))
     chosen = distinct.select("fp").where(F.pmod(F.xxhash64("fp"), F.lit(modulus)) == 0).toArrow()
     seed = np.sort(chosen.column(0).to_numpy().astype(np.int64).view(np.uint64))
     seed = seed[np.argsort((seed * np.uint64(0x9E3779B97F4A7C15)), kind="stable")]
-    nodes = grow(seed, depth, max_bits)
+    least = min(LEAST_POINTS, shard_rows)
+    nodes = grow(seed, max(least, len(seed) * shard_rows // max(1, count)), max_bits)
     shared = spark.sparkContext.broadcast(nodes)
 
     def dealt(batches):
@@ -278,7 +297,9 @@ def components(edges: DataFrame) -> DataFrame:
 
     Alternates two steps until nothing changes: larger neighbours of a
     number move to its smallest one, then smaller ones do.  Edges only ever
-    get fewer distinct ends, and each round is written to the shared folder.
+    get fewer distinct ends, and each round is written to the shared folder.  So are the
+    smallest neighbours before they are joined: Spark splits the partition of a hot number
+    only if neither side of a join has just been grouped by it.
     """
     def seen(df: DataFrame):
         return df.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
@@ -287,11 +308,11 @@ def components(edges: DataFrame) -> DataFrame:
     state = seen(edges)
     while state[0]:
         both = edges.union(edges.select("b", "a"))
-        least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
+        least = settle(both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m")))
         large = (both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
                  .where("a != b").distinct())
         large = settle(large)
-        least = large.groupBy("a").agg(F.min("b").alias("m"))
+        least = settle(large.groupBy("a").agg(F.min("b").alias("m")))
         joined = large.join(least, "a")
         small = joined.where("b != m").select(F.col("b").alias("a"), F.col("m").alias("b"))
         edges = settle(small.union(least.select("a", F.col("m").alias("b"))).distinct())

@@ -6,6 +6,7 @@ import numpy as np
 import pytest
 import tables
 import xxhash
+from pyspark.sql import functions as F
 
 from sparktally.llm import simhash_tree as st
 
@@ -53,7 +54,7 @@ def test_tree_links_every_close_pair(seed, bits):
 @pytest.mark.parametrize("seed", range(3))
 def test_shards_overlap_enough(seed):
     points = close_points(500, seed)
-    nodes = st.grow(points[::3], 4, 2)
+    nodes = st.grow(points[::3], 12, 2)
     row, shard, home = st.route(points, nodes, 2)
     homes = dict(zip(row[home].tolist(), shard[home].tolist()))
     assert len(homes) == len(points) == home.sum()
@@ -63,6 +64,42 @@ def test_shards_overlap_enough(seed):
             assert (i, homes[int(j)]) in reached
 
 
+def test_no_shard_is_left_large():
+    rng = np.random.default_rng(7)
+    points = np.unique(rng.integers(0, 1 << 63, 300_000, dtype=np.uint64) * np.uint64(2) + rng.integers(0, 2, 300_000, dtype=np.uint64))
+    nodes = st.grow(points[::3], len(points[::3]) * st.SHARD_ROWS // len(points), 2)
+    row, shard, home = st.route(points, nodes, 2)
+    at_home, all_rows = np.bincount(shard[home]), np.bincount(shard)
+    print(len(nodes) + 1, "shards,", round(len(row) / len(points), 1), "copies, largest at home", at_home.max(), "of", len(points),
+          "largest with visitors", all_rows.max())
+    assert home.sum() == len(points) and at_home.max() <= 2 * st.SHARD_ROWS and all_rows.max() < len(points) / 7
+
+
+def test_a_star_of_links_is_split(spark, big, conf, monkeypatch):
+    import plans
+    conf(**{"spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "100k",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "50k"})
+    seen = []
+    settle = st.settle
+
+    def watched(df):
+        done = settle(df)
+        seen.append(df)
+        return done
+
+    edges = spark.range(1, 300_001).selectExpr("id AS a", "0L AS b").repartition(8)
+    both = settle(edges.union(edges.selectExpr("b", "a")).toDF("a", "b"))
+    least = settle(both.groupBy("a").agg(F.min("b").alias("m")))
+    joined = both.join(least, "a")
+    joined.write.format("noop").mode("overwrite").save()
+    joined.collect()
+    assert plans.executed(joined)["skew"] == 1
+    monkeypatch.setattr(st, "settle", watched)
+    roots = st.components(edges)
+    assert roots.count() == 300_000 and {r.root for r in roots.select("root").distinct().collect()} == {0}
+
+
 def test_components_of_a_chain_across_shards(spark):
     # Each number differs from the next by one bit; the ends differ in many.
     fps = [(1 << i) - 1 for i in range(40)] + [0x5A5A << 44]
