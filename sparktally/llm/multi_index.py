@@ -17,8 +17,9 @@ BITS, PART = 256, 8
 SAMPLE = 8_192
 #: Share of the sample's true neighbours that lie within the radius.
 WITHIN = 0.99
-#: Vectors of an index block and queries of a chunk, about so many.
-BLOCK_ROWS, CHUNK_ROWS = 4_096, 8_192
+#: Vectors of an index block and queries of a chunk, at least about so many, and as many as fit these bytes in double
+#: precision: every block meets every chunk, so larger ones mean fewer copies of either.
+BLOCK_ROWS, CHUNK_ROWS, BLOCK_BYTES = 4_096, 8_192, 32 << 20
 
 
 @dataclass
@@ -190,7 +191,11 @@ def nearest(table: DataFrame, is_query: Column, k: int = 5, within: float = WITH
     rows = rows.where(F.size("vector") == lengths["n"])
     asked = rows.where(is_query).select(F.col("vec_id").alias("query_id"), "vector")
     n, n_asked = rows.count(), max(1, asked.count())
-    blocks, chunks = -(-n // BLOCK_ROWS), -(-n_asked // CHUNK_ROWS)
+    fit = BLOCK_BYTES // (8 * lengths["n"])
+    # Small tables are still dealt to as many tasks as a shuffle has.
+    width = int(table.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    blocks = max(-(-n // max(BLOCK_ROWS, fit)), min(-(-n // BLOCK_ROWS), width))
+    chunks = -(-n_asked // max(CHUNK_ROWS, fit))
     # The k + 1 smallest ids of each distinct vector; cut before the shuffle, so a common one is no burden.
     place = F.row_number().over(Window.partitionBy("vector").orderBy("vec_id"))
     index = settle(rows.withColumn("_n", place).where(F.col("_n") <= k + 1)
