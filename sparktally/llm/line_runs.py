@@ -144,10 +144,13 @@ def dedup_lines(docs: DataFrame, batches: int = BATCHES, shortest: int = SHORTES
     lines = spark.read.schema("doc long, text_hash long, place int, h1 long, h2 long, batch int"
                               ).parquet(f"{folder}/lines")
     runs = LineRuns(spark, folder, fanout)
-    for b in range(len(cuts) + 1):
-        one = lines.where(F.col("batch") == b).drop("batch")
-        dropped_lines(one, runs).write.mode("append").parquet(f"{folder}/dropped")
-    runs.close()
+    try:
+        for b in range(len(cuts) + 1):
+            one = lines.where(F.col("batch") == b).drop("batch")
+            dropped_lines(one, runs).write.mode("append").parquet(f"{folder}/dropped")
+    finally:
+        # Runs are tables of a catalogue that others may share.
+        runs.close()
     dropped = spark.read.schema("doc long, text_hash long, place int").parquet(f"{folder}/dropped")
     # Equal rows are dropped alike: their places are one set.
     gone = settle(dropped.groupBy("doc", "text_hash").agg(F.collect_set("place").alias("_gone")))

@@ -68,3 +68,20 @@ def test_runs_are_merged_level_by_level(spark):
 
 def test_no_rows(spark):
     assert line_runs.dedup_lines(tables.empty(spark)).count() == 0
+
+
+def test_a_failed_job_leaves_no_table(spark, monkeypatch):
+    before = {t.name for t in spark.catalog.listTables()}
+    calls = []
+
+    def lost(lines, runs):
+        if calls:
+            raise RuntimeError("lost")
+        calls.append(1)
+        return dropped(lines, runs)
+
+    dropped = line_runs.dropped_lines
+    monkeypatch.setattr(line_runs, "dropped_lines", lost)
+    with pytest.raises(RuntimeError):
+        line_runs.dedup_lines(spark.range(50).selectExpr("id AS doc_id", "concat('line number ', id % 20) AS text"))
+    assert {t.name for t in spark.catalog.listTables()} == before

@@ -4,6 +4,7 @@ import hashlib
 import math
 
 import sentencepiece
+import tables
 from test_line_runs import key_of
 from test_simhash_tree import fingerprint, groups
 
@@ -81,3 +82,42 @@ def test_pipeline_equals_its_plain_version(spark):
     assert sorted(r.doc_id for r in got) == sorted(r[0] for r in want)
     ids = {r[0]: library.encode(r[1]) for r in want}
     assert all(list(r.ids) == ids[r.doc_id] and r.n_tokens == len(r.ids) for r in got)
+
+
+def run_on(spark, folder, docs):
+    docs.write.parquet(f"{folder}/documents.parquet")
+    labels = spark.read.parquet(f"{FOLDER}/labels.parquet")
+    labels.write.parquet(f"{folder}/labels.parquet")
+    return corpus_pipeline.run(spark, str(folder))
+
+
+def test_tables_without_rows(spark, tmp_path):
+    got = run_on(spark, tmp_path, tables.empty(spark))
+    assert got.count() == 0 and got.columns == ["doc_id", "n_tokens", "ids"]
+
+
+def test_awkward_clashing_and_repeated_rows(spark, tmp_path):
+    docs = tables.clashing(spark)
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        assert stage(spark, docs, FOLDER).columns == docs.columns, name
+    plain = [tuple(r) for r in run_on(spark, tmp_path / "a", tables.awkward(spark)).select("doc_id", "n_tokens").collect()]
+    clash = [tuple(r) for r in run_on(spark, tmp_path / "b", docs).select("doc_id", "n_tokens").collect()]
+    assert sorted(plain, key=repr) == sorted(clash, key=repr) and plain
+    # texts without words are one group, of which the smallest id stays
+    assert len({d for d, _ in plain} & {4, 5}) == 0
+
+
+def test_order_of_rows_does_not_matter(spark, tmp_path):
+    rows = [(i // 3, f"some words of text number {i // 3} and more of them", "abc"[i % 3], f"s{i % 2}", i % 3) for i in range(60)]
+    rows += [(i, None, "x", None, 0) for i in (900, 901)]
+    results = []
+    for k, order in enumerate((rows, rows[::-1])):
+        got = run_on(spark, tmp_path / str(k), spark.createDataFrame(order, tables.DOCS).coalesce(1))
+        results.append(sorted(map(repr, got.collect())))
+    assert results[0] == results[1]
+
+
+def test_null_in_every_column(spark, tmp_path):
+    docs = spark.createDataFrame([(None,) * 5] * 3 + [(1, "a few words", None, None, None)], tables.DOCS)
+    got = run_on(spark, tmp_path, docs).collect()
+    assert {r.doc_id for r in got} <= {None, 1} and {r.doc_id for r in got if r.n_tokens} == {1}
