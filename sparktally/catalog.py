@@ -508,15 +508,17 @@ def distinct_orders_rolled_up(spark, folder):
     kept = spark.read.schema("year int, month int, country string, sketch binary").parquet(path)
     placed = lookup(orders, customers, "customer_id", "left").withColumn("year", F.year("purchase_ts"))
     levels = {"country": F.col("country"), "year": F.col("year").cast("string"), "all": F.lit("all")}
-    report = None
+    parts = None
     for name, key in levels.items():
-        united = distinct_sketches.distinct_estimates(kept.withColumn("key", key), ["key"], "n")
-        exact = placed.groupBy(key.alias("key")).agg(F.countDistinct("order_id").alias("n_exact"))
-        both = united.join(exact, united["key"].eqNullSafe(exact["key"]), "full").select(
-            F.lit(name).alias("level"), exact["key"], "n_exact",
-            (F.abs(F.col("n") - F.col("n_exact")) <= 4 * distinct_sketches.standard_error() * F.col("n_exact") + 1).alias("near"))
-        report = both if report is None else report.unionAll(both)
-    return report
+        united = distinct_sketches.distinct_estimates(kept.withColumn("key", key), ["key"], "n").select(
+            F.lit(name).alias("level"), "key", "n", F.lit(None).cast("bigint").alias("n_exact"))
+        exact = placed.groupBy(key.alias("key")).agg(F.countDistinct("order_id").alias("n_exact")).select(
+            F.lit(name).alias("level"), "key", F.lit(None).cast("bigint").alias("n"), "n_exact")
+        both = united.unionAll(exact)
+        parts = both if parts is None else parts.unionAll(both)
+    report = parts.groupBy("level", "key").agg(F.max("n").alias("n"), F.max("n_exact").alias("n_exact"))
+    near = F.abs(F.col("n") - F.col("n_exact")) <= 4 * distinct_sketches.standard_error() * F.col("n_exact") + 1
+    return report.select("level", "key", "n_exact", near.alias("near"))
 
 
 # ---- frames --------------------------------------------------------------
