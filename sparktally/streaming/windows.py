@@ -19,6 +19,8 @@ from sparktally.streaming.pipeline import _start
 BUCKETS = 256
 #: Buckets that the records of one camera are spread over.
 SHARES = 8
+_PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+_ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 _STATE = ("windows array<struct<camera_id:string, start:bigint, frames:bigint, counted:bigint, people:bigint, "
           "max_people:int, seen:array<string>, closed:boolean>>")
 _OUT = ("kind string, camera_id string, start bigint, frames bigint, counted bigint, people bigint, max_people int, "
@@ -114,6 +116,9 @@ def window_sums(records: DataFrame, width: str = "10 minutes", horizon: str = "1
     without a time belong to no window.
     """
     spark = records.sparkSession
+    # State of this kind needs Spark's RocksDB store, which `build_session` sets; another session is given it here.
+    if "RocksDB" not in spark.conf.get(_PROVIDER, ""):
+        spark.conf.set(_PROVIDER, _ROCKSDB)
     width_us, keep_us = _micros(spark, width), _micros(spark, keep)
     share = F.pmod(F.xxhash64("frame_id"), F.lit(SHARES))
     rows = records.where(F.col(ts).isNotNull()).withWatermark(ts, horizon).select(
