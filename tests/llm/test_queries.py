@@ -19,7 +19,7 @@ def test_equals_sql(spark, name):
 
 def test_registered():
     names = entry.queries()
-    assert all(sum(n.startswith(f"op{i}_") for n in names) == 1 for i in range(1, 11))
+    assert all(sum(n.startswith(f"op{i}_") for n in names) == 1 for i in range(1, 14))
     assert set(queries.QUERIES) | {"pipeline"} <= set(names) and set(queries.ORACLE) <= set(entry.oracle_sql())
 
 
