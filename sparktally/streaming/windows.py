@@ -17,6 +17,8 @@ from sparktally.streaming.pipeline import _start
 
 #: Keys of the state; fixed for the life of a checkpoint.  A task holds the open windows of one key at a time.
 BUCKETS = 256
+#: Records of a batch that one bucket should have on average, for who sets the number of buckets by the size of a batch.
+BUCKET_RECORDS = 50_000
 #: Buckets that the records of one camera are spread over.
 SHARES = 8
 _PROVIDER = "spark.sql.streaming.stateStore.providerClass"

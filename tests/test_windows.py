@@ -4,6 +4,7 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
+from sparktally import catalog
 from sparktally.plans import frames as f
 from sparktally.streaming import windows as w
 
@@ -82,3 +83,20 @@ def test_records_without_time_camera_or_frame(spark, tmp_path):
     put(data, f"{tmp_path}/in", "a")
     put(data.limit(0), f"{tmp_path}/in", "b")
     assert rows(run(spark, tmp_path)) == rows(f.people_per_window(data, width="1 hour"))
+
+
+def test_query_takes_four_batches_of_a_table_of_many_files(spark, tmp_path, monkeypatch):
+    at = F.lit("2026-01-01 00:00:00").cast("timestamp_ntz") + F.make_dt_interval(mins=F.col("id").cast("int"))
+    key = F.when(F.col("id") % 500 == 3, -F.col("id")).when(F.col("id") % 500 != 7, F.col("id"))
+    events = spark.range(3000, numPartitions=3).select(
+        key.alias("event_id"), F.when(F.col("id") % 300 != 9, at).alias("ts"), (F.col("id") % 3).alias("user_id"),
+        F.lit("view").alias("event_type"), F.lit(1.0).alias("value"),
+        F.concat(F.lit('{"k": '), (F.col("id") % 101).cast("string"), F.lit("}")).alias("props"))
+    events.write.parquet(f"{tmp_path}/events.parquet")
+    monkeypatch.setattr(catalog, "scratch_path", lambda spark, label: f"{tmp_path}/{label}")
+    got = rows(catalog.people_per_window_stream(spark, str(tmp_path)))
+    want = catalog.people_per_window(spark, str(tmp_path)).where("window_start is not null")
+    assert got == rows(want)
+    assert sum(r[3] for r in got) == 2990
+    # Every batch counts, also one without records that only moves the watermark.
+    assert len(list((tmp_path / "windows/checkpoint/commits").glob("[0-9]*"))) <= 5
